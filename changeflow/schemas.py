@@ -6,92 +6,126 @@ import json
 
 from pyspark.sql import types as T
 
+TEXT, INT, LONG = T.StringType(), T.IntegerType(), T.LongType()
+DATE, TIME = T.DateType(), T.TimestampType()
+PRICE, TOTAL = T.DecimalType(12, 2), T.DecimalType(33, 2)
 
-def _struct(text: str, required: str = "") -> T.StructType:
-    names = set(required.split())
-    fields = T.StructType.fromDDL(text).fields
-    return T.StructType([T.StructField(f.name, f.dataType, f.name not in names) for f in fields])
 
+def struct(required: str = "", **columns: T.DataType) -> T.StructType:
+    """A struct of named columns, nullable unless listed as required."""
+    never_null = set(required.split())
+    return T.StructType([T.StructField(n, t, n not in never_null) for n, t in columns.items()])
 
-#: Position of an event in its topic.
-POSITION = _struct("kafka_partition INT, kafka_offset BIGINT")
 
-ORDER_EVENT = _struct(
-    "order_id STRING, customer_ref STRING, channel_id STRING, status STRING, event_date STRING,"
-    " link_origin STRING, op_type STRING, op_ts BIGINT, current_ts BIGINT",
-    required="order_id link_origin op_type op_ts current_ts",
+#: Position of an event in its topic.
+POSITION = struct(kafka_partition=INT, kafka_offset=LONG)
+
+ORDER_EVENT = struct(
+    "order_id link_origin op_type op_ts current_ts",
+    order_id=TEXT,
+    customer_ref=TEXT,
+    channel_id=TEXT,
+    status=TEXT,
+    event_date=TEXT,
+    link_origin=TEXT,
+    op_type=TEXT,
+    op_ts=LONG,
+    current_ts=LONG,
 )
-LINE_EVENT = _struct(
-    "order_id STRING, line_number INT, product_ref STRING, quantity INT,"
-    " unit_price DECIMAL(12,2), op_type STRING"
+LINE_EVENT = struct(
+    order_id=TEXT,
+    line_number=INT,
+    product_ref=TEXT,
+    quantity=INT,
+    unit_price=PRICE,
+    op_type=TEXT,
 )
-CUSTOMER_EVENT = _struct(
-    "customer_ref STRING, customer_name STRING, country_code STRING, segment STRING, op_type STRING"
+CUSTOMER_EVENT = struct(
+    customer_ref=TEXT, customer_name=TEXT, country_code=TEXT, segment=TEXT, op_type=TEXT
 )
 
-SOURCES = _struct(
-    "id INT, source_name STRING, source_type STRING, description STRING",
-    required="id source_name source_type",
+SOURCES = struct(
+    "id source_name source_type", id=INT, source_name=TEXT, source_type=TEXT, description=TEXT
 )
-CUSTOMERS = _struct(
-    "id STRING, customer_hash STRING, external_customer_id STRING, source_id INT,"
-    " source_name STRING, customer_name STRING, country_code STRING, resolution_state STRING,"
-    " created_at TIMESTAMP, updated_at TIMESTAMP",
-    required="id customer_hash external_customer_id source_id source_name",
+CUSTOMERS = struct(
+    "id customer_hash external_customer_id source_id source_name",
+    id=TEXT,
+    customer_hash=TEXT,
+    external_customer_id=TEXT,
+    source_id=INT,
+    source_name=TEXT,
+    customer_name=TEXT,
+    country_code=TEXT,
+    resolution_state=TEXT,
+    created_at=TIME,
+    updated_at=TIME,
 )
-ORDERS = _struct(
-    "id STRING, external_order_id STRING, source_id INT, source_name STRING,"
-    " order_status STRING, order_date DATE, created_at TIMESTAMP, updated_at TIMESTAMP",
-    required="id source_id",
+ORDERS = struct(
+    "id source_id",
+    id=TEXT,
+    external_order_id=TEXT,
+    source_id=INT,
+    source_name=TEXT,
+    order_status=TEXT,
+    order_date=DATE,
+    created_at=TIME,
+    updated_at=TIME,
 )
-CANDIDATES = _struct(
-    "order_source_id INT, order_id STRING, customer_source_id INT, customer_id STRING,"
-    " link_score INT, link_rating INT, link_method STRING, audit_action STRING,"
-    " audit_action_status STRING, created_at TIMESTAMP, updated_at TIMESTAMP",
-    required="order_source_id order_id",
+CANDIDATES = struct(
+    "order_source_id order_id",
+    order_source_id=INT,
+    order_id=TEXT,
+    customer_source_id=INT,
+    customer_id=TEXT,
+    link_score=INT,
+    link_rating=INT,
+    link_method=TEXT,
+    audit_action=TEXT,
+    audit_action_status=TEXT,
+    created_at=TIME,
+    updated_at=TIME,
 )
-LINKS = _struct(
-    "order_source_id INT, order_id STRING, customer_source_id INT, customer_id STRING,"
-    " audit_action STRING, audit_action_at TIMESTAMP, audit_action_status STRING,"
-    " link_score INT, link_rating INT, link_method STRING, created_at TIMESTAMP,"
-    " updated_at TIMESTAMP",
-    required="order_source_id order_id",
+LINKS = struct(
+    "order_source_id order_id",
+    order_source_id=INT,
+    order_id=TEXT,
+    customer_source_id=INT,
+    customer_id=TEXT,
+    audit_action=TEXT,
+    audit_action_at=TIME,
+    audit_action_status=TEXT,
+    link_score=INT,
+    link_rating=INT,
+    link_method=TEXT,
+    created_at=TIME,
+    updated_at=TIME,
 )
 
 ORDER_LINES = T.ArrayType(
-    _struct("line_number INT, product_ref STRING, quantity INT, unit_price DECIMAL(12,2)")
+    struct(line_number=INT, product_ref=TEXT, quantity=INT, unit_price=PRICE)
 )
-ENRICHED = T.StructType(
-    _struct(
-        "order_key STRING, order_id STRING, status STRING, event_date STRING, channel_id STRING,"
-        " link_origin STRING, customer_ref STRING, customer_refs ARRAY<STRING>,"
-        " customer_name STRING, country_code STRING, customer_segment STRING"
-    ).fields
-    + [
-        T.StructField("lines", ORDER_LINES),
-        T.StructField("order_total", T.DecimalType(33, 2)),
-        T.StructField("lines_part", T.LongType()),
-        T.StructField("refs_part", T.LongType()),
-    ]
+ENRICHED = struct(
+    order_key=TEXT,
+    order_id=TEXT,
+    status=TEXT,
+    event_date=TEXT,
+    channel_id=TEXT,
+    link_origin=TEXT,
+    customer_ref=TEXT,
+    customer_refs=T.ArrayType(TEXT),
+    customer_name=TEXT,
+    country_code=TEXT,
+    customer_segment=TEXT,
+    lines=ORDER_LINES,
+    order_total=TOTAL,
+    lines_part=LONG,
+    refs_part=LONG,
 )
 
-#: Column widths of the warehouse tables, as fixed values; exceeding one is an
-#: error in the store the tables came from, never a silent truncation.
-VARCHAR_LIMITS = {
-    "id": 64,
-    "order_id": 64,
-    "external_customer_id": 64,
-    "customer_id": 32,
-    "source_name": 64,
-    "link_method": 32,
-    "audit_action": 32,
-    "audit_action_status": 16,
-}
-
-_AVRO_TYPES = {T.StringType(): "string", T.LongType(): "long", T.IntegerType(): "int"}
+_AVRO_TYPES = {TEXT: "string", LONG: "long", INT: "int"}
 
 
-def avro_schema(struct: T.StructType, name: str, namespace: str) -> str:
+def avro_schema(record: T.StructType, name: str, namespace: str) -> str:
     """The Avro record schema of an event; nullable fields default to null."""
 
     def field(f: T.StructField) -> dict:
@@ -105,7 +139,7 @@ def avro_schema(struct: T.StructType, name: str, namespace: str) -> str:
             "type": "record",
             "name": name,
             "namespace": namespace,
-            "fields": [field(f) for f in struct.fields],
+            "fields": [field(f) for f in record.fields],
         }
     )
 

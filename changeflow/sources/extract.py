@@ -39,13 +39,17 @@ def after(bookmark: Bookmark, updated_at: str, row_id: str) -> Column:
 
 
 def changed_rows(
-    table: DataFrame, bookmark: Bookmark, updated_at: str = "updated_at", row_id: str = "id"
+    table: DataFrame,
+    bookmark: Bookmark | None,
+    updated_at: str = "updated_at",
+    row_id: str = "id",
 ) -> DataFrame:
     """Every row changed since the bookmark, in one partition-parallel read.
 
-    Deleted rows leave no trace in the table and are not seen.
+    Without a bookmark the whole table is read. Deleted rows leave no trace in the
+    table and are not seen.
     """
-    return table.filter(after(bookmark, updated_at, row_id))
+    return table if bookmark is None else table.filter(after(bookmark, updated_at, row_id))
 
 
 def next_bookmark(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,11 +21,13 @@ class LatestTable:
     row would stay.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, columns: dict[str, str]) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, event: T.StructType, key: str, columns: Sequence[str]
+    ) -> None:
         self.key = key
         self.columns = list(columns)
-        ddl = ", ".join(f"{n} {t}" for n, t in {key: "STRING", **columns, "op_type": "STRING"}.items())
-        self.tables = TableSet(spark, root, {"state": T.StructType.fromDDL(ddl)})
+        state = T.StructType([event[name] for name in (key, *columns, "op_type")])
+        self.tables = TableSet(spark, root, {"state": state})
 
     def changelog(self, stream: DataFrame, ignore_nulls: bool = False) -> DataFrame:
         """The running latest state of the keys each micro-batch touches."""
