@@ -33,11 +33,8 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     root = scratch_dir(spark, "upsert")
     topic, checkpoint = f"{root}/topic", f"{root}/checkpoint"
     warehouse = Warehouse(spark, f"{root}/warehouse")
-    references = References(
-        orders=lambda: inputs.orders,
-        sources=lambda: inputs.sources,
-        customers=lambda: inputs.customers,
-    )
+    orders, sources, customers = inputs.orders, inputs.sources, inputs.customers
+    references = References(lambda: orders, lambda: sources, lambda: customers)
     sink = UpsertSink(warehouse, references, checkpoint, SETTINGS, fold_every=2)
     log = inputs.order_log.withColumn("part", inputs.part_of(PARTS))
     for part in range(PARTS):
@@ -97,9 +94,10 @@ def orders_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lines": schemas.LINE_EVENT,
         "customers": schemas.CUSTOMER_EVENT,
     }
+    for name, event in events.items():
+        land(_none(spark, event), f"{root}/{name}")
     for topic, rows in arrivals:
-        for name in events:
-            land(rows if name == topic else _none(spark, events[name]), f"{root}/{name}")
+        land(rows, f"{root}/{topic}")
         stream = mixed_topics(
             {name: read_landing(spark, f"{root}/{name}", event) for name, event in events.items()}
         )

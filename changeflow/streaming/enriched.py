@@ -57,8 +57,9 @@ class EnrichedView:
         version = head.version + 1
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for topic in TOPICS:
-                self.tables.write(topic, batch.filter(F.col("topic") == topic), version)
+            self.tables.write_all(
+                {topic: batch.filter(F.col("topic") == topic) for topic in TOPICS}, version
+            )
         finally:
             batch.unpersist()
         self.tables.write("view", self._recomputed(head, version), version)

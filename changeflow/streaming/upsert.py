@@ -94,6 +94,22 @@ class Warehouse:
         return untouched.unionByName(newest)
 
 
+class _Kept:
+    """Keeps frames in memory or on disk for as long as a batch uses them."""
+
+    def __enter__(self) -> _Kept:
+        self._frames: list[DataFrame] = []
+        return self
+
+    def __call__(self, frame: DataFrame) -> DataFrame:
+        self._frames.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
+        return frame
+
+    def __exit__(self, *_) -> None:
+        for frame in self._frames:
+            frame.unpersist()
+
+
 class UpsertSink:
     """Applies one micro-batch of decoded events; pass it to ``foreachBatch``."""
 
@@ -114,85 +130,76 @@ class UpsertSink:
         self.clock = clock
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        tables = self.warehouse.tables
-        head = tables.head()
+        head = self.warehouse.tables.head()
         if head.holds(self.source, batch_id):
             return
-        records = (
-            events.normalised(events.relevant(batch))
-            .withColumn("batch_no", F.lit(batch_id).cast("bigint"))
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        try:
+        with _Kept() as keep:
+            records = keep(
+                resolve.distinct_records(
+                    events.normalised(events.relevant(batch)).withColumn(
+                        "batch_no", F.lit(batch_id).cast("bigint")
+                    ),
+                    positions=True,
+                )
+            )
             count = records.count()
             if count:
-                self._apply(records, count <= BROADCAST_RECORDS, head, batch_id)
-        finally:
-            records.unpersist()
+                self._apply(records, count <= BROADCAST_RECORDS, head, batch_id, keep)
 
-    def _apply(self, records: DataFrame, small: bool, head: Head, batch_id: int) -> None:
-        tables, version = self.warehouse.tables, head.version + 1
+    def _apply(
+        self, records: DataFrame, small: bool, head: Head, batch_id: int, keep: _Kept
+    ) -> None:
         applied_at = F.lit(self.clock())
-        sources = self.references.sources()
-        orders, catalog = self._touched(records, small, head)
-
-        missing = resolve.missing_customers(records, catalog, self.settings, applied_at)
-        tables.write("customers_backfill", missing, version)
-        # Staging reads the rows just written, so both sides agree on them.
-        added = tables.log("customers_backfill", head, through=version).filter(
-            F.col(VERSION) == version
+        catalog = (
+            self.references.customers()
+            .select(*schemas.CUSTOMERS.names)
+            .unionByName(self.warehouse.backfilled_customers(head))
+        )
+        if small:
+            # One pass over each reference table, and no shuffle of either.
+            catalog = keep(self._named_customers(catalog, records))
+        missing = keep(
+            resolve.missing_customers(records, catalog, self.settings, applied_at)
         )
-        stage = resolve.resolved(
-            resolve.distinct_records(records, positions=True),
-            orders,
-            sources,
-            resolve.with_missing(catalog, added),
-            self.settings,
-            applied_at,
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            proposals = apply.candidate_rows(stage)
-            tables.write("order_customer_candidates_history", proposals, version)
-            tables.write("order_customer_candidates", proposals, version)
-            tables.write("order_customer_links_history", apply.link_history_rows(stage), version)
-            tables.write("order_customer_links", apply.last_operations(stage), version)
-            tables.commit(head, self.source, batch_id, self._fold(head))
-        finally:
-            stage.unpersist()
-
-    def _touched(
-        self, records: DataFrame, small: bool, head: Head
-    ) -> tuple[DataFrame, DataFrame]:
-        """Order and catalog rows the batch can match, found without a shuffle.
-
-        Broadcasting the keys of a small batch turns each reference table into a
-        single pass; a large batch leaves the choice of join to the optimizer.
-        """
-
-        def keys(column: str, name: str) -> DataFrame:
-            distinct = records.select(F.col(column).alias(name)).distinct()
-            return F.broadcast(distinct) if small else distinct
-
-        def ids() -> DataFrame:
-            named = records.filter(F.col("customer_ref").isNotNull()).select("customer_ref")
-            distinct = named.distinct().select(
-                resolve.customer_id(F.col("customer_ref")).alias("id")
+        stage = keep(
+            resolve.resolved(
+                F.broadcast(records) if small else records,
+                self.references.orders(),
+                self.references.sources(),
+                resolve.with_missing(catalog, missing),
+                self.settings,
+                applied_at,
             )
-            return F.broadcast(distinct) if small else distinct
-
-        orders = self.references.orders().join(keys("order_id", "id"), "id", "left_semi")
-        customers = self.references.customers().select(*schemas.CUSTOMERS.names)
-        catalog = customers.unionByName(self.warehouse.backfilled_customers(head)).filter(
-            F.col("source_id") == self.settings.catalog_source_id
         )
-        by_ref = catalog.join(
-            keys("customer_ref", "external_customer_id"), "external_customer_id", "left_semi"
+        proposals = apply.candidate_rows(stage)
+        rows = {
+            "customers_backfill": missing,
+            "order_customer_candidates_history": proposals,
+            "order_customer_candidates": proposals,
+            "order_customer_links_history": apply.link_history_rows(stage),
+            "order_customer_links": apply.last_operations(stage),
+        }
+        stage.count()
+        self.warehouse.tables.write_all(rows, head.version + 1)
+        self.warehouse.tables.commit(head, self.source, batch_id, self._fold(head))
+
+    def _named_customers(self, catalog: DataFrame, records: DataFrame) -> DataFrame:
+        """Catalog rows that hold a reference of a small batch, or its identifier."""
+        refs = records.filter(F.col("customer_ref").isNotNull()).select("customer_ref").distinct()
+        by_ref = refs.select(
+            F.col("customer_ref").alias("external_customer_id"), F.lit(True).alias("same_ref")
+        )
+        by_id = refs.select(
+            resolve.customer_id(F.col("customer_ref")).alias("id"), F.lit(True).alias("same_id")
         )
-        # A row may hold the id of a reference under another reference.
-        by_id = catalog.join(ids(), "id", "left_semi").join(
-            by_ref.select("id"), "id", "left_anti"
+        return (
+            catalog.filter(F.col("source_id") == self.settings.catalog_source_id)
+            .join(F.broadcast(by_ref), "external_customer_id", "left")
+            # A row may hold the identifier of a reference under another reference.
+            .join(F.broadcast(by_id), "id", "left")
+            .filter(F.col("same_ref") | F.col("same_id"))
+            .select(*catalog.columns)
         )
-        return orders, by_ref.unionByName(by_id.select(*by_ref.columns)).select(*catalog.columns)
 
     def _fold(self, head: Head) -> dict[str, int]:
         """Fold a long log of a state table into a base, as of the pinned head."""
