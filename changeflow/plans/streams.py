@@ -63,7 +63,7 @@ def latest_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     root = scratch_dir(spark, "latest")
     table = LatestTable(
-        spark, f"{root}/table", schemas.ORDER_EVENT, "order_id", ORDER_COLUMNS
+        spark, f"{root}/table", schemas.ORDER_EVENT, "order_id", ORDER_COLUMNS, fold_every=2
     )
     log = inputs.order_log.withColumn("part", inputs.part_of(PARTS))
     for part in range(PARTS):
@@ -81,7 +81,7 @@ def orders_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     inputs = Inputs(spark, sf_dir)
     root = scratch_dir(spark, "enriched")
-    view = EnrichedView(spark, f"{root}/view")
+    view = EnrichedView(spark, f"{root}/view", fold_every=2)
     orders = inputs.order_log.withColumn("part", inputs.part_of(2))
     arrivals = [
         ("orders", orders.filter(F.col("part") == 0).drop("part")),

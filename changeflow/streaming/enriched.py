@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schemas
 from changeflow.operators.enrich import enriched_from_logs
-from changeflow.streaming.tables import VERSION, Head, TableSet
+from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
+from changeflow.streaming.tables import FOLD_EVERY, VERSION, Head, TableSet
 
 TOPICS = {
     "orders": schemas.ORDER_EVENT,
@@ -39,7 +39,10 @@ def mixed_topics(topics: dict[str, DataFrame]) -> DataFrame:
 class EnrichedView:
     """The view and the change logs it is computed from."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, fold_every: int = FOLD_EVERY
+    ) -> None:
+        self.fold_every = fold_every
         view = T.StructType([*schemas.ENRICHED.fields, T.StructField("deleted", T.BooleanType())])
         logs = {name: _log_schema(event) for name, event in TOPICS.items()}
         self.tables = TableSet(spark, root, {**logs, "view": view})
@@ -55,39 +58,30 @@ class EnrichedView:
         if head.holds(source, batch_id):
             return
         version = head.version + 1
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with Kept() as keep:
+            batch = keep(batch)
             self.tables.write_all(
                 {topic: batch.filter(F.col("topic") == topic) for topic in TOPICS}, version
             )
-        finally:
-            batch.unpersist()
-        self.tables.write("view", self._recomputed(head, version), version)
-        self.tables.commit(head, source, batch_id)
+            self.tables.write("view", self._recomputed(head, version, keep), version)
+        folded = self.tables.fold(
+            "view", ["order_key"], ~F.col("deleted"), head, self.fold_every
+        )
+        self.tables.commit(head, source, batch_id, folded)
 
-    def _recomputed(self, head: Head, version: int) -> DataFrame:
+    def _recomputed(self, head: Head, version: int, keep: Kept) -> DataFrame:
         """Fresh rows, or tombstones, of the orders this version affects."""
 
         def log(topic: str) -> DataFrame:
-            return self.tables.log(topic, head, through=version)
+            return self.tables.log(topic, head, through=version).drop(VERSION)
 
-        def new(topic: str) -> DataFrame:
-            return log(topic).filter(F.col(VERSION) == version)
+        def of_affected(topic: str) -> DataFrame:
+            return keep(log(topic).join(wanted, "order_id", "left_semi"))
 
-        # An order names its customer in an event of its own, and keeps the last one;
-        # the view as it stood tells which orders a changed customer appears in.
-        changed_customers = new("customers").select("customer_ref").distinct()
-        by_customer = self._rows(head).join(changed_customers, "customer_ref", "left_semi")
-        affected = (
-            new("orders")
-            .select("order_id")
-            .union(new("lines").select("order_id"))
-            .union(by_customer.select("order_id"))
-            .filter(F.col("order_id").isNotNull())
-            .distinct()
-        )
-        orders = log("orders").join(affected, "order_id", "left_semi")
-        lines = log("lines").join(affected, "order_id", "left_semi")
+        affected = keep(self._affected(head, version))
+        # The keys of a small batch turn each log into a single pass without a shuffle.
+        wanted = F.broadcast(affected) if affected.count() <= BROADCAST_RECORDS else affected
+        orders, lines = of_affected("orders"), of_affected("lines")
         named = orders.select("customer_ref").distinct()
         customers = log("customers").join(named, "customer_ref", "left_semi")
         fresh = enriched_from_logs(orders, customers, lines).withColumn("deleted", F.lit(False))
@@ -99,16 +93,35 @@ class EnrichedView:
             .drop("affected_id")
         )
 
+    def _affected(self, head: Head, version: int) -> DataFrame:
+        """Orders with an event of their own, a line event, or a changed customer.
+
+        An order keeps the customer its last event names, so the view as it stood
+        tells which orders a changed customer appears in.
+        """
+
+        def new(topic: str) -> DataFrame:
+            return self.tables.log(topic, head, through=version).filter(F.col(VERSION) == version)
+
+        changed_customers = new("customers").select("customer_ref").distinct()
+        by_customer = self._rows(head).join(changed_customers, "customer_ref", "left_semi")
+        return (
+            new("orders")
+            .select("order_id")
+            .union(new("lines").select("order_id"))
+            .union(by_customer.select("order_id"))
+            .filter(F.col("order_id").isNotNull())
+            .distinct()
+        )
+
     def _rows(self, head: Head) -> DataFrame:
-        log = self.tables.log("view", head)
-        newest = log.groupBy("order_key").agg(F.max(VERSION).alias(VERSION))
-        current = log.join(newest, ["order_key", VERSION], "left_semi")
-        return current.filter(~F.col("deleted")).drop("deleted", VERSION)
+        rows = self.tables.current("view", ["order_key"], head)
+        return rows.filter(~F.col("deleted")).drop("deleted")
 
     def current(self) -> DataFrame:
         """The view at the newest version."""
         return self._rows(self.tables.head())
 
     def changes(self) -> DataFrame:
-        """Every row the view ever emitted, tombstones included."""
+        """The rows the view emitted since the last fold, tombstones included."""
         return self.tables.log("view", self.tables.head())

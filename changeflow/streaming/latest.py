@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.latest import latest
-from changeflow.streaming.tables import VERSION, TableSet
+from changeflow.streaming.tables import FOLD_EVERY, TableSet
 
 
 class LatestTable:
@@ -22,9 +22,16 @@ class LatestTable:
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, event: T.StructType, key: str, columns: Sequence[str]
+        self,
+        spark: SparkSession,
+        root: str,
+        event: T.StructType,
+        key: str,
+        columns: Sequence[str],
+        fold_every: int = FOLD_EVERY,
     ) -> None:
         self.key = key
+        self.fold_every = fold_every
         self.columns = list(columns)
         state = T.StructType([event[name] for name in (key, *columns, "op_type")])
         self.tables = TableSet(spark, root, {"state": state})
@@ -51,19 +58,14 @@ class LatestTable:
         head = self.tables.head()
         if not head.holds(source, batch_id):
             self.tables.write("state", changes, head.version + 1)
-            self.tables.commit(head, source, batch_id)
+            standing = F.col("op_type") != "D"
+            folded = self.tables.fold("state", [self.key], standing, head, self.fold_every)
+            self.tables.commit(head, source, batch_id, folded)
 
     def changes(self) -> DataFrame:
-        """The changelog so far: every emitted row with its ``commit_version``."""
+        """The changelog since the last fold, with the ``commit_version`` of each row."""
         return self.tables.log("state", self.tables.head())
 
     def current(self) -> DataFrame:
         """The live keys: last change per key, deletes removed."""
-        payload = [*self.columns, "op_type"]
-        return (
-            self.changes()
-            .groupBy(self.key)
-            .agg(F.max(F.struct(VERSION, *payload)).alias("last"))
-            .select(self.key, *[f"last.{c}" for c in payload])
-            .filter(F.col("op_type") != "D")
-        )
+        return self.tables.current("state", [self.key]).filter(F.col("op_type") != "D")

@@ -11,24 +11,28 @@ batch is visible in all tables or in none:
 The manifest is created by a rename that refuses an existing target, so of two writers
 one fails. Object stores without such a rename need a committer that offers one.
 
-State tables are logs of changed keys merged on read; the sink folds a long log into a
-base now and then, so a batch costs what it changes, not what the table holds.
+State tables are logs of changed keys merged on read. A long log is folded into a base
+now and then, so a batch costs what it changes, not what the table holds.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "commit_version"
 
+#: Versions after which the log of a state table is folded into a base.
+FOLD_EVERY = 100
+
 #: Manifests kept behind the newest one, for readers that pinned an older version.
 KEPT_MANIFESTS = 50
 
@@ -104,11 +108,6 @@ class TableSet:
         for write in writes:
             write.result()
 
-    def write_base(self, name: str, rows: DataFrame, through: int) -> None:
-        """Write the state of a table after version ``through``."""
-        path = f"{self.root}/{name}/base/{VERSION}={through}"
-        rows.select(*self.tables[name].names).write.mode("overwrite").parquet(path)
-
     def log(self, name: str, head: Head, through: int | None = None) -> DataFrame:
         """Rows written after the base, with their ``commit_version``.
 
@@ -128,6 +127,33 @@ class TableSet:
         head = head or self.head()
         return self.base(name, head).unionByName(self.log(name, head).drop(VERSION))
 
+    def current(self, name: str, keys: Sequence[str], head: Head | None = None) -> DataFrame:
+        """The state of a table: per key, the rows of the last version that wrote it.
+
+        A key may have several rows in a version; those that mark it as gone are
+        among them, and the caller drops them.
+        """
+        head, keys = head or self.head(), list(keys)
+        log = self.log(name, head)
+        newest = log.groupBy(*keys).agg(F.max(VERSION).alias(VERSION))
+        fresh = log.join(newest, [*keys, VERSION], "left_semi").drop(VERSION)
+        untouched = self.base(name, head).join(newest.select(*keys), keys, "left_anti")
+        return untouched.unionByName(fresh)
+
+    def fold(
+        self, name: str, keys: Sequence[str], standing: Column, head: Head, every: int
+    ) -> dict[str, int]:
+        """Fold a log of ``every`` versions or more into a base, as of ``head``.
+
+        Returns what the next commit has to record; until then nobody reads it.
+        """
+        if head.version - head.bases.get(name, 0) < every:
+            return {}
+        path = f"{self.root}/{name}/base/{VERSION}={head.version}"
+        rows = self.current(name, keys, head).filter(standing)
+        rows.select(*self.tables[name].names).write.mode("overwrite").parquet(path)
+        return {name: head.version}
+
     def _read_versions(self, name: str, part: str) -> DataFrame:
         folder = f"{self.root}/{name}/{part}"
         schema = T.StructType([*self.tables[name].fields, T.StructField(VERSION, T.LongType())])

@@ -10,7 +10,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow import schemas
 from changeflow.operators import apply, events, resolve
 from changeflow.settings import UpsertSettings
-from changeflow.streaming.tables import VERSION, Head, TableSet
+from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
+from changeflow.streaming.tables import FOLD_EVERY, Head, TableSet
 
 #: What one change of a link looks like in the log of the links table.
 LINK_CHANGES = T.StructType([*schemas.LINKS.fields, T.StructField("op_type", T.StringType())])
@@ -32,10 +32,6 @@ WAREHOUSE = {
     "order_customer_links_history": schemas.LINKS,
 }
 
-#: A micro-batch of at most this many records is small enough to broadcast: the
-#: table definitions bound its strings, so it stays below some 60 MB.
-BROADCAST_RECORDS = 200_000
-
 Reference = Callable[[], DataFrame]
 
 
@@ -65,49 +61,13 @@ class Warehouse:
 
     def candidates(self, head: Head | None = None) -> DataFrame:
         """Per order, the candidate set of the last batch that brought one."""
-        head = head or self.tables.head()
-        log = self.tables.log("order_customer_candidates", head)
-        keys = list(apply.ORDER_KEY)
-        newest = log.groupBy(*keys).agg(F.max(VERSION).alias(VERSION))
-        fresh = log.join(newest, [*keys, VERSION], "left_semi")
-        untouched = self.tables.base("order_customer_candidates", head).join(
-            newest.select(*keys), keys, "left_anti"
-        )
-        return untouched.unionByName(fresh.drop(VERSION))
+        return self.tables.current("order_customer_candidates", apply.ORDER_KEY, head)
 
     def links(self, head: Head | None = None) -> DataFrame:
         """At most one link per order: its last change, unless that removed it."""
-        return apply.standing_links(self._last_links(head or self.tables.head()))
-
-    def _last_links(self, head: Head) -> DataFrame:
-        keys = list(apply.ORDER_KEY)
-        log = self.tables.log("order_customer_links", head)
-        payload = [c for c in LINK_CHANGES.names if c not in keys]
-        newest = (
-            log.groupBy(*keys)
-            .agg(F.max(F.struct(VERSION, *payload)).alias("last"))
-            .select(*keys, *[f"last.{c}" for c in payload])
-        )
-        untouched = self.tables.base("order_customer_links", head).join(
-            newest.select(*keys), keys, "left_anti"
+        return apply.standing_links(
+            self.tables.current("order_customer_links", apply.ORDER_KEY, head)
         )
-        return untouched.unionByName(newest)
-
-
-class _Kept:
-    """Keeps frames in memory or on disk for as long as a batch uses them."""
-
-    def __enter__(self) -> _Kept:
-        self._frames: list[DataFrame] = []
-        return self
-
-    def __call__(self, frame: DataFrame) -> DataFrame:
-        self._frames.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
-        return frame
-
-    def __exit__(self, *_) -> None:
-        for frame in self._frames:
-            frame.unpersist()
 
 
 class UpsertSink:
@@ -119,7 +79,7 @@ class UpsertSink:
         references: References,
         source: str,
         settings: UpsertSettings = UpsertSettings(),
-        fold_every: int = 100,
+        fold_every: int = FOLD_EVERY,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     ) -> None:
         self.warehouse = warehouse
@@ -133,7 +93,7 @@ class UpsertSink:
         head = self.warehouse.tables.head()
         if head.holds(self.source, batch_id):
             return
-        with _Kept() as keep:
+        with Kept() as keep:
             records = keep(
                 resolve.distinct_records(
                     events.normalised(events.relevant(batch)).withColumn(
@@ -147,7 +107,7 @@ class UpsertSink:
                 self._apply(records, count <= BROADCAST_RECORDS, head, batch_id, keep)
 
     def _apply(
-        self, records: DataFrame, small: bool, head: Head, batch_id: int, keep: _Kept
+        self, records: DataFrame, small: bool, head: Head, batch_id: int, keep: Kept
     ) -> None:
         applied_at = F.lit(self.clock())
         catalog = (
@@ -202,18 +162,15 @@ class UpsertSink:
         )
 
     def _fold(self, head: Head) -> dict[str, int]:
-        """Fold a long log of a state table into a base, as of the pinned head."""
-        folded: dict[str, int] = {}
-        state = {
-            "order_customer_candidates": self.warehouse.candidates,
-            "order_customer_links": lambda h: self.warehouse.links(h).withColumn(
-                "op_type", F.lit("I")
-            ),
+        standing = {
+            "order_customer_candidates": F.lit(True),
+            "order_customer_links": F.col("op_type") == "I",
         }
-        for name, current in state.items():
-            if head.version - head.bases.get(name, 0) >= self.fold_every:
-                self.warehouse.tables.write_base(name, current(head), head.version)
-                folded[name] = head.version
+        folded: dict[str, int] = {}
+        for name, rows in standing.items():
+            folded |= self.warehouse.tables.fold(
+                name, apply.ORDER_KEY, rows, head, self.fold_every
+            )
         return folded
 
 
