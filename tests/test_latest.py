@@ -1,0 +1,174 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow import schemas
+from changeflow.operators import enrich, latest
+from changeflow.streaming.enriched import _log_schema
+
+LINES = _log_schema(schemas.LINE_EVENT)
+ORDERS = _log_schema(schemas.ORDER_EVENT)
+CUSTOMERS = _log_schema(schemas.CUSTOMER_EVENT)
+
+
+def order(offset, order_id, op="I", ref=None, status=None):
+    return (0, offset, order_id, ref, None, status, None, "M", op, 0, 0)
+
+
+def orders_of(spark, *rows):
+    from test_events import events_schema
+
+    return spark.createDataFrame(list(rows), events_schema())
+
+
+def line(offset, order_id, number, quantity=1, price="1.00", op="I", product="P"):
+    return (0, offset, order_id, number, product, quantity, price and Decimal(price), op)
+
+
+def lines_of(spark, *rows):
+    return spark.createDataFrame(list(rows), LINES)
+
+
+def test_latest_value_with_and_without_nulls(spark):
+    log = orders_of(spark, order(1, "a", status="NEW", ref="r"), order(2, "a"))
+    kept = latest.latest_orders(log).first()
+    assert (kept.status, kept.customer_ref, kept.op_type) == (None, None, "I")
+    filled = latest.latest_orders(log, ignore_nulls=True).first()
+    assert (filled.status, filled.customer_ref) == ("NEW", "r")
+
+
+def test_deleted_unnamed_and_null_keys_are_dropped(spark):
+    log = orders_of(
+        spark, order(1, "a"), order(2, "a", "D"), order(3, "b", None), order(4, None),
+        order(5, "c", "D"), order(6, "c", "U"), order(7, "d", "I"), order(8, "d", None),
+    )
+    for ignore in (False, True):
+        keys = {r.order_id for r in latest.latest_orders(log, ignore_nulls=ignore).collect()}
+        assert keys == {"c", "d"}
+
+
+def test_a_revived_key_may_show_values_from_before_its_delete(spark):
+    log = orders_of(spark, order(1, "a", status="OLD"), order(2, "a", "D"), order(3, "a"))
+    assert latest.latest_orders(log, ignore_nulls=True).first().status == "OLD"
+    assert latest.latest_orders(log).first().status is None
+
+
+def test_struct_keys_with_null_fields_stay(spark):
+    log = lines_of(spark, line(1, "a", None), line(2, "a", 1), line(3, "a", 1, quantity=5))
+    rows = latest.latest_order_lines(log).select("order_line_key.*", "quantity").collect()
+    assert {tuple(r) for r in rows} == {("a", None, 1), ("a", 1, 5)}
+
+
+def test_changelog_roll_up_counts_history_and_hides_deleted_orders(spark):
+    log = lines_of(
+        spark, line(1, "a", 1, 2, "1.50"), line(2, "a", 1, 3, "1.50"), line(3, "a", 2, None),
+        line(4, "b", 1), line(5, "b", 2, op="D"),
+    )
+    rows = latest.lines_by_order(log).collect()
+    assert [(r.order_id, len(r.lines), r.order_total) for r in rows] == [("a", 3, Decimal("7.50"))]
+    current = {r.order_id: r for r in latest.lines_by_order(log, "current").collect()}
+    assert [x.quantity for x in current["a"].lines] == [3, None]
+    assert current["a"].order_total == Decimal("4.50")
+    assert [x.line_number for x in current["b"].lines] == [1]
+
+
+def test_an_order_without_amounts_totals_zero(spark):
+    row = latest.lines_by_order(lines_of(spark, line(1, "a", 1, None))).first()
+    assert row.order_total == Decimal("0.00")
+
+
+def random_lines(count, seed=3):
+    draw = random.Random(seed)
+    return [
+        line(i, draw.choice(["hot", "hot", "hot", "cold", "gone"]), draw.randrange(40),
+             draw.randrange(1, 5), f"{draw.randrange(1, 900)}.25",
+             draw.choice(["I", "I", "D"]), f"P{i}")
+        for i in range(count)
+    ] + [line(count, "hot", 1), line(count + 1, "cold", 1), line(count + 2, "gone", 1, op="D")]
+
+
+@pytest.mark.parametrize("mode", ["changelog", "current"])
+def test_large_orders_are_split_but_whole(spark, mode):
+    log = lines_of(spark, *random_lines(300))
+    whole = {
+        r.order_id: r for r in latest.lines_by_order(log, mode).collect()
+    }
+    parts = defaultdict(list)
+    for row in latest.lines_by_order(log, mode, max_elements=16).collect():
+        parts[row.order_id].append(row)
+    assert set(parts) == set(whole)
+    assert len(parts["hot"]) > 1
+    for order_id, rows in parts.items():
+        rows.sort(key=lambda r: r.lines_part)
+        assert all(len(r.lines) <= 16 for r in rows)
+        assert [x for r in rows for x in r.lines] == whole[order_id].lines
+        assert {r.order_total for r in rows} == {whole[order_id].order_total}
+
+
+def test_references_are_distinct_trimmed_and_split_only_when_many(spark):
+    rows = [order(i, "hot", ref=f" R{i % 50}\t") for i in range(200)]
+    rows += [order(500, "one", ref="x"), order(501, "one", ref=" x"), order(502, "one"),
+             order(503, "none"), order(504, "gone", ref="y"), order(505, "gone", "D", ref="y")]
+    log = orders_of(spark, *rows)
+    whole = {r.order_id: r.customer_refs for r in latest.order_customer_refs(log).collect()}
+    assert whole == {"hot": sorted(f"R{i}" for i in range(50)), "one": ["x"], "none": []}
+    parts = [r for r in latest.order_customer_refs(log, 10).collect() if r.order_id == "hot"]
+    assert len(parts) > 1
+    assert sorted(x for r in parts for x in r.customer_refs) == whole["hot"]
+
+
+def test_enriched_view_joins_by_reference_and_key(spark):
+    orders = orders_of(spark, order(1, "a", ref="C"), order(2, "b"), order(3, "c", ref="gone"))
+    customers = spark.createDataFrame(
+        [(0, 1, "C", "Ann", "ES", "S", "I"), (0, 2, "gone", "Bob", "ES", "S", "D")], CUSTOMERS
+    )
+    lines = lines_of(spark, line(1, "a", 1, 2, "3.00"))
+    rows = {
+        r.order_id: r for r in enrich.enriched_from_logs(orders, customers, lines).collect()
+    }
+    assert rows["a"].order_key == "a" and rows["a"].customer_name == "Ann"
+    assert rows["a"].order_total == Decimal("6.00") and rows["a"].customer_refs == ["C"]
+    assert rows["b"].customer_name is None and rows["b"].lines is None
+    assert rows["c"].customer_name is None and rows["c"].customer_refs == ["gone"]
+    assert list(rows["a"].asDict()) == schemas.ENRICHED.names
+
+
+def test_skewed_customer_is_split_by_the_adaptive_join(spark):
+    """A customer on most orders: its partition of the join is read by several tasks."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        base = spark.range(0, 60000, 1, 8)
+        hot = F.when(F.col("id") % 10 < 8, F.lit("HOT")).otherwise(
+            F.concat(F.lit("C"), (F.col("id") % 500).cast("string"))
+        )
+        orders = base.select(
+            F.concat(F.lit("O"), F.col("id").cast("string")).alias("order_id"),
+            hot.alias("customer_ref"), F.md5(F.col("id").cast("string")).alias("status"),
+        )
+        customers = spark.range(500).select(
+            F.concat(F.lit("C"), F.col("id").cast("string")).alias("customer_ref"),
+            F.lit("n").alias("customer_name"),
+        ).union(spark.range(1).select(F.lit("HOT"), F.lit("hot")))
+        joined = orders.join(customers, "customer_ref", "left")
+        assert joined.filter(F.col("customer_name") == "hot").count() == 48000
+        rows = joined.agg(F.count("*"), F.count("customer_name"), F.max("status"))
+        assert tuple(rows.collect()[0])[:2] == (60000, 60000)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
