@@ -49,7 +49,13 @@ def random_log(seed: int, size: int = 120) -> list[dict]:
 
 
 @pytest.fixture(scope="module")
-def references(spark):
+def references(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("references")
+
+    def stored(name, frame):
+        frame.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
     when = "2025-01-01 00:00:00"
     orders = spark.createDataFrame(ORDERS, "id string, source_id int").select(
         "id", F.lit(None).cast("string").alias("external_order_id"), "source_id",
@@ -69,7 +75,7 @@ def references(spark):
         F.lit(when).cast("timestamp").alias("created_at"),
         F.lit(when).cast("timestamp").alias("updated_at"),
     )
-    return orders, sources, customers
+    return stored("orders", orders), stored("sources", sources), stored("customers", customers)
 
 
 def modelled(log: list[dict], batch_size: int) -> model.Model:
