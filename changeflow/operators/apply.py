@@ -16,6 +16,7 @@ from changeflow.functions.values import ACTION_INSERT, audit_action, op_rank
 from changeflow.operators.resolve import (
     POSITION_COLUMNS,
     missing_customers,
+    one_per_reference,
     resolved,
     staged,
     with_missing,
@@ -107,6 +108,10 @@ def last_operations(stage: DataFrame, precision: str = "second") -> DataFrame:
         .agg(F.max(order).alias("last"))
         .select(*ORDER_KEY, "last.customer_id", "last.op_type", *[f"last.{c}" for c in payload])
     )
+    return _link_rows(rows)
+
+
+def _link_rows(rows: DataFrame) -> DataFrame:
     return (
         rows.withColumn("audit_action", F.lit(ACTION_INSERT))
         .withColumn("audit_action_at", F.col("updated_at"))
@@ -146,8 +151,10 @@ def links_from_log(
 ) -> DataFrame:
     """Links after replaying every batch of a log in turn.
 
-    All events of an order reach the same order rows, so the last event of an
-    order id decides, and only that one needs resolving.
+    All events of an order reach the same order rows, so the last event of an order
+    id decides, and only that one needs resolving. Of several catalog rows for its
+    reference the greatest identifier stands, as it would be replayed last; picking
+    it beforehand leaves one row per order, with nothing to reduce after the joins.
     """
     positioned = records.filter(F.col("order_id").isNotNull()).select(
         "*", F.struct(*POSITION_COLUMNS).alias("position")
@@ -160,21 +167,16 @@ def links_from_log(
                 "last"
             )
         )
-        .select(
-            "order_id",
-            "last.batch_no",
-            "last.op_type",
-            "last.customer_ref",
-            "last.op_timestamp",
-            F.struct(*[F.col(f"last.{c}") for c in POSITION_COLUMNS]).alias("position"),
-        )
+        .select("order_id", "last.batch_no", "last.op_type", "last.customer_ref", "last.op_timestamp")
         .filter(F.col("op_type") == "I")
     )
     catalog = with_missing(
         customers, missing_customers(last_event, customers, settings, applied_at)
     )
-    stage = resolved(last_event, orders, sources, catalog, settings, applied_at)
-    return standing_links(last_operations(stage, precision))
+    stage = resolved(
+        last_event, orders, sources, one_per_reference(catalog), settings, applied_at
+    )
+    return standing_links(_link_rows(stage))
 
 
 def last_insert_batches(records: DataFrame) -> DataFrame:

@@ -68,6 +68,15 @@ def rejected(events: DataFrame, decode_status: str | None = None) -> DataFrame:
     )
 
 
+def observed(events: DataFrame, name: str = "events") -> DataFrame:
+    """Count events and skipped ones while they flow by.
+
+    The counts appear in the query progress (``observedMetrics``) of a stream.
+    """
+    skipped = F.count(F.when(reject_reason().isNotNull(), True))
+    return events.observe(name, F.count("*").alias("read"), skipped.alias("skipped"))
+
+
 def normalised(events: DataFrame) -> DataFrame:
     """Project relevant events to the record the upsert works on.
 

@@ -126,6 +126,15 @@ def with_missing(customers: DataFrame, missing: DataFrame) -> DataFrame:
     return customers.unionByName(missing.select(*customers.columns))
 
 
+def one_per_reference(customers: DataFrame) -> DataFrame:
+    """Of the rows of a source that share a reference, the one with the greatest id."""
+    return (
+        customers.groupBy("source_id", "external_customer_id")
+        .agg(F.max(F.struct("id", "source_name")).alias("row"))
+        .select("source_id", "external_customer_id", "row.id", "row.source_name")
+    )
+
+
 def staged(
     records: DataFrame,
     orders: DataFrame,

@@ -1,6 +1,6 @@
 """Queries that run the streaming jobs over topics landed from the tables.
 
-Each topic arrives in four parts; the job is restarted from its checkpoint for every
+Each topic arrives in parts; the job is restarted from its checkpoint for every
 part, so the cut points of the micro-batches are known and recovery is exercised.
 Folders live below the shared checkpoint folder.
 """
@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow import schemas
-from changeflow.operators.latest import ORDER_COLUMNS
+from changeflow.operators.latest import CUSTOMER_COLUMNS, LINE_COLUMNS, ORDER_COLUMNS
 from changeflow.plans.inputs import Inputs, shown, SETTINGS
 from changeflow.plans.oracle import by_parts, query
 from changeflow.plans.upsert import customer_rows, flush_sql, flush_tables
 from changeflow.session import scratch_dir
 from changeflow.sources.landing import land, read_landing
-from changeflow.streaming.enriched import EnrichedView, mixed_topics
+from changeflow.streaming.enriched import TOPICS, EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
 from changeflow.streaming.upsert import References, UpsertSink, Warehouse, start_upsert
 
-PARTS = 4
+PARTS = 3
 
 
 def _run(query) -> None:
@@ -58,23 +59,50 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def latest_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest-state table after its changelog has been applied part by part."""
-    inputs = Inputs(spark, sf_dir)
+def _latest_stream(
+    spark: SparkSession, log: DataFrame, event: T.StructType, keys: list[str], columns: list[str]
+) -> DataFrame:
+    """A latest-state table after the parts of its topic have arrived one by one."""
     root = scratch_dir(spark, "latest")
-    table = LatestTable(
-        spark, f"{root}/table", schemas.ORDER_EVENT, "order_id", ORDER_COLUMNS, fold_every=2
-    )
-    log = inputs.order_log.withColumn("part", inputs.part_of(PARTS))
+    table = LatestTable(spark, f"{root}/table", event, keys, columns, fold_every=2)
     for part in range(PARTS):
         land(log.filter(F.col("part") == part).drop("part"), f"{root}/topic")
-        stream = read_landing(spark, f"{root}/topic", schemas.ORDER_EVENT)
+        stream = read_landing(spark, f"{root}/topic", event)
         _run(table.start(stream, f"{root}/checkpoint"))
     return table.current()
 
 
+def latest_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = Inputs(spark, sf_dir)
+    log = inputs.order_log.withColumn("part", inputs.part_of(PARTS))
+    return _latest_stream(spark, log, schemas.ORDER_EVENT, ["order_id"], ORDER_COLUMNS)
+
+
+def latest_customers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = Inputs(spark, sf_dir)
+    log = inputs.customer_log
+    last = log.agg(F.max("kafka_offset")).first()[0]
+    log = log.withColumn("part", F.expr(f"({PARTS} * kafka_offset) div {last + 1}"))
+    state = _latest_stream(
+        spark, log, schemas.CUSTOMER_EVENT, ["customer_ref"], CUSTOMER_COLUMNS
+    )
+    return state.drop("op_type")
+
+
+def latest_order_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines arrive in the order they ship, three years at a time."""
+    inputs = Inputs(spark, sf_dir)
+    day = F.date_add(F.to_date(F.lit("1970-01-01")), F.expr("cast(kafka_offset div 100000000000000 as int)"))
+    part = F.least(F.floor((F.year(day) - 1995) / 3), F.lit(PARTS - 1))
+    log = inputs.line_log.withColumn("part", part)
+    state = _latest_stream(
+        spark, log, schemas.LINE_EVENT, ["order_id", "line_number"], LINE_COLUMNS
+    )
+    return shown(state.drop("op_type"))
+
+
 def orders_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enriched view after orders, lines and customers have arrived one by one.
+    """The enriched view after its topics have arrived one by one.
 
     Orders come in two parts around the lines and customers, so every side changes
     under rows the view already holds.
@@ -84,22 +112,17 @@ def orders_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = EnrichedView(spark, f"{root}/view", fold_every=2)
     orders = inputs.order_log.withColumn("part", inputs.part_of(2))
     arrivals = [
-        ("orders", orders.filter(F.col("part") == 0).drop("part")),
-        ("lines", inputs.line_log),
-        ("customers", inputs.customer_log),
-        ("orders", orders.filter(F.col("part") == 1).drop("part")),
+        {"orders": orders.filter(F.col("part") == 0).drop("part")},
+        {"lines": inputs.line_log, "customers": inputs.customer_log},
+        {"orders": orders.filter(F.col("part") == 1).drop("part")},
     ]
-    events = {
-        "orders": schemas.ORDER_EVENT,
-        "lines": schemas.LINE_EVENT,
-        "customers": schemas.CUSTOMER_EVENT,
-    }
-    for name, event in events.items():
+    for name, event in TOPICS.items():
         land(_none(spark, event), f"{root}/{name}")
-    for topic, rows in arrivals:
-        land(rows, f"{root}/{topic}")
+    for arrival in arrivals:
+        for name, rows in arrival.items():
+            land(rows, f"{root}/{name}")
         stream = mixed_topics(
-            {name: read_landing(spark, f"{root}/{name}", event) for name, event in events.items()}
+            {name: read_landing(spark, f"{root}/{name}", event) for name, event in TOPICS.items()}
         )
         _run(view.start(stream, f"{root}/checkpoint"))
     return shown(view.current())
@@ -112,10 +135,20 @@ def _none(spark: SparkSession, event) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (stream_upsert, latest_orders_stream, orders_enriched_stream)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        stream_upsert, latest_orders_stream, latest_customers_stream, latest_order_lines_stream,
+        orders_enriched_stream,
+    )
+}
 
 ORACLE = {
     "stream_upsert": query(flush_sql(), cut=by_parts(PARTS)),
     "latest_orders_stream": query("SELECT * FROM latest_orders"),
+    "latest_customers_stream": query("SELECT * FROM latest_customers"),
+    "latest_order_lines_stream": query("""
+        SELECT order_id, line_number, product_ref, quantity, CAST(unit_price AS VARCHAR) AS unit_price
+        FROM latest_lines"""),
     "orders_enriched_stream": query("SELECT * FROM enriched"),
 }

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.functions.values import ACTION_INSERT
 from changeflow.operators import apply, resolve
 from changeflow.plans.inputs import Inputs, applied_at, shown, SETTINGS
 from changeflow.plans.oracle import by_parts, instant_text, query
@@ -123,7 +124,8 @@ def flush_tables(tables: dict[str, DataFrame]) -> DataFrame:
 
     def view(name: str, rows: DataFrame) -> DataFrame:
         kinds = {"order_source_id": "int", "customer_source_id": "int", "link_score": "int"}
-        rows = rows.withColumn("table_name", F.lit(name))
+        if "table_name" not in rows.columns:
+            rows = rows.withColumn("table_name", F.lit(name))
         return rows.select(
             *[
                 F.col(c) if c in rows.columns else F.lit(None).cast(kinds.get(c, "string")).alias(c)
@@ -152,12 +154,20 @@ def _flushed(inputs: Inputs, records: DataFrame) -> dict[str, DataFrame]:
     return {
         "customers": customer_rows(missing),
         "candidates": apply.candidates_from_log(records, *args),
-        "candidates_history": apply.candidate_rows(stage),
+        "histories": _histories(stage),
         "links": apply.links_from_log(records, *args),
-        "links_history": apply.link_history_rows(stage),
     }
 
 
+def _histories(stage: DataFrame) -> DataFrame:
+    """Both histories from one pass over the stage: an insert is a row of each."""
+    both = F.array(F.lit("links_history"), F.lit("candidates_history"))
+    one = F.array(F.lit("links_history"))
+    rows = apply.link_history_rows(stage)
+    insert = F.col("audit_action") == ACTION_INSERT
+    return rows.withColumn("table_name", F.explode(F.when(insert, both).otherwise(one)))
+
+
 def flush_end_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five tables after every batch of the log."""
     inputs = Inputs(spark, sf_dir)
@@ -179,17 +189,13 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = inputs.customers.select("id").unionByName(
         tables["customers"].select(F.col("customer_id").alias("id"))
     )
-    counted = {
-        "links": tables["links"],
-        "links_history": tables["links_history"],
-        "candidates": tables["candidates"],
-        "customers": catalog,
-    }
-    counts = [
-        rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name, rows in counted.items()
+    rows = [
+        tables["links"].select(F.lit("links").alias("table_name")),
+        tables["histories"].filter(F.col("table_name") == "links_history").select("table_name"),
+        tables["candidates"].select(F.lit("candidates").alias("table_name")),
+        catalog.select(F.lit("customers").alias("table_name")),
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name").agg(F.count("*").alias("n"))
 
 
 def cdc_republish(spark: SparkSession, sf_dir: str) -> DataFrame:

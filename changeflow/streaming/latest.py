@@ -12,6 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators.latest import latest
 from changeflow.streaming.tables import FOLD_EVERY, TableSet
 
+#: Keeps the state of a key on disk rather than in the memory of an executor.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 class LatestTable:
     """A table with one row per live key, maintained from a changelog.
@@ -26,25 +29,29 @@ class LatestTable:
         spark: SparkSession,
         root: str,
         event: T.StructType,
-        key: str,
+        keys: Sequence[str],
         columns: Sequence[str],
         fold_every: int = FOLD_EVERY,
     ) -> None:
-        self.key = key
-        self.fold_every = fold_every
+        self.spark = spark
+        self.keys = list(keys)
         self.columns = list(columns)
-        state = T.StructType([event[name] for name in (key, *columns, "op_type")])
+        self.fold_every = fold_every
+        state = T.StructType([event[name] for name in (*keys, *columns, "op_type")])
         self.tables = TableSet(spark, root, {"state": state})
 
     def changelog(self, stream: DataFrame, ignore_nulls: bool = False) -> DataFrame:
         """The running latest state of the keys each micro-batch touches."""
-        return latest(
-            stream, self.key, self.columns, ignore_nulls=ignore_nulls, keep_deleted=True
-        )
+        options = {"ignore_nulls": ignore_nulls, "keep_deleted": True}
+        if len(self.keys) == 1:
+            return latest(stream, self.keys[0], self.columns, **options)
+        state = latest(stream, F.struct(*self.keys), self.columns, key_name="key", **options)
+        return state.select("key.*", *self.columns, "op_type")
 
     def start(
         self, stream: DataFrame, checkpoint: str, ignore_nulls: bool = False, **trigger
     ) -> StreamingQuery:
+        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         writer = (
             self.changelog(stream, ignore_nulls)
             .writeStream.outputMode("update")
@@ -59,7 +66,7 @@ class LatestTable:
         if not head.holds(source, batch_id):
             self.tables.write("state", changes, head.version + 1)
             standing = F.col("op_type") != "D"
-            folded = self.tables.fold("state", [self.key], standing, head, self.fold_every)
+            folded = self.tables.fold("state", self.keys, standing, head, self.fold_every)
             self.tables.commit(head, source, batch_id, folded)
 
     def changes(self) -> DataFrame:
@@ -68,4 +75,4 @@ class LatestTable:
 
     def current(self) -> DataFrame:
         """The live keys: last change per key, deletes removed."""
-        return self.tables.current("state", [self.key]).filter(F.col("op_type") != "D")
+        return self.tables.current("state", self.keys).filter(F.col("op_type") != "D")

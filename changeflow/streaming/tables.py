@@ -21,6 +21,7 @@ import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
@@ -37,6 +38,11 @@ FOLD_EVERY = 100
 KEPT_MANIFESTS = 50
 
 
+def _same(columns: Sequence[str]) -> Column:
+    """A column equals its new value; a null equals a null, as part of a key may be one."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in columns])
+
+
 class CommitConflict(RuntimeError):
     """Another writer created this version first."""
 
@@ -89,6 +95,8 @@ class TableSet:
         self._create(self._manifest(new.version), text)
         for old in self._versions()[: -KEPT_MANIFESTS - 1]:
             self._files().delete(self._path(self._manifest(old)), False)
+        for name in bases or {}:
+            self._discard(name, head.bases.get(name, 0))
         return new
 
     # --- tables ---------------------------------------------------------------------
@@ -135,10 +143,12 @@ class TableSet:
         """
         head, keys = head or self.head(), list(keys)
         log = self.log(name, head)
-        newest = log.groupBy(*keys).agg(F.max(VERSION).alias(VERSION))
-        fresh = log.join(newest, [*keys, VERSION], "left_semi").drop(VERSION)
-        untouched = self.base(name, head).join(newest.select(*keys), keys, "left_anti")
-        return untouched.unionByName(fresh)
+        newest = log.groupBy(*[F.col(k).alias(f"new_{k}") for k in keys]).agg(
+            F.max(VERSION).alias(f"new_{VERSION}")
+        )
+        fresh = log.join(newest, _same([*keys, VERSION]), "left_semi")
+        untouched = self.base(name, head).join(newest, _same(keys), "left_anti")
+        return untouched.unionByName(fresh.drop(VERSION))
 
     def fold(
         self, name: str, keys: Sequence[str], standing: Column, head: Head, every: int
@@ -161,6 +171,17 @@ class TableSet:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(folder)
 
+    def _discard(self, name: str, through: int) -> None:
+        """Remove what the base before the newest one already made superfluous.
+
+        One fold is kept behind, for readers that pinned a version before the last.
+        """
+        for part, last in (("log", through), ("base", through - 1)):
+            folder = f"{self.root}/{name}/{part}"
+            for entry in self._names(folder):
+                if entry.startswith(f"{VERSION}=") and int(entry.split("=")[1]) <= last:
+                    self._files().delete(self._path(f"{folder}/{entry}"), True)
+
     # --- the file system the tables live on -------------------------------------------
 
     def _jvm(self):
@@ -182,12 +203,15 @@ class TableSet:
         return f"{self.root}/_commits/{version:012d}.json"
 
     def _versions(self) -> list[int]:
-        files, folder = self._files(), self._path(f"{self.root}/_commits")
-        if not files.util().exists(folder):
-            return []
-        names = [status.getPath().getName() for status in files.util().listStatus(folder)]
+        names = self._names(f"{self.root}/_commits")
         return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit())
 
+    def _names(self, folder: str) -> list[str]:
+        files, path = self._files(), self._path(folder)
+        if not files.util().exists(path):
+            return []
+        return [status.getPath().getName() for status in files.util().listStatus(path)]
+
     def _read(self, path: str) -> str:
         stream = self._files().open(self._path(path))
         try:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -42,6 +42,20 @@ class References:
     orders: Reference
     sources: Reference
     customers: Reference
+    #: Buckets the orders are partitioned by (see ``bucketed``), or zero.
+    order_buckets: int = 0
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def bucketed(orders: DataFrame, buckets: int) -> DataFrame:
+    """Orders with the column to partition them by, so a batch reads few of them.
+
+    Write the result with ``partitionBy("id_bucket")``.
+    """
+    return orders.withColumn("id_bucket", bucket_of(F.col("id"), buckets)).repartition("id_bucket")
 
 
 class Warehouse:
@@ -71,7 +85,11 @@ class Warehouse:
 
 
 class UpsertSink:
-    """Applies one micro-batch of decoded events; pass it to ``foreachBatch``."""
+    """Applies one micro-batch of decoded events; pass it to ``foreachBatch``.
+
+    ``publish`` receives the applied rows once they are committed; a crash in between
+    means they are not published again.
+    """
 
     def __init__(
         self,
@@ -81,6 +99,7 @@ class UpsertSink:
         settings: UpsertSettings = UpsertSettings(),
         fold_every: int = FOLD_EVERY,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+        publish: Callable[[DataFrame], None] | None = None,
     ) -> None:
         self.warehouse = warehouse
         self.references = references
@@ -88,6 +107,7 @@ class UpsertSink:
         self.settings = settings
         self.fold_every = fold_every
         self.clock = clock
+        self.publish = publish
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         head = self.warehouse.tables.head()
@@ -124,7 +144,7 @@ class UpsertSink:
         stage = keep(
             resolve.resolved(
                 F.broadcast(records) if small else records,
-                self.references.orders(),
+                self._orders(records),
                 self.references.sources(),
                 resolve.with_missing(catalog, missing),
                 self.settings,
@@ -142,6 +162,17 @@ class UpsertSink:
         stage.count()
         self.warehouse.tables.write_all(rows, head.version + 1)
         self.warehouse.tables.commit(head, self.source, batch_id, self._fold(head))
+        if self.publish:
+            self.publish(rows["order_customer_links_history"])
+
+    def _orders(self, records: DataFrame) -> DataFrame:
+        """The orders, less the partitions no record of the batch can match."""
+        orders, buckets = self.references.orders(), self.references.order_buckets
+        if not buckets:
+            return orders
+        bucket = bucket_of(F.col("order_id"), buckets).alias("bucket")
+        touched = [row.bucket for row in records.select(bucket).distinct().collect()]
+        return orders.filter(F.col("id_bucket").isin(touched))
 
     def _named_customers(self, catalog: DataFrame, records: DataFrame) -> DataFrame:
         """Catalog rows that hold a reference of a small batch, or its identifier."""
@@ -162,15 +193,13 @@ class UpsertSink:
         )
 
     def _fold(self, head: Head) -> dict[str, int]:
-        standing = {
-            "order_customer_candidates": F.lit(True),
-            "order_customer_links": F.col("op_type") == "I",
-        }
         folded: dict[str, int] = {}
-        for name, rows in standing.items():
-            folded |= self.warehouse.tables.fold(
-                name, apply.ORDER_KEY, rows, head, self.fold_every
-            )
+        for name, (keys, standing) in {
+            "customers_backfill": (("id", "source_id"), F.lit(True)),
+            "order_customer_candidates": (apply.ORDER_KEY, F.lit(True)),
+            "order_customer_links": (apply.ORDER_KEY, F.col("op_type") == "I"),
+        }.items():
+            folded |= self.warehouse.tables.fold(name, keys, standing, head, self.fold_every)
         return folded
 
 
@@ -178,5 +207,5 @@ def start_upsert(
     stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Start the job. ``trigger`` is what ``DataStreamWriter.trigger`` takes."""
-    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = events.observed(stream).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

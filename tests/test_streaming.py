@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import model
 import pytest
 from pyspark.sql import functions as F
 from test_events import events_schema
@@ -15,7 +16,9 @@ from changeflow.sources.landing import land, read_landing
 from changeflow.streaming.enriched import EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
 from changeflow.streaming.tables import CommitConflict, Head, TableSet
-from changeflow.streaming.upsert import References, UpsertSink, Warehouse, start_upsert
+from changeflow.streaming.upsert import (
+    References, UpsertSink, Warehouse, bucketed, start_upsert,
+)
 
 __all__ = ["references"]
 
@@ -60,7 +63,7 @@ def test_batches_equal_the_row_by_row_model_across_folds(spark, references, tmp_
     for number, batch in enumerate(batches(log, 16)):
         sink(frame_of(spark, batch), number)
     assert set(warehouse.tables.head().bases) == {
-        "order_customer_candidates", "order_customer_links"
+        "customers_backfill", "order_customer_candidates", "order_customer_links"
     }
     check(warehouse, modelled(log, 16))
 
@@ -164,10 +167,61 @@ def test_a_reader_pinned_to_a_version_sees_just_that(spark, references, tmp_path
     assert links_of(warehouse.links()) == modelled(log, 20).links
 
 
+def test_bucketed_orders_are_pruned_to_the_batch(spark, references, tmp_path):
+    orders, sources, customers = references
+    path = f"{tmp_path}/orders"
+    bucketed(orders, 16).write.partitionBy("id_bucket").parquet(path)
+    stored = References(
+        lambda: spark.read.parquet(path), lambda: sources, lambda: customers, order_buckets=16
+    )
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    sink = UpsertSink(warehouse, stored, "test")
+    log = [{**e, "order_id": "O1"} for e in random_log(18, 10)]
+    sink(frame_of(spark, log), 0)
+    check(warehouse, modelled(log, 10))
+    pruned = sink._orders(frame_of(spark, log))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "id_bucket" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert pruned.count() < orders.count()
+
+
+def test_folding_discards_what_two_folds_ago_made_superfluous(spark, references, tmp_path):
+    log = random_log(19, 50)
+    warehouse, sink = job(spark, references, tmp_path, fold_every=1)
+    for number, batch in enumerate(batches(log, 10)):
+        sink(frame_of(spark, batch), number)
+    check(warehouse, modelled(log, 10))
+    kept = {p.name for p in (tmp_path / "warehouse/order_customer_links/log").iterdir()}
+    assert kept == {"commit_version=4", "commit_version=5"}
+
+
+def test_applied_rows_are_published_after_the_commit(spark, references, tmp_path):
+    published = []
+
+    def publish(rows):
+        published.append((warehouse.tables.head().version, rows.count()))
+
+    warehouse, sink = job(spark, references, tmp_path, publish=publish)
+    sink(frame_of(spark, random_log(20, 20)), 0)
+    assert published == [(1, warehouse.links_history().count())]
+
+
+def test_skipped_events_are_counted_in_the_progress(spark, references, tmp_path):
+    log = random_log(21, 30)
+    warehouse, sink = job(spark, references, tmp_path)
+    land(frame_of(spark, log), str(tmp_path / "topic"))
+    stream = read_landing(spark, str(tmp_path / "topic"), schemas.ORDER_EVENT)
+    query = start_upsert(stream, sink, str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    counts = query.lastProgress["observedMetrics"]["events"]
+    skipped = sum(not model.is_relevant(e) for e in log)
+    assert (counts["read"], counts["skipped"]) == (30, skipped)
+
+
 def test_latest_stream_emits_tombstones(spark, tmp_path):
     topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
     table = LatestTable(
-        spark, str(tmp_path / "table"), schemas.ORDER_EVENT, "order_id", ["status"], fold_every=2
+        spark, str(tmp_path / "table"), schemas.ORDER_EVENT, ["order_id"], ["status"], fold_every=2
     )
     arrivals = [
         [order(1, "a", status="NEW"), order(2, "b", status="NEW")],
