@@ -49,6 +49,13 @@ def link_history_rows(stage: DataFrame) -> DataFrame:
     )
 
 
+def last_batch_of(proposals: DataFrame) -> DataFrame:
+    """Per order, the candidate rows of its last batch."""
+    keys = [*ORDER_KEY, "batch_no"]
+    last = proposals.groupBy(*ORDER_KEY).agg(F.max("batch_no").alias("batch_no"))
+    return proposals.join(last, keys, "left_semi").select(*CANDIDATE_COLUMNS)
+
+
 def refreshed_candidates(previous: DataFrame, stage: DataFrame) -> DataFrame:
     """Step four: replace the candidate set of every order with a staged insert."""
     fresh = candidate_rows(stage).select(*CANDIDATE_COLUMNS)

@@ -7,19 +7,22 @@ Folders live below the shared checkpoint folder.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow import schemas
 from changeflow.operators.latest import CUSTOMER_COLUMNS, LINE_COLUMNS, ORDER_COLUMNS
-from changeflow.plans.inputs import Inputs, shown, SETTINGS
+from changeflow.plans.inputs import APPLIED_AT, SETTINGS, Inputs, shown
 from changeflow.plans.oracle import by_parts, query
 from changeflow.plans.upsert import customer_rows, flush_sql, flush_tables
 from changeflow.session import scratch_dir
 from changeflow.sources.landing import land, read_landing
 from changeflow.streaming.enriched import TOPICS, EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
+from changeflow.streaming.load import load_log
 from changeflow.streaming.upsert import References, UpsertSink, Warehouse, start_upsert
 
 PARTS = 3
@@ -29,25 +32,12 @@ def _run(query) -> None:
     query.awaitTermination()
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    inputs = Inputs(spark, sf_dir)
-    root = scratch_dir(spark, "upsert")
-    topic, checkpoint = f"{root}/topic", f"{root}/checkpoint"
-    warehouse = Warehouse(spark, f"{root}/warehouse")
+def _references(inputs: Inputs) -> References:
     orders, sources, customers = inputs.orders, inputs.sources, inputs.customers
-    references = References(lambda: orders, lambda: sources, lambda: customers)
-    sink = UpsertSink(warehouse, references, checkpoint, SETTINGS, fold_every=2)
-    log = inputs.order_log.withColumn("part", inputs.part_of(PARTS))
-    for part in range(PARTS):
-        land(log.filter(F.col("part") == part).drop("part"), topic)
-        stream = read_landing(spark, topic, schemas.ORDER_EVENT)
-        _run(start_upsert(stream, sink, checkpoint))
-    return warehouse
+    return References(lambda: orders, lambda: sources, lambda: customers)
 
 
-def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five tables after the log has streamed through the upsert job."""
-    warehouse = _warehouse(spark, sf_dir)
+def _tables(warehouse: Warehouse) -> DataFrame:
     return flush_tables(
         {
             "customers": customer_rows(warehouse.backfilled_customers()),
@@ -59,6 +49,30 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five tables after the log has streamed through the upsert job."""
+    inputs = Inputs(spark, sf_dir)
+    root = scratch_dir(spark, "upsert")
+    topic, checkpoint = f"{root}/topic", f"{root}/checkpoint"
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    sink = UpsertSink(warehouse, _references(inputs), checkpoint, SETTINGS, fold_every=2)
+    log = inputs.order_log.withColumn("part", inputs.part_of(PARTS))
+    for part in range(PARTS):
+        land(log.filter(F.col("part") == part).drop("part"), topic)
+        stream = read_landing(spark, topic, schemas.ORDER_EVENT)
+        _run(start_upsert(stream, sink, checkpoint))
+    return _tables(warehouse)
+
+
+def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five tables after every batch of the log was loaded in one commit."""
+    inputs = Inputs(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch_dir(spark, "load"))
+    when = datetime.fromisoformat(APPLIED_AT)
+    load_log(warehouse, _references(inputs), inputs.records(), "log", when, SETTINGS)
+    return _tables(warehouse)
+
+
 def _latest_stream(
     spark: SparkSession, log: DataFrame, event: T.StructType, keys: list[str], columns: list[str]
 ) -> DataFrame:
@@ -138,13 +152,14 @@ def _none(spark: SparkSession, event) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_upsert, latest_orders_stream, latest_customers_stream, latest_order_lines_stream,
+        stream_upsert, bulk_load, latest_orders_stream, latest_customers_stream, latest_order_lines_stream,
         orders_enriched_stream,
     )
 }
 
 ORACLE = {
     "stream_upsert": query(flush_sql(), cut=by_parts(PARTS)),
+    "bulk_load": query(flush_sql()),
     "latest_orders_stream": query("SELECT * FROM latest_orders"),
     "latest_customers_stream": query("SELECT * FROM latest_customers"),
     "latest_order_lines_stream": query("""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.values import ACTION_INSERT
 from changeflow.operators import apply, resolve
-from changeflow.plans.inputs import Inputs, applied_at, shown, SETTINGS
+from changeflow.plans.inputs import SETTINGS, Inputs, applied_at, shown
 from changeflow.plans.oracle import by_parts, instant_text, query
 from changeflow.sources import kafka
 

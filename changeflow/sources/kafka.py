@@ -101,12 +101,14 @@ def decode_avro(
 
     body = split_frame(F.col("value"))[2]
     event = from_avro(body, schema, {"mode": "PERMISSIVE"})
-    decoded = topic.withColumn("event", event)
-    status = F.when(F.col("event.order_id").isNull() & F.col("event.op_type").isNull(), UNDECODABLE)
-    return decoded.select(
-        "event.*",
-        F.coalesce(status, F.lit(DECODED)).alias("decode_status"),
-        *_position(topic),
+    # The operation of a decoded event is never null.
+    status = (
+        F.when(F.col("value").isNull(), EMPTY)
+        .when(F.col("event.op_type").isNull(), UNDECODABLE)
+        .otherwise(DECODED)
+    )
+    return topic.withColumn("event", event).select(
+        "event.*", status.alias("decode_status"), *_position(topic)
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators.events import DECODED
+from changeflow.operators.events import UNDECODABLE
 from changeflow.session import tune
 from changeflow.settings import JobSettings
 from changeflow.sources.kafka import decode_avro, publish, read_topic
@@ -25,7 +25,7 @@ def upsert_job(
     """
     root = settings.table_root
     events = decode_avro(read_topic(tune(spark), settings.topic, settings.upsert.batch_size))
-    decoded = events.filter(F.col("decode_status") == DECODED).drop("decode_status")
+    decoded = events.filter(F.col("decode_status") != UNDECODABLE).drop("decode_status")
 
     def publish_applied(rows: DataFrame) -> None:
         publish(rows, settings.topic)

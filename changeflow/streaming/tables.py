@@ -49,14 +49,15 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Head:
-    """What is visible: a version, the batches in it, and the folded bases."""
+    """What is visible: a version, the last batch of each source, the folded bases."""
 
     version: int = 0
-    applied: dict[str, int] = field(default_factory=dict)
+    #: Per source, its last batch and the version that batch was written under.
+    applied: dict[str, list[int]] = field(default_factory=dict)
     bases: dict[str, int] = field(default_factory=dict)
 
     def holds(self, source: str, batch_id: int) -> bool:
-        return self.applied.get(source, -1) >= batch_id
+        return source in self.applied and self.applied[source][0] >= batch_id
 
 
 class TableSet:
@@ -88,7 +89,7 @@ class TableSet:
         new = replace(
             head,
             version=head.version + 1,
-            applied={**head.applied, source: batch_id},
+            applied={**head.applied, source: [batch_id, head.version + 1]},
             bases={**head.bases, **(bases or {})},
         )
         text = json.dumps({"applied": new.applied, "bases": new.bases})
@@ -125,6 +126,10 @@ class TableSet:
         last = head.version if through is None else through
         return rows.filter(F.col(VERSION).between(head.bases.get(name, 0) + 1, last))
 
+    def version_rows(self, name: str, version: int) -> DataFrame:
+        """The rows one version wrote."""
+        return self._read_versions(name, "log").filter(F.col(VERSION) == version).drop(VERSION)
+
     def base(self, name: str, head: Head) -> DataFrame:
         """The folded state; empty before the first fold."""
         rows = self._read_versions(name, "base")

@@ -87,8 +87,8 @@ class Warehouse:
 class UpsertSink:
     """Applies one micro-batch of decoded events; pass it to ``foreachBatch``.
 
-    ``publish`` receives the applied rows once they are committed; a crash in between
-    means they are not published again.
+    ``publish`` receives the applied rows once they are committed. A crash in between
+    has them published when the batch comes again, so none is lost and some may repeat.
     """
 
     def __init__(
@@ -111,8 +111,18 @@ class UpsertSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         head = self.warehouse.tables.head()
-        if head.holds(self.source, batch_id):
-            return
+        if not head.holds(self.source, batch_id):
+            self._flush(batch, batch_id, head)
+        if self.publish:
+            self._publish(batch_id)
+
+    def _publish(self, batch_id: int) -> None:
+        tables = self.warehouse.tables
+        last, version = tables.head().applied.get(self.source, (None, 0))
+        if last == batch_id:
+            self.publish(tables.version_rows("order_customer_links_history", version))
+
+    def _flush(self, batch: DataFrame, batch_id: int, head: Head) -> None:
         with Kept() as keep:
             records = keep(
                 resolve.distinct_records(
@@ -162,8 +172,6 @@ class UpsertSink:
         stage.count()
         self.warehouse.tables.write_all(rows, head.version + 1)
         self.warehouse.tables.commit(head, self.source, batch_id, self._fold(head))
-        if self.publish:
-            self.publish(rows["order_customer_links_history"])
 
     def _orders(self, records: DataFrame) -> DataFrame:
         """The orders, less the partitions no record of the batch can match."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import model
 import pytest
 from pyspark.sql import functions as F
@@ -12,9 +14,11 @@ from test_upsert import (
 )
 
 from changeflow import schemas
+from changeflow.operators import events
 from changeflow.sources.landing import land, read_landing
 from changeflow.streaming.enriched import EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
+from changeflow.streaming.load import load_log
 from changeflow.streaming.tables import CommitConflict, Head, TableSet
 from changeflow.streaming.upsert import (
     References, UpsertSink, Warehouse, bucketed, start_upsert,
@@ -154,7 +158,7 @@ def test_only_one_writer_creates_a_version(spark, tmp_path):
     tables.commit(head, "a", 0)
     with pytest.raises(CommitConflict):
         tables.commit(head, "b", 0)
-    assert tables.head().applied == {"a": 0}
+    assert tables.head().applied == {"a": [0, 1]}
 
 
 def test_a_reader_pinned_to_a_version_sees_just_that(spark, references, tmp_path):
@@ -195,17 +199,41 @@ def test_folding_discards_what_two_folds_ago_made_superfluous(spark, references,
     assert kept == {"commit_version=4", "commit_version=5"}
 
 
-def test_applied_rows_are_published_after_the_commit(spark, references, tmp_path):
-    published = []
+def test_applied_rows_are_published_after_the_commit_and_again_if_that_failed(
+    spark, references, tmp_path
+):
+    published, broken = [], [True]
 
     def publish(rows):
+        if broken.pop():
+            raise RuntimeError("injected")
+        broken.append(False)
         published.append((warehouse.tables.head().version, rows.count()))
 
     warehouse, sink = job(spark, references, tmp_path, publish=publish)
+    with pytest.raises(RuntimeError, match="injected"):
+        sink(frame_of(spark, random_log(20, 20)), 0)
+    broken.append(False)
     sink(frame_of(spark, random_log(20, 20)), 0)
+    sink(frame_of(spark, []), 1)
     assert published == [(1, warehouse.links_history().count())]
 
 
+def test_loading_a_log_continues_where_the_stream_stopped(spark, references, tmp_path):
+    log = random_log(22, 60)
+    warehouse, sink = job(spark, references, tmp_path)
+    sink(frame_of(spark, log[:20]), 0)
+    rest = events.numbered_batches(
+        events.normalised(events.relevant(frame_of(spark, log[20:]))), 10
+    )
+    for _ in range(2):
+        load_log(warehouse, sink.references, rest, "rest", datetime(2026, 1, 6))
+    expected = modelled(log[:20], 20)
+    for batch in batches(log[20:], 10):
+        expected.apply(batch)
+    check(warehouse, expected)
+
+
 def test_skipped_events_are_counted_in_the_progress(spark, references, tmp_path):
     log = random_log(21, 30)
     warehouse, sink = job(spark, references, tmp_path)
