@@ -15,10 +15,10 @@ from changeflow import schemas
 from changeflow.functions.values import ACTION_INSERT, audit_action, op_rank
 from changeflow.operators.resolve import (
     POSITION_COLUMNS,
+    distinct_records,
     missing_customers,
     one_per_reference,
     resolved,
-    staged,
     with_missing,
 )
 from changeflow.settings import UpsertSettings
@@ -210,5 +210,8 @@ def candidates_from_log(
     """
     inserts = records.filter(F.col("op_type") == "I")
     current = inserts.join(last_insert_batches(records), ["order_id", "batch_no"], "left_semi")
-    stage = staged(current, orders, sources, customers, settings, applied_at)
+    # References of superseded batches do no harm here, and finding them is one pass.
+    missing = missing_customers(inserts, customers, settings, applied_at)
+    catalog = with_missing(customers, missing)
+    stage = resolved(distinct_records(current), orders, sources, catalog, settings, applied_at)
     return candidate_rows(stage).select(*CANDIDATE_COLUMNS)

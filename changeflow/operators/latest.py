@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.values import trim_controls
+from changeflow.session import stored
 
 ORDER_COLUMNS = ("customer_ref", "channel_id", "status", "event_date", "link_origin")
 LINE_COLUMNS = ("product_ref", "quantity", "unit_price")
@@ -122,57 +123,60 @@ def lines_by_order(
     An order with more than ``max_elements`` line events spans several rows, numbered
     by ``lines_part``; each repeats the total of the whole order. Parts are ranges of
     offsets (``changelog``) or of line numbers (``current``), both of which bound the
-    rows of a part, so no task ever gathers such an order whole. Where no order is
-    that large, the adaptive plan drops everything done for them.
+    rows of a part, so no task ever gathers such an order whole.
+
+    Whether there is such an order is counted first, reading the key alone; usually
+    there is none, and the lines are shuffled once, by order.
     """
     events = log.filter(F.col("order_id").isNotNull())
-    large = (
-        events.groupBy("order_id")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > max_elements)
-        .select("order_id")
-    )
     if mode == "changelog":
         lines, alive = events, _not_deleted()
         part_by, ordering = "kafka_offset", ("kafka_offset", "kafka_partition")
     elif mode == "current":
-        lines, alive = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS), F.lit(True)
-        part_by, ordering = "line_number", ()
+        lines = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS)
+        alive, part_by, ordering = F.lit(True), "line_number", ()
     else:
         raise ValueError(f"mode must be 'changelog' or 'current', not {mode!r}")
 
-    whole = (
-        lines.join(large, "order_id", "left_semi")
-        .groupBy("order_id")
-        .agg(_amount().alias("whole_total"), alive.alias("whole_alive"))
-        .withColumn("is_large", F.lit(True))
-    )
-    part = F.expr(f"cast({part_by} as bigint) div {int(max_elements)}")
-    return (
-        lines.join(whole, "order_id", "left")
-        .withColumn(
-            "lines_part",
-            F.when(F.col("is_large"), F.coalesce(part, F.lit(-1))).otherwise(F.lit(0)),
+    gathered = [
+        F.sort_array(F.collect_list(_line(*ordering))).alias("lines"),
+        _amount().alias("order_total"),
+        alive.alias("alive"),
+    ]
+    sizes = events.groupBy("order_id").agg(F.count("*").alias("n"))
+    large = sizes.filter(F.col("n") > max_elements).select("order_id")
+    # Gathering reduces nothing on the map side: shuffle the rows, not arrays.
+    if large.count() == 0:
+        orders = (
+            lines.repartition("order_id")
+            .groupBy("order_id")
+            .agg(*gathered)
+            .withColumn("lines_part", F.lit(0))
         )
-        # Gathering reduces nothing on the map side: shuffle the rows, not arrays.
-        .repartition("order_id", "lines_part")
-        .groupBy("order_id", "lines_part")
-        .agg(
-            F.sort_array(F.collect_list(_line(*ordering))).alias("lines"),
-            _amount().alias("part_total"),
-            alive.alias("part_alive"),
-            F.max("whole_total").alias("whole_total"),
-            F.max("whole_alive").alias("whole_alive"),
+    else:
+        # Stored, so that the optimizer knows how small these tables are.
+        whole = stored(
+            lines.join(stored(large), "order_id", "left_semi")
+            .groupBy("order_id")
+            .agg(_amount().alias("whole_total"), alive.alias("whole_alive"))
         )
-        .filter(F.coalesce("whole_alive", "part_alive"))
-        .select(
-            "order_id",
-            F.col("lines_part").cast("bigint").alias("lines_part"),
-            F.transform(
-                "lines", lambda x: F.struct(*[x[c].alias(c) for c in ("line_number", *LINE_COLUMNS)])
-            ).alias("lines"),
-            F.coalesce("whole_total", "part_total").alias("order_total"),
+        part = F.coalesce(F.expr(f"cast({part_by} as bigint) div {int(max_elements)}"), F.lit(-1))
+        is_large = F.col("whole_total").isNotNull()
+        orders = (
+            lines.join(whole, "order_id", "left")
+            .withColumn("lines_part", F.when(is_large, part).otherwise(F.lit(0)))
+            .repartition("order_id", "lines_part")
+            .groupBy("order_id", "lines_part")
+            .agg(*gathered, F.max("whole_total").alias("total"), F.max("whole_alive").alias("lives"))
+            .withColumn("order_total", F.coalesce("total", "order_total"))
+            .withColumn("alive", F.coalesce("lives", "alive"))
         )
+    columns = ("line_number", *LINE_COLUMNS)
+    return orders.filter("alive").select(
+        "order_id",
+        F.col("lines_part").cast("bigint").alias("lines_part"),
+        F.transform("lines", lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias("lines"),
+        "order_total",
     )
 
 

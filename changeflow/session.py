@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SESSION_CONF = {
     # Timestamps are naive UTC throughout.
@@ -48,3 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid4().hex}"
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back: lineage cut, size known."""
+    path = scratch_dir(frame.sparkSession, "stored")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -126,7 +126,7 @@ def decode_json(topic: DataFrame) -> DataFrame:
     )
     status = (
         F.when(text.isNull() | (F.trim(text).isin("null", "{}")), EMPTY)
-        .when(keys.isNull() | F.try_parse_json(text).isNull(), UNDECODABLE)
+        .when(keys.isNull(), UNDECODABLE)
         .when(~complete, MISSING_FIELD)
         .otherwise(DECODED)
     )
