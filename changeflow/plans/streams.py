@@ -123,7 +123,7 @@ def orders_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     inputs = Inputs(spark, sf_dir)
     root = scratch_dir(spark, "enriched")
-    view = EnrichedView(spark, f"{root}/view", fold_every=2)
+    view = EnrichedView(spark, f"{root}/view", fold_every=2, buckets=16)
     orders = inputs.order_log.withColumn("part", inputs.part_of(2))
     arrivals = [
         {"orders": orders.filter(F.col("part") == 0).drop("part")},

@@ -26,6 +26,13 @@ TOPICS = {
 }
 
 
+#: What the events of a topic are looked up by.
+LOG_KEYS = {"orders": "order_id", "lines": "order_id", "customers": "customer_ref"}
+
+#: Buckets of the folded logs: enough that the orders of a batch touch few of them.
+BUCKETS = 1024
+
+
 def _log_schema(event: T.StructType) -> T.StructType:
     return T.StructType(schemas.POSITION.fields + event.fields)
 
@@ -40,12 +47,17 @@ class EnrichedView:
     """The view and the change logs it is computed from."""
 
     def __init__(
-        self, spark: SparkSession, root: str, fold_every: int = FOLD_EVERY
+        self,
+        spark: SparkSession,
+        root: str,
+        fold_every: int = FOLD_EVERY,
+        buckets: int = BUCKETS,
     ) -> None:
         self.fold_every = fold_every
         view = T.StructType([*schemas.ENRICHED.fields, T.StructField("deleted", T.BooleanType())])
         logs = {name: _log_schema(event) for name, event in TOPICS.items()}
-        self.tables = TableSet(spark, root, {**logs, "view": view})
+        buckets = {name: (key, buckets) for name, key in LOG_KEYS.items()}
+        self.tables = TableSet(spark, root, {**logs, "view": view}, buckets)
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(
@@ -67,23 +79,30 @@ class EnrichedView:
         folded = self.tables.fold(
             "view", ["order_key"], ~F.col("deleted"), head, self.fold_every
         )
+        for topic in TOPICS:
+            folded |= self.tables.fold_log(topic, head, self.fold_every)
         self.tables.commit(head, source, batch_id, folded)
 
     def _recomputed(self, head: Head, version: int, keep: Kept) -> DataFrame:
         """Fresh rows, or tombstones, of the orders this version affects."""
 
-        def log(topic: str) -> DataFrame:
-            return self.tables.log(topic, head, through=version).drop(VERSION)
-
-        def of_affected(topic: str) -> DataFrame:
-            return keep(log(topic).join(wanted, "order_id", "left_semi"))
+        def log(topic: str, touched: list[int] | None) -> DataFrame:
+            recent = self.tables.log(topic, head, through=version).drop(VERSION)
+            return self.tables.base(topic, head, touched).unionByName(recent)
 
         affected = keep(self._affected(head, version))
-        # The keys of a small batch turn each log into a single pass without a shuffle.
+        # The keys of a small batch turn each log into a single pass without a shuffle,
+        # over the buckets of the folded part that hold them.
         wanted = F.broadcast(affected) if affected.count() <= BROADCAST_RECORDS else affected
-        orders, lines = of_affected("orders"), of_affected("lines")
+        touched = self.tables.touched("orders", affected)
+        orders, lines = (
+            keep(log(topic, touched).join(wanted, "order_id", "left_semi"))
+            for topic in ("orders", "lines")
+        )
         named = orders.select("customer_ref").distinct()
-        customers = log("customers").join(named, "customer_ref", "left_semi")
+        customers = log("customers", self.tables.touched("customers", named)).join(
+            named, "customer_ref", "left_semi"
+        )
         fresh = enriched_from_logs(orders, customers, lines).withColumn("deleted", F.lit(False))
         return (
             affected.withColumnRenamed("order_id", "affected_id")

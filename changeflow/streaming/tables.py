@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "commit_version"
+BUCKET = "id_bucket"
 
 #: Versions after which the log of a state table is folded into a base.
 FOLD_EVERY = 100
@@ -38,6 +39,10 @@ FOLD_EVERY = 100
 KEPT_MANIFESTS = 50
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def _same(columns: Sequence[str]) -> Column:
     """A column equals its new value; a null equals a null, as part of a key may be one."""
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in columns])
@@ -54,18 +59,34 @@ class Head:
     version: int = 0
     #: Per source, its last batch and the version that batch was written under.
     applied: dict[str, list[int]] = field(default_factory=dict)
-    bases: dict[str, int] = field(default_factory=dict)
+    #: Per table, the versions at which it was folded and whose base still counts.
+    bases: dict[str, list[int]] = field(default_factory=dict)
+
+    def folded(self, name: str) -> int:
+        """The version through which a table is folded."""
+        return self.bases[name][-1] if name in self.bases else 0
 
     def holds(self, source: str, batch_id: int) -> bool:
         return source in self.applied and self.applied[source][0] >= batch_id
 
 
 class TableSet:
-    """Tables below ``root`` that change together."""
-
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, T.StructType]) -> None:
+    """Tables below ``root`` that change together.
+
+    ``buckets`` names, for some tables, a key and the number of buckets their bases are
+    partitioned into by it, so that a few keys are found without reading the rest.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        tables: dict[str, T.StructType],
+        buckets: dict[str, tuple[str, int]] | None = None,
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or {}
         # Files do not record that a column is never null.
         self.tables = {
             name: T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
@@ -83,7 +104,7 @@ class TableSet:
         return Head(versions[-1], stored["applied"], stored["bases"])
 
     def commit(
-        self, head: Head, source: str, batch_id: int, bases: dict[str, int] | None = None
+        self, head: Head, source: str, batch_id: int, bases: dict[str, list[int]] | None = None
     ) -> Head:
         """Make version ``head.version + 1`` visible."""
         new = replace(
@@ -97,7 +118,7 @@ class TableSet:
         for old in self._versions()[: -KEPT_MANIFESTS - 1]:
             self._files().delete(self._path(self._manifest(old)), False)
         for name in bases or {}:
-            self._discard(name, head.bases.get(name, 0))
+            self._discard(name, head, new)
         return new
 
     # --- tables ---------------------------------------------------------------------
@@ -124,16 +145,29 @@ class TableSet:
         """
         rows = self._read_versions(name, "log")
         last = head.version if through is None else through
-        return rows.filter(F.col(VERSION).between(head.bases.get(name, 0) + 1, last))
+        return rows.filter(F.col(VERSION).between(head.folded(name) + 1, last))
 
     def version_rows(self, name: str, version: int) -> DataFrame:
         """The rows one version wrote."""
         return self._read_versions(name, "log").filter(F.col(VERSION) == version).drop(VERSION)
 
-    def base(self, name: str, head: Head) -> DataFrame:
-        """The folded state; empty before the first fold."""
+    def base(self, name: str, head: Head, touched: list[int] | None = None) -> DataFrame:
+        """The folded rows, of the touched buckets only where those are given."""
         rows = self._read_versions(name, "base")
-        return rows.filter(F.col(VERSION) == head.bases.get(name, 0)).drop(VERSION)
+        rows = rows.filter(F.col(VERSION).isin(head.bases.get(name, [])))
+        if touched is not None:
+            rows = rows.filter(F.col(BUCKET).isin(touched))
+        return rows.select(*self.tables[name].names)
+
+    def touched(self, name: str, keys: DataFrame) -> list[int] | None:
+        """The buckets of a table that a single column of keys falls into.
+
+        At most as many numbers as the table has buckets reach the driver.
+        """
+        if name not in self.buckets:
+            return None
+        bucket = bucket_of(F.col(keys.columns[0]), self.buckets[name][1]).alias(BUCKET)
+        return [row[BUCKET] for row in keys.select(bucket).distinct().collect()]
 
     def appended(self, name: str, head: Head | None = None) -> DataFrame:
         """All rows of an append-only table."""
@@ -157,34 +191,59 @@ class TableSet:
 
     def fold(
         self, name: str, keys: Sequence[str], standing: Column, head: Head, every: int
-    ) -> dict[str, int]:
-        """Fold a log of ``every`` versions or more into a base, as of ``head``.
+    ) -> dict[str, list[int]]:
+        """Fold a state table's log of ``every`` versions or more into a new base.
 
         Returns what the next commit has to record; until then nobody reads it.
         """
-        if head.version - head.bases.get(name, 0) < every:
+        if head.version - head.folded(name) < every:
             return {}
-        path = f"{self.root}/{name}/base/{VERSION}={head.version}"
-        rows = self.current(name, keys, head).filter(standing)
-        rows.select(*self.tables[name].names).write.mode("overwrite").parquet(path)
-        return {name: head.version}
+        self._write_base(name, self.current(name, keys, head).filter(standing), head.version)
+        return {name: [head.version]}
+
+    def fold_log(self, name: str, head: Head, every: int) -> dict[str, list[int]]:
+        """Add an append-only table's log of ``every`` versions or more to its bases."""
+        if head.version - head.folded(name) < every:
+            return {}
+        self._write_base(name, self.log(name, head), head.version)
+        return {name: [*head.bases.get(name, []), head.version]}
+
+    def _write_base(self, name: str, rows: DataFrame, version: int) -> None:
+        path = f"{self.root}/{name}/base/{VERSION}={version}"
+        rows = rows.select(*self.tables[name].names)
+        if name not in self.buckets:
+            rows.write.mode("overwrite").parquet(path)
+            return
+        key, count = self.buckets[name]
+        # Rebalancing splits the bucket of a hot key over several tasks.
+        parted = rows.withColumn(BUCKET, bucket_of(F.col(key), count)).hint("rebalance", BUCKET)
+        parted.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
     def _read_versions(self, name: str, part: str) -> DataFrame:
         folder = f"{self.root}/{name}/{part}"
-        schema = T.StructType([*self.tables[name].fields, T.StructField(VERSION, T.LongType())])
+        fields = [*self.tables[name].fields, T.StructField(VERSION, T.LongType())]
+        if part == "base" and name in self.buckets:
+            fields.append(T.StructField(BUCKET, T.IntegerType()))
         if not self._files().util().exists(self._path(folder)):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(folder)
+            # An empty range rather than an empty list: the optimizer knows its size.
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+            return self.spark.range(0).select(*nothing)
+        return self.spark.read.schema(T.StructType(fields)).parquet(folder)
 
-    def _discard(self, name: str, through: int) -> None:
+    def _discard(self, name: str, old: Head, new: Head) -> None:
         """Remove what the base before the newest one already made superfluous.
 
         One fold is kept behind, for readers that pinned a version before the last.
         """
-        for part, last in (("log", through), ("base", through - 1)):
+        kept = {*old.bases.get(name, []), *new.bases[name]}
+        superfluous = {
+            "log": lambda version: version <= old.folded(name),
+            "base": lambda version: version < new.folded(name) and version not in kept,
+        }
+        for part, test in superfluous.items():
             folder = f"{self.root}/{name}/{part}"
             for entry in self._names(folder):
-                if entry.startswith(f"{VERSION}=") and int(entry.split("=")[1]) <= last:
+                if entry.startswith(f"{VERSION}=") and test(int(entry.split("=")[1])):
                     self._files().delete(self._path(f"{folder}/{entry}"), True)
 
     # --- the file system the tables live on -------------------------------------------

@@ -19,7 +19,7 @@ from changeflow import schemas
 from changeflow.operators import apply, events, resolve
 from changeflow.settings import UpsertSettings
 from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
-from changeflow.streaming.tables import FOLD_EVERY, Head, TableSet
+from changeflow.streaming.tables import BUCKET, FOLD_EVERY, Head, TableSet, bucket_of
 
 #: What one change of a link looks like in the log of the links table.
 LINK_CHANGES = T.StructType([*schemas.LINKS.fields, T.StructField("op_type", T.StringType())])
@@ -46,16 +46,12 @@ class References:
     order_buckets: int = 0
 
 
-def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
 def bucketed(orders: DataFrame, buckets: int) -> DataFrame:
     """Orders with the column to partition them by, so a batch reads few of them.
 
     Write the result with ``partitionBy("id_bucket")``.
     """
-    return orders.withColumn("id_bucket", bucket_of(F.col("id"), buckets)).repartition("id_bucket")
+    return orders.withColumn(BUCKET, bucket_of(F.col("id"), buckets)).hint("rebalance", BUCKET)
 
 
 class Warehouse:
@@ -180,7 +176,7 @@ class UpsertSink:
             return orders
         bucket = bucket_of(F.col("order_id"), buckets).alias("bucket")
         touched = [row.bucket for row in records.select(bucket).distinct().collect()]
-        return orders.filter(F.col("id_bucket").isin(touched))
+        return orders.filter(F.col(BUCKET).isin(touched))
 
     def _named_customers(self, catalog: DataFrame, records: DataFrame) -> DataFrame:
         """Catalog rows that hold a reference of a small batch, or its identifier."""
@@ -200,8 +196,8 @@ class UpsertSink:
             .select(*catalog.columns)
         )
 
-    def _fold(self, head: Head) -> dict[str, int]:
-        folded: dict[str, int] = {}
+    def _fold(self, head: Head) -> dict[str, list[int]]:
+        folded: dict[str, list[int]] = {}
         for name, (keys, standing) in {
             "customers_backfill": (("id", "source_id"), F.lit(True)),
             "order_customer_candidates": (apply.ORDER_KEY, F.lit(True)),

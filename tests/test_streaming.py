@@ -274,7 +274,7 @@ def test_latest_stream_emits_tombstones(spark, tmp_path):
 def test_enriched_view_follows_a_change_on_any_side(spark, tmp_path):
     from test_latest import CUSTOMERS
 
-    view = EnrichedView(spark, str(tmp_path / "view"), fold_every=3)
+    view = EnrichedView(spark, str(tmp_path / "view"), fold_every=2, buckets=4)
     customers = lambda *rows: spark.createDataFrame(list(rows), CUSTOMERS)
     empty = {"orders": orders_of(spark), "lines": lines_of(spark), "customers": customers()}
 
@@ -309,6 +309,24 @@ def test_enriched_view_follows_a_change_on_any_side(spark, tmp_path):
     )
 
 
+def test_folded_logs_are_kept_whole_and_read_by_bucket(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES}, {"t": ("id", 8)})
+    for number in range(5):
+        head = tables.head()
+        rows = [(i, "s", "t", None) for i in range(number * 10, number * 10 + 10)]
+        tables.write("t", spark.createDataFrame(rows, schemas.SOURCES), head.version + 1)
+        tables.commit(head, "a", number, tables.fold_log("t", head, 2))
+    head = tables.head()
+    assert head.bases["t"] == [2, 4]
+    assert sorted(r.id for r in tables.appended("t").collect()) == list(range(50))
+    keys = spark.createDataFrame([(3,)], "id int")
+    few = tables.base("t", head, tables.touched("t", keys))
+    ids = [r.id for r in few.collect()]
+    assert 3 in ids and len(ids) < 40
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "id_bucket" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
 def test_landing_keeps_the_fixed_schema(spark, tmp_path):
     land(frame_of(spark, random_log(1, 3)), str(tmp_path / "t"))
     stream = read_landing(spark, str(tmp_path / "t"), schemas.ORDER_EVENT, max_files=1)
