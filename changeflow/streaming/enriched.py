@@ -90,7 +90,7 @@ class EnrichedView:
             recent = self.tables.log(topic, head, through=version).drop(VERSION)
             return self.tables.base(topic, head, touched).unionByName(recent)
 
-        affected = keep(self._affected(head, version))
+        affected = keep(self._affected(head, version, keep))
         # The keys of a small batch turn each log into a single pass without a shuffle,
         # over the buckets of the folded part that hold them.
         wanted = F.broadcast(affected) if affected.count() <= BROADCAST_RECORDS else affected
@@ -112,7 +112,7 @@ class EnrichedView:
             .drop("affected_id")
         )
 
-    def _affected(self, head: Head, version: int) -> DataFrame:
+    def _affected(self, head: Head, version: int, keep: Kept) -> DataFrame:
         """Orders with an event of their own, a line event, or a changed customer.
 
         An order keeps the customer its last event names, so the view as it stood
@@ -120,18 +120,15 @@ class EnrichedView:
         """
 
         def new(topic: str) -> DataFrame:
-            return self.tables.log(topic, head, through=version).filter(F.col(VERSION) == version)
-
-        changed_customers = new("customers").select("customer_ref").distinct()
-        by_customer = self._rows(head).join(changed_customers, "customer_ref", "left_semi")
-        return (
-            new("orders")
-            .select("order_id")
-            .union(new("lines").select("order_id"))
-            .union(by_customer.select("order_id"))
-            .filter(F.col("order_id").isNotNull())
-            .distinct()
-        )
+            return self.tables.version_rows(topic, version)
+
+        changed = keep(new("customers").select("customer_ref").distinct())
+        orders = new("orders").select("order_id").union(new("lines").select("order_id"))
+        if customers := changed.count():
+            named = F.broadcast(changed) if customers <= BROADCAST_RECORDS else changed
+            shown = self._rows(head).join(named, "customer_ref", "left_semi")
+            orders = orders.union(shown.select("order_id"))
+        return orders.filter(F.col("order_id").isNotNull()).distinct()
 
     def _rows(self, head: Head) -> DataFrame:
         rows = self.tables.current("view", ["order_key"], head)
