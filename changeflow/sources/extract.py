@@ -47,11 +47,19 @@ def changed_rows(
     """Every row changed since the bookmark, in one partition-parallel read.
 
     Without a bookmark the whole table is read. Deleted rows leave no trace in the
-    table and are not seen.
+    table and are not seen. ``table`` may be a JDBC relation: the bound is pushed to
+    the database, and its ``partitionColumn`` options set the parallelism.
     """
     return table if bookmark is None else table.filter(after(bookmark, updated_at, row_id))
 
 
+def changes_up_to(
+    changes: DataFrame, last: Bookmark, updated_at: str = "updated_at", row_id: str = "id"
+) -> DataFrame:
+    """The changes up to and including a bookmark."""
+    return changes.filter(~after(last, updated_at, row_id))
+
+
 def next_bookmark(
     changes: DataFrame, updated_at: str = "updated_at", row_id: str = "id"
 ) -> Bookmark | None:

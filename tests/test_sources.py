@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from changeflow import schemas
 from changeflow.settings import ConfigurationError, JobSettings, TopicSettings, UpsertSettings
 from changeflow.sources import extract, generate, kafka, seeds
+from changeflow.streaming.extraction import Extraction
 
 ROOT = {"WAREHOUSE_ROOT": "/tables"}
 
@@ -158,6 +159,33 @@ def test_extraction_continues_after_its_bookmark(spark):
         extract.topic_name("payments")
 
 
+def test_extraction_runs_resume_from_their_bookmark(spark, tmp_path):
+    days = [datetime(2026, 1, d) for d in range(1, 6)]
+    delivered, broken = [], []
+
+    def deliver(topic, rows):
+        if broken:
+            raise RuntimeError(broken.pop())
+        delivered.append((topic, sorted(r.id for r in rows.collect())))
+
+    def table(*rows):
+        return spark.createDataFrame(list(rows), "id bigint, updated_at timestamp")
+
+    job = Extraction(spark, str(tmp_path), deliver, "test", fold_every=1)
+    assert job.run("orders", table((1, days[0]), (2, days[0]))) == extract.Bookmark(days[0], 2)
+    assert job.run("orders", table((1, days[0]), (2, days[0]))) is None
+    assert job.run("customers", table((7, days[2]))) == extract.Bookmark(days[2], 7)
+    rows = table((1, days[3]), (2, days[0]), (3, days[0]))
+    broken.append("injected")
+    with pytest.raises(RuntimeError, match="injected"):
+        job.run("orders", rows)
+    assert job.run("orders", rows) == extract.Bookmark(days[3], 1)
+    assert job.bookmark("order_lines") is None
+    assert delivered == [
+        ("cdc.test.orders", [1, 2]), ("cdc.test.customers", [7]), ("cdc.test.orders", [1, 3])
+    ]
+
+
 def test_extraction_pushes_its_bound_into_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     spark.createDataFrame(
