@@ -1,7 +1,8 @@
 """Latest state per key, tombstones, and child roll-ups over a change log.
 
 All reductions are aggregates with map-side partial results. Events of a key are
-ordered by ``kafka_offset`` (then partition); the key must be the message key.
+ordered by ``kafka_offset``: the key must be the message key, so that all its events
+lie in one partition.
 """
 
 from __future__ import annotations
@@ -22,24 +23,18 @@ CUSTOMER_COLUMNS = ("customer_name", "country_code", "segment")
 MAX_ELEMENTS = 100_000
 
 
-def arrival() -> Column:
-    """Sort key of an event among the events of its key."""
-    return F.struct("kafka_offset", "kafka_partition")
-
-
 def latest_operation() -> Column:
     """Aggregate: the last operation that is not null."""
     op = F.col("op_type")
-    return F.max_by(op, F.when(op.isNotNull(), arrival()))
+    return F.max_by(op, F.when(op.isNotNull(), F.col("kafka_offset")))
 
 
 def latest(
     log: DataFrame,
-    key: str | Column,
+    keys: Sequence[str],
     columns: Sequence[str],
     *,
     ignore_nulls: bool = False,
-    key_name: str | None = None,
     keep_deleted: bool = False,
 ) -> DataFrame:
     """The last value of every column per key.
@@ -48,24 +43,23 @@ def latest(
     event erases nothing; otherwise the last event counts as it is. Keys whose last
     operation is a delete are dropped, as are keys that never named an operation;
     ``keep_deleted`` keeps both, with their ``op_type``, for a changelog.
+
+    A null key has no state; a key of several columns may have nulls among them.
     """
-    name = key_name or (key if isinstance(key, str) else "key")
-    group = F.col(key) if isinstance(key, str) else key
-    source = log.filter(F.col(key).isNotNull()) if isinstance(key, str) else log
+    source = log.filter(F.col(keys[0]).isNotNull()) if len(keys) == 1 else log
     if ignore_nulls:
         values = [
-            F.max_by(F.col(c), F.when(F.col(c).isNotNull(), arrival())).alias(c) for c in columns
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("kafka_offset"))).alias(c)
+            for c in columns
         ]
-        state = source.groupBy(group.alias(name)).agg(
-            *values, latest_operation().alias("op_type")
-        )
+        state = source.groupBy(*keys).agg(*values, latest_operation().alias("op_type"))
     else:
         # The last event carries all its columns: one aggregate instead of one each.
-        event = F.struct(arrival().alias("arrival"), *columns)
+        event = F.max(F.struct("kafka_offset", "kafka_partition", *columns)).alias("event")
         state = (
-            source.groupBy(group.alias(name))
-            .agg(F.max(event).alias("event"), latest_operation().alias("op_type"))
-            .select(name, *[f"event.{c}" for c in columns], "op_type")
+            source.groupBy(*keys)
+            .agg(event, latest_operation().alias("op_type"))
+            .select(*keys, *[f"event.{c}" for c in columns], "op_type")
         )
     return state if keep_deleted else live(state)
 
@@ -76,17 +70,19 @@ def live(state: DataFrame) -> DataFrame:
 
 
 def latest_orders(log: DataFrame, ignore_nulls: bool = False) -> DataFrame:
-    state = latest(log, "order_id", ORDER_COLUMNS, ignore_nulls=ignore_nulls, keep_deleted=True)
+    state = latest(log, ["order_id"], ORDER_COLUMNS, ignore_nulls=ignore_nulls, keep_deleted=True)
     return state.filter(F.col("op_type") != "D")
 
 
 def latest_order_lines(log: DataFrame, ignore_nulls: bool = False) -> DataFrame:
-    key = F.struct("order_id", "line_number")
-    return latest(log, key, LINE_COLUMNS, ignore_nulls=ignore_nulls, key_name="order_line_key")
+    """Live lines under one struct key."""
+    state = latest(log, ["order_id", "line_number"], LINE_COLUMNS, ignore_nulls=ignore_nulls)
+    key = F.struct("order_id", "line_number").alias("order_line_key")
+    return state.select(key, *LINE_COLUMNS)
 
 
 def latest_customers(log: DataFrame, ignore_nulls: bool = False) -> DataFrame:
-    return latest(log, "customer_ref", CUSTOMER_COLUMNS, ignore_nulls=ignore_nulls)
+    return latest(log, ["customer_ref"], CUSTOMER_COLUMNS, ignore_nulls=ignore_nulls)
 
 
 def _not_deleted() -> Column:

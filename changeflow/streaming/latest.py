@@ -42,11 +42,9 @@ class LatestTable:
 
     def changelog(self, stream: DataFrame, ignore_nulls: bool = False) -> DataFrame:
         """The running latest state of the keys each micro-batch touches."""
-        options = {"ignore_nulls": ignore_nulls, "keep_deleted": True}
-        if len(self.keys) == 1:
-            return latest(stream, self.keys[0], self.columns, **options)
-        state = latest(stream, F.struct(*self.keys), self.columns, key_name="key", **options)
-        return state.select("key.*", *self.columns, "op_type")
+        return latest(
+            stream, self.keys, self.columns, ignore_nulls=ignore_nulls, keep_deleted=True
+        )
 
     def start(
         self, stream: DataFrame, checkpoint: str, ignore_nulls: bool = False, **trigger
