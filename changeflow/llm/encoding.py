@@ -2,15 +2,18 @@
 
 The vocabulary drops white space and no merge crosses it, so a text's ids are the ids of
 its space-separated chunks in turn. Each Python worker keeps the ids of chunks it has
-seen and asks the tokenizers library for new ones only. Texts are taken in slices of a
+seen and asks the tokenizers library for new ones only. A chunk of Latin letters needs
+none of the library's normalising and splitting: it goes straight to its BPE model. Texts are taken in slices of a
 bounded number of characters; what is kept of chunks is bounded too.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -19,6 +22,9 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 SLICE_CHARS = 1 << 20
 KEPT_CHARS = 1 << 22
 
+#: A word of Latin letters, all of them composed and of simple lower case, and its stops.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
+
 
 def vocabulary_path(name: str) -> str:
     import public_tokenizers
@@ -51,11 +57,12 @@ class Rows:
 
     def extend(self, rows: list) -> None:
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        values = np.fromiter(chain.from_iterable(rows), self.flat.dtype, int(sizes.sum()))
         first = self.starts[self.count]
-        end = first + int(sizes.sum())
+        end = first + len(values)
         self.flat = _room(self.flat, end)
         self.starts = _room(self.starts, self.count + len(rows) + 1)
-        self.flat[first:end] = np.concatenate([np.asarray(r, self.flat.dtype) for r in rows])
+        self.flat[first:end] = values
         self.starts[self.count + 1 : self.count + 1 + len(rows)] = first + np.cumsum(sizes)
         self.count += len(rows)
 
@@ -89,10 +96,13 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
+        self._letters = _byte_letters()
         self._forget()
 
     def _forget(self) -> None:
         self._codes, self._ids = Codes(), Rows(np.uint32)
+        self._stops: dict[str, list[int]] = {}
 
     def _chunks(self, text: str) -> np.ndarray:
         """Codes of the chunks of one slice, new chunks encoded."""
@@ -101,11 +111,25 @@ class WordEncoder:
         words = text.replace("\n", " ").split(" ")
         codes = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
         if fresh := self._codes.fresh:
-            found = self._tokenizer.encode_batch(fresh, add_special_tokens=False)
-            self._ids.extend([e.ids for e in found])
+            self._ids.extend([self._chunk(c) for c in fresh])
             self._codes.fresh = []
         return codes
 
+    def _chunk(self, chunk: str) -> list[int]:
+        if not (plain := PLAIN.fullmatch(chunk)):
+            return self._tokenizer.encode(chunk, add_special_tokens=False).ids
+        word, stops = plain.groups()
+        if word.isascii():
+            ids = [t.id for t in self._model.tokenize(word.lower())]
+        else:
+            letters = word.lower().encode().decode("latin-1").translate(self._letters)
+            ids = [t.id for t in self._model.tokenize(letters)]
+        if stops:
+            if stops not in self._stops:
+                self._stops[stops] = [t.id for t in self._model.tokenize(stops)]
+            ids += self._stops[stops]
+        return ids
+
     def ids(self, text: str | None) -> np.ndarray:
         parts = [np.empty(0, np.uint32)]
         for piece in slices(text or ""):
@@ -121,6 +145,16 @@ class WordEncoder:
         return total
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies.
+
+    Printable Latin-1 characters stand for themselves, the others for those from 256 on.
+    """
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(256)) - set(shown))
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 def slices(text: str) -> Iterator[str]:
     """The text in pieces cut at spaces, of SLICE_CHARS or up to the next space."""
     at = 0

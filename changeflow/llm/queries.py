@@ -5,12 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import byte_bpe, lengths, packing, sharding, token_files
+from changeflow.llm import (
+    byte_bpe,
+    fingerprints,
+    lengths,
+    near,
+    packing,
+    search,
+    sharding,
+    substrings,
+    token_files,
+    toxicity,
+)
 from changeflow.llm.encoding import WORD_VOCABULARY, vocabulary_path
-from changeflow.llm.tables import table
+from changeflow.llm.tables import shuffle_width, table
 from changeflow.session import scratch_dir
 
 SHARDS = 24
+#: Queries of the search are the ids divisible by this.
+QUERY_EVERY = 50
+NEIGHBOURS = 5
+SCALE = 256
+
+
+def op1_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and their likeness."""
+    ranges = fingerprints.RANGES_PER_PARTITION * shuffle_width(spark)
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"), ranges)
 
 
 def op2_virtual_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +49,48 @@ def op2_virtual_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents, learned from the labels that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.with_scores(documents, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_passages").alias("n_passages"),
+    )
+
+
 def op4_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of 35 words that stand anywhere else too."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.without_repeats(documents).select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.encode("_kept", "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
+def op6_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector among all vectors."""
+    vectors = search.whole_vectors(table(spark, sf_dir, "embeddings"), SCALE)
+    asked = vectors.where(F.col("vec_id") % QUERY_EVERY == 0)
+    return search.top_k(vectors, asked, NEIGHBOURS)
+
+
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    found = near.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The encoded lengths of all documents, with the sums for every context limit."""
     found = lengths.encoded_lengths(
@@ -62,11 +120,61 @@ def op10_monoid_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_multiset_fingerprints,
         op2_virtual_slot_sharding,
+        op3_toxic_segments,
         op4_best_two_fit_packing,
+        op5_repeated_passages,
+        op6_segment_search,
+        op7_order_minhash,
         op8_length_histogram,
         op9_directly_addressable_codes,
         op10_monoid_byte_bpe,
     )
 }
-ORACLE: dict[str, str] = {}
+
+ORACLE = {
+    # a window is one whose words start at two places at least
+    "op5_repeated_passages": """
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS words
+            FROM documents
+        ), windows AS (
+            SELECT r, s, md5(array_to_string(words[s:s + 34], ' ')) AS m
+            FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS s FROM split)
+        ), repeated AS (
+            SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY m) AS n FROM windows)
+            WHERE n > 1
+        ), covered AS (
+            SELECT DISTINCT r, unnest(range(s, s + 35)) AS w FROM repeated
+        ), gone AS (
+            SELECT r, list(w) AS ws, count(*) AS n_removed FROM covered GROUP BY r
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+               CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(array_to_string(
+                   CASE WHEN ws IS NULL THEN words
+                   ELSE list_filter(words, lambda w, i: NOT list_contains(ws, i)) END,
+                   ' '), '')) AS kept_sha256
+        FROM split LEFT JOIN gone USING (r)
+    """,
+    "op6_segment_search": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored
+        ) WHERE rank <= 5
+    """,
+}
