@@ -3,10 +3,10 @@
 *Tokens.* A text's words, in small letters and without punctuation around them, are
 hashed to BUCKETS numbers, so every table here has a fixed size.
 
-*Log-odds.* Counts of each token in toxic and in clean labelled texts are compared under
-a Dirichlet prior: PRIOR_TOKENS tokens spread as they are over the whole corpus. Tokens
-whose log-odds lie less than SIGNIFICANT standard deviations above zero score nothing.
-Every token also costs DRIFT, so a random stretch of text loses.
+*Log-odds.* The numbers of toxic and of clean labelled texts that hold a token are compared
+under a Dirichlet prior, tokens spread as they are over the texts of the whole corpus. (Texts are counted, not occurrences: a word repeated through one text says little.)
+Tokens whose log-odds lie less than SIGNIFICANT standard deviations above zero score
+nothing. Every token also costs DRIFT, so a random stretch of text loses.
 
 *Segments.* One scan over a text finds all maximal segments: those that cannot be
 lengthened, or shortened, without losing score. Its time is linear in the tokens.
@@ -42,7 +42,9 @@ from pyspark.sql import functions as F
 from changeflow.llm.encoding import Codes
 
 BUCKETS = 1 << 18
-PRIOR_TOKENS = 10_000.0
+#: The prior's weight: a share of the counts of the fitted texts, and so much at least.
+PRIOR_SHARE = 0.2
+LEAST_PRIOR = 10_000.0
 SIGNIFICANT = 3.0
 DRIFT = 0.1
 FIT_ROWS = 1 << 17
@@ -179,12 +181,13 @@ def _labelled(documents: DataFrame, fit: DataFrame, how: str) -> DataFrame:
 
 
 def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts over all documents [bucket], and over fitted ones [fold, class, bucket].
+    """Occurrences and texts of tokens in the corpus, [2, bucket], and fitted texts that
+    hold them, [fold, class, bucket].
 
     Each task adds up its documents; the tables of all tasks are summed by bucket and
     reach the driver as at most BUCKETS rows.
     """
-    columns = ["corpus"] + [f"f{fold}c{toxic}" for fold in range(FOLDS) for toxic in (0, 1)]
+    columns = ["occurrences", "texts"] + [f"f{fold}c{toxic}" for fold in range(FOLDS) for toxic in (0, 1)]
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, sums = Tokens(), np.zeros((len(columns), BUCKETS), np.int64)
@@ -193,8 +196,9 @@ def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.n
                 found = np.bincount(tokens.of(text.as_py()), minlength=1)
                 at = np.flatnonzero(found)
                 sums[0, at] += found[at]
+                sums[1, at] += 1
                 if toxic.is_valid:
-                    sums[1 + 2 * fold.as_py() + toxic.as_py(), at] += found[at]
+                    sums[2 + 2 * fold.as_py() + toxic.as_py(), at] += 1
         at = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(at), *(pa.array(s[at]) for s in sums)], ["bucket", *columns]
@@ -211,18 +215,19 @@ def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.n
     table = np.zeros((len(columns), BUCKETS), np.float64)
     for i, c in enumerate(columns):
         table[i, rows["bucket"].to_numpy()] = rows[c].to_numpy()
-    return table[0], table[1:].reshape(FOLDS, 2, BUCKETS)
+    return table[:2], table[2:].reshape(FOLDS, 2, BUCKETS)
 
 
 def scorer(corpus: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> Scorer:
     """Token scores by log-odds under the corpus prior, and lambda."""
-    share = corpus / max(corpus.sum(), 1.0)
-    prior = PRIOR_TOKENS * share + 1e-9
+    occurrences, texts = corpus
+    weight = max(LEAST_PRIOR, PRIOR_SHARE * (clean.sum() + toxic.sum()))
+    prior = weight * texts / max(texts.sum(), 1.0) + 1e-9
     variance = 1.0 / (toxic + prior) + 1.0 / (clean + prior)
     odds = _log_odds(toxic, prior) - _log_odds(clean, prior)
     scores = np.where(odds > SIGNIFICANT * np.sqrt(variance), odds, 0.0)
     scores[0] = 0.0
-    return Scorer(scores - DRIFT, _lambda(scores - DRIFT, share))
+    return Scorer(scores - DRIFT, _lambda(scores - DRIFT, occurrences / max(occurrences.sum(), 1.0)))
 
 
 def _log_odds(count: np.ndarray, prior: np.ndarray) -> np.ndarray:
