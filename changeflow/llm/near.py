@@ -6,11 +6,13 @@ the text, so texts agree on a sketch if they share the runs and their order: a m
 edit similarity, not of shared content alone. Each text has SKETCHES of them.
 
 *Candidates.* Texts that agree on a sketch form a bucket. Each is compared with the
-bucket's least and greatest text only, never with all. The ends are the same texts in
-most buckets of a group, so a group of n texts costs about 2 n comparisons.
+bucket's least and greatest text only, never with all. That is done in two rounds: first
+each text beside the least and the greatest of all its buckets, then beside the other ends
+that the first round has not put into the same class.
 
-*Verification.* The edit distance of the words is found diagonal by diagonal within the
-band that SIMILARITY allows; pairs within it are links.
+*Verification.* Texts are aligned along the runs they share; where that does not settle a
+pair, the edit distance of the words is found diagonal by diagonal within the band that
+SIMILARITY allows. Pairs within it are links.
 
 *Classes.* Links connect texts; the least label of a component spreads along links and by
 pointer jumping, every round written to the checkpoint folder. Rows of equal text share
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.encoding import Codes
-from changeflow.llm.tables import cut
+from changeflow.llm.tables import cut, rekeyed
 
 SHINGLE = 5
 SKETCHES = 32
@@ -40,6 +42,8 @@ SIMILARITY = 0.8
 KEPT_CHARS = 1 << 22
 #: Words compared at a time along the diagonals of an alignment.
 STRIDE = 16
+#: Hashes ranked at a time.
+RANKS = 1 << 18
 
 
 def text_node(text: str = "text") -> Column:
@@ -87,7 +91,7 @@ def labelled_runs(words: np.ndarray, shingle: int) -> np.ndarray:
     ordered = runs[order]
     first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     if first.all():
-        return runs
+        return _mixed(runs)
     starts = np.flatnonzero(first)
     earlier = np.arange(count) - np.repeat(starts, np.diff(np.append(starts, count)))
     label = np.zeros(count, np.uint64)
@@ -99,17 +103,18 @@ def sketch(runs: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """For each seed, the two runs of least hash combined in the order of the text."""
     if len(runs) == 1:
         return _mixed(runs[0] ^ seeds)
-    out = np.zeros(len(seeds), np.uint64)
-    for i, seed in enumerate(seeds):
+    out, block = [], max(1, RANKS // len(runs))
+    for at in range(0, len(seeds), block):
+        own = seeds[at : at + block]
         # a multiplication by an odd number permutes the hashes; high bits decide
-        ranks = (runs ^ seed) * np.uint64(0x9E3779B97F4A7C15)
-        one = int(ranks.argmin())
-        held, ranks[one] = ranks[one], np.iinfo(np.uint64).max
-        two = int(ranks.argmin())
-        ranks[one] = held
-        a, b = (one, two) if one < two else (two, one)
-        out[i] = runs[a] * np.uint64(3) + _mixed(runs[b : b + 1])[0]
-    return _mixed(out ^ seeds)
+        ranks = (runs ^ own[:, None]) * np.uint64(0x9E3779B97F4A7C15)
+        row = np.arange(len(own))
+        one = ranks.argmin(1)
+        ranks[row, one] = np.iinfo(np.uint64).max
+        two = ranks.argmin(1)
+        first, second = runs[np.minimum(one, two)], runs[np.maximum(one, two)]
+        out.append(_mixed((first * np.uint64(3) + _mixed(second)) ^ own))
+    return np.concatenate(out)
 
 
 def sketch_seeds(count: int) -> np.ndarray:
@@ -136,22 +141,24 @@ def buckets(documents: DataFrame, sketches: int = SKETCHES, shingle: int = SHING
     return rows.mapInArrow(run, "bucket long, node long")
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Each text beside the ends of its buckets: distinct pairs (a, b), a below b."""
+def in_shared_buckets(found: DataFrame) -> DataFrame:
+    """The buckets of more than one text: each text beside the bucket's ends, lo and hi."""
     ends = (
         found.groupBy("bucket")
         .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         .where(F.col("lo") < F.col("hi"))
     )
-    pairs = found.join(ends, "bucket").select(
-        F.explode(
-            F.array(
-                F.struct(F.col("lo").alias("a"), F.col("node").alias("b")),
-                F.struct(F.col("node").alias("a"), F.col("hi").alias("b")),
-            )
-        ).alias("_pair")
+    return found.join(rekeyed(ends, "bucket"), "bucket").select("node", "lo", "hi")
+
+
+def pairs_of(beside: DataFrame) -> DataFrame:
+    """Each text with either end: distinct pairs (a, b), a below b."""
+    either = F.array(
+        F.struct(F.col("lo").alias("a"), F.col("node").alias("b")),
+        F.struct(F.col("node").alias("a"), F.col("hi").alias("b")),
     )
-    return pairs.select("_pair.*").where(F.col("a") < F.col("b")).distinct()
+    pairs = beside.select(F.explode(either).alias("_pair")).select("_pair.*")
+    return pairs.where(F.col("a") < F.col("b")).distinct()
 
 
 def edits_within(one: np.ndarray, other: np.ndarray, most: int) -> int | None:
@@ -207,41 +214,72 @@ def _shared(one: np.ndarray, other: np.ndarray) -> int:
     return int(np.minimum(first, second).sum())
 
 
-def links(pairs: DataFrame, documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs whose words align well enough: (a, b, similarity)."""
+def edits_at_most(one: np.ndarray, other: np.ndarray, runs: tuple, shingle: int) -> int:
+    """The edits of an alignment along runs that both texts have, in the same order.
+
+    Runs are matched by their labelled hashes. Between two of them words are taken as
+    replaced, less those that belong to the first run. It is an upper bound, and exact where
+    edits stand apart.
+    """
+    n, m = len(one), len(other)
+    _, i, j = np.intersect1d(*runs, assume_unique=True, return_indices=True)
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    if len(j):
+        rising = j > np.concatenate([[-1], np.maximum.accumulate(j)[:-1]])
+        i, j = i[rising], j[rising]
+    size = min(shingle, n, m)
+    if not len(i):
+        return max(n, m)
+    di, dj = np.diff(i), np.diff(j)
+    kept = np.minimum(np.minimum(di, dj), size)
+    between = np.where((di == dj) & (di <= size), 0, np.maximum(di, dj) - kept)
+    ends = max(int(i[0]), int(j[0])) + max(n - int(i[-1]), m - int(j[-1])) - size
+    return int(between.sum()) + ends
+
+
+def texts_of(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """The texts of the pairs, each once: (_node, text)."""
     wanted = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
     # one row of each text: that of least id
-    first = (
-        documents.where(F.col("_node").isNotNull())
-        .groupBy("_node")
-        .agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("_id"))
-        .join(wanted, "_node")
-    )
     keyed = documents.where(F.col("_node").isNotNull()).select(
         "_node", F.coalesce("doc_id", F.lit(0)).alias("_id"), "text"
     )
-    texts = cut(keyed.join(first, ["_node", "_id"]).dropDuplicates(["_node"]).select("_node", "text"))
-    sides = pairs.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
+    first = keyed.groupBy("_node").agg(F.min("_id").alias("_id")).join(wanted, "_node")
+    return keyed.join(first, ["_node", "_id"]).dropDuplicates(["_node"]).select("_node", "text")
+
+
+def links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose words align well enough."""
+    sides = pairs.join(rekeyed(texts.toDF("a", "one"), "a"), "a").join(
+        rekeyed(texts.toDF("b", "other"), "b"), "b"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source = WordHashes()
-        for batch in batches:
-            rows = []
-            for a, b, one, other in zip(*batch.columns, strict=True):
-                x, y = source.of(one.as_py()), source.of(other.as_py())
-                size = max(len(x), len(y))
-                edits = edits_within(x, y, int((1 - similarity) * size + 1e-9))
-                if edits is not None:
-                    rows.append((a.as_py(), b.as_py(), 1 - edits / size))
-            columns = zip(*rows, strict=True) if rows else ((), (), ())
-            types = (pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["a", "b", "similarity"]
-            )
 
-    return sides.select("a", "b", "one", "other").mapInArrow(
-        run, "a long, b long, similarity double"
-    )
+        def read(text: str) -> tuple[np.ndarray, np.ndarray]:
+            words = source.of(text)
+            return words, labelled_runs(words, SHINGLE)
+
+        last: tuple = (None, None)  # rows of one text follow each other
+        for batch in batches:
+            found = np.zeros(batch.num_rows, bool)
+            for row, (b, one, other) in enumerate(zip(*batch.columns[1:], strict=True)):
+                x, x_runs = read(one.as_py())
+                if last[0] != (b := b.as_py()):
+                    last = b, read(other.as_py())
+                y, y_runs = last[1]
+                most = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
+                if abs(len(x) - len(y)) <= most:
+                    found[row] = (
+                        edits_at_most(x, y, (x_runs, y_runs), SHINGLE) <= most
+                        or edits_within(x, y, most) is not None
+                    )
+            kept = batch.filter(pa.array(found))
+            yield pa.RecordBatch.from_arrays(kept.columns[:2], ["a", "b"])
+
+    return sides.select("a", "b", "one", "other").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -256,7 +294,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while True:
         near = (
-            both.join(labels.toDF("beside", "_label"), "beside")
+            both.join(rekeyed(labels.toDF("beside", "_label"), "beside"), "beside")
             .groupBy("node")
             .agg(F.min("_label").alias("_near"))
         )
@@ -264,7 +302,7 @@ def components(edges: DataFrame) -> DataFrame:
             "node", "label", F.least("label", "_near").alias("_new")
         )
         # a label's own label is lower still, or the same
-        jump = labels.toDF("_new", "_jump")
+        jump = rekeyed(labels.toDF("_new", "_jump"), "_new")
         moved = cut(
             lower.join(jump, "_new", "left").select(
                 "node",
@@ -277,46 +315,81 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs that are not of one component yet."""
+
+    def label_of(side: str) -> DataFrame:
+        return rekeyed(labels.toDF(side, f"_{side}"), side)
+
+    labelled = pairs.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
+    same = F.coalesce("_a", "a") == F.coalesce("_b", "b")
+    return labelled.where(~same).select("a", "b")
+
+
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Every document's class and links: doc_id, class_id, n_links, n_copies, _node.
+    """Every document's class: doc_id, class_id, n_copies, _node, _label.
 
-    ``n_links`` counts the other texts its text was found to be linked with, ``n_copies``
-    the rows of the same text.
+    ``n_copies`` counts the rows of the same text.
     """
     keyed = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", text_node().alias("_node")
     )
-    verified = cut(links(cut(candidates(buckets(keyed))), keyed, similarity))
-    label = components(verified)
-    degree = (
-        verified.select(F.col("a").alias("node"))
-        .union(verified.select("b"))
-        .groupBy("node")
-        .agg(F.count("*").alias("n_links"))
-    )
+    beside = cut(in_shared_buckets(cut(buckets(keyed))))
+    pairs = cut(pairs_of(beside))
+    texts = cut(texts_of(pairs, keyed))
+    nearest = pairs_of(beside.groupBy("node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    first = components(links(nearest, texts, similarity))
+    rest = apart(pairs, first).join(nearest, ["a", "b"], "left_anti")
+    tied = first.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    label = components(tied.union(links(rest, texts, similarity)).where(F.col("a") != F.col("b")))
     nodes = keyed.groupBy("_node").agg(
         F.min("doc_id").alias("_least"), F.count("*").alias("n_copies")
     )
     nodes = (
         nodes.where(F.col("_node").isNotNull())
         .join(label.withColumnRenamed("node", "_node"), "_node", "left")
-        .join(degree.withColumnRenamed("node", "_node"), "_node", "left")
         .withColumn("label", F.coalesce("label", "_node"))
     )
     named = nodes.groupBy("label").agg(F.min("_least").alias("class_id"))
-    nodes = nodes.join(named, "label").select(
-        "_node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"
+    nodes = nodes.join(rekeyed(named, "label"), "label").select(
+        "_node", "label", "class_id", "n_copies"
     )
     return (
         keyed.select("doc_id", "_node")
-        .join(nodes, "_node", "left")
+        .join(rekeyed(nodes, "_node"), "_node", "left")
         .select(
             "doc_id",
             F.when(F.col("_node").isNull(), F.col("doc_id"))
             .otherwise(F.col("class_id"))
             .alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
             "_node",
+            F.col("label").alias("_label"),
         )
     )
+
+
+def representatives(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each class, all columns kept; texts without words all stay.
+
+    It is the one of least id; of rows that share this id and text, any one.
+    """
+    absent = F.lit(-(1 << 63)).cast("long")
+    chosen = (
+        classes(documents, similarity)
+        .where(F.col("_node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
+        .groupBy("_label", "_node")
+        .agg(F.min(F.coalesce("doc_id", absent)).alias("_id"), F.count("*").alias("_rows"))
+    )
+    first = chosen.groupBy("_label").agg(F.min("_node").alias("_node"))
+    chosen = chosen.join(first, ["_label", "_node"]).select("_id", "_node", "_rows")
+    columns = documents.columns
+    wordy = documents.withColumn("_node", text_node())
+    alone = wordy.where(F.col("_node").isNull()).select(*columns)
+    keyed = wordy.where(F.col("_node").isNotNull()).withColumn(
+        "_id", F.coalesce(F.col("doc_id").cast("long"), absent)
+    )
+    kept = keyed.join(rekeyed(chosen, "_id", "_node"), ["_id", "_node"])
+    single = kept.where(F.col("_rows") == 1)
+    several = kept.where(F.col("_rows") > 1).dropDuplicates(["_id", "_node"])
+    return single.unionByName(several).select(*columns).unionByName(alone)

@@ -88,7 +88,7 @@ def op6_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near duplicates of every document."""
     found = near.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", "n_links", "n_copies")
+    return found.select("doc_id", "class_id", "n_copies")
 
 
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeflow.session import checkpoint_root
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster that does not hold it at the same place, submit it with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,3 +43,13 @@ def cut(frame: DataFrame) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def rekeyed(frame: DataFrame, *keys: str) -> DataFrame:
+    """The frame with its (whole-number) keys computed anew.
+
+    A sum by key is already dealt out by that key, so a join on it would read it in place,
+    and a join without an exchange of its own on either side cannot be split where a key is
+    frequent. The computed key makes the join deal out its sides itself.
+    """
+    return frame.withColumns({k: F.col(k).bitwiseXOR(F.lit(0)) for k in keys})
