@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.encoding import Codes
-from changeflow.llm.tables import cut
+from changeflow.llm.tables import cut, rekeyed
 
 WINDOW = 35
 SEED = 8
@@ -51,6 +51,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class Gathered:
+    """Rows of many texts, sent on some ten thousand at a time."""
+
+    ROWS = 1 << 16
+
+    def __init__(self, names: list[str]) -> None:
+        self._names, self._parts, self._rows = names, [], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self._parts.append(columns)
+        self._rows += len(columns[0])
+        if self._rows >= self.ROWS:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self._rows:
+            columns = [pa.array(np.concatenate(c)) for c in zip(*self._parts, strict=True)]
+            self._parts, self._rows = [], 0
+            yield pa.RecordBatch.from_arrays(columns, self._names)
+
+
 class _Powers:
     """Powers of the bases and of their inverses, as many as the longest text needs."""
 
@@ -147,7 +168,7 @@ def anchors(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     reach = window - seed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = Words()
+        source, out = Words(), Gathered(["row", "at", "anchor", "around"])
         for batch in batches:
             for row, text in zip(batch.column(0), batch.column(1), strict=True):
                 words = source.split(text.as_py())
@@ -162,15 +183,13 @@ def anchors(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
                 left = (at - start).astype(np.uint64) << np.uint64(32)
                 size = left + (end - start).astype(np.uint64)
                 around = _mixed(rolling.runs(1, start, end) + _mixed(size))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(at), row.as_py(), np.int64)),
-                        pa.array(at.astype(np.int32)),
-                        pa.array(found.seeds[at].view(np.int64)),
-                        pa.array(around.view(np.int64)),
-                    ],
-                    ["row", "at", "anchor", "around"],
+                yield from out.add(
+                    np.full(len(at), row.as_py(), np.int64),
+                    at.astype(np.int32),
+                    found.seeds[at].view(np.int64),
+                    around.view(np.int64),
                 )
+        yield from out.rest()
 
     return documents.select("_row", "text").mapInArrow(
         run, "row long, at int, anchor long, around long"
@@ -180,14 +199,13 @@ def anchors(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
 def _windows_of(texts: DataFrame, window: int, seed: int) -> DataFrame:
     """Windows that anchors with several surroundings stand for.
 
-    ``start`` is null for windows that are known to be repeated and only wanted as
-    partners.
+    ``start`` is -1 for windows that are known to be repeated and only wanted as partners.
     """
     reach = window - seed
     row_at, text_at, found_at = map(texts.columns.index, ("_row", "text", "_found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = Words()
+        source, out = Words(), Gathered(["row", "start", "one", "two"])
         for batch in batches:
             for i in range(batch.num_rows):
                 row, text = batch.column(row_at)[i], batch.column(text_at)[i].as_py()
@@ -203,15 +221,12 @@ def _windows_of(texts: DataFrame, window: int, seed: int) -> DataFrame:
                 repeated = np.zeros(len(found.least), bool)
                 repeated[starts[inside & known[:, None]]] = True
                 start = np.unique(starts[inside])
-                hashes = [rolling.runs(i, start, start + window).view(np.int64) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(start), row.as_py(), np.int64)),
-                        pa.array(start.astype(np.int32), mask=repeated[start]),
-                        *map(pa.array, hashes),
-                    ],
-                    ["row", "start", "one", "two"],
+                yield from out.add(
+                    np.full(len(start), row.as_py(), np.int64),
+                    np.where(repeated[start], -1, start).astype(np.int32),
+                    *(rolling.runs(i, start, start + window).view(np.int64) for i in (0, 1)),
                 )
+        yield from out.rest()
 
     return texts.mapInArrow(run, "row long, start int, one long, two long")
 
@@ -232,7 +247,7 @@ def repeats(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
         .select("anchor", (F.col("_lo") != F.col("_hi")).alias("several"))
     )
     held = cut(
-        found.join(shared, "anchor").select(
+        found.join(rekeyed(shared, "anchor"), "anchor").select(
             "row", "at", "around", F.xxhash64("anchor", "around").alias("both"), "several"
         )
     )
@@ -241,7 +256,8 @@ def repeats(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
         F.max("several").alias("_several"),
         F.min(F.struct("row", "at")).alias("_first"),
     )
-    whole = held.join(surroundings.where(F.col("_n") > 1).select("around", "both"), ["around", "both"])
+    frequent = surroundings.where(F.col("_n") > 1).select("around", "both")
+    whole = held.join(rekeyed(frequent, "around", "both"), ["around", "both"])
     # one occurrence of each surroundings that is not the only one of its anchor
     by_row = (
         surroundings.where("_several")
@@ -251,7 +267,9 @@ def repeats(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     texts = documents.join(by_row, F.col("_row") == F.col("_owner"))
     windows = _windows_of(texts, window, seed)
     twice = windows.groupBy("one", "two").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    matched = windows.where(F.col("start").isNotNull()).join(twice, ["one", "two"])
+    matched = windows.where(F.col("start") >= 0).join(
+        rekeyed(twice, "one", "two"), ["one", "two"]
+    )
     starts = F.greatest(F.col("at") - reach, F.lit(0))
     spans = whole.select("row", F.struct(starts.alias("start"), (F.col("at") + window).alias("end")).alias("span"))
     spans = spans.unionByName(
