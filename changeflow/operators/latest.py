@@ -9,18 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.values import trim_controls
-from changeflow.session import stored
 
 ORDER_COLUMNS = ("customer_ref", "channel_id", "status", "event_date", "link_origin")
 LINE_COLUMNS = ("product_ref", "quantity", "unit_price")
 CUSTOMER_COLUMNS = ("customer_name", "country_code", "segment")
 
-#: Elements one array may hold. A key with more keeps all of them, in several rows.
-MAX_ELEMENTS = 100_000
+#: Elements of one array. An order with more has further rows, numbered by their part.
+CHUNK = 100_000
+
+#: Ranges an order's elements are numbered in, so that no task sorts all of a large one.
+RANGES = 4096
 
 
 def latest_operation() -> Column:
@@ -107,80 +109,91 @@ def _amount() -> Column:
     return F.coalesce(total, F.lit(0)).cast("decimal(33,2)")
 
 
-def lines_by_order(
-    log: DataFrame, mode: str = "changelog", max_elements: int = MAX_ELEMENTS
-) -> DataFrame:
-    """All lines of an order as one array, with the order's total.
+def _equal_ranges(rows: DataFrame, column: str) -> Column:
+    """The range a number falls into when all that occur are cut into RANGES equal ones."""
+    ends = rows.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
+    share = (F.col(column).cast("double") - low) / (high.cast("double") - low + 1)
+    return F.coalesce(F.floor(share * RANGES), F.lit(-1))
 
-    ``changelog`` rolls up every line event, superseded and deleted ones included,
-    and drops an order whose last line event is a delete. ``current`` rolls up the
-    live lines only.
 
-    An order with more than ``max_elements`` line events spans several rows, numbered
-    by ``lines_part``; each repeats the total of the whole order. Parts are ranges of
-    offsets (``changelog``) or of line numbers (``current``), both of which bound the
-    rows of a part, so no task ever gathers such an order whole.
+def positions(rows: DataFrame, in_range: Column, ordering: Sequence[str]) -> DataFrame:
+    """Number the elements of every order from 0 (``position``), in two levels.
 
-    Whether there is such an order is counted first, reading the key alone; usually
-    there is none, and the lines are shuffled once, by order.
+    Elements are counted by order and range, and numbered within a range. ``in_range``
+    must not fall where ``ordering`` rises.
     """
+    ranged = rows.withColumn("_range", in_range)
+    earlier = Window.partitionBy("order_id").orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = (
+        ranged.groupBy("order_id", "_range")
+        .agg(F.count("*").alias("_n"))
+        .select("order_id", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    )
+    within = Window.partitionBy("order_id", "_range").orderBy(*ordering)
+    return (
+        ranged.withColumn("_at", F.row_number().over(within) - 1)
+        .join(starts, ["order_id", "_range"])
+        .withColumn("position", F.col("_start") + F.col("_at"))
+        .drop("_range", "_start", "_at")
+    )
+
+
+def order_lines(log: DataFrame, mode: str = "changelog") -> DataFrame:
+    """The long form of ``lines_by_order``: one row for each line, with its ``position``."""
     events = log.filter(F.col("order_id").isNotNull())
     if mode == "changelog":
-        lines, alive = events, _not_deleted()
-        part_by, ordering = "kafka_offset", ("kafka_offset", "kafka_partition")
-    elif mode == "current":
+        ordering = ["kafka_offset", "kafka_partition"]
+        return positions(events, _equal_ranges(events, "kafka_offset"), ordering)
+    if mode == "current":
         lines = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS)
-        alive, part_by, ordering = F.lit(True), "line_number", ()
-    else:
-        raise ValueError(f"mode must be 'changelog' or 'current', not {mode!r}")
-
-    gathered = [
-        F.sort_array(F.collect_list(_line(*ordering))).alias("lines"),
-        _amount().alias("order_total"),
-        alive.alias("alive"),
-    ]
-    sizes = events.groupBy("order_id").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > max_elements).select("order_id")
-    # Gathering reduces nothing on the map side: shuffle the rows, not arrays.
-    if large.count() == 0:
-        orders = (
-            lines.repartition("order_id")
-            .groupBy("order_id")
-            .agg(*gathered)
-            .withColumn("lines_part", F.lit(0))
+        return positions(lines, _equal_ranges(lines, "line_number"), ["line_number"])
+    raise ValueError(f"mode must be 'changelog' or 'current', not {mode!r}")
+
+
+def lines_by_order(log: DataFrame, mode: str = "changelog", chunk: int = CHUNK) -> DataFrame:
+    """The lines of an order as arrays, with the order's total.
+
+    ``changelog`` rolls up every line event, superseded and deleted ones included,
+    and drops an order whose last line event is a delete. ``current`` rolls up the
+    live lines only, whatever their history.
+
+    An array holds ``chunk`` elements at most: the row of ``lines_part`` n those from
+    position n * chunk on. Usually there is only part 0; it alone has the total.
+    """
+    lines = order_lines(log, mode).withColumn("lines_part", F.expr(f"position div {int(chunk)}"))
+    events = log.filter(F.col("order_id").isNotNull())
+    if mode == "changelog":
+        totals = events.groupBy("order_id").agg(
+            _amount().alias("order_total"), _not_deleted().alias("alive")
         )
     else:
-        # Stored, so that the optimizer knows how small these tables are.
-        whole = stored(
-            lines.join(stored(large), "order_id", "left_semi")
-            .groupBy("order_id")
-            .agg(_amount().alias("whole_total"), alive.alias("whole_alive"))
-        )
-        part = F.coalesce(F.expr(f"cast({part_by} as bigint) div {int(max_elements)}"), F.lit(-1))
-        is_large = F.col("whole_total").isNotNull()
-        orders = (
-            lines.join(whole, "order_id", "left")
-            .withColumn("lines_part", F.when(is_large, part).otherwise(F.lit(0)))
-            .repartition("order_id", "lines_part")
-            .groupBy("order_id", "lines_part")
-            .agg(*gathered, F.max("whole_total").alias("total"), F.max("whole_alive").alias("lives"))
-            .withColumn("order_total", F.coalesce("total", "order_total"))
-            .withColumn("alive", F.coalesce("lives", "alive"))
+        current = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS)
+        totals = current.groupBy("order_id").agg(
+            _amount().alias("order_total"), F.lit(True).alias("alive")
         )
     columns = ("line_number", *LINE_COLUMNS)
-    return orders.filter("alive").select(
-        "order_id",
-        F.col("lines_part").cast("bigint").alias("lines_part"),
-        F.transform("lines", lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias("lines"),
-        "order_total",
+    return (
+        lines.groupBy("order_id", "lines_part")
+        .agg(F.sort_array(F.collect_list(_line("position"))).alias("lines"))
+        .join(totals.filter("alive"), "order_id")
+        .select(
+            "order_id",
+            "lines_part",
+            F.transform("lines", lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias("lines"),
+            F.when(F.col("lines_part") == 0, F.col("order_total")).alias("order_total"),
+        )
     )
 
 
-def order_customer_refs(log: DataFrame, max_elements: int = MAX_ELEMENTS) -> DataFrame:
+def order_customer_refs(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The distinct trimmed customer references ever seen on an order.
 
-    Repeats are collapsed before references are gathered. An order with more than
-    ``max_elements`` distinct references spans several rows (``refs_part``).
+    Repeats are collapsed before references are gathered. An array holds ``chunk`` of
+    them at most, and further ones follow under the next ``refs_part``. Part 0 stands for
+    the order even if it has no reference.
     """
     op, offset = F.col("op_type"), F.col("kafka_offset")
     pairs = (
@@ -191,22 +204,19 @@ def order_customer_refs(log: DataFrame, max_elements: int = MAX_ELEMENTS) -> Dat
             F.max(F.when(op == "D", offset)).alias("last_delete"),
         )
     )
-    alive = F.max("last") > F.coalesce(F.max("last_delete"), F.lit(-1))
-    large = (
-        pairs.groupBy("order_id")
-        .agg(F.count("ref").alias("n"), alive.alias("whole_alive"))
-        .filter(F.col("n") > max_elements)
+    alive = pairs.groupBy("order_id").agg(
+        (F.max("last") > F.coalesce(F.max("last_delete"), F.lit(-1))).alias("alive")
+    )
+    # An absent reference comes last, as it takes up a position but no element.
+    in_range = F.when(F.col("ref").isNull(), RANGES).otherwise(
+        F.pmod(F.xxhash64("ref"), F.lit(RANGES))
     )
-    # Twice the parts the count asks for keeps every part below the bound in practice.
-    parts = F.ceil(2 * F.col("n") / max_elements).cast("bigint")
     return (
-        pairs.join(large, "order_id", "left")
-        .withColumn("refs_part", F.coalesce(F.pmod(F.xxhash64("ref"), parts), F.lit(0)))
+        positions(pairs.select("order_id", "ref"), in_range.cast("long"), ["ref"])
+        .withColumn("refs_part", F.expr(f"position div {int(chunk)}"))
         .groupBy("order_id", "refs_part")
-        .agg(
-            F.sort_array(F.collect_list("ref")).alias("customer_refs"),
-            F.coalesce(F.max("whole_alive"), alive).alias("alive"),
-        )
-        .filter("alive")
-        .select("order_id", F.col("refs_part").cast("bigint").alias("refs_part"), "customer_refs")
+        .agg(F.sort_array(F.collect_list("ref")).alias("customer_refs"))
+        .filter((F.col("refs_part") == 0) | (F.size("customer_refs") > 0))
+        .join(alive.filter("alive"), "order_id")
+        .select("order_id", "refs_part", "customer_refs")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeflow.operators import enrich
 from changeflow.operators import latest as state
@@ -35,6 +36,17 @@ def lines_by_order_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(state.lines_by_order(Inputs(spark, sf_dir).line_log, mode="current"))
 
 
+def lines_by_order_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of two lines each, so that most orders have several parts."""
+    return shown(state.lines_by_order(Inputs(spark, sf_dir).line_log, chunk=2))
+
+
+def order_lines_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each line event, with its position in the order."""
+    lines = state.order_lines(Inputs(spark, sf_dir).line_log)
+    return shown(lines.select("order_id", "position", "line_number", *state.LINE_COLUMNS))
+
+
 def order_customer_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(state.order_customer_refs(Inputs(spark, sf_dir).order_log))
 
@@ -46,11 +58,30 @@ def orders_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_enriched_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and references of the view in parts of two, each told one by one."""
+    inputs = Inputs(spark, sf_dir)
+    view = enrich.enriched_from_logs(
+        inputs.order_log, inputs.customer_log, inputs.line_log, chunk=2
+    )
+    lines = view.select("order_id", F.explode("lines").alias("x")).select(
+        F.lit("line").alias("what"), "order_id", F.col("x.line_number").cast("string").alias("shown")
+    )
+    refs = view.select(
+        F.lit("ref").alias("what"), "order_id", F.explode("customer_refs").alias("shown")
+    )
+    totals = view.filter(F.col("order_total").isNotNull()).select(
+        F.lit("total").alias("what"), "order_id", F.col("order_total").cast("string").alias("shown")
+    )
+    return lines.unionByName(refs).unionByName(totals)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         latest_orders, latest_orders_ignore_nulls, latest_order_lines, latest_customers,
-        lines_by_order_changelog, lines_by_order_current, order_customer_refs, orders_enriched,
+        lines_by_order_changelog, lines_by_order_current, lines_by_order_chunked, order_lines_long,
+        order_customer_refs, orders_enriched, orders_enriched_chunked,
     )
 }
 
@@ -78,6 +109,28 @@ ORACLE = {
                CAST(CAST(coalesce(sum(quantity * unit_price), 0) AS DECIMAL(38, 2)) AS VARCHAR)
                    AS order_total
         FROM latest_lines GROUP BY order_id"""),
+    "lines_by_order_chunked": query("""
+        SELECT order_id, lines_part, string_agg(line, ';' ORDER BY kafka_offset) AS lines,
+               CASE WHEN lines_part = 0 THEN max(order_total) END AS order_total
+        FROM (SELECT *, (row_number() OVER (PARTITION BY order_id ORDER BY kafka_offset) - 1) // 2
+                     AS lines_part FROM line_texts)
+        JOIN (SELECT order_id, order_total FROM lines_by_order) USING (order_id)
+        GROUP BY order_id, lines_part"""),
+    "order_lines_long": query("""
+        SELECT order_id, line_number, product_ref, quantity, CAST(unit_price AS VARCHAR) AS unit_price,
+               row_number() OVER (PARTITION BY order_id ORDER BY kafka_offset) - 1 AS position
+        FROM line_log WHERE order_id IS NOT NULL"""),
+    "orders_enriched_chunked": query("""
+        SELECT 'line' AS what, order_id, CAST(line_number AS VARCHAR) AS shown
+        FROM line_log JOIN (SELECT order_id FROM lines_by_order) USING (order_id)
+        JOIN (SELECT order_id FROM latest_orders) USING (order_id)
+        UNION ALL
+        SELECT DISTINCT 'ref', order_id, trim(customer_ref) FROM order_log
+        JOIN (SELECT order_id FROM customer_refs) USING (order_id)
+        JOIN (SELECT order_id FROM latest_orders) USING (order_id)
+        WHERE customer_ref IS NOT NULL
+        UNION ALL
+        SELECT 'total', order_id, order_total FROM enriched WHERE order_total IS NOT NULL"""),
     "order_customer_refs": query("SELECT * FROM customer_refs"),
     "orders_enriched": query("SELECT * FROM enriched"),
 }

@@ -122,14 +122,25 @@ ENRICHED = struct(
     refs_part=LONG,
 )
 
+LINES_BY_ORDER = struct(order_id=TEXT, lines_part=LONG, lines=ORDER_LINES, order_total=TOTAL)
+CUSTOMER_REFS = struct(order_id=TEXT, refs_part=LONG, customer_refs=T.ArrayType(TEXT))
+
 _AVRO_TYPES = {TEXT: "string", LONG: "long", INT: "int"}
 
 
+def _avro_type(kind: T.DataType) -> str | dict:
+    if isinstance(kind, T.DecimalType):
+        # How Avro writes a decimal.
+        logical = {"logicalType": "decimal", "precision": kind.precision, "scale": kind.scale}
+        return {"type": "bytes", **logical}
+    return _AVRO_TYPES[kind]
+
+
 def avro_schema(record: T.StructType, name: str, namespace: str) -> str:
     """The Avro record schema of an event; nullable fields default to null."""
 
     def field(f: T.StructField) -> dict:
-        avro_type = _AVRO_TYPES[f.dataType]
+        avro_type = _avro_type(f.dataType)
         if f.nullable:
             return {"name": f.name, "type": ["null", avro_type], "default": None}
         return {"name": f.name, "type": avro_type}
@@ -144,4 +155,7 @@ def avro_schema(record: T.StructType, name: str, namespace: str) -> str:
     )
 
 
+#: The name and namespace of the order event, part of its contract.
 ORDER_EVENT_AVRO = avro_schema(ORDER_EVENT, "OrderCdcEvent", "com.example.cdc.orders")
+LINE_EVENT_AVRO = avro_schema(LINE_EVENT, "OrderLineCdcEvent", "com.example.cdc.orders")
+CUSTOMER_EVENT_AVRO = avro_schema(CUSTOMER_EVENT, "CustomerCdcEvent", "com.example.cdc.orders")

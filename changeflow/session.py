@@ -50,6 +50,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back: lineage cut, size known."""
     path = scratch_dir(frame.sparkSession, "stored")

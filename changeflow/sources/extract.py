@@ -21,6 +21,10 @@ class Bookmark:
     row_id: int
 
 
+#: Before every update time a row may have.
+BEGINNING = Bookmark(datetime(1000, 1, 1), -(1 << 63))
+
+
 def topic_name(table: str, environment: str = "dev") -> str:
     """Topic of a listed table; other tables are not extracted."""
     if table not in TABLES:
@@ -46,8 +50,9 @@ def changed_rows(
 ) -> DataFrame:
     """Every row changed since the bookmark, in one partition-parallel read.
 
-    Without a bookmark the whole table is read. Deleted rows leave no trace in the
-    table and are not seen. ``table`` may be a JDBC relation: the bound is pushed to
+    Without a bookmark the whole table is read, rows without an update time included.
+    These have no place after a bookmark: once there is one they are not seen, and
+    neither are deleted rows, which leave no trace in the table. ``table`` may be a JDBC relation: the bound is pushed to
     the database, and its ``partitionColumn`` options set the parallelism.
     """
     return table if bookmark is None else table.filter(after(bookmark, updated_at, row_id))
@@ -56,13 +61,21 @@ def changed_rows(
 def changes_up_to(
     changes: DataFrame, last: Bookmark, updated_at: str = "updated_at", row_id: str = "id"
 ) -> DataFrame:
-    """The changes up to and including a bookmark."""
-    return changes.filter(~after(last, updated_at, row_id))
+    """The changes up to and including a bookmark, and those without an update time."""
+    beyond = F.coalesce(after(last, updated_at, row_id), F.lit(False))
+    return changes.filter(~beyond)
 
 
 def next_bookmark(
     changes: DataFrame, updated_at: str = "updated_at", row_id: str = "id"
 ) -> Bookmark | None:
-    """The bookmark after these changes; None where nothing changed."""
-    last = changes.agg(F.max(F.struct(updated_at, row_id)).alias("m")).first()["m"]
-    return None if last is None else Bookmark(last[updated_at], last[row_id])
+    """The bookmark after these changes; None where nothing changed.
+
+    Rows without an update time move it to the beginning at most.
+    """
+    timed = F.when(F.col(updated_at).isNotNull(), F.struct(updated_at, row_id))
+    found = changes.agg(F.max(timed).alias("last"), F.count("*").alias("n")).first()
+    if found["last"] is None:
+        return BEGINNING if found["n"] else None
+    last_id = found["last"][row_id]
+    return Bookmark(found["last"][updated_at], BEGINNING.row_id if last_id is None else last_id)

@@ -1,8 +1,9 @@
 """The enriched order view, kept current as any of its three inputs changes.
 
 A micro-batch mixes events of all three topics. It appends them to the logs, finds the
-orders they affect, recomputes just those, and appends the result to the view: a new
-row, or a tombstone for an order that no longer stands.
+orders they affect, recomputes just those, and appends the result to the view: new
+rows, or a tombstone for an order that no longer stands. The roll-ups of lines and of
+customer references are state tables beside the view.
 """
 
 from __future__ import annotations
@@ -15,9 +16,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schemas
-from changeflow.operators.enrich import enriched_from_logs
+from changeflow.operators.enrich import enriched_orders
+from changeflow.operators.latest import (
+    latest_customers, latest_orders, lines_by_order, order_customer_refs,
+)
 from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
-from changeflow.streaming.tables import FOLD_EVERY, VERSION, Head, TableSet
+from changeflow.streaming.tables import (
+    FOLD_EVERY, VERSION, Attempt, Head, TableSet, batch_source,
+)
 
 TOPICS = {
     "orders": schemas.ORDER_EVENT,
@@ -43,8 +49,23 @@ def mixed_topics(topics: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def _state(rows: T.StructType) -> T.StructType:
+    return T.StructType([*rows.fields, T.StructField("deleted", T.BooleanType())])
+
+
+#: The state tables and the key of each.
+STATES = {
+    "view": (schemas.ENRICHED, "order_key"),
+    "lines_by_order": (schemas.LINES_BY_ORDER, "order_id"),
+    "customer_refs": (schemas.CUSTOMER_REFS, "order_id"),
+}
+
+#: Which orders have ever named a customer, looked up by the customer.
+NAMED = schemas.struct(customer_ref=schemas.TEXT, order_id=schemas.TEXT)
+
+
 class EnrichedView:
-    """The view and the change logs it is computed from."""
+    """The view, its roll-ups, and the change logs they are computed from."""
 
     def __init__(
         self,
@@ -53,11 +74,16 @@ class EnrichedView:
         fold_every: int = FOLD_EVERY,
         buckets: int = BUCKETS,
     ) -> None:
-        self.fold_every = fold_every
-        view = T.StructType([*schemas.ENRICHED.fields, T.StructField("deleted", T.BooleanType())])
         logs = {name: _log_schema(event) for name, event in TOPICS.items()}
-        buckets = {name: (key, buckets) for name, key in LOG_KEYS.items()}
-        self.tables = TableSet(spark, root, {**logs, "view": view}, buckets)
+        states = {name: _state(rows) for name, (rows, _) in STATES.items()}
+        keys = {**LOG_KEYS, **{n: key for n, (_, key) in STATES.items()}, "named": "customer_ref"}
+        self.tables = TableSet(
+            spark,
+            root,
+            {**logs, **states, "named": NAMED, "changes": states["view"]},
+            {name: (key, buckets) for name, key in keys.items()},
+            fold_every,
+        )
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(
@@ -66,31 +92,31 @@ class EnrichedView:
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
     def apply(self, batch: DataFrame, batch_id: int, source: str) -> None:
-        head = self.tables.head()
-        if head.holds(source, batch_id):
+        source = batch_source(source, batch)
+        attempt = self.tables.begin()
+        if attempt.head.holds(source, batch_id):
             return
-        version = head.version + 1
         with Kept() as keep:
             batch = keep(batch)
             self.tables.write_all(
-                {topic: batch.filter(F.col("topic") == topic) for topic in TOPICS}, version
+                {topic: batch.filter(F.col("topic") == topic) for topic in TOPICS}, attempt
             )
-            self.tables.write("view", self._recomputed(head, version, keep), version)
-        folded = self.tables.fold(
-            "view", ["order_key"], ~F.col("deleted"), head, self.fold_every
-        )
-        for topic in TOPICS:
-            folded |= self.tables.fold_log(topic, head, self.fold_every)
-        self.tables.commit(head, source, batch_id, folded)
-
-    def _recomputed(self, head: Head, version: int, keep: Kept) -> DataFrame:
+            self.tables.write_all(self._recomputed(attempt, keep), attempt)
+        for name, (_, key) in STATES.items():
+            self.tables.fold(name, attempt, [key], ~F.col("deleted"))
+        for name in (*TOPICS, "named", "changes"):
+            self.tables.fold(name, attempt)
+        self.tables.commit(attempt, source, batch_id)
+
+    def _recomputed(self, attempt: Attempt, keep: Kept) -> dict[str, DataFrame]:
         """Fresh rows, or tombstones, of the orders this version affects."""
+        head = attempt.head
 
         def log(topic: str, touched: list[int] | None) -> DataFrame:
-            recent = self.tables.log(topic, head, through=version).drop(VERSION)
-            return self.tables.base(topic, head, touched).unionByName(recent)
+            recent = self.tables.log(topic, head, attempt)
+            return self.tables.base(topic, head, touched).unionByName(recent).drop(VERSION)
 
-        affected = keep(self._affected(head, version, keep))
+        affected = keep(self._affected(attempt, keep))
         # The keys of a small batch turn each log into a single pass without a shuffle,
         # over the buckets of the folded part that hold them.
         wanted = F.broadcast(affected) if affected.count() <= BROADCAST_RECORDS else affected
@@ -103,41 +129,75 @@ class EnrichedView:
         customers = log("customers", self.tables.touched("customers", named)).join(
             named, "customer_ref", "left_semi"
         )
-        fresh = enriched_from_logs(orders, customers, lines).withColumn("deleted", F.lit(False))
-        return (
-            affected.withColumnRenamed("order_id", "affected_id")
-            .join(fresh, F.col("affected_id") == F.col("order_key"), "left")
-            .withColumn("order_key", F.col("affected_id"))
-            .withColumn("deleted", F.coalesce("deleted", F.lit(True)))
-            .drop("affected_id")
-        )
+        by_order, refs = keep(lines_by_order(lines)), keep(order_customer_refs(orders))
+        view = enriched_orders(latest_orders(orders), latest_customers(customers), by_order, refs)
+
+        def state(fresh: DataFrame, key: str) -> DataFrame:
+            fresh = fresh.withColumn("deleted", F.lit(False))
+            return (
+                affected.withColumnRenamed("order_id", "affected_id")
+                .join(fresh, F.col("affected_id") == F.col(key), "left")
+                .withColumn(key, F.col("affected_id"))
+                .withColumn("deleted", F.coalesce("deleted", F.lit(True)))
+                .drop("affected_id")
+            )
 
-    def _affected(self, head: Head, version: int, keep: Kept) -> DataFrame:
+        view = keep(state(view, "order_key"))
+        return {
+            "view": view,
+            "changes": view,
+            "lines_by_order": state(by_order, "order_id"),
+            "customer_refs": state(refs, "order_id"),
+            "named": self._new("orders", attempt)
+            .filter(F.col("customer_ref").isNotNull() & F.col("order_id").isNotNull())
+            .select("customer_ref", "order_id")
+            .distinct(),
+        }
+
+    def _new(self, topic: str, attempt: Attempt) -> DataFrame:
+        return self.tables.attempted_rows(topic, attempt)
+
+    def _affected(self, attempt: Attempt, keep: Kept) -> DataFrame:
         """Orders with an event of their own, a line event, or a changed customer.
 
-        An order keeps the customer its last event names, so the view as it stood
-        tells which orders a changed customer appears in.
+        An order keeps the customer its last event names. The orders that ever named a
+        changed customer are looked up by it, and those that still do in the view.
         """
-
-        def new(topic: str) -> DataFrame:
-            return self.tables.version_rows(topic, version)
-
-        changed = keep(new("customers").select("customer_ref").distinct())
-        orders = new("orders").select("order_id").union(new("lines").select("order_id"))
+        head = attempt.head
+        changed = keep(self._new("customers", attempt).select("customer_ref").distinct())
+        orders = self._new("orders", attempt).select("order_id")
+        orders = orders.union(self._new("lines", attempt).select("order_id"))
         if customers := changed.count():
             named = F.broadcast(changed) if customers <= BROADCAST_RECORDS else changed
-            shown = self._rows(head).join(named, "customer_ref", "left_semi")
+            index = self.tables.base("named", head, self.tables.touched("named", changed))
+            index = index.unionByName(self.tables.log("named", head))
+            ever = keep(index.join(named, "customer_ref", "left_semi").select("order_id").distinct())
+            shown = self._rows("view", head, self.tables.touched("view", ever))
+            shown = shown.join(named, "customer_ref", "left_semi")
             orders = orders.union(shown.select("order_id"))
         return orders.filter(F.col("order_id").isNotNull()).distinct()
 
-    def _rows(self, head: Head) -> DataFrame:
-        rows = self.tables.current("view", ["order_key"], head)
+    def _rows(
+        self, name: str, head: Head | None = None, touched: list[int] | None = None
+    ) -> DataFrame:
+        rows = self.tables.current(name, [STATES[name][1]], head, touched)
         return rows.filter(~F.col("deleted")).drop("deleted")
 
     def current(self) -> DataFrame:
         """The view at the newest version."""
-        return self._rows(self.tables.head())
+        return self._rows("view")
+
+    def lines_by_order(self) -> DataFrame:
+        """The lines of every order at the newest version."""
+        return self._rows("lines_by_order")
+
+    def customer_refs(self) -> DataFrame:
+        """The customer references of every order at the newest version."""
+        return self._rows("customer_refs")
 
     def changes(self) -> DataFrame:
-        """The rows the view emitted since the last fold, tombstones included."""
-        return self.tables.log("view", self.tables.head())
+        """All rows the view ever emitted, tombstones included, with their ``commit_version``.
+
+        They are kept for good. A consumer reads on from the last version it has seen.
+        """
+        return self.tables.versions("changes")

@@ -33,8 +33,7 @@ class Extraction:
         self.spark = spark
         self.deliver = deliver
         self.environment = environment
-        self.fold_every = fold_every
-        self.tables = TableSet(spark, root, {"bookmarks": BOOKMARKS})
+        self.tables = TableSet(spark, root, {"bookmarks": BOOKMARKS}, fold_every=fold_every)
 
     def bookmark(self, name: str) -> Bookmark | None:
         row = (
@@ -50,7 +49,8 @@ class Extraction:
         """Deliver the changes of one table; returns its new bookmark, if it moved.
 
         The last change is found first, so rows that arrive while the others are read
-        wait for the next run instead of being skipped.
+        wait for the next run instead of being skipped. The first run delivers rows
+        without an update time as well.
         """
         topic = topic_name(name, self.environment)
         mark = self.bookmark(name)
@@ -59,13 +59,10 @@ class Extraction:
         if last is None:
             return None
         self.deliver(topic, changes_up_to(changes, last, updated_at, row_id))
-        head = self.tables.head()
+        attempt = self.tables.begin()
         moved = [(name, last.updated_at, last.row_id)]
-        rows = self.spark.createDataFrame(moved, BOOKMARKS)
-        self.tables.write("bookmarks", rows, head.version + 1)
-        folded = self.tables.fold(
-            "bookmarks", ["source_table"], F.lit(True), head, self.fold_every
-        )
-        run_number = head.applied.get(name, [-1])[0] + 1
-        self.tables.commit(head, name, run_number, folded)
+        self.tables.write("bookmarks", self.spark.createDataFrame(moved, BOOKMARKS), attempt)
+        self.tables.fold("bookmarks", attempt, ["source_table"], F.lit(True))
+        run_number = attempt.head.applied.get(name, [-1])[0] + 1
+        self.tables.commit(attempt, name, run_number)
         return last

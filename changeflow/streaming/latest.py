@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.latest import latest
-from changeflow.streaming.tables import FOLD_EVERY, TableSet
+from changeflow.streaming.tables import FOLD_EVERY, TableSet, batch_source
 
 #: Keeps the state of a key on disk rather than in the memory of an executor.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,9 +36,10 @@ class LatestTable:
         self.spark = spark
         self.keys = list(keys)
         self.columns = list(columns)
-        self.fold_every = fold_every
         state = T.StructType([event[name] for name in (*keys, *columns, "op_type")])
-        self.tables = TableSet(spark, root, {"state": state})
+        self.tables = TableSet(
+            spark, root, {"state": state, "changes": state}, fold_every=fold_every
+        )
 
     def changelog(self, stream: DataFrame, ignore_nulls: bool = False) -> DataFrame:
         """The running latest state of the keys each micro-batch touches."""
@@ -60,16 +61,23 @@ class LatestTable:
 
     def apply(self, changes: DataFrame, batch_id: int, source: str) -> None:
         """Append the changed keys of one micro-batch and commit."""
-        head = self.tables.head()
-        if not head.holds(source, batch_id):
-            self.tables.write("state", changes, head.version + 1)
-            standing = F.col("op_type") != "D"
-            folded = self.tables.fold("state", self.keys, standing, head, self.fold_every)
-            self.tables.commit(head, source, batch_id, folded)
+        source = batch_source(source, changes)
+        attempt = self.tables.begin()
+        if attempt.head.holds(source, batch_id):
+            return
+        # A batch with state behind it runs once; the second table is read off the first.
+        self.tables.write("changes", changes, attempt)
+        self.tables.write("state", self.tables.attempted_rows("changes", attempt), attempt)
+        self.tables.fold("state", attempt, self.keys, F.col("op_type") != "D")
+        self.tables.fold("changes", attempt)
+        self.tables.commit(attempt, source, batch_id)
 
     def changes(self) -> DataFrame:
-        """The changelog since the last fold, with the ``commit_version`` of each row."""
-        return self.tables.log("state", self.tables.head())
+        """The whole changelog, tombstones included, with each row's ``commit_version``.
+
+        It is kept for good. A consumer reads on from the last version it has seen.
+        """
+        return self.tables.versions("changes")
 
     def current(self) -> DataFrame:
         """The live keys: last change per key, deletes removed."""

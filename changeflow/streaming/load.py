@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.operators import apply, resolve
-from changeflow.session import scratch_dir
+from changeflow.session import remove, scratch_dir
 from changeflow.settings import UpsertSettings
 from changeflow.streaming.upsert import References, Warehouse
 
@@ -33,7 +33,8 @@ def load_log(
     source again does nothing.
     """
     tables = warehouse.tables
-    head = tables.head()
+    attempt = tables.begin()
+    head = attempt.head
     if head.holds(source, 0):
         return
     now = F.lit(applied_at)
@@ -57,6 +58,7 @@ def load_log(
             "order_customer_links_history": apply.link_history_rows(stage),
             "order_customer_links": apply.last_operations(stage),
         },
-        head.version + 1,
+        attempt,
     )
-    tables.commit(head, source, 0)
+    tables.commit(attempt, source, 0)
+    remove(tables.spark, path)

@@ -1,18 +1,24 @@
-"""Several tables committed together: Parquet deltas under one manifest.
+"""Several tables committed together: Parquet files under one manifest.
 
-A batch writes its rows of every table under ``commit_version=<n>``, then creates the
-manifest of version n. Only versions up to the newest manifest are ever read, so a
-batch is visible in all tables or in none:
+A batch writes its rows of every table below a folder of its own, then creates the
+manifest of the next version, which names every folder that counts. Only what the newest
+manifest names is ever read, by its exact path, so a batch is visible in all tables or in
+none, and no reader lists what earlier versions left:
 
-* a crash before the manifest leaves files nobody reads, and the batch that runs again
-  takes the same version and overwrites them;
-* a crash after it finds its batch recorded, and does nothing.
+* a crash before the manifest leaves a folder nobody reads; the batch that runs again
+  writes another;
+* a crash after it finds its batch recorded, and does nothing;
+* of two writers of one version one fails, and neither touches the other's files.
 
-The manifest is created by a rename that refuses an existing target, so of two writers
-one fails. Object stores without such a rename need a committer that offers one.
+The manifest is created by a rename that refuses an existing target. Object stores
+without such a rename need a committer that offers it.
 
-State tables are logs of changed keys merged on read. A long log is folded into a base
-now and then, so a batch costs what it changes, not what the table holds.
+A batch is known by its source, by the streaming query that brought it (a fresh
+checkpoint is a new query, whose batches count from zero) and by its number.
+
+State tables are logs of changed keys merged on read. Logs are folded into bases, and
+bases of one size into a larger one, so a row is rewritten a few times at most and the
+number of folders a reader opens does not grow with the number of batches.
 """
 
 from __future__ import annotations
@@ -32,17 +38,29 @@ from pyspark.sql import types as T
 VERSION = "commit_version"
 BUCKET = "id_bucket"
 
-#: Versions after which the log of a state table is folded into a base.
+#: Versions after which the log of a table is folded into a base.
 FOLD_EVERY = 100
 
+#: Bases of one level that are merged into one of the next.
+MERGED_BASES = 8
+
 #: Manifests kept behind the newest one, for readers that pinned an older version.
 KEPT_MANIFESTS = 50
 
+#: Set by a streaming query for the calls it makes; stored in its checkpoint.
+QUERY_ID = "sql.streaming.queryId"
+
 
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def batch_source(source: str, batch: DataFrame) -> str:
+    """The source of a micro-batch: its name and, in a streaming query, the query's id."""
+    query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    return f"{source}#{query}" if query else source
+
+
 def _same(columns: Sequence[str]) -> Column:
     """A column equals its new value; a null equals a null, as part of a key may be one."""
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in columns])
@@ -52,23 +70,63 @@ class CommitConflict(RuntimeError):
     """Another writer created this version first."""
 
 
+@dataclass(frozen=True)
+class Base:
+    """Folded rows: the last version in them, their folder, how often they were merged."""
+
+    version: int
+    folder: str
+    level: int
+
+
 @dataclass(frozen=True)
 class Head:
-    """What is visible: a version, the last batch of each source, the folded bases."""
+    """What is visible: a version, the last batch of each source, the folders that count."""
 
     version: int = 0
     #: Per source, its last batch and the version that batch was written under.
     applied: dict[str, list[int]] = field(default_factory=dict)
-    #: Per table, the versions at which it was folded and whose base still counts.
-    bases: dict[str, list[int]] = field(default_factory=dict)
-
-    def folded(self, name: str) -> int:
-        """The version through which a table is folded."""
-        return self.bases[name][-1] if name in self.bases else 0
+    #: Per table, the versions written after its bases, with their folders.
+    logs: dict[str, dict[int, str]] = field(default_factory=dict)
+    #: Per table, its bases, the oldest first; levels do not rise.
+    bases: dict[str, list[Base]] = field(default_factory=dict)
+    #: Per table, folders its last fold replaced. The next fold removes them.
+    replaced: dict[str, list[str]] = field(default_factory=dict)
 
     def holds(self, source: str, batch_id: int) -> bool:
         return source in self.applied and self.applied[source][0] >= batch_id
 
+    def stored(self) -> str:
+        bases = {n: [[b.version, b.folder, b.level] for b in own] for n, own in self.bases.items()}
+        logs = {n: list(map(list, own.items())) for n, own in self.logs.items()}
+        parts = {"applied": self.applied, "logs": logs, "bases": bases, "replaced": self.replaced}
+        return json.dumps(parts)
+
+    @classmethod
+    def read(cls, version: int, text: str) -> Head:
+        parts = json.loads(text)
+        return cls(
+            version,
+            parts["applied"],
+            {n: dict(map(tuple, own)) for n, own in parts["logs"].items()},
+            {n: [Base(*b) for b in own] for n, own in parts["bases"].items()},
+            parts["replaced"],
+        )
+
+
+class Attempt:
+    """One try at the version after a head: what it wrote, below names of its own."""
+
+    def __init__(self, head: Head) -> None:
+        self.head = head
+        self.version = head.version + 1
+        self.name = f"{self.version:012d}-{uuid4().hex}"
+        self.written: dict[str, str] = {}
+        self.folded: dict[str, list[Base]] = {}
+        #: Of folded tables, the versions whose log remains.
+        self.logs: dict[str, dict[int, str]] = {}
+        self.replaced: dict[str, list[str]] = {}
+
 
 class TableSet:
     """Tables below ``root`` that change together.
@@ -83,10 +141,12 @@ class TableSet:
         root: str,
         tables: dict[str, T.StructType],
         buckets: dict[str, tuple[str, int]] | None = None,
+        fold_every: int = FOLD_EVERY,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets or {}
+        self.fold_every = fold_every
         # Files do not record that a column is never null.
         self.tables = {
             name: T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
@@ -100,64 +160,127 @@ class TableSet:
         versions = self._versions()
         if not versions:
             return Head()
-        stored = json.loads(self._read(self._manifest(versions[-1])))
-        return Head(versions[-1], stored["applied"], stored["bases"])
-
-    def commit(
-        self, head: Head, source: str, batch_id: int, bases: dict[str, list[int]] | None = None
-    ) -> Head:
-        """Make version ``head.version + 1`` visible."""
+        return Head.read(versions[-1], self._read(self._manifest(versions[-1])))
+
+    def begin(self, head: Head | None = None) -> Attempt:
+        """A try at the next version."""
+        return Attempt(head or self.head())
+
+    def commit(self, attempt: Attempt, source: str, batch_id: int) -> Head:
+        """Make what an attempt wrote visible."""
+        head = attempt.head
+        logs = {**head.logs, **attempt.logs}
+        for name, folder in attempt.written.items():
+            logs[name] = {**logs.get(name, {}), attempt.version: folder}
         new = replace(
             head,
-            version=head.version + 1,
-            applied={**head.applied, source: [batch_id, head.version + 1]},
-            bases={**head.bases, **(bases or {})},
+            version=attempt.version,
+            applied={**head.applied, source: [batch_id, attempt.version]},
+            logs=logs,
+            bases={**head.bases, **attempt.folded},
+            replaced={**head.replaced, **attempt.replaced},
         )
-        text = json.dumps({"applied": new.applied, "bases": new.bases})
-        self._create(self._manifest(new.version), text)
+        self._create(self._manifest(new.version), new.stored())
         for old in self._versions()[: -KEPT_MANIFESTS - 1]:
             self._files().delete(self._path(self._manifest(old)), False)
-        for name in bases or {}:
-            self._discard(name, head, new)
+        # One fold is kept behind, for readers that pinned a version before the last.
+        for name in attempt.replaced:
+            for folder in head.replaced.get(name, []):
+                self._files().delete(self._path(f"{self.root}/{name}/{folder}"), True)
         return new
 
-    # --- tables ---------------------------------------------------------------------
+    # --- writing --------------------------------------------------------------------
 
-    def write(self, name: str, rows: DataFrame, version: int) -> None:
-        """Write the rows of one version, replacing what a failed attempt left."""
-        path = f"{self.root}/{name}/log/{VERSION}={version}"
-        rows.select(*self.tables[name].names).write.mode("overwrite").parquet(path)
+    def write(self, name: str, rows: DataFrame, attempt: Attempt) -> None:
+        """Write a table's rows of the attempted version."""
+        folder = f"log/{attempt.name}"
+        marked = rows.select(
+            *self.tables[name].names, F.lit(attempt.version).cast("bigint").alias(VERSION)
+        )
+        marked.write.parquet(f"{self.root}/{name}/{folder}")
+        attempt.written[name] = folder
 
-    def write_all(self, rows: dict[str, DataFrame], version: int) -> None:
+    def write_all(self, rows: dict[str, DataFrame], attempt: Attempt) -> None:
         """Write several tables side by side: their jobs are small and independent."""
         with ThreadPoolExecutor(len(rows)) as pool:
             writes = [
-                pool.submit(inheritable_thread_target(self.spark)(self.write), name, frame, version)
+                pool.submit(inheritable_thread_target(self.spark)(self.write), name, frame, attempt)
                 for name, frame in rows.items()
             ]
         for write in writes:
             write.result()
 
-    def log(self, name: str, head: Head, through: int | None = None) -> DataFrame:
-        """Rows written after the base, with their ``commit_version``.
+    def fold(
+        self,
+        name: str,
+        attempt: Attempt,
+        keys: Sequence[str] = (),
+        standing: Column | None = None,
+    ) -> None:
+        """Fold a table's log once it is long, else merge bases once they are many.
 
-        ``through`` reaches past the head, for the version being written.
+        Of a state table, named by its ``keys``, the newest rows of every key remain; those
+        that mark it as gone (not ``standing``) leave once nothing older is below them. All
+        rows of other tables remain.
         """
-        rows = self._read_versions(name, "log")
-        last = head.version if through is None else through
-        return rows.filter(F.col(VERSION).between(head.folded(name) + 1, last))
+        head = attempt.head
+        log, bases = head.logs.get(name, {}), head.bases.get(name, [])
+        if len(log) >= self.fold_every:
+            kept, merged, level = bases, list(log.values()), 0
+            version = max(log)
+            attempt.logs[name] = {}
+        else:
+            last = next((b.level for b in reversed(bases)), 0)
+            same = [b for b in bases if b.level == last]
+            if len(same) < MERGED_BASES:
+                return
+            kept, merged, level = bases[: -len(same)], [b.folder for b in same], last + 1
+            version = same[-1].version
+        rows = self._read_folders(name, merged)
+        if keys:
+            rows = self._newest(rows, keys)
+            if standing is not None and not kept:
+                rows = rows.filter(standing)
+        folder = f"base/{attempt.name}"
+        self._write_base(name, rows, folder)
+        attempt.folded[name] = [*kept, Base(version, folder, level)]
+        attempt.replaced[name] = merged
+
+    def _write_base(self, name: str, rows: DataFrame, folder: str) -> None:
+        path = f"{self.root}/{name}/{folder}"
+        rows = rows.select(*self.tables[name].names, VERSION)
+        if name not in self.buckets:
+            rows.write.parquet(path)
+            return
+        key, count = self.buckets[name]
+        # Rebalancing splits the bucket of a hot key over several tasks.
+        parted = rows.withColumn(BUCKET, bucket_of(F.col(key), count)).hint("rebalance", BUCKET)
+        parted.write.partitionBy(BUCKET).parquet(path)
 
-    def version_rows(self, name: str, version: int) -> DataFrame:
-        """The rows one version wrote."""
-        return self._read_versions(name, "log").filter(F.col(VERSION) == version).drop(VERSION)
+    # --- reading --------------------------------------------------------------------
+
+    def log(self, name: str, head: Head, attempt: Attempt | None = None) -> DataFrame:
+        """Rows written after the bases, with their ``commit_version``.
+
+        They reach into an attempt, where one is given.
+        """
+        folders = list(head.logs.get(name, {}).values())
+        if attempt is not None and name in attempt.written:
+            folders.append(attempt.written[name])
+        return self._read_folders(name, folders)
+
+    def version_rows(self, name: str, version: int, head: Head | None = None) -> DataFrame:
+        """The rows one version wrote, while its log is not folded yet."""
+        folder = (head or self.head()).logs.get(name, {}).get(version)
+        return self._read_folders(name, [folder] if folder else []).drop(VERSION)
+
+    def attempted_rows(self, name: str, attempt: Attempt) -> DataFrame:
+        """The rows an attempt wrote."""
+        return self._read_folders(name, [attempt.written[name]]).drop(VERSION)
 
     def base(self, name: str, head: Head, touched: list[int] | None = None) -> DataFrame:
         """The folded rows, of the touched buckets only where those are given."""
-        rows = self._read_versions(name, "base")
-        rows = rows.filter(F.col(VERSION).isin(head.bases.get(name, [])))
-        if touched is not None:
-            rows = rows.filter(F.col(BUCKET).isin(touched))
-        return rows.select(*self.tables[name].names)
+        return self._read_folders(name, [b.folder for b in head.bases.get(name, [])], touched)
 
     def touched(self, name: str, keys: DataFrame) -> list[int] | None:
         """The buckets of a table that a single column of keys falls into.
@@ -171,80 +294,95 @@ class TableSet:
 
     def appended(self, name: str, head: Head | None = None) -> DataFrame:
         """All rows of an append-only table."""
+        return self.versions(name, head).drop(VERSION)
+
+    def versions(self, name: str, head: Head | None = None) -> DataFrame:
+        """All rows of a table with the ``commit_version`` that wrote them."""
         head = head or self.head()
-        return self.base(name, head).unionByName(self.log(name, head).drop(VERSION))
+        return self.base(name, head).unionByName(self.log(name, head))
 
-    def current(self, name: str, keys: Sequence[str], head: Head | None = None) -> DataFrame:
+    def current(
+        self,
+        name: str,
+        keys: Sequence[str],
+        head: Head | None = None,
+        touched: list[int] | None = None,
+        attempt: Attempt | None = None,
+    ) -> DataFrame:
         """The state of a table: per key, the rows of the last version that wrote it.
 
         A key may have several rows in a version; those that mark it as gone are
-        among them, and the caller drops them.
+        among them, and the caller drops them. The oldest base, which holds most keys, is
+        only filtered by the keys that were written later.
         """
         head, keys = head or self.head(), list(keys)
-        log = self.log(name, head)
-        newest = log.groupBy(*[F.col(k).alias(f"new_{k}") for k in keys]).agg(
-            F.max(VERSION).alias(f"new_{VERSION}")
+        folders = [b.folder for b in head.bases.get(name, [])]
+        oldest = self._read_folders(name, folders[:1], touched)
+        later = self._read_folders(name, folders[1:], touched).unionByName(
+            self.log(name, head, attempt)
         )
-        fresh = log.join(newest, _same([*keys, VERSION]), "left_semi")
-        untouched = self.base(name, head).join(newest, _same(keys), "left_anti")
-        return untouched.unionByName(fresh.drop(VERSION))
+        newest = self._newest_versions(later, keys)
+        fresh = later.join(newest, _same([*keys, VERSION]), "left_semi")
+        untouched = oldest.join(newest, _same(keys), "left_anti")
+        return untouched.unionByName(fresh).drop(VERSION)
 
-    def fold(
-        self, name: str, keys: Sequence[str], standing: Column, head: Head, every: int
-    ) -> dict[str, list[int]]:
-        """Fold a state table's log of ``every`` versions or more into a new base.
+    def _newest_versions(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*[F.col(k).alias(f"new_{k}") for k in keys]).agg(
+            F.max(VERSION).alias(f"new_{VERSION}")
+        )
 
-        Returns what the next commit has to record; until then nobody reads it.
-        """
-        if head.version - head.folded(name) < every:
-            return {}
-        self._write_base(name, self.current(name, keys, head).filter(standing), head.version)
-        return {name: [head.version]}
-
-    def fold_log(self, name: str, head: Head, every: int) -> dict[str, list[int]]:
-        """Add an append-only table's log of ``every`` versions or more to its bases."""
-        if head.version - head.folded(name) < every:
-            return {}
-        self._write_base(name, self.log(name, head), head.version)
-        return {name: [*head.bases.get(name, []), head.version]}
-
-    def _write_base(self, name: str, rows: DataFrame, version: int) -> None:
-        path = f"{self.root}/{name}/base/{VERSION}={version}"
-        rows = rows.select(*self.tables[name].names)
-        if name not in self.buckets:
-            rows.write.mode("overwrite").parquet(path)
-            return
-        key, count = self.buckets[name]
-        # Rebalancing splits the bucket of a hot key over several tasks.
-        parted = rows.withColumn(BUCKET, bucket_of(F.col(key), count)).hint("rebalance", BUCKET)
-        parted.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    def _newest(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        newest = self._newest_versions(rows, keys)
+        return rows.join(newest, _same([*keys, VERSION]), "left_semi")
 
-    def _read_versions(self, name: str, part: str) -> DataFrame:
-        folder = f"{self.root}/{name}/{part}"
+    def _read_folders(
+        self, name: str, folders: Sequence[str], touched: list[int] | None = None
+    ) -> DataFrame:
+        """Rows of folders read by their exact paths, of the touched buckets of bases."""
         fields = [*self.tables[name].fields, T.StructField(VERSION, T.LongType())]
-        if part == "base" and name in self.buckets:
-            fields.append(T.StructField(BUCKET, T.IntegerType()))
-        if not self._files().util().exists(self._path(folder)):
+        names = [f.name for f in fields]
+        parted = name in self.buckets
+        parts = []
+        for kind in ("base", "log"):
+            paths = [f"{self.root}/{name}/{f}" for f in folders if f.startswith(kind)]
+            if not paths:
+                continue
+            if kind == "base" and parted:
+                bucketed = T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
+                for path in paths:  # each is partitioned by bucket for itself
+                    rows = self.spark.read.schema(bucketed).parquet(path)
+                    if touched is not None:
+                        rows = rows.filter(F.col(BUCKET).isin(touched))
+                    parts.append(rows.select(*names))
+            else:
+                parts.append(self.spark.read.schema(T.StructType(fields)).parquet(*paths))
+        if not parts:
             # An empty range rather than an empty list: the optimizer knows its size.
             nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
             return self.spark.range(0).select(*nothing)
-        return self.spark.read.schema(T.StructType(fields)).parquet(folder)
+        return reduce(DataFrame.unionByName, parts)
 
-    def _discard(self, name: str, old: Head, new: Head) -> None:
-        """Remove what the base before the newest one already made superfluous.
+    def vacuum(self) -> list[str]:
+        """Remove the folders no manifest names: what failed attempts left.
 
-        One fold is kept behind, for readers that pinned a version before the last.
+        Only for when no writer is at work; a running one's folder is not named yet.
         """
-        kept = {*old.bases.get(name, []), *new.bases[name]}
-        superfluous = {
-            "log": lambda version: version <= old.folded(name),
-            "base": lambda version: version < new.folded(name) and version not in kept,
-        }
-        for part, test in superfluous.items():
-            folder = f"{self.root}/{name}/{part}"
-            for entry in self._names(folder):
-                if entry.startswith(f"{VERSION}=") and test(int(entry.split("=")[1])):
-                    self._files().delete(self._path(f"{folder}/{entry}"), True)
+        named = set()
+        for version in self._versions():
+            head = Head.read(version, self._read(self._manifest(version)))
+            for name in self.tables:
+                named |= {(name, f) for f in head.logs.get(name, {}).values()}
+                named |= {(name, b.folder) for b in head.bases.get(name, [])}
+                named |= {(name, f) for f in head.replaced.get(name, [])}
+        removed = []
+        for name in self.tables:
+            for kind in ("log", "base"):
+                for entry in self._names(f"{self.root}/{name}/{kind}"):
+                    if (name, f"{kind}/{entry}") not in named:
+                        removed.append(f"{self.root}/{name}/{kind}/{entry}")
+        for path in removed:
+            self._files().delete(self._path(path), True)
+        return removed
 
     # --- the file system the tables live on -------------------------------------------
 

@@ -19,7 +19,9 @@ from changeflow import schemas
 from changeflow.operators import apply, events, resolve
 from changeflow.settings import UpsertSettings
 from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
-from changeflow.streaming.tables import BUCKET, FOLD_EVERY, Head, TableSet, bucket_of
+from changeflow.streaming.tables import (
+    BUCKET, FOLD_EVERY, Attempt, Head, TableSet, batch_source, bucket_of,
+)
 
 #: What one change of a link looks like in the log of the links table.
 LINK_CHANGES = T.StructType([*schemas.LINKS.fields, T.StructField("op_type", T.StringType())])
@@ -57,8 +59,8 @@ def bucketed(orders: DataFrame, buckets: int) -> DataFrame:
 class Warehouse:
     """The tables the upsert maintains, as they stand at one version."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.tables = TableSet(spark, root, WAREHOUSE)
+    def __init__(self, spark: SparkSession, root: str, fold_every: int = FOLD_EVERY) -> None:
+        self.tables = TableSet(spark, root, WAREHOUSE, fold_every=fold_every)
 
     def backfilled_customers(self, head: Head | None = None) -> DataFrame:
         return self.tables.appended("customers_backfill", head)
@@ -93,7 +95,6 @@ class UpsertSink:
         references: References,
         source: str,
         settings: UpsertSettings = UpsertSettings(),
-        fold_every: int = FOLD_EVERY,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
         publish: Callable[[DataFrame], None] | None = None,
     ) -> None:
@@ -101,24 +102,25 @@ class UpsertSink:
         self.references = references
         self.source = source
         self.settings = settings
-        self.fold_every = fold_every
         self.clock = clock
         self.publish = publish
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        head = self.warehouse.tables.head()
-        if not head.holds(self.source, batch_id):
-            self._flush(batch, batch_id, head)
+        source = batch_source(self.source, batch)
+        attempt = self.warehouse.tables.begin()
+        if not attempt.head.holds(source, batch_id):
+            self._flush(batch, batch_id, source, attempt)
         if self.publish:
-            self._publish(batch_id)
+            self._publish(batch_id, source)
 
-    def _publish(self, batch_id: int) -> None:
+    def _publish(self, batch_id: int, source: str) -> None:
         tables = self.warehouse.tables
-        last, version = tables.head().applied.get(self.source, (None, 0))
+        head = tables.head()
+        last, version = head.applied.get(source, (None, 0))
         if last == batch_id:
-            self.publish(tables.version_rows("order_customer_links_history", version))
+            self.publish(tables.version_rows("order_customer_links_history", version, head))
 
-    def _flush(self, batch: DataFrame, batch_id: int, head: Head) -> None:
+    def _flush(self, batch: DataFrame, batch_id: int, source: str, attempt: Attempt) -> None:
         with Kept() as keep:
             records = keep(
                 resolve.distinct_records(
@@ -130,16 +132,17 @@ class UpsertSink:
             )
             count = records.count()
             if count:
-                self._apply(records, count <= BROADCAST_RECORDS, head, batch_id, keep)
+                self._apply(records, count <= BROADCAST_RECORDS, attempt, keep)
+                self.warehouse.tables.commit(attempt, source, batch_id)
 
     def _apply(
-        self, records: DataFrame, small: bool, head: Head, batch_id: int, keep: Kept
+        self, records: DataFrame, small: bool, attempt: Attempt, keep: Kept
     ) -> None:
         applied_at = F.lit(self.clock())
         catalog = (
             self.references.customers()
             .select(*schemas.CUSTOMERS.names)
-            .unionByName(self.warehouse.backfilled_customers(head))
+            .unionByName(self.warehouse.backfilled_customers(attempt.head))
         )
         if small:
             # One pass over each reference table, and no shuffle of either.
@@ -166,8 +169,8 @@ class UpsertSink:
             "order_customer_links": apply.last_operations(stage),
         }
         stage.count()
-        self.warehouse.tables.write_all(rows, head.version + 1)
-        self.warehouse.tables.commit(head, self.source, batch_id, self._fold(head))
+        self.warehouse.tables.write_all(rows, attempt)
+        self._fold(attempt)
 
     def _orders(self, records: DataFrame) -> DataFrame:
         """The orders, less the partitions no record of the batch can match."""
@@ -196,15 +199,15 @@ class UpsertSink:
             .select(*catalog.columns)
         )
 
-    def _fold(self, head: Head) -> dict[str, list[int]]:
-        folded: dict[str, list[int]] = {}
-        for name, (keys, standing) in {
-            "customers_backfill": (("id", "source_id"), F.lit(True)),
-            "order_customer_candidates": (apply.ORDER_KEY, F.lit(True)),
-            "order_customer_links": (apply.ORDER_KEY, F.col("op_type") == "I"),
-        }.items():
-            folded |= self.warehouse.tables.fold(name, keys, standing, head, self.fold_every)
-        return folded
+    def _fold(self, attempt: Attempt) -> None:
+        for name, keys, standing in (
+            ("customers_backfill", ("id", "source_id"), F.lit(True)),
+            ("order_customer_candidates", apply.ORDER_KEY, F.lit(True)),
+            ("order_customer_candidates_history", (), None),
+            ("order_customer_links", apply.ORDER_KEY, F.col("op_type") == "I"),
+            ("order_customer_links_history", (), None),
+        ):
+            self.warehouse.tables.fold(name, attempt, keys, standing)
 
 
 def start_upsert(

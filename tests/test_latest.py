@@ -99,15 +99,49 @@ def test_large_orders_are_split_but_whole(spark, mode):
         r.order_id: r for r in latest.lines_by_order(log, mode).collect()
     }
     parts = defaultdict(list)
-    for row in latest.lines_by_order(log, mode, max_elements=16).collect():
+    for row in latest.lines_by_order(log, mode, chunk=16).collect():
         parts[row.order_id].append(row)
     assert set(parts) == set(whole)
     assert len(parts["hot"]) > 1
     for order_id, rows in parts.items():
         rows.sort(key=lambda r: r.lines_part)
-        assert all(len(r.lines) <= 16 for r in rows)
+        assert [r.lines_part for r in rows] == list(range(len(rows)))
+        assert all(len(r.lines) == 16 for r in rows[:-1])
         assert [x for r in rows for x in r.lines] == whole[order_id].lines
-        assert {r.order_total for r in rows} == {whole[order_id].order_total}
+        totals = [r.order_total for r in rows]
+        assert totals == [whole[order_id].order_total] + [None] * (len(rows) - 1)
+    long = latest.order_lines(log, mode).filter("order_id = 'hot'").collect()
+    assert [r.line_number for r in sorted(long, key=lambda r: r.position)] == [
+        x.line_number for x in whole["hot"].lines
+    ]
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 4096])
+def test_history_does_not_matter_to_current_lines(spark, monkeypatch, ranges):
+    monkeypatch.setattr(latest, "RANGES", ranges)
+    live = [line(90, "a", 1, 2, "2.00"), line(91, "a", None, 3, "1.00")]
+    history = [line(i, "a", 1, i + 1) for i in range(40)]
+    short, long = (
+        sorted(map(tuple, latest.lines_by_order(lines_of(spark, *rows), "current", 2).collect()))
+        for rows in (live, [*history, *live])
+    )
+    assert short == long and len(short) == 1
+
+
+def test_many_lines_and_many_references_are_paired_part_by_part(spark):
+    """Offsets far apart, both sides in parts: every line, reference and total once."""
+    lines = [line(10**14 * i + 7, "a", i, 1, "1.00") for i in range(40)] + [line(5, "b", 1)]
+    orders = [order(10**13 * i, "a", ref=f"R{i:02d}") for i in range(25)]
+    orders += [order(10**15, "b", ref="R00"), order(10**15 + 1, "c")]
+    none = spark.createDataFrame([], CUSTOMERS)
+    rows = enrich.enriched_from_logs(
+        orders_of(spark, *orders), none, lines_of(spark, *lines), chunk=10
+    ).collect()
+    own = [r for r in rows if r.order_id == "a"]
+    assert len(own) == 4 and len(rows) == 6
+    assert sorted(x.line_number for r in own for x in r.lines or []) == list(range(40))
+    assert sorted(x for r in own for x in r.customer_refs or []) == [f"R{i:02d}" for i in range(25)]
+    assert [r.order_total for r in own if r.order_total is not None] == [Decimal("40.00")]
 
 
 def test_references_are_distinct_trimmed_and_split_only_when_many(spark):

@@ -19,7 +19,8 @@ from changeflow.sources.landing import land, read_landing
 from changeflow.streaming.enriched import EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
 from changeflow.streaming.load import load_log
-from changeflow.streaming.tables import CommitConflict, Head, TableSet
+from changeflow.streaming import tables as storage
+from changeflow.streaming.tables import FOLD_EVERY, CommitConflict, Head, TableSet
 from changeflow.streaming.upsert import (
     References, UpsertSink, Warehouse, bucketed, start_upsert,
 )
@@ -29,7 +30,7 @@ __all__ = ["references"]
 
 def job(spark, references, root, **options):
     orders, sources, customers = references
-    warehouse = Warehouse(spark, f"{root}/warehouse")
+    warehouse = Warehouse(spark, f"{root}/warehouse", options.pop("fold_every", FOLD_EVERY))
     loaded = References(lambda: orders, lambda: sources, lambda: customers)
     return warehouse, UpsertSink(warehouse, loaded, "test", **options)
 
@@ -66,9 +67,7 @@ def test_batches_equal_the_row_by_row_model_across_folds(spark, references, tmp_
     warehouse, sink = job(spark, references, tmp_path, fold_every=2)
     for number, batch in enumerate(batches(log, 16)):
         sink(frame_of(spark, batch), number)
-    assert set(warehouse.tables.head().bases) == {
-        "customers_backfill", "order_customer_candidates", "order_customer_links"
-    }
+    assert set(warehouse.tables.head().bases) == set(warehouse.tables.tables)
     check(warehouse, modelled(log, 16))
 
 
@@ -152,13 +151,62 @@ def test_a_batch_without_relevant_events_commits_nothing(spark, references, tmp_
     assert warehouse.tables.head() == Head()
 
 
-def test_only_one_writer_creates_a_version(spark, tmp_path):
+def sources_frame(spark, *ids):
+    return spark.createDataFrame([(i, "s", "t", None) for i in ids], schemas.SOURCES)
+
+
+def test_of_two_writers_one_fails_and_neither_loses_rows(spark, tmp_path):
     tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES})
-    head = tables.head()
-    tables.commit(head, "a", 0)
+    first, second = tables.begin(), tables.begin()
+    tables.write("t", sources_frame(spark, 1, 2, 3), first)
+    tables.write("t", sources_frame(spark, 7, 8), second)
+    tables.commit(first, "a", 0)
     with pytest.raises(CommitConflict):
-        tables.commit(head, "b", 0)
+        tables.commit(second, "b", 0)
     assert tables.head().applied == {"a": [0, 1]}
+    assert sorted(r.id for r in tables.appended("t").collect()) == [1, 2, 3]
+    again = tables.begin()
+    tables.write("t", sources_frame(spark, 7, 8), again)
+    tables.commit(again, "b", 0)
+    assert sorted(r.id for r in tables.appended("t").collect()) == [1, 2, 3, 7, 8]
+    assert [p.rsplit("/", 1)[1] for p in tables.vacuum()] == [second.name]
+    assert sorted(r.id for r in tables.appended("t").collect()) == [1, 2, 3, 7, 8]
+
+
+def test_what_a_version_opens_does_not_grow_with_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "MERGED_BASES", 3)
+    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES, "all": schemas.SOURCES}, fold_every=4)
+    opened, rewritten = [], 0
+    for number in range(60):
+        attempt = tables.begin()
+        rows = sources_frame(spark, number % 7, 100 + number)
+        tables.write_all({"t": rows, "all": rows}, attempt)
+        tables.fold("t", attempt, ["id"], F.lit(True))
+        tables.fold("all", attempt)
+        rewritten += len(attempt.replaced.get("all", []))
+        head = tables.commit(attempt, "a", number)
+        opened.append(sum(len(part.get("all", [])) for part in (head.logs, head.bases)))
+    # a log of four, and two or three bases of each of a few levels
+    assert max(opened) <= 4 + 3 * 4 and max(opened[:30]) <= max(opened[30:]) + 3
+    assert rewritten <= 60 * 1.5
+    written = sorted([n % 7 for n in range(60)] + list(range(100, 160)))
+    assert sorted(r.id for r in tables.appended("all").collect()) == written
+    assert sorted(r.id for r in tables.current("t", ["id"]).collect()) == [*range(7), *range(100, 160)]
+    versions = {r.commit_version for r in tables.versions("all").collect()}
+    assert versions == set(range(1, 61))
+
+
+def test_a_fresh_checkpoint_replays_the_topic(spark, references, tmp_path):
+    log = random_log(23, 30)
+    warehouse, sink = job(spark, references, tmp_path)
+    topic = str(tmp_path / "topic")
+    land(frame_of(spark, log), topic)
+    for checkpoint in ("first", "first", "second"):
+        stream = read_landing(spark, topic, schemas.ORDER_EVENT)
+        start_upsert(stream, sink, str(tmp_path / checkpoint)).awaitTermination()
+    assert warehouse.tables.head().version == 2
+    check(warehouse, modelled(log + log, 30))
+    assert links_of(warehouse.links()) == modelled(log, 30).links
 
 
 def test_a_reader_pinned_to_a_version_sees_just_that(spark, references, tmp_path):
@@ -189,14 +237,14 @@ def test_bucketed_orders_are_pruned_to_the_batch(spark, references, tmp_path):
     assert pruned.count() < orders.count()
 
 
-def test_folding_discards_what_two_folds_ago_made_superfluous(spark, references, tmp_path):
+def test_folding_discards_what_the_fold_before_replaced(spark, references, tmp_path):
     log = random_log(19, 50)
     warehouse, sink = job(spark, references, tmp_path, fold_every=1)
     for number, batch in enumerate(batches(log, 10)):
         sink(frame_of(spark, batch), number)
     check(warehouse, modelled(log, 10))
-    kept = {p.name for p in (tmp_path / "warehouse/order_customer_links/log").iterdir()}
-    assert kept == {"commit_version=4", "commit_version=5"}
+    kept = {int(p.name.split("-")[0]) for p in (tmp_path / "warehouse/order_customer_links/log").iterdir()}
+    assert kept == {4, 5}
 
 
 def test_applied_rows_are_published_after_the_commit_and_again_if_that_failed(
@@ -265,6 +313,10 @@ def test_latest_stream_emits_tombstones(spark, tmp_path):
         if len(seen) == 2:
             last = table.changes().filter("commit_version = 2").collect()
             assert [(r.order_id, r.op_type) for r in last] == [("a", "D")]
+    changes = [(r.commit_version, r.order_id, r.op_type) for r in table.changes().collect()]
+    assert sorted(changes) == [
+        (1, "a", "I"), (1, "b", "I"), (2, "a", "D"), (3, "b", "I"), (3, "c", "I"), (4, "a", "I")
+    ]
     assert seen == [
         {"a": "NEW", "b": "NEW"}, {"b": "NEW"}, {"b": "SHIPPED", "c": None},
         {"a": "BACK", "b": "SHIPPED", "c": None},
@@ -310,14 +362,15 @@ def test_enriched_view_follows_a_change_on_any_side(spark, tmp_path):
 
 
 def test_folded_logs_are_kept_whole_and_read_by_bucket(spark, tmp_path):
-    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES}, {"t": ("id", 8)})
+    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES}, {"t": ("id", 8)}, fold_every=2)
     for number in range(5):
-        head = tables.head()
+        attempt = tables.begin()
         rows = [(i, "s", "t", None) for i in range(number * 10, number * 10 + 10)]
-        tables.write("t", spark.createDataFrame(rows, schemas.SOURCES), head.version + 1)
-        tables.commit(head, "a", number, tables.fold_log("t", head, 2))
+        tables.write("t", spark.createDataFrame(rows, schemas.SOURCES), attempt)
+        tables.fold("t", attempt)
+        tables.commit(attempt, "a", number)
     head = tables.head()
-    assert head.bases["t"] == [2, 4]
+    assert [b.version for b in head.bases["t"]] == [2, 4]
     assert sorted(r.id for r in tables.appended("t").collect()) == list(range(50))
     keys = spark.createDataFrame([(3,)], "id int")
     few = tables.base("t", head, tables.touched("t", keys))
