@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.values import utc_second
 
-#: Fields whose keys an event must carry (their values may still be null).
+#: Fields whose keys an event must carry (their values may still be null).
 REQUIRED_FIELDS = ("link_origin", "op_type", "order_id")
 
 #: Outcomes of decoding a payload.
@@ -15,7 +15,10 @@ DECODED = "decoded"
 UNDECODABLE = "undecodable"
 EMPTY = "empty"
 MISSING_FIELD = "missing_field"
+UNKNOWN_FRAME = "unknown_frame"
+UNKNOWN_SCHEMA = "unknown_schema"
 
+#: The operations that are applied, and the origin whose inserts are not.
 APPLIED_OPERATIONS = ("I", "D")
 AUTOMATIC_ORIGIN = "A"
 
@@ -64,7 +67,7 @@ def rejected(events: DataFrame, decode_status: str | None = None) -> DataFrame:
     return (
         events.withColumn("reject_reason", reason)
         .filter(F.col("reject_reason").isNotNull())
-        .withColumn("counted", F.col("reject_reason") != UNDECODABLE)
+        .withColumn("counted", ~F.col("reject_reason").isin(UNDECODABLE, UNKNOWN_FRAME, UNKNOWN_SCHEMA))
     )
 
 

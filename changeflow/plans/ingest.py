@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.keys import customer_hash, customer_id
 from changeflow.operators import events, resolve
 from changeflow.plans.inputs import Inputs, shown
 from changeflow.plans.oracle import instant_text, query
-from changeflow.sources import extract, generate, kafka, seeds
+from changeflow.session import scratch_dir
+from changeflow.sources import generate, kafka, seeds
+from changeflow.streaming.extraction import Extraction
 
 
 def cdc_frame_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,36 @@ def cdc_frame_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.withColumn("body", F.decode("body", "UTF-8"))
 
 
+def cdc_frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of two schema versions decoded each by its own, and the rest refused."""
+    log = Inputs(spark, sf_dir).order_log
+    k = (F.col("current_ts") - F.col("op_ts")).cast("int")
+    old = F.to_json(F.struct("order_id", F.col("op_type").alias("op")))
+    new = F.to_json(F.struct("order_id", "op_type", "customer_ref"), {"ignoreNullFields": "false"})
+    whole = F.when(k % 2 == 0, kafka.framed(F.encode(new, "UTF-8"), 2)).otherwise(
+        kafka.framed(F.encode(old, "UTF-8"), 1)
+    )
+    value = (
+        F.when(k == 41, F.unhex(F.lit("00AA")))
+        .when(k == 42, F.concat(F.unhex(F.lit("01")), whole))
+        .when(k == 43, kafka.framed(F.encode(new, "UTF-8"), 7))
+        .when(k == 44, None)
+        .when(k == 46, kafka.framed(F.encode(F.lit("{"), "UTF-8"), 2))
+        .otherwise(whole)
+    )
+
+    def old_version(body: Column) -> Column:
+        event = F.from_json(body.cast("string"), "order_id string, op string")
+        return F.struct(event["order_id"].alias("order_id"), event["op"].alias("op_type"))
+
+    def new_version(body: Column) -> Column:
+        return F.from_json(body.cast("string"), "order_id string, op_type string, customer_ref string")
+
+    topic = log.select(value.alias("value"), "kafka_partition", "kafka_offset")
+    events_ = kafka.decode_framed(topic, {1: old_version, 2: new_version})
+    return events_.select("kafka_offset", "decode_status", "order_id", "op_type", "customer_ref")
+
+
 def cdc_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decode JSON payloads, some of them damaged, and tell why each is refused."""
     log = Inputs(spark, sf_dir).order_log
@@ -101,27 +131,34 @@ def operational_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes since a bookmark, per table; a table without one is read from the start."""
+    """Two runs per table, rows arriving in between; some rows have no update time."""
     inputs = Inputs(spark, sf_dir)
-    mark = extract.Bookmark(datetime(1998, 1, 1), 700)
+    root = scratch_dir(spark, "extract")
 
-    def changes(table: str, rows: DataFrame, bookmark: extract.Bookmark | None) -> DataFrame:
-        return extract.changed_rows(rows, bookmark).select(
-            F.lit(extract.topic_name(table)).alias("topic"), F.col("id").alias("row_id"), "updated_at"
-        )
+    def deliver(topic: str, rows: DataFrame) -> None:
+        told = rows.select(F.lit(topic).alias("topic"), F.col("id").alias("row_id"), "updated_at")
+        told.write.mode("append").parquet(f"{root}/delivered/run={run}")
 
-    def source(name: str, key: str, updated_at) -> DataFrame:
+    def source(name: str, key: str, updated_at: Column) -> DataFrame:
         stamp = updated_at.cast("timestamp").alias("updated_at")
         return inputs.table(name).select(F.col(key).alias("id"), stamp)
 
-    orders = source("orders", "o_orderkey", F.col("o_orderdate"))
-    lines = source("lineitem", "l_orderkey", F.col("l_shipdate"))
-    customers = source("customer", "c_custkey", F.lit(None))
-    return shown(
-        changes("orders", orders, mark)
-        .unionByName(changes("order_lines", lines, mark))
-        .unionByName(changes("customers", customers, None))
-    )
+    balance = F.col("c_acctbal")
+    tables = {
+        "orders": source("orders", "o_orderkey", F.col("o_orderdate")),
+        "order_lines": source("lineitem", "l_orderkey", F.col("l_shipdate")),
+        "customers": source(
+            "customer", "c_custkey",
+            F.when(balance > 0, F.timestamp_seconds(F.floor(balance) * 86400)),
+        ),
+    }
+    extraction = Extraction(spark, f"{root}/bookmarks", deliver)
+    early = F.col("updated_at").isNull() | (F.col("updated_at") < F.lit("1996-01-01").cast("timestamp"))
+    for run in (1, 2):
+        for name, rows in tables.items():
+            extraction.run(name, rows.filter(early) if run == 1 else rows)
+    delivered = spark.read.schema("topic string, row_id long, updated_at timestamp, run int")
+    return shown(delivered.parquet(f"{root}/delivered"))
 
 
 def seed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +185,7 @@ def gen_events_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        cdc_frame_split, cdc_json_decode, cdc_relevant, cdc_rejects, cdc_normalized,
+        cdc_frame_split, cdc_frame_decode, cdc_json_decode, cdc_relevant, cdc_rejects, cdc_normalized,
         expand_updates, customer_keys, operational_orders, incremental_extract, seed_orders,
         gen_events_profile,
     )
@@ -206,6 +243,15 @@ ORACLE = {
         SELECT kafka_offset, '00' AS marker, op_ts - 1704067200000 AS schema_id,
                coalesce(order_id, '') AS body
         FROM order_log"""),
+    "cdc_frame_decode": query("""
+        SELECT kafka_offset, decode_status,
+               CASE WHEN decode_status = 'decoded' THEN order_id END AS order_id,
+               CASE WHEN decode_status = 'decoded' THEN op_type END AS op_type,
+               CASE WHEN decode_status = 'decoded' AND k % 2 = 0 THEN customer_ref END AS customer_ref
+        FROM (SELECT *, CASE k WHEN 41 THEN 'unknown_frame' WHEN 42 THEN 'unknown_frame'
+                               WHEN 43 THEN 'unknown_schema' WHEN 44 THEN 'empty'
+                               WHEN 46 THEN 'undecodable' ELSE 'decoded' END AS decode_status
+              FROM order_log)"""),
     "cdc_json_decode": query(f"""
         SELECT kafka_offset, decode_status,
                CASE WHEN decode_status <> 'decoded' THEN decode_status ELSE {_REASON} END AS reject_reason,
@@ -242,13 +288,19 @@ ORACLE = {
         FROM orders_reference
         WHERE source_id IN (SELECT id FROM sources_reference WHERE source_type LIKE '%operational%')"""),
     "incremental_extract": """
-        SELECT topic, row_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at
-        FROM (SELECT 'cdc.dev.orders' AS topic, o_orderkey AS row_id, o_orderdate AS updated_at FROM orders
-              UNION ALL
-              SELECT 'cdc.dev.order_lines', l_orderkey, l_shipdate FROM lineitem)
-        WHERE (updated_at, row_id) > (TIMESTAMP '1998-01-01', 700)
-        UNION ALL
-        SELECT 'cdc.dev.customers', c_custkey, NULL FROM customer""",
+        WITH sources AS (
+            SELECT 'cdc.dev.orders' AS topic, o_orderkey AS row_id, CAST(o_orderdate AS TIMESTAMP) AS updated_at
+            FROM orders
+            UNION ALL
+            SELECT 'cdc.dev.order_lines', l_orderkey, CAST(l_shipdate AS TIMESTAMP) FROM lineitem
+            UNION ALL
+            SELECT 'cdc.dev.customers', c_custkey,
+                   CASE WHEN c_acctbal > 0
+                        THEN make_timestamp(CAST(floor(c_acctbal) AS BIGINT) * 86400 * 1000000) END
+            FROM customer)
+        SELECT topic, row_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at,
+               CASE WHEN coalesce(updated_at < TIMESTAMP '1996-01-01', true) THEN 1 ELSE 2 END AS run
+        FROM sources""",
     "seed_orders": query("""
         SELECT id, 'EXT-' || substr(id, 5) AS external_order_id, source_id, source_name, order_status,
                CAST(order_date AS VARCHAR) AS order_date, '2023-12-31 00:00:00' AS created_at

@@ -11,7 +11,8 @@ from changeflow.session import tune
 from changeflow.settings import UpsertSettings
 from changeflow.sources import fixtures
 
-SETTINGS = UpsertSettings()
+#: Small batches, so that the logs of the tests have many.
+SETTINGS = UpsertSettings(batch_size=500)
 APPLIED_AT = "2026-01-06 00:00:00"
 
 

@@ -13,7 +13,8 @@ _RELATIONS = {
         SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events""",
     "order_log": """
         SELECT CAST(user_id % 3 AS INT) AS kafka_partition, event_id AS kafka_offset,
-               CASE WHEN k <> 7 THEN 'ORD-' || lpad(CAST(user_id AS VARCHAR), 12, '0') END AS order_id,
+               CASE WHEN k = 5 THEN 'NEW-' || lpad(CAST(user_id AS VARCHAR), 12, '0')
+                    WHEN k <> 7 THEN 'ORD-' || lpad(CAST(user_id AS VARCHAR), 12, '0') END AS order_id,
                CASE WHEN k = 13 THEN NULL
                     WHEN k IN (21, 22) THEN ' ' || ref || ' '
                     ELSE ref END AS customer_ref,
@@ -55,18 +56,16 @@ _RELATIONS = {
         SELECT 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS id,
                source_id, s.source_name, o_orderstatus AS order_status,
                CAST(o_orderdate AS DATE) AS order_date
-        FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '5-LOW' THEN 12 ELSE 1 END
-                     AS source_id FROM orders
+        FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN 12 WHEN o_orderpriority = '1-URGENT' THEN 2
+                             WHEN o_orderpriority = '5-LOW' THEN 12 ELSE 1 END AS source_id FROM orders
               UNION ALL
-              SELECT *, 2 FROM orders WHERE o_orderpriority = '3-MEDIUM') o
-        JOIN sources_reference s ON s.id = o.source_id
-        WHERE o_orderstatus <> 'P'""",
+              SELECT *, 2 FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'P') o
+        JOIN sources_reference s ON s.id = o.source_id""",
     "customers_reference": """
         SELECT md5('catalog|' || ref || '|') AS id, ref AS external_customer_id,
                CASE WHEN c_mktsegment = 'BUILDING' THEN 12 ELSE 1 END AS source_id,
                CASE WHEN c_mktsegment = 'BUILDING' THEN 'catalog' ELSE 'storefront' END AS source_name
         FROM (SELECT *, 'CUST-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS ref FROM customer)
-        WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')
         UNION ALL
         SELECT md5('legacy|' || ref || '|'), ref, 12, 'catalog'
         FROM (SELECT *, 'CUST-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS ref FROM customer)

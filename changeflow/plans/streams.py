@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from changeflow.plans.inputs import APPLIED_AT, SETTINGS, Inputs, shown
 from changeflow.plans.oracle import by_parts, query
 from changeflow.plans.upsert import customer_rows, flush_sql, flush_tables
 from changeflow.session import scratch_dir
+from changeflow.sources import kafka
 from changeflow.sources.landing import land, read_landing
 from changeflow.streaming.enriched import TOPICS, EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
@@ -64,6 +66,56 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tables(warehouse)
 
 
+def redelivery_converges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch delivered twice: the job fails after each commit and starts again."""
+    inputs = Inputs(spark, sf_dir)
+    root = scratch_dir(spark, "redelivery")
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    failures = []
+
+    def fail_once(_: DataFrame) -> None:
+        if len(failures) % 2 == 0:
+            failures.append("after the commit, before the offsets")
+            raise RuntimeError(failures[-1])
+        failures.append("none")
+
+    sink = UpsertSink(warehouse, _references(inputs), "orders", SETTINGS, publish=fail_once)
+    log = inputs.order_log.withColumn("part", inputs.part_of(2))
+    for part in range(2):
+        land(log.filter(F.col("part") == part).drop("part"), f"{root}/topic")
+        for delivery in range(2):
+            stream = read_landing(spark, f"{root}/topic", schemas.ORDER_EVENT)
+            try:
+                _run(start_upsert(stream, sink, f"{root}/checkpoint"))
+            except StreamingQueryException:
+                if delivery:
+                    raise
+    return _tables(warehouse)
+
+
+def cdc_republish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records the job publishes while the log streams through it."""
+    inputs = Inputs(spark, sf_dir)
+    root = scratch_dir(spark, "republish")
+
+    def publish(rows: DataFrame) -> None:
+        kafka.published(rows).write.mode("append").parquet(f"{root}/published")
+
+    when = datetime.fromisoformat(APPLIED_AT)
+    sink = UpsertSink(
+        Warehouse(spark, f"{root}/warehouse"), _references(inputs), "orders", SETTINGS,
+        clock=lambda: when, publish=publish,
+    )
+    log = inputs.order_log.withColumn("part", inputs.part_of(2))
+    for part in range(2):
+        land(log.filter(F.col("part") == part).drop("part"), f"{root}/topic")
+        stream = read_landing(spark, f"{root}/topic", schemas.ORDER_EVENT)
+        _run(start_upsert(stream, sink, f"{root}/checkpoint"))
+    records = spark.read.schema("key string, value string").parquet(f"{root}/published")
+    told = ("order_source_id", "order_id", "customer_id", "audit_action", "link_score", "created_at")
+    return records.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in told])
+
+
 def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five tables after every batch of the log was loaded in one commit."""
     inputs = Inputs(spark, sf_dir)
@@ -177,13 +229,20 @@ def _none(spark: SparkSession, event) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_upsert, bulk_load, latest_orders_stream, latest_customers_stream, latest_order_lines_stream,
+        stream_upsert, redelivery_converges, cdc_republish, bulk_load, latest_orders_stream, latest_customers_stream, latest_order_lines_stream,
         replay_from_zero, orders_enriched_stream, lines_by_order_stream, order_customer_refs_stream,
     )
 }
 
 ORACLE = {
     "stream_upsert": query(flush_sql(), cut=by_parts(PARTS)),
+    "redelivery_converges": query(flush_sql(), cut=by_parts(2)),
+    "cdc_republish": query("""
+        SELECT order_id AS key, CAST(order_source_id AS VARCHAR) AS order_source_id, order_id, customer_id,
+               CASE op_type WHEN 'D' THEN 'CDC_DELETE' ELSE 'CDC_INSERT' END AS audit_action,
+               CAST(link_score AS VARCHAR) AS link_score,
+               strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS created_at
+        FROM stage""", cut=by_parts(2)),
     "bulk_load": query(flush_sql()),
     "latest_orders_stream": query("SELECT * FROM latest_orders"),
     "latest_customers_stream": query("SELECT * FROM latest_customers"),

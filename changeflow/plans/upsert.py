@@ -11,7 +11,7 @@ from changeflow.functions.values import ACTION_INSERT
 from changeflow.operators import apply, resolve
 from changeflow.plans.inputs import SETTINGS, Inputs, applied_at, shown
 from changeflow.plans.oracle import by_parts, instant_text, query
-from changeflow.sources import kafka
+from changeflow.session import stored
 
 #: The common columns the tables of a flush are compared on.
 FLUSH_COLUMNS = (
@@ -147,15 +147,15 @@ def customer_rows(customers: DataFrame) -> DataFrame:
 
 
 def _flushed(inputs: Inputs, records: DataFrame) -> dict[str, DataFrame]:
-    args = inputs.resolution()
-    stage = resolve.staged(records, *args)
+    """The tables after all batches, derived from one stored stage."""
+    stage = stored(resolve.staged(records, *inputs.resolution(), positions=True))
     distinct = resolve.distinct_records(records)
     missing = resolve.missing_customers(distinct, inputs.customers, SETTINGS, applied_at())
     return {
         "customers": customer_rows(missing),
-        "candidates": apply.candidates_from_log(records, *args),
+        "candidates": apply.last_batch_of(apply.candidate_rows(stage)),
         "histories": _histories(stage),
-        "links": apply.links_from_log(records, *args),
+        "links": apply.standing_links(apply.last_operations(stage)),
     }
 
 
@@ -174,15 +174,6 @@ def flush_end_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flush_tables(_flushed(inputs, inputs.records()))
 
 
-def redelivery_converges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log delivered twice: states as after one delivery, histories doubled."""
-    inputs = Inputs(spark, sf_dir)
-    records = inputs.records_in(4)
-    again = records.withColumn("batch_no", F.col("batch_no") + 4)
-    tables = _flushed(inputs, records.unionByName(again))
-    return flush_tables(tables)
-
-
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     tables = _flushed(inputs, inputs.records())
@@ -198,19 +189,12 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows).groupBy("table_name").agg(F.count("*").alias("n"))
 
 
-def cdc_republish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The links as records of an output topic."""
-    inputs = Inputs(spark, sf_dir)
-    links = apply.links_from_log(inputs.records(), *inputs.resolution())
-    return kafka.published(links.select("order_source_id", "order_id", "customer_id", "link_score"))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         backfill_customers, stage_batch, candidates_history, links_history, candidates_bulk,
         candidates_refresh, replay_order, links_current, links_ms_precision, links_incremental,
-        cdc_second_precision, flush_end_state, redelivery_converges, table_counts, cdc_republish,
+        cdc_second_precision, flush_end_state, table_counts,
     )
 }
 
@@ -282,17 +266,10 @@ ORACLE = {
         USING (order_source_id, order_id)
         WHERE s.customer_id IS DISTINCT FROM m.customer_id"""),
     "flush_end_state": query(flush_sql()),
-    "redelivery_converges": query(flush_sql("2"), cut=by_parts(4)),
     "table_counts": query("""
         SELECT 'links' AS table_name, count(*) AS n FROM links
         UNION ALL SELECT 'links_history', count(*) FROM stage
         UNION ALL SELECT 'candidates', count(*) FROM candidates
         UNION ALL SELECT 'customers', (SELECT count(*) FROM customers_reference)
                                       + (SELECT count(*) FROM backfill)"""),
-    "cdc_republish": query("""
-        SELECT order_id AS key,
-               '{{"order_source_id":' || order_source_id || ',"order_id":"' || order_id
-               || '","customer_id":' || coalesce('"' || customer_id || '"', 'null')
-               || ',"link_score":' || link_score || '}}' AS value
-        FROM links""").replace("{{", "{").replace("}}", "}"),
 }

@@ -35,7 +35,10 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         (F.col("user_id") % 3).cast("int").alias("kafka_partition"),
         F.col("event_id").alias("kafka_offset"),
-        F.when(k != 7, numbered("ORD-", F.col("user_id"), 12)).alias("order_id"),
+        F.when(k == 7, None)
+        .when(k == 5, numbered("NEW-", F.col("user_id"), 12))
+        .otherwise(numbered("ORD-", F.col("user_id"), 12))
+        .alias("order_id"),
         F.when(k == 13, None)
         .when(k.isin(21, 22), F.concat(F.lit(" "), ref, F.lit(" ")))
         .otherwise(ref)
@@ -93,20 +96,24 @@ def sources_reference(spark: SparkSession) -> DataFrame:
 
 
 def orders_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders the warehouse has loaded: those no longer pending.
+    """All orders. The priority stands for the source system; medium ones are known to a
+    second system as well, low and pending ones only to the (not operational) catalog.
 
-    The priority stands for the source system; medium ones are known to a second
-    system as well, low ones only to the (not operational) catalog.
+    Events that name unknown orders are the log's business.
     """
     priority = F.col("o_orderpriority")
     main = F.when(priority == "1-URGENT", 2).when(priority == "5-LOW", 12).otherwise(1)
-    systems = F.when(priority == "3-MEDIUM", F.array(main, F.lit(2))).otherwise(F.array(main))
+    systems = (
+        F.when(F.col("o_orderstatus") == "P", F.array(F.lit(12)))
+        .when(priority == "3-MEDIUM", F.array(main, F.lit(2)))
+        .otherwise(F.array(main))
+    )
     name = (
         F.when(F.col("source_id") == 1, "storefront")
         .when(F.col("source_id") == 2, "call_center")
         .otherwise("catalog")
     )
-    loaded = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
+    loaded = table(spark, sf_dir, "orders")
     when = F.lit(REFERENCE_TIME).cast("timestamp")
     return loaded.select("*", F.explode(systems).alias("source_id")).select(
         numbered("ORD-", F.col("o_orderkey"), 12).alias("id"),
@@ -121,10 +128,8 @@ def orders_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers the warehouse knows before any event.
-
-    Building customers are in the catalog, some of them twice under a legacy id;
-    furniture customers are known to another source only.
+    """All customers. Those of the building segment are in the catalog, some of them twice
+    under a legacy id; the others are known to another source only.
     """
     ref, segment = numbered("CUST-", F.col("c_custkey"), 6), F.col("c_mktsegment")
     own = F.md5(F.concat(F.lit("catalog|"), ref, F.lit("|")))
@@ -134,7 +139,6 @@ def customers_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = segment == "BUILDING"
     return (
         table(spark, sf_dir, "customer")
-        .filter(segment.isin("BUILDING", "FURNITURE"))
         .select("*", F.explode(F.when(twice, F.array(own, legacy)).otherwise(F.array(own))).alias("id"))
         .select(
             "id",

@@ -6,8 +6,11 @@ here that needs no running session works, and is tested, without them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow import schemas
 from changeflow.operators.events import (
@@ -16,9 +19,13 @@ from changeflow.operators.events import (
     MISSING_FIELD,
     REQUIRED_FIELDS,
     UNDECODABLE,
+    UNKNOWN_FRAME,
+    UNKNOWN_SCHEMA,
 )
 from changeflow.settings import ConfigurationError, TopicSettings
 
+#: The first byte of a registry frame, and the login module of a mechanism.
+MARKER = "00"
 _LOGIN_MODULES = {
     "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
     "SCRAM-SHA-256": "org.apache.kafka.common.security.scram.ScramLoginModule",
@@ -93,25 +100,77 @@ def split_frame(value: Column) -> list[Column]:
     ]
 
 
-def decode_avro(
-    topic: DataFrame, schema: str = schemas.ORDER_EVENT_AVRO
-) -> DataFrame:
-    """Decode framed Avro values; a value that does not decode is marked, not fatal."""
-    from pyspark.sql.avro.functions import from_avro
+def frame_status(value: Column, known_ids: Sequence[int | None]) -> Column:
+    """What is wrong with a registry frame; DECODED where its body may be decoded.
 
-    body = split_frame(F.col("value"))[2]
-    event = from_avro(body, schema, {"mode": "PERMISSIVE"})
-    # The operation of a decoded event is never null.
-    status = (
-        F.when(F.col("value").isNull(), EMPTY)
-        .when(F.col("event.op_type").isNull(), UNDECODABLE)
+    ``known_ids`` are the schema ids there is a schema for; None among them stands for
+    any other id.
+    """
+    marker, schema_id, _ = split_frame(value)
+    named = [i for i in known_ids if i is not None]
+    known = F.lit(None in known_ids) | F.coalesce(schema_id.isin(named), F.lit(False))
+    return (
+        F.when(value.isNull(), EMPTY)
+        .when((F.length(value) < 5) | (marker != MARKER), UNKNOWN_FRAME)
+        .when(~known, UNKNOWN_SCHEMA)
         .otherwise(DECODED)
     )
-    return topic.withColumn("event", event).select(
-        "event.*", status.alias("decode_status"), *_position(topic)
+
+
+def decode_framed(
+    topic: DataFrame,
+    decoders: Mapping[int | None, Callable[[Column], Column]],
+    event: T.StructType = schemas.ORDER_EVENT,
+) -> DataFrame:
+    """Decode framed values, each by the decoder of its schema id.
+
+    A decoder turns a body into a struct, null where it does not decode. Fields the struct
+    lacks are null. Frames without a known marker or schema id are marked and left alone.
+    """
+    value = F.col("value")
+    _, schema_id, body = split_frame(value)
+    status = frame_status(value, list(decoders))
+    columns = {f"_event_{n}": decode(body) for n, decode in enumerate(decoders.values())}
+    decoded = topic.withColumns({**columns, "_status": status, "_schema_id": schema_id})
+    read = None
+    # the decoder for any other id comes last
+    for n, known in sorted(enumerate(decoders), key=lambda x: x[1] is None):
+        kind = decoded.schema[f"_event_{n}"].dataType
+        row = F.col(f"_event_{n}")
+        fields = [
+            (row[f.name] if f.name in kind.names else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in event.fields
+        ]
+        whole = F.when(row.isNotNull(), F.struct(*fields))
+        test = F.lit(True) if known is None else F.col("_schema_id") == known
+        read = F.when(test, whole) if read is None else read.when(test, whole)
+    found = decoded.withColumn("_event", F.when(F.col("_status") == DECODED, read))
+    # The operation of a decoded event is never null.
+    failed = (F.col("_status") == DECODED) & F.col("_event.op_type").isNull()
+    return found.select(
+        "_event.*",
+        F.when(failed, UNDECODABLE).otherwise(F.col("_status")).alias("decode_status"),
+        *_position(topic),
     )
 
 
+def decode_avro(
+    topic: DataFrame,
+    schema_ids: Mapping[int | None, str] = {None: schemas.ORDER_EVENT_AVRO},
+    event: T.StructType = schemas.ORDER_EVENT,
+) -> DataFrame:
+    """Decode framed Avro values by the writer schema of each id.
+
+    A value that does not decode is marked, not fatal.
+    """
+    from pyspark.sql.avro.functions import from_avro
+
+    def decoder(schema: str) -> Callable[[Column], Column]:
+        return lambda body: from_avro(body, schema, {"mode": "PERMISSIVE"})
+
+    return decode_framed(topic, {i: decoder(schema) for i, schema in schema_ids.items()}, event)
+
+
 def decode_json(topic: DataFrame) -> DataFrame:
     """Decode JSON values against the fixed event schema.
 
@@ -139,15 +198,42 @@ def _position(topic: DataFrame) -> list[str]:
     return [c for c in schemas.POSITION.names if c in topic.columns]
 
 
-def published(applied: DataFrame, key: str = "order_id") -> DataFrame:
-    """Applied rows as topic records: the key, and the row as a JSON value."""
-    return applied.select(
-        F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*applied.columns), {"ignoreNullFields": "false"}).alias("value"),
-    )
+def framed(body: Column, schema_id: int) -> Column:
+    """A body behind the marker and its schema id, as a registry's readers expect it."""
+    return F.concat(F.unhex(F.lit(MARKER)), F.unhex(F.lit(f"{schema_id:08X}")), body)
+
+
+def avro_value(schema: str, schema_id: int) -> Callable[[Column], Column]:
+    """Encodes a row as a framed Avro value; to be passed to ``published``."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return lambda row: framed(to_avro(row, schema), schema_id)
+
+
+def json_value(row: Column) -> Column:
+    return F.to_json(row, {"ignoreNullFields": "false"})
+
+
+def published(
+    applied: DataFrame,
+    key: str | Sequence[str] = "order_id",
+    value: Callable[[Column], Column] = json_value,
+    gone: Column | None = None,
+) -> DataFrame:
+    """Applied rows as topic records: the key, and the encoded row.
+
+    A key of several columns is a JSON object. Rows that are ``gone`` have a null value,
+    which a compacted topic takes as the end of the key.
+    """
+    names = [key] if isinstance(key, str) else list(key)
+    whole = F.col(names[0]).cast("string") if len(names) == 1 else json_value(F.struct(*names))
+    encoded = value(F.struct(*applied.columns))
+    if gone is not None:
+        encoded = F.when(F.coalesce(~gone, F.lit(True)), encoded)
+    return applied.select(whole.alias("key"), encoded.alias("value"))
 
 
-def publish(applied: DataFrame, settings: TopicSettings, key: str = "order_id") -> None:
-    """Write applied rows to the output topic."""
+def publish(applied: DataFrame, settings: TopicSettings, **record) -> None:
+    """Write applied rows to the output topic; ``record`` is what ``published`` takes."""
     options = write_options(settings)
-    published(applied, key).write.format("kafka").options(**options).save()
+    published(applied, **record).write.format("kafka").options(**options).save()

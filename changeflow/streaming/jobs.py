@@ -1,31 +1,73 @@
-"""The upsert job as it is deployed: a topic in, the warehouse tables out."""
+"""The jobs as they are deployed: topics in, tables out, changes published."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators.events import UNDECODABLE
+from changeflow import schemas
+from changeflow.operators.events import DECODED
+from changeflow.operators.latest import CUSTOMER_COLUMNS, LINE_COLUMNS, ORDER_COLUMNS
 from changeflow.session import tune
-from changeflow.settings import JobSettings
+from changeflow.settings import JobSettings, TopicSettings
+from changeflow.sources.extract import topic_name
 from changeflow.sources.kafka import decode_avro, publish, read_topic
+from changeflow.streaming.enriched import TOPICS, EnrichedView, mixed_topics
+from changeflow.streaming.latest import LatestTable
 from changeflow.streaming.upsert import References, UpsertSink, Warehouse, start_upsert
 
+#: The next batch starts as soon as one is done, and takes all that has come meanwhile.
+AT_ONCE = {"processingTime": "0 seconds"}
+
+#: Of each topic: the table it is extracted from, its schema, and what identifies a row.
+LATEST = {
+    "orders": ("orders", schemas.ORDER_EVENT, ("order_id",), ORDER_COLUMNS),
+    "lines": ("order_lines", schemas.LINE_EVENT, ("order_id", "line_number"), LINE_COLUMNS),
+    "customers": ("customers", schemas.CUSTOMER_EVENT, ("customer_ref",), CUSTOMER_COLUMNS),
+}
+
+
+def paused_when_idle(spark: SparkSession, seconds: float) -> None:
+    """Wait so long before looking again where nothing was there to read.
+
+    A backlog is worked off without a pause.
+    """
+    spark.conf.set("spark.sql.streaming.pollingDelay", f"{round(1000 * seconds)}ms")
+
+
+def decoded_topic(
+    spark: SparkSession, settings: TopicSettings, batch_size: int, event: T.StructType
+) -> DataFrame:
+    """The events of a topic; payloads that do not decode are passed over."""
+    schema = schemas.avro_schema(event, "CdcEvent", "com.example.cdc")
+    events = decode_avro(read_topic(spark, settings, batch_size), {None: schema}, event)
+    return events.filter(F.col("decode_status") == DECODED).drop("decode_status")
+
 
 def upsert_job(
-    spark: SparkSession, settings: JobSettings, references: References
+    spark: SparkSession,
+    settings: JobSettings,
+    references: References,
+    schema_ids: dict[int | None, str] | None = None,
 ) -> StreamingQuery:
     """Start the job the settings describe.
 
-    A micro-batch takes at most ``batch_size`` events, irrelevant ones included, and
-    whatever is there when the topic has been idle. Offsets are recorded below the
-    table root; delete neither without the other. Payloads that do not decode are
-    passed over. With an output topic, applied rows are published to it.
+    A micro-batch takes at most ``batch_size`` events, irrelevant ones included. Offsets
+    are recorded below the table root; without them the topic is applied from its start
+    again. With an output topic, applied rows are published to it. ``schema_ids`` names
+    the writer schema of each id that may occur; the one under None stands for all others.
     """
     root = settings.table_root
-    events = decode_avro(read_topic(tune(spark), settings.topic, settings.upsert.batch_size))
-    decoded = events.filter(F.col("decode_status") != UNDECODABLE).drop("decode_status")
+    paused_when_idle(tune(spark), settings.upsert.idle_seconds)
+    topic = read_topic(spark, settings.topic, settings.upsert.batch_size)
+    writers = schema_ids or {None: schemas.ORDER_EVENT_AVRO}
+    events = decode_avro(topic, writers, schemas.ORDER_EVENT)
+    decoded = events.filter(F.col("decode_status") == DECODED).drop("decode_status")
 
     def publish_applied(rows: DataFrame) -> None:
         publish(rows, settings.topic)
@@ -33,9 +75,43 @@ def upsert_job(
     sink = UpsertSink(
         Warehouse(spark, f"{root}/warehouse"),
         references,
-        source=f"{root}/checkpoint",
+        source="orders",
         settings=settings.upsert,
         publish=publish_applied if settings.topic.output_topic else None,
     )
-    pause = f"{settings.upsert.idle_seconds} seconds"
-    return start_upsert(decoded, sink, f"{root}/checkpoint", processingTime=pause)
+    return start_upsert(decoded, sink, f"{root}/checkpoint", **AT_ONCE)
+
+
+def latest_job(
+    spark: SparkSession, settings: JobSettings, name: str, publish_changes: bool = False
+) -> StreamingQuery:
+    """Keep the latest state of the orders, lines or customers topic as a table.
+
+    With ``publish_changes`` every changed key goes to the output topic, a deleted one
+    with a null value.
+    """
+    table, event, keys, columns = LATEST[name]
+    root = f"{settings.table_root}/latest/{name}"
+    paused_when_idle(tune(spark), settings.upsert.idle_seconds)
+    topic = replace(settings.topic, topic=topic_name(table, settings.environment))
+    stream = decoded_topic(spark, topic, settings.upsert.batch_size, event)
+    deliver: Callable[[DataFrame], None] | None = None
+    if publish_changes:
+
+        def deliver(changes: DataFrame) -> None:
+            publish(changes, settings.topic, key=keys, gone=F.col("op_type") == "D")
+
+    state = LatestTable(spark, f"{root}/table", event, keys, columns, publish=deliver)
+    return state.start(stream, f"{root}/checkpoint", **AT_ONCE)
+
+
+def enriched_job(spark: SparkSession, settings: JobSettings) -> StreamingQuery:
+    """Keep the enriched order view over the three topics."""
+    root = f"{settings.table_root}/enriched"
+    paused_when_idle(tune(spark), settings.upsert.idle_seconds)
+    streams = {}
+    for name, event in TOPICS.items():
+        topic = replace(settings.topic, topic=topic_name(LATEST[name][0], settings.environment))
+        streams[name] = decoded_topic(spark, topic, settings.upsert.batch_size, event)
+    view = EnrichedView(spark, f"{root}/view")
+    return view.start(mixed_topics(streams), f"{root}/checkpoint", **AT_ONCE)

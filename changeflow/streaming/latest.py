@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.latest import latest
-from changeflow.streaming.tables import FOLD_EVERY, TableSet, batch_source
+from changeflow.streaming.tables import FOLD_EVERY, Attempt, TableSet, batch_source
 
 #: Keeps the state of a key on disk rather than in the memory of an executor.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -19,6 +19,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 class LatestTable:
     """A table with one row per live key, maintained from a changelog.
 
+    ``publish`` receives the changed keys of a batch once they are committed; after a
+    crash in between it receives them again.
+
     The streaming aggregate emits every key that changed, deleted ones included: a
     filter before the sink would say nothing when a key is deleted, and the stale
     row would stay.
@@ -32,7 +35,9 @@ class LatestTable:
         keys: Sequence[str],
         columns: Sequence[str],
         fold_every: int = FOLD_EVERY,
+        publish: Callable[[DataFrame], None] | None = None,
     ) -> None:
+        self.publish = publish
         self.spark = spark
         self.keys = list(keys)
         self.columns = list(columns)
@@ -63,8 +68,17 @@ class LatestTable:
         """Append the changed keys of one micro-batch and commit."""
         source = batch_source(source, changes)
         attempt = self.tables.begin()
-        if attempt.head.holds(source, batch_id):
-            return
+        if not attempt.head.holds(source, batch_id):
+            self._append(changes, batch_id, source, attempt)
+        if self.publish:
+            head = self.tables.head()
+            last, version = head.applied[source]
+            if last == batch_id:
+                self.publish(self.tables.version_rows("state", version, head))
+
+    def _append(
+        self, changes: DataFrame, batch_id: int, source: str, attempt: Attempt
+    ) -> None:
         # A batch with state behind it runs once; the second table is read off the first.
         self.tables.write("changes", changes, attempt)
         self.tables.write("state", self.tables.attempted_rows("changes", attempt), attempt)

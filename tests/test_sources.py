@@ -7,41 +7,49 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow import schemas
-from changeflow.settings import ConfigurationError, JobSettings, TopicSettings, UpsertSettings
+from changeflow.settings import (
+    VARIABLES, ConfigurationError, JobSettings, TopicSettings, UpsertSettings,
+)
 from changeflow.sources import extract, generate, kafka, seeds
 from changeflow.streaming.extraction import Extraction
 
-ROOT = {"WAREHOUSE_ROOT": "/tables"}
+TABLES_AT = {"WAREHOUSE_ROOT": "hdfs:///cdc"}
+SAMPLES = {str: "x-9", int: "31", float: "0.25"}
 
 
-def test_settings_defaults():
-    settings = JobSettings.from_env(ROOT)
-    assert settings.environment == "dev" and settings.log_level == "INFO"
-    assert settings.topic == TopicSettings() and settings.upsert == UpsertSettings()
-    assert (settings.upsert.batch_size, settings.upsert.catalog_source_id) == (500, 12)
-    assert settings.upsert.link_score == 2
+def test_unset_and_blank_variables_leave_the_defaults():
+    blank = {name: " \t" for name in VARIABLES if name != "WAREHOUSE_ROOT"}
+    settings = JobSettings.from_env({**blank, **TABLES_AT})
+    assert settings == JobSettings.from_env(TABLES_AT)
+    assert (settings.topic, settings.upsert) == (TopicSettings(), UpsertSettings())
+    assert settings.table_root == "hdfs:///cdc"
 
 
-def test_settings_from_the_environment():
-    env = {
-        **ROOT, "ENVIRONMENT": "staging", "LOG_LEVEL": "warning", "BATCH_SIZE": "10",
-        "KAFKA_BOOTSTRAP_SERVERS": "   ", "KAFKA_SECURITY_PROTOCOL": "sasl_plaintext",
-    }
-    settings = JobSettings.from_env(env)
-    assert settings.topic.topic == "cdc.staging.orders"
-    assert settings.topic.bootstrap_servers == "localhost:9092"
-    assert settings.topic.uses_sasl and settings.log_level == "WARNING"
-    assert settings.upsert.batch_size == 10
-    assert JobSettings.from_env({**env, "CDC_TOPIC": "other"}).topic.topic == "other"
+@pytest.mark.parametrize("variable", sorted(VARIABLES))
+def test_every_variable_fills_its_setting(variable):
+    section, name, kind = VARIABLES[variable]
+    settings = JobSettings.from_env({**TABLES_AT, variable: f" {SAMPLES[kind]} "})
+    holder = settings if section == "job" else getattr(settings, section)
+    expected = SAMPLES[kind].upper() if name == "log_level" else kind(SAMPLES[kind])
+    assert getattr(holder, name) == expected
 
 
-def test_bad_settings_fail_at_startup():
-    with pytest.raises(ConfigurationError, match="BATCH_SIZE must be an integer"):
-        JobSettings.from_env({**ROOT, "BATCH_SIZE": "many"})
-    with pytest.raises(ConfigurationError, match="SLEEP_INTERVAL_SECONDS must be a number"):
-        JobSettings.from_env({**ROOT, "SLEEP_INTERVAL_SECONDS": "soon"})
+def test_the_topic_follows_the_environment_unless_it_is_named():
+    settings = JobSettings.from_env({**TABLES_AT, "ENVIRONMENT": "qa7"})
+    assert settings.topic.topic == "cdc.qa7.orders"
+    named = JobSettings.from_env({**TABLES_AT, "ENVIRONMENT": "qa7", "CDC_TOPIC": "mine"})
+    assert named.topic.topic == "mine"
+
+
+@pytest.mark.parametrize("variable", sorted(v for v, (_, _, kind) in VARIABLES.items() if kind is not str))
+def test_numbers_that_are_none_are_refused(variable):
+    with pytest.raises(ConfigurationError, match=variable):
+        JobSettings.from_env({**TABLES_AT, variable: "1e"})
+
+
+def test_the_table_root_is_required():
     with pytest.raises(ConfigurationError, match="WAREHOUSE_ROOT"):
-        JobSettings.from_env({})
+        JobSettings.from_env({"BATCH_SIZE": "8"})
 
 
 def test_settings_cannot_be_changed():
@@ -86,6 +94,84 @@ def test_avro_schema_declares_nullable_fields_as_unions():
     assert fields["status"] == {"name": "status", "type": ["null", "string"], "default": None}
 
 
+def test_avro_schema_of_lines_holds_decimals():
+    import json
+
+    fields = {f["name"]: f["type"] for f in json.loads(schemas.LINE_EVENT_AVRO)["fields"]}
+    decimal = {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 2}
+    assert fields["unit_price"] == ["null", decimal] and fields["quantity"] == ["null", "int"]
+
+
+def test_frames_are_decoded_by_their_schema_id(spark):
+    def text(value):
+        return lambda body: F.struct(body.cast("string").alias("order_id"), F.lit(value).alias("op_type"))
+
+    frames = [b"\0\0\0\0\1a", b"\0\0\0\0\2b", b"\0\0\0\0\3c", b"\1\0\0\0\1d", b"\0\0", None]
+    topic = spark.createDataFrame([(v and bytearray(v),) for v in frames], "value binary")
+    known = kafka.decode_framed(topic, {1: text("I"), 2: text("D")})
+    assert [(r.order_id, r.op_type, r.decode_status) for r in known.collect()] == [
+        ("a", "I", "decoded"), ("b", "D", "decoded"), (None, None, "unknown_schema"),
+        (None, None, "unknown_frame"), (None, None, "unknown_frame"), (None, None, "empty"),
+    ]
+    rest = kafka.decode_framed(topic, {None: text("I"), 2: text("D")})
+    assert [(r.order_id, r.op_type) for r in rest.collect()][:3] == [("a", "I"), ("b", "D"), ("c", "I")]
+    assert known.columns[:-1] == schemas.ORDER_EVENT.names
+
+
+def test_frames_are_made_as_they_are_read(spark):
+    row = spark.range(1).select(kafka.framed(F.encode(F.lit("xy"), "UTF-8"), 70000).alias("v"))
+    parts = row.select(*kafka.split_frame(F.col("v"))).first()
+    assert (parts.marker, parts.schema_id, bytes(parts.body)) == ("00", 70000, b"xy")
+
+
+def test_changes_are_published_by_key_with_null_for_gone_ones(spark):
+    rows = spark.createDataFrame([("O1", 1, "I"), ("O1", 2, "D"), ("O2", 1, None)], "order_id string, line int, op string")
+    told = kafka.published(rows, ["order_id", "line"], gone=F.col("op") == "D").collect()
+    assert [(r.key, r.value is None) for r in told] == [
+        ('{"order_id":"O1","line":1}', False), ('{"order_id":"O1","line":2}', True),
+        ('{"order_id":"O2","line":1}', False),
+    ]
+
+
+def test_jobs_start_the_next_batch_at_once_and_pause_only_when_idle(spark, monkeypatch):
+    from changeflow.streaming import jobs
+
+    started = {}
+    monkeypatch.setattr(jobs, "read_topic", lambda spark, topic, size: started.update(size=size, topic=topic.topic))
+    monkeypatch.setattr(jobs, "decode_avro", lambda *args: spark.range(0).selectExpr("'x' decode_status"))
+    monkeypatch.setattr(jobs, "start_upsert", lambda stream, sink, at, **trigger: started.update(trigger=trigger, at=at, sink=sink))
+    settings = JobSettings.from_env({**TABLES_AT, "SLEEP_INTERVAL_SECONDS": "2.5", "SINK_OUTPUT_TOPIC": "out"})
+    jobs.upsert_job(spark, settings, None)
+    assert started["trigger"] == {"processingTime": "0 seconds"}
+    assert started["size"] == UpsertSettings().batch_size == 50_000
+    assert started["at"] == "hdfs:///cdc/checkpoint" and started["sink"].publish
+    assert spark.conf.get("spark.sql.streaming.pollingDelay") == "2500ms"
+    spark.conf.unset("spark.sql.streaming.pollingDelay")
+
+
+@pytest.mark.parametrize("name", ["orders", "lines", "customers"])
+def test_latest_jobs_read_their_topic(spark, monkeypatch, name):
+    from changeflow.streaming import jobs
+
+    started = {}
+    monkeypatch.setattr(jobs, "read_topic", lambda spark, topic, size: started.update(topic=topic.topic))
+    monkeypatch.setattr(
+        jobs, "decode_avro",
+        lambda topic, writers, event: spark.createDataFrame([], event).selectExpr("*", "'decoded' decode_status"),
+    )
+    monkeypatch.setattr(
+        jobs.LatestTable, "start",
+        lambda self, stream, at, **trigger: started.update(columns=stream.columns, at=at, publish=self.publish, **trigger),
+    )
+    settings = JobSettings.from_env({**TABLES_AT, "SINK_OUTPUT_TOPIC": "out"})
+    jobs.latest_job(spark, settings, name, publish_changes=True)
+    table, event, _, _ = jobs.LATEST[name]
+    assert started["topic"] == f"cdc.dev.{table}" and started["columns"] == event.names
+    assert started["at"] == f"hdfs:///cdc/latest/{name}/checkpoint" and started["publish"]
+    assert started["processingTime"] == "0 seconds"
+    spark.conf.unset("spark.sql.streaming.pollingDelay")
+
+
 def test_frame_is_split_at_its_fixed_positions(spark):
     frame = bytes([0]) + (70000).to_bytes(4, "big") + b"payload"
     row = spark.createDataFrame([(frame,)], "value binary").select(
@@ -186,6 +272,26 @@ def test_extraction_runs_resume_from_their_bookmark(spark, tmp_path):
     ]
 
 
+def test_rows_without_an_update_time_are_delivered_once(spark, tmp_path):
+    delivered = []
+
+    def deliver(topic, rows):
+        delivered.append(sorted(r.id for r in rows.collect()))
+
+    def table(*rows):
+        return spark.createDataFrame(list(rows), "id bigint, updated_at timestamp")
+
+    day = datetime(2026, 1, 5)
+    job = Extraction(spark, str(tmp_path), deliver, "test")
+    rows = [(1, None), (2, day), (3, None)]
+    assert job.run("orders", table(*rows)) == extract.Bookmark(day, 2)
+    assert job.run("orders", table(*rows, (4, day))) == extract.Bookmark(day, 4)
+    assert job.run("customers", table((1, None), (2, None))) == extract.BEGINNING
+    assert job.run("customers", table((1, None), (2, None), (5, day))) == extract.Bookmark(day, 5)
+    assert job.run("order_lines", table()) is None
+    assert delivered == [[1, 2, 3], [4], [1, 2], [5]]
+
+
 def test_extraction_pushes_its_bound_into_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     spark.createDataFrame(

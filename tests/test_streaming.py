@@ -323,6 +323,18 @@ def test_latest_stream_emits_tombstones(spark, tmp_path):
     ]
 
 
+def test_latest_changes_are_published_after_the_commit(spark, tmp_path):
+    published = []
+    table = LatestTable(
+        spark, str(tmp_path / "t"), schemas.ORDER_EVENT, ["order_id"], ["status"],
+        publish=lambda rows: published.append(sorted((r.order_id, r.op_type) for r in rows.collect())),
+    )
+    for number, rows in enumerate(([order(1, "a"), order(2, "b")], [order(3, "a", "D")])):
+        table.apply(table.changelog(orders_of(spark, *rows)), number, "test")
+    table.apply(table.changelog(orders_of(spark, order(3, "a", "D"))), 1, "test")
+    assert published == [[("a", "I"), ("b", "I")], [("a", "D")], [("a", "D")]]
+
+
 def test_enriched_view_follows_a_change_on_any_side(spark, tmp_path):
     from test_latest import CUSTOMERS
 
