@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -47,6 +47,31 @@ class Codes(dict):
         return code
 
 
+class Values:
+    """A number for each string, computed when it is first seen and kept for a while.
+
+    All are forgotten once their characters exceed ``kept_chars``.
+    """
+
+    def __init__(self, value: Callable, dtype, kept_chars: int = 1 << 22) -> None:
+        self._value, self._dtype, self._kept_chars = value, dtype, kept_chars
+        self._forget()
+
+    def _forget(self) -> None:
+        self._codes, self._held, self._count = Codes(), np.zeros(0, self._dtype), 0
+
+    def of(self, strings: list) -> np.ndarray:
+        if self._codes.chars > self._kept_chars:
+            self._forget()
+        codes = np.fromiter(map(self._codes.__getitem__, strings), np.int64, len(strings))
+        if fresh := self._codes.fresh:
+            end = self._count + len(fresh)
+            self._held = _room(self._held, end)
+            self._held[self._count : end] = list(map(self._value, fresh))
+            self._count, self._codes.fresh = end, []
+        return self._held[codes]
+
+
 class Rows:
     """Rows of numbers of varying length, appended at the end and gathered by row."""
 

@@ -33,13 +33,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.encoding import Codes
+from changeflow.llm.encoding import Values
 from changeflow.llm.tables import cut, rekeyed
 
 SHINGLE = 5
 SKETCHES = 32
 SIMILARITY = 0.8
-KEPT_CHARS = 1 << 22
 #: Words compared at a time along the diagonals of an alignment.
 STRIDE = 16
 #: Hashes ranked at a time.
@@ -52,26 +51,13 @@ def text_node(text: str = "text") -> Column:
 
 
 class WordHashes:
-    def __init__(self) -> None:
-        self._forget()
+    """Hashes of a text's words."""
 
-    def _forget(self) -> None:
-        self._codes, self._hashes, self._count = Codes(), np.zeros(0, np.uint64), 0
+    def __init__(self) -> None:
+        self._hashes = Values(lambda word: xxhash.xxh3_64_intdigest(word.encode()), np.uint64)
 
     def of(self, text: str) -> np.ndarray:
-        if self._codes.chars > KEPT_CHARS:
-            self._forget()
-        words = text.split()
-        codes = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
-        if fresh := self._codes.fresh:
-            end = self._count + len(fresh)
-            if end > len(self._hashes):
-                grown = np.zeros(max(end, 2 * len(self._hashes)), np.uint64)
-                grown[: self._count] = self._hashes[: self._count]
-                self._hashes = grown
-            self._hashes[self._count : end] = [xxhash.xxh3_64_intdigest(w.encode()) for w in fresh]
-            self._count, self._codes.fresh = end, []
-        return self._hashes[codes]
+        return self._hashes.of(text.split())
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -31,13 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.encoding import Codes
+from changeflow.llm.encoding import Values
 from changeflow.llm.tables import cut, rekeyed
 
 WINDOW = 35
 SEED = 8
-#: Characters of kept words before all are forgotten.
-KEPT_CHARS = 1 << 22
 
 # Odd multipliers of the two rolling hashes, and their inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -89,32 +87,17 @@ class _Powers:
 
 
 class Words:
-    """Hashes of a text's words; those of words already seen are kept for a while."""
+    """A text's words, and hashes of them."""
 
     def __init__(self) -> None:
         self._powers = _Powers()
-        self._forget()
-
-    def _forget(self) -> None:
-        self._codes, self._hashes = Codes(), np.zeros(0, np.uint64)
-        self._count = 0
+        self._hashes = Values(xxhash.xxh3_64_intdigest, np.uint64)
 
     def split(self, text: str | None) -> list[bytes]:
         return (text or "").encode().split()  # bytes split at ASCII white space alone
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
-        if self._codes.chars > KEPT_CHARS:
-            self._forget()
-        codes = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
-        if fresh := self._codes.fresh:
-            end = self._count + len(fresh)
-            if end > len(self._hashes):
-                grown = np.zeros(max(end, 2 * len(self._hashes)), np.uint64)
-                grown[: self._count] = self._hashes[: self._count]
-                self._hashes = grown
-            self._hashes[self._count : end] = list(map(xxhash.xxh3_64_intdigest, fresh))
-            self._count, self._codes.fresh = end, []
-        return self._hashes[codes]
+        return self._hashes.of(words)
 
     def rolling(self, hashes: np.ndarray) -> Rolling:
         return Rolling(hashes, self._powers.first(len(hashes) + 1))

@@ -4,19 +4,20 @@
 hashed to BUCKETS numbers, so every table here has a fixed size.
 
 *Log-odds.* The numbers of toxic and of clean labelled texts that hold a token are compared
-under a Dirichlet prior, tokens spread as they are over the texts of the whole corpus. (Texts are counted, not occurrences: a word repeated through one text says little.)
-Tokens whose log-odds lie less than SIGNIFICANT standard deviations above zero score
-nothing. Every token also costs DRIFT, so a random stretch of text loses.
+under a Dirichlet prior, tokens spread as they are over the texts of the whole corpus.
+(Texts are counted, not occurrences: a word repeated through one text says little.) Tokens
+whose log-odds lie less than SIGNIFICANT standard deviations above zero score nothing.
+Every token also costs DRIFT, so a random stretch of text loses.
 
 *Segments.* One scan over a text finds all maximal segments: those that cannot be
 lengthened, or shortened, without losing score. Its time is linear in the tokens.
 
 *Calibration.* The best segment of n random tokens follows an extreme-value law: above a
 score of S lie ``K n exp(-lambda S)`` segments on average. ``lambda`` follows from the
-corpus frequencies of the scores, K from clean texts. ``evidence`` sums
-up the strongest segments under that law, which makes texts of all lengths comparable; a logistic
-curve fitted to labelled texts turns it into a probability. That fit scores each labelled
-text with log-odds from the other folds.
+corpus frequencies of the scores, K from clean texts. ``evidence`` sums up the strongest
+segments under that law, which makes texts of all lengths comparable; a logistic curve
+fitted to labelled texts turns it into a probability. That fit scores each labelled text
+with log-odds from the other folds.
 
 The classifier is fitted on at most FIT_ROWS labelled rows (of smallest hash of the id);
 corpus frequencies are counted over all documents. Where one class has no labels all
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.encoding import Codes
+from changeflow.llm.encoding import Values
 
 BUCKETS = 1 << 18
 #: The prior's weight: a share of the counts of the fitted texts, and so much at least.
@@ -51,28 +52,16 @@ FIT_ROWS = 1 << 17
 FOLDS = 4
 #: A segment is significant if fewer than so many such are expected in a random text.
 EXPECTED = 0.05
-SLICE_CHARS = 1 << 20
-KEPT_CHARS = 1 << 22
 
 
 class Tokens:
     """Buckets of a text's words; 0 stands for what has no letter or digit."""
 
     def __init__(self) -> None:
-        self._forget()
-
-    def _forget(self) -> None:
-        self._codes, self._buckets = Codes(), np.zeros(0, np.int64)
+        self._buckets = Values(_bucket, np.int64)
 
     def of(self, text: str | None) -> np.ndarray:
-        if self._codes.chars > KEPT_CHARS:
-            self._forget()
-        words = (text or "").split()
-        codes = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
-        if fresh := self._codes.fresh:
-            self._buckets = np.concatenate([self._buckets, [_bucket(w) for w in fresh]])
-            self._codes.fresh = []
-        return self._buckets[codes]
+        return self._buckets.of((text or "").split())
 
 
 def _bucket(word: str) -> int:
@@ -193,9 +182,8 @@ def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.n
         tokens, sums = Tokens(), np.zeros((len(columns), BUCKETS), np.int64)
         for batch in batches:
             for text, toxic, fold in zip(*batch.columns, strict=True):
-                found = np.bincount(tokens.of(text.as_py()), minlength=1)
-                at = np.flatnonzero(found)
-                sums[0, at] += found[at]
+                at, found = np.unique(tokens.of(text.as_py()), return_counts=True)
+                sums[0, at] += found
                 sums[1, at] += 1
                 if toxic.is_valid:
                     sums[2 + 2 * fold.as_py() + toxic.as_py(), at] += 1
