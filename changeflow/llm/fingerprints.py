@@ -91,7 +91,7 @@ def likeness(one: Column, other: Column) -> Column:
 def _range_bounds(keys: DataFrame, ranges: int) -> list[int]:
     """Keys that cut all into ranges of about equal size; each is one of the keys."""
     shares = F.lit([i / ranges for i in range(1, ranges)])
-    found = keys.agg(F.percentile_approx("_key", shares, 100 * ranges)).first()[0]
+    found = keys.agg(F.percentile_approx("_key", shares, max(10_000, 10 * ranges))).first()[0]
     return sorted(set(found or []))
 
 

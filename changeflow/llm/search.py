@@ -150,8 +150,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         "_block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(max(blocks, 1)))
     )
     if width == 0 or blocks == 0:
-        empty = f"query_id long, rank int, vec_id long, score long"
-        return spark.createDataFrame([], empty)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     seeds = sample.toArrow().combine_chunks()
     seed_ids = seeds["vec_id"].to_numpy()
     seed_matrix = _matrix(_one_chunk(seeds["vector"]), width)

@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 from changeflow.session import checkpoint_root
 
 
+#: Rows sent to a Python worker at a time: texts are long, and a worker holds a batch whole.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
-    On a cluster that does not hold it at the same place, submit it with ``--py-files``.
+    Batches sent to them are made fit for texts. On a cluster that does not hold the package
+    at the same place, submit it with ``--py-files``.
     """
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if spark.conf.get(BATCH_ROWS) == "10000":  # Spark's own default, meant for short rows
+        spark.conf.set(BATCH_ROWS, "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
