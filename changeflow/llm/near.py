@@ -362,14 +362,14 @@ def representatives(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     """
     absent = F.lit(-(1 << 63)).cast("long")
     chosen = (
-        classes(documents, similarity)
+        classes(documents.select("doc_id", "text"), similarity)
         .where(F.col("_node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
         .groupBy("_label", "_node")
         .agg(F.min(F.coalesce("doc_id", absent)).alias("_id"), F.count("*").alias("_rows"))
     )
     first = chosen.groupBy("_label").agg(F.min("_node").alias("_node"))
     chosen = chosen.join(first, ["_label", "_node"]).select("_id", "_node", "_rows")
-    columns = documents.columns
+    columns = [f"`{c}`" for c in documents.columns]
     wordy = documents.withColumn("_node", text_node())
     alone = wordy.where(F.col("_node").isNull()).select(*columns)
     keyed = wordy.where(F.col("_node").isNotNull()).withColumn(

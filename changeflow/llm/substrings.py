@@ -270,7 +270,7 @@ def without_repeats(
     columns = documents.columns
     rows = documents.withColumn("_row", F.xxhash64("doc_id", "text"))
     marked = rows.join(repeats(rows, window, seed), "_row", "left")
-    marked = marked.select(*columns, "_spans")
+    marked = marked.select(*(f"`{c}`" for c in columns), "_spans")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

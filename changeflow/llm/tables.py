@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.session import checkpoint_root
@@ -35,6 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(documents: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """Documents whose columns but ``used`` have names no operator gives, and the way back.
+
+    Selecting the second from a frame made of the first restores the names.
+    """
+    names = [c if c in used else f"extra {i}" for i, c in enumerate(documents.columns)]
+    back = [F.col(f"`{n}`").alias(c) for n, c in zip(names, documents.columns, strict=True)]
+    return documents.toDF(*names), back
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The frame computed once into the shared checkpoint folder, lineage cut.
 

@@ -328,7 +328,7 @@ def with_scores(documents: DataFrame, model: Model) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     scored = documents.mapInArrow(run, f"{fields}, _toxicity {kind}")
     return scored.select(
-        *columns,
+        *(f"`{c}`" for c in columns),
         F.col("_toxicity.score").alias("toxic_score"),
         F.col("_toxicity.evidence").alias("toxic_evidence"),
         F.col("_toxicity.passages").alias("toxic_passages"),

@@ -12,21 +12,23 @@ from pyspark.sql import functions as F
 
 from changeflow.llm import near, packing, substrings, toxicity
 from changeflow.llm.encoding import WORD_VOCABULARY, vocabulary_path
-from changeflow.llm.tables import importable, table
+from changeflow.llm.tables import importable, set_aside, table
 from changeflow.session import scratch_dir
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less those whose segments are more likely toxic than not."""
+    docs, names = set_aside(docs, "doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.with_scores(docs, model)
-    return scored.where(F.col("toxic_score") < 0.5).select(*docs.columns)
+    return scored.where(F.col("toxic_score") < 0.5).select(*names)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: that of least id."""
     importable(spark)
-    return near.representatives(docs)
+    docs, names = set_aside(docs, "doc_id", "text")
+    return near.representatives(docs).select(*names)
 
 
 def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +38,7 @@ def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     apart. Documents of which nothing remains go.
     """
     importable(spark)
+    docs, names = set_aside(docs, "doc_id", "text", "n_chars")
     found = substrings.without_repeats(docs)
     changed = F.col("_n_removed") > 0
     text = F.when(changed, F.col("_kept")).otherwise(F.col("text"))
@@ -45,12 +48,13 @@ def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -
         kind = docs.schema["n_chars"].dataType
         length = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(kind)
         out = out.withColumn("n_chars", length)
-    return out.select(*docs.columns)
+    return out.select(*names)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of 4096 tokens."""
     importable(spark)
+    docs = docs.select("doc_id", "text")
     return packing.packed(docs, vocabulary_path(WORD_VOCABULARY))
 
 

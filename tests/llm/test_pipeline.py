@@ -82,3 +82,17 @@ def test_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_columns_of_any_name_are_kept(spark, tmp_path):
+    names = ["_row", "_node", "toxic_score", "_kept", "_n_words", "_spans", "label", "a b", "text_"]
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, t, *(f"{n}{i}" for n in names)) for i, t in enumerate([text, text + " x", "other", None])]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in ["doc_id", "text", *names]).replace("`doc_id` string", "doc_id long"))
+    spark.createDataFrame([(0, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, str(tmp_path))
+        assert left.columns == docs.columns
+        for r in left.collect():
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in names)
+    assert corpus_pipeline.packing_stage(spark, docs, str(tmp_path)).count() == 4
