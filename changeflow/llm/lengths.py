@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.encoding import word_encoder
+from changeflow.llm.tables import cut
 
 #: Lengths summed within one window partition of the running sums.
-BLOCK = 4096
+BLOCK = 256
 
 
 def encoded_lengths(documents: DataFrame, vocabulary: str) -> DataFrame:
@@ -29,15 +30,15 @@ def encoded_lengths(documents: DataFrame, vocabulary: str) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
         for batch in batches:
-            lengths = [encoder.count(t.as_py()) for t in batch.column(0)]
+            lengths = encoder.counts(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["length"])
 
     return documents.select("text").mapInArrow(counted, "length long")
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
-    """Documents of each length: (length, n_docs)."""
-    return lengths.groupBy("length").agg(F.count("*").alias("n_docs"))
+    """Documents of each length: (length, n_docs). Computed once, as it is read repeatedly."""
+    return cut(lengths.groupBy("length").agg(F.count("*").alias("n_docs")))
 
 
 def by_limit(counts: DataFrame) -> DataFrame:
