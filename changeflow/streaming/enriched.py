@@ -20,7 +20,7 @@ from changeflow.operators.enrich import enriched_orders
 from changeflow.operators.latest import (
     latest_customers, latest_orders, lines_by_order, order_customer_refs,
 )
-from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
+from changeflow.streaming.kept import BROADCAST_BYTES, Kept, measured
 from changeflow.streaming.tables import (
     FOLD_EVERY, VERSION, Attempt, Head, TableSet, batch_source,
 )
@@ -119,7 +119,7 @@ class EnrichedView:
         affected = keep(self._affected(attempt, keep))
         # The keys of a small batch turn each log into a single pass without a shuffle,
         # over the buckets of the folded part that hold them.
-        wanted = F.broadcast(affected) if affected.count() <= BROADCAST_RECORDS else affected
+        wanted = F.broadcast(affected) if measured(affected)[1] <= BROADCAST_BYTES else affected
         touched = self.tables.touched("orders", affected)
         orders, lines = (
             keep(log(topic, touched).join(wanted, "order_id", "left_semi"))
@@ -167,8 +167,9 @@ class EnrichedView:
         changed = keep(self._new("customers", attempt).select("customer_ref").distinct())
         orders = self._new("orders", attempt).select("order_id")
         orders = orders.union(self._new("lines", attempt).select("order_id"))
-        if customers := changed.count():
-            named = F.broadcast(changed) if customers <= BROADCAST_RECORDS else changed
+        customers, size = measured(changed)
+        if customers:
+            named = F.broadcast(changed) if size <= BROADCAST_BYTES else changed
             index = self.tables.base("named", head, self.tables.touched("named", changed))
             index = index.unionByName(self.tables.log("named", head))
             ever = keep(index.join(named, "customer_ref", "left_semi").select("order_id").distinct())

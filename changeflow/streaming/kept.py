@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: At most this many records are small enough to broadcast: the table definitions
-#: bound their strings, so they stay below some 60 MB.
-BROADCAST_RECORDS = 200_000
+#: Frames of at most so many bytes are broadcast; they are measured first.
+BROADCAST_BYTES = 64 << 20
+
+
+def measured(frame: DataFrame) -> tuple[int, int]:
+    """Rows of a frame, and about how many bytes they take once broadcast."""
+    texts = [f.name for f in frame.schema if isinstance(f.dataType, T.StringType)]
+    row_bytes = F.lit(16 * (len(frame.columns) + 1))
+    for name in texts:
+        row_bytes = row_bytes + F.coalesce(F.octet_length(name), F.lit(0))
+    rows, size = frame.agg(F.count("*"), F.sum(row_bytes)).first()
+    return rows, size or 0
 
 
 class Kept:

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow import schemas
 from changeflow.operators import apply, events, resolve
 from changeflow.settings import UpsertSettings
-from changeflow.streaming.kept import BROADCAST_RECORDS, Kept
+from changeflow.streaming.kept import BROADCAST_BYTES, Kept, measured
 from changeflow.streaming.tables import (
     BUCKET, FOLD_EVERY, Attempt, Head, TableSet, batch_source, bucket_of,
 )
@@ -130,9 +130,9 @@ class UpsertSink:
                     positions=True,
                 )
             )
-            count = records.count()
+            count, size = measured(records)
             if count:
-                self._apply(records, count <= BROADCAST_RECORDS, attempt, keep)
+                self._apply(records, size <= BROADCAST_BYTES, attempt, keep)
                 self.warehouse.tables.commit(attempt, source, batch_id)
 
     def _apply(

@@ -74,7 +74,7 @@ def test_batches_equal_the_row_by_row_model_across_folds(spark, references, tmp_
 def test_large_batches_take_the_unbroadcast_path(spark, references, tmp_path, monkeypatch):
     from changeflow.streaming import upsert
 
-    monkeypatch.setattr(upsert, "BROADCAST_RECORDS", 0)
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", 0)
     log = random_log(12, 40)
     warehouse, sink = job(spark, references, tmp_path)
     for number, batch in enumerate(batches(log, 20)):
@@ -143,6 +143,15 @@ def test_redelivery_as_a_new_batch_converges_and_grows_the_history(spark, refere
     assert links_of(warehouse.links()) == modelled(log, 30).links
 
 
+def test_what_is_broadcast_is_measured_in_bytes(spark):
+    from changeflow.streaming.kept import measured
+
+    rows = [("x" * 100, 1), (None, 2), ("é", None)]
+    count, size = measured(spark.createDataFrame(rows, "a string, b int"))
+    assert count == 3 and size == 3 * 48 + 102
+    assert measured(spark.createDataFrame([], "a string")) == (0, 0)
+
+
 def test_a_batch_without_relevant_events_commits_nothing(spark, references, tmp_path):
     warehouse, sink = job(spark, references, tmp_path)
     sink(frame_of(spark, []), 0)
