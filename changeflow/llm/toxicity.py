@@ -50,6 +50,8 @@ SIGNIFICANT = 3.0
 DRIFT = 0.1
 FIT_ROWS = 1 << 17
 FOLDS = 4
+#: Characters of words whose buckets a worker keeps.
+KEPT_CHARS = 1 << 21
 #: A segment is significant if fewer than so many such are expected in a random text.
 EXPECTED = 0.05
 
@@ -58,7 +60,7 @@ class Tokens:
     """Buckets of a text's words; 0 stands for what has no letter or digit."""
 
     def __init__(self) -> None:
-        self._buckets = Values(_bucket, np.int64)
+        self._buckets = Values(_bucket, np.int32, KEPT_CHARS)
 
     def of(self, text: str | None) -> np.ndarray:
         return self._buckets.of((text or "").split())
@@ -179,7 +181,7 @@ def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.n
     columns = ["occurrences", "texts"] + [f"f{fold}c{toxic}" for fold in range(FOLDS) for toxic in (0, 1)]
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, sums = Tokens(), np.zeros((len(columns), BUCKETS), np.int64)
+        tokens, sums = Tokens(), np.zeros((len(columns), BUCKETS), np.int32)
         for batch in batches:
             for text, toxic, fold in zip(*batch.columns, strict=True):
                 at, found = np.unique(tokens.of(text.as_py()), return_counts=True)
@@ -189,7 +191,7 @@ def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.n
                     sums[2 + 2 * fold.as_py() + toxic.as_py(), at] += 1
         at = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at), *(pa.array(s[at]) for s in sums)], ["bucket", *columns]
+            [pa.array(at), *(pa.array(s[at].astype(np.int64)) for s in sums)], ["bucket", *columns]
         )
 
     schema = ", ".join(f"{c} long" for c in ["bucket", *columns])
