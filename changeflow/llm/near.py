@@ -7,8 +7,8 @@ edit similarity, not of shared content alone. Each text has SKETCHES of them.
 
 *Candidates.* Texts that agree on a sketch form a bucket. Each is compared with the
 bucket's least and greatest text only, never with all. That is done in two rounds: first
-each text beside the least and the greatest of all its buckets, then beside the other ends
-that the first round has not put into the same class.
+each text beside the least and the greatest of all its buckets, then beside those other
+ends with which it shares no linked text yet.
 
 *Verification.* Texts are aligned along the runs they share; where that does not settle a
 pair, the edit distance of the words is found diagonal by diagonal within the band that
@@ -268,16 +268,21 @@ def links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
     return sides.select("a", "b", "one", "other").mapInArrow(run, "a long, b long")
 
 
+def both_ways(edges: DataFrame) -> DataFrame:
+    """Links (a, b) from either end: (node, beside)."""
+    return edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "beside")
+
+
+def least_linked(edges: DataFrame) -> DataFrame:
+    """The least of each linked node and its neighbours: (node, label)."""
+    least = both_ways(edges).groupBy("node").agg(F.min("beside").alias("_least"))
+    return least.select("node", F.least("node", "_least").alias("label"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node that each linked node is connected with: (node, label)."""
-    both = cut(
-        edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "beside").distinct()
-    )
-    labels = cut(
-        both.groupBy("node")
-        .agg(F.min("beside").alias("_least"))
-        .select("node", F.least("node", "_least").alias("label"))
-    )
+    edges = cut(edges.select("a", "b").distinct())
+    both, labels = both_ways(edges), cut(least_linked(edges))
     while True:
         near = (
             both.join(rekeyed(labels.toDF("beside", "_label"), "beside"), "beside")
@@ -302,7 +307,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs that are not of one component yet."""
+    """The pairs that are not known to be connected: those of different labels."""
 
     def label_of(side: str) -> DataFrame:
         return rekeyed(labels.toDF(side, f"_{side}"), side)
@@ -324,10 +329,9 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = cut(pairs_of(beside))
     texts = cut(texts_of(pairs, keyed))
     nearest = pairs_of(beside.groupBy("node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    first = components(links(nearest, texts, similarity))
-    rest = apart(pairs, first).join(nearest, ["a", "b"], "left_anti")
-    tied = first.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    label = components(tied.union(links(rest, texts, similarity)).where(F.col("a") != F.col("b")))
+    linked = cut(links(nearest, texts, similarity))
+    rest = apart(pairs, least_linked(linked)).join(nearest, ["a", "b"], "left_anti")
+    label = components(linked.union(links(rest, texts, similarity)))
     nodes = keyed.groupBy("_node").agg(
         F.min("doc_id").alias("_least"), F.count("*").alias("n_copies")
     )
