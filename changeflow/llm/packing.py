@@ -44,11 +44,12 @@ def pieces(documents: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
         encoder, end = word_encoder(vocabulary), np.array([end_id], "<u4")
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.concatenate([encoder.ids(text.as_py()).astype("<u4"), end])
+            found = encoder.all_ids(batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids = np.append(ids, end).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
-                    rows.append((doc_id.as_py(), piece, start, len(part), zlib.crc32(part)))
+                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part)))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -136,10 +136,10 @@ def write(documents: DataFrame, path: str, vocabulary: str, end_id: int = END_ID
             return pa.RecordBatch.from_pylist([row], _SEGMENT_SCHEMA)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.concatenate([encoder.ids(text.as_py()), end])
-                held.append((doc_id.as_py(), ids))
-                size += len(ids)
+            found = encoder.all_ids(batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                held.append((doc_id, np.append(ids, end)))
+                size += len(ids) + 1
                 if size >= SEGMENT_IDS:
                     yield closed()
                     first, size, number, held = first + size, 0, number + 1, []
@@ -178,12 +178,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     batch.column(c)[row].as_py()
                     for c in ("part", "first_id", "doc_ids", "doc_lengths", "codes")
                 )
-                codes = Codes(data)
                 starts = np.concatenate([[0], np.cumsum(sizes)])
-                crc = [
-                    zlib.crc32(codes.run(int(a), int(b)).astype("<u4").tobytes())
-                    for a, b in zip(starts[:-1], starts[1:], strict=True)
-                ]
+                codes = Codes(data)
+                read_back = codes.run(0, len(codes)).astype("<u4")
+                crc = [zlib.crc32(part) for part in np.split(read_back, starts[1:-1])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part] * len(ids), pa.int32()),

@@ -58,16 +58,21 @@ def test_chunked_ids_are_the_librarys(library, spark):
     encoder = WordEncoder(VOCABULARY)
     for text in [*ODD, *(d["text"] for d in documents(spark))]:
         assert encoder.ids(text).tolist() == library(text)
-        assert encoder.count(text) == len(library(text))
+        assert encoder.counts([text]) == [len(library(text))]
+    assert [i.tolist() for i in encoder.all_ids(ODD)] == [library(t) for t in ODD]
+    assert encoder.counts(ODD) == [len(library(t)) for t in ODD]
 
 
-def test_long_texts_are_taken_in_slices(monkeypatch, library):
+def test_groups_of_texts_and_forgotten_chunks(monkeypatch, library):
     from changeflow.llm import encoding
 
-    monkeypatch.setattr(encoding, "SLICE_CHARS", 7)
-    monkeypatch.setattr(encoding, "KEPT_CHARS", 20)
-    text = "some words, and somemorewithoutspace then  two spaces " * 5
-    assert WordEncoder(VOCABULARY).ids(text).tolist() == library(text)
+    texts = ["some words, and somemorewithoutspace then  two spaces " * 5, None, "", "a", *ODD, ""]
+    for group, kept in ((0, 20), (9, 1 << 20), (1 << 20, 0)):
+        monkeypatch.setattr(encoding, "GROUP_BYTES", group)
+        monkeypatch.setattr(encoding, "KEPT_CHARS", kept)
+        encoder = WordEncoder(VOCABULARY)
+        assert [i.tolist() for i in encoder.all_ids(texts)] == [library(t) for t in texts]
+        assert encoder.counts(texts) == [len(library(t)) for t in texts]
 
 
 def test_histogram_answers_every_limit(spark, odd, library, monkeypatch):
