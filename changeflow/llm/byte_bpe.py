@@ -218,7 +218,7 @@ class TextEncoder:
         codes = np.fromiter(map(self._codes.__getitem__, found), np.int64, len(found))
         if fresh := self._codes.fresh:
             self._ids.extend([self.encoder.encode(m.encode()) for m in fresh])
-            self._codes.fresh = []
+            self._codes.taken()
         return self._ids.gather(codes)
 
     def text(self, ids: np.ndarray) -> bytes:

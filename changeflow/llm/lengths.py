@@ -30,7 +30,7 @@ def encoded_lengths(documents: DataFrame, vocabulary: str) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
         for batch in batches:
-            lengths = encoder.counts(batch.column(0).to_pylist())
+            lengths = encoder.counts(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["length"])
 
     return documents.select("text").mapInArrow(counted, "length long")
