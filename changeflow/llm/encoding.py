@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Bytes of texts taken together, and characters of kept chunks before the rare are forgotten.
 GROUP_BYTES = 1 << 22
-KEPT_CHARS = 1 << 23
+KEPT_CHARS = 1 << 22
 
 #: A word of Latin letters, all of them composed and of simple lower case, and its stops.
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
@@ -125,7 +125,8 @@ class WordEncoder:
     The strings of special tokens are ordinary text. A null text has no ids.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_chars: int | None = None) -> None:
+        self._kept_chars = KEPT_CHARS if kept_chars is None else kept_chars
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -151,7 +152,7 @@ class WordEncoder:
 
     def _encoded(self, chunks: list[str]) -> np.ndarray:
         """Codes of distinct chunks, new ones encoded."""
-        if self._codes.chars > KEPT_CHARS:
+        if self._codes.chars > self._kept_chars:
             self._forget()
         codes = np.fromiter(map(self._codes.__getitem__, chunks), np.int64, len(chunks))
         if fresh := self._codes.fresh:
@@ -242,6 +243,6 @@ def _byte_letters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    """The worker's encoder for a vocabulary file."""
-    return WordEncoder(path)
+def word_encoder(path: str, kept_chars: int | None = None) -> WordEncoder:
+    """The worker's encoder for a vocabulary file; some 25 bytes of memory a kept character."""
+    return WordEncoder(path, kept_chars)

@@ -33,6 +33,8 @@ END_ID = 2
 #: Ids after which a segment is closed; a document is never split over two.
 SEGMENT_IDS = 1 << 18
 RANK_BITS = 512
+#: Characters of chunks a worker keeps: this job does nothing else, so it may keep more.
+KEPT_CHARS = 1 << 23
 
 SEGMENTS = (
     "part int, segment int, first_id long, n_ids long, doc_ids array<long>, "
@@ -118,7 +120,7 @@ def write(documents: DataFrame, path: str, vocabulary: str, end_id: int = END_ID
     """Write the ids of all documents, in ascending doc_id order, as segments below path."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = word_encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, part = word_encoder(vocabulary, KEPT_CHARS), TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
         held: list[tuple[int | None, np.ndarray]] = []
         first = size = number = 0
