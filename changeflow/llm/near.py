@@ -5,10 +5,13 @@ text. A sketch takes the two labelled runs of least hash and keeps them in the o
 the text, so texts agree on a sketch if they share the runs and their order: a measure of
 edit similarity, not of shared content alone. Each text has SKETCHES of them.
 
-*Candidates.* Texts that agree on a sketch form a bucket. Each is compared with the
-bucket's least and greatest text only, never with all. That is done in two rounds: first
-each text beside the least and the greatest of all its buckets, then beside those other
-ends with which it shares no linked text yet.
+*Candidates.* Texts that agree on a sketch form a bucket. Each is first compared with the
+bucket's least and greatest text, in two rounds: beside the least and the greatest of all
+its buckets, then beside those other ends with which it shares no linked text yet. Members
+of a bucket that are not connected by then are compared with one another, all with all,
+less the pairs whose folded word counts alone prove them too far apart. Crowded buckets are
+cut into blocks, and each two blocks meet in a task of their own. Only the pairs that pass
+become rows.
 
 *Verification.* Texts are aligned along the runs they share; where that does not settle a
 pair, the edit distance of the words is found diagonal by diagonal within the band that
@@ -34,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.encoding import Values
-from changeflow.llm.tables import cut, rekeyed
+from changeflow.llm.tables import cut, rekeyed, shuffle_width
 
 SHINGLE = 5
 SKETCHES = 32
@@ -43,6 +46,11 @@ SIMILARITY = 0.8
 STRIDE = 16
 #: Hashes ranked at a time.
 RANKS = 1 << 18
+#: Counters that the words of a text are folded into.
+FOLDED = 256
+#: Members of a bucket that meet in one task, and pairs of them compared at a time.
+BLOCK = 1024
+TILE = 1 << 14
 
 
 def text_node(text: str = "text") -> Column:
@@ -128,13 +136,16 @@ def buckets(documents: DataFrame, sketches: int = SKETCHES, shingle: int = SHING
 
 
 def in_shared_buckets(found: DataFrame) -> DataFrame:
-    """The buckets of more than one text: each text beside the bucket's ends, lo and hi."""
+    """The buckets of more than one text: each text beside the bucket's ends, lo and hi.
+
+    (bucket, node, lo, hi)
+    """
     ends = (
         found.groupBy("bucket")
         .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         .where(F.col("lo") < F.col("hi"))
     )
-    return found.join(rekeyed(ends, "bucket"), "bucket").select("node", "lo", "hi")
+    return found.join(rekeyed(ends, "bucket"), "bucket").select("bucket", "node", "lo", "hi")
 
 
 def pairs_of(beside: DataFrame) -> DataFrame:
@@ -224,6 +235,128 @@ def edits_at_most(one: np.ndarray, other: np.ndarray, runs: tuple, shingle: int)
     return int(between.sum()) + ends
 
 
+def unconnected(beside: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that were not compared with all others: (bucket, node, label, size).
+
+    The ends of a bucket were. Buckets whose other members are all connected are left out,
+    and of buckets with the same members one is kept.
+    """
+    between = beside.where((F.col("lo") < F.col("node")) & (F.col("node") < F.col("hi")))
+    known = rekeyed(labels.toDF("node", "_label"), "node")
+    members = between.join(known, "node", "left").select(
+        "bucket", "node", F.coalesce("_label", "node").alias("label")
+    )
+    kept = (
+        members.groupBy("bucket")
+        .agg(
+            F.min("label").alias("_least"),
+            F.max("label").alias("_most"),
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("node")).alias("_set"),
+        )
+        .where(F.col("_least") < F.col("_most"))
+        .groupBy("size", "_set")
+        .agg(F.min("bucket").alias("bucket"))
+    )
+    return members.join(rekeyed(kept.select("bucket", "size"), "bucket"), "bucket")
+
+
+def folded_counts(texts: DataFrame) -> DataFrame:
+    """The words of each text counted by hash: (node, words, counts), FOLDED bytes of counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source = WordHashes()
+        for batch in batches:
+            sizes, counts = [], []
+            for text in batch.column(1):
+                words = source.of(text.as_py())
+                found = np.bincount((words % np.uint64(FOLDED)).astype(np.int64), minlength=FOLDED)
+                sizes.append(len(words))
+                counts.append(np.minimum(found, 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(counts, pa.binary())],
+                ["node", "words", "counts"],
+            )
+
+    return texts.mapInArrow(run, "node long, words int, counts binary")
+
+
+def near_enough(
+    words: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float
+) -> np.ndarray:
+    """Which pairs of rows the counts allow: an edit takes away or brings one word each."""
+    most = ((1 - similarity) * np.maximum(words[left], words[right]) + 1e-9).astype(np.int64)
+    kept = np.flatnonzero(np.abs(words[left] - words[right]) <= most)
+    one, other = counts[left[kept]], counts[right[kept]]
+    alike = np.minimum(one, other)
+    gone = (one - alike).sum(1, dtype=np.int64)
+    come = (other - alike).sum(1, dtype=np.int64)
+    return kept[np.maximum(gone, come) <= most[kept]]
+
+
+def pairs_within(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of unconnected members of one bucket that their words allow.
+
+    A bucket of more than BLOCK members is dealt into parts, and every two parts meet.
+    """
+    spark = members.sparkSession
+    parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    part = F.pmod(F.xxhash64("node", F.lit("part")), parts).cast("int")
+    dealt = (
+        members.join(rekeyed(folded_counts(texts), "node"), "node")
+        .withColumns({"_part": part, "_other": F.explode(F.sequence(F.lit(0), parts - 1))})
+        .select(
+            F.xxhash64("bucket", F.least("_part", "_other"), F.greatest("_part", "_other")).alias("_group"),
+            F.when(F.col("_part") == F.col("_other"), 2)
+            .otherwise((F.col("_part") > F.col("_other")).cast("int"))
+            .alias("side"),
+            "node",
+            "label",
+            "words",
+            "counts",
+        )
+    )
+    ordered = dealt.repartition(shuffle_width(spark), "_group").sortWithinPartitions("_group")
+
+    def met(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The pairs of one group: of both sides, or of all members where there is one."""
+        side, node, label, words = (rows[c].to_numpy() for c in ("side", "node", "label", "words"))
+        joined = b"".join(rows["counts"].to_pylist())
+        counts = np.frombuffer(joined, np.uint8).reshape(len(node), FOLDED)
+        whole = side[0] == 2
+        left = np.flatnonzero(side != 1)
+        right = left if whole else np.flatnonzero(side == 1)
+        height = max(1, TILE // max(1, len(right)))
+        for at in range(0, len(left), height):
+            own = left[at : at + height]
+            apart = label[own][:, None] != label[right][None, :]
+            if whole:
+                apart &= own[:, None] < right[None, :]
+            i, j = np.nonzero(apart)
+            i, j = own[i], right[j]
+            kept = near_enough(words, counts, i, j, similarity)
+            a, b = node[i[kept]], node[j[kept]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            groups = batch.column(0).to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])).tolist()
+            for start, end in zip(starts, [*starts[1:], len(groups)], strict=True):
+                if held and held[0].column(0)[0].as_py() != groups[start]:
+                    yield from met(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from met(pa.Table.from_batches(held))
+
+    return ordered.mapInArrow(run, "a long, b long").where(F.col("a") < F.col("b")).distinct()
+
+
 def texts_of(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The texts of the pairs, each once: (_node, text)."""
     wanted = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
@@ -332,6 +465,13 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     linked = cut(links(nearest, texts, similarity))
     rest = apart(pairs, least_linked(linked)).join(nearest, ["a", "b"], "left_anti")
     label = components(linked.union(links(rest, texts, similarity)))
+    members = cut(unconnected(beside, label))
+    if not members.isEmpty():
+        wanted = members.select(F.col("node").alias("_node")).distinct()
+        inside = pairs_within(members, texts.join(wanted, "_node"), similarity)
+        found = cut(links(inside, texts, similarity))
+        if not found.isEmpty():
+            label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found))
     nodes = keyed.groupBy("_node").agg(
         F.min("doc_id").alias("_least"), F.count("*").alias("n_copies")
     )

@@ -130,3 +130,34 @@ def test_long_chains_become_one_class(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in near.components(edges).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+
+
+def template_crowd(rng, texts=600, pairs=40):
+    """Texts of one template with bodies of their own, and pairs of them that are near: rows, pairs."""
+    vocabulary = [f"w{i}" for i in range(5000)]
+    template = rng.choices(vocabulary, k=80)
+    rows = [template + rng.choices(vocabulary, k=30) for _ in range(texts)]
+    planted = []
+    for i in range(pairs):
+        copy = list(rows[i])
+        for at in rng.sample(range(80, 110), 6):
+            copy[at] = rng.choice(vocabulary)
+        planted.append((i, len(rows)))
+        rows.append(copy)
+    return [" ".join(r) for r in rows], planted
+
+
+def test_near_texts_in_a_template_crowd(spark):
+    texts, planted = template_crowd(random.Random(11))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    of = {r["doc_id"]: r["class_id"] for r in near.classes(frame).collect()}
+    assert [p for p in planted if of[p[0]] != of[p[1]]] == []
+    assert len(set(of.values())) == len(texts) - len(planted)
+
+
+def test_blocks_of_a_bucket_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 7)
+    texts = spark.createDataFrame([(i, f"a b c d e{i % 3}") for i in range(40)], "node long, text string")
+    members = texts.selectExpr("5L as bucket", "node", "node % 4 as label", "40L as size")
+    got = [tuple(r) for r in near.pairs_within(members, texts).collect()]
+    assert sorted(got) == [(a, b) for a in range(40) for b in range(a + 1, 40) if a % 4 != b % 4]
