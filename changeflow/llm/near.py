@@ -1,9 +1,14 @@
 """Near-duplicate texts by Order MinHash and banded alignment.
 
-*Sketch.* Every run of SHINGLE words is labelled with how often it occurred before in the
+*Sketch.* Every run of a few words is labelled with how often it occurred before in the
 text. A sketch takes the two labelled runs of least hash and keeps them in the order of
 the text, so texts agree on a sketch if they share the runs and their order: a measure of
-edit similarity, not of shared content alone. Each text has SKETCHES of them.
+edit similarity, not of shared content alone. Each text has SKETCHES of them. Runs are so
+short that texts at SIMILARITY still share many: an edit destroys as many runs as a run has
+words. RUNS gives their length by the length of the text; where two lengths overlap a text
+has the sketches of both, so texts within SIMILARITY always have one length in common.
+Texts of at most SHORT words differ in one word at most; they agree on the words that are
+left without it, which finds every such pair.
 
 *Candidates.* Texts that agree on a sketch form a bucket. Each is first compared with the
 bucket's least and greatest text, in two rounds: beside the least and the greatest of all
@@ -21,8 +26,7 @@ SIMILARITY allows. Pairs within it are links.
 pointer jumping, every round written to the checkpoint folder. Rows of equal text share
 one node, so copies never multiply.
 
-Null texts and texts without words are classes of their own. Texts of less than SHINGLE
-words are one run. A class is named by its least doc_id, nulls aside. Repeated rows are
+Null texts and texts without words are classes of their own. A class is named by its least doc_id, nulls aside. Repeated rows are
 copies. An empty table gives an empty result. Texts are told apart by 64-bit hashes.
 """
 
@@ -39,9 +43,15 @@ from pyspark.sql import functions as F
 from changeflow.llm.encoding import Values
 from changeflow.llm.tables import cut, rekeyed, shuffle_width
 
-SHINGLE = 5
-SKETCHES = 32
+SKETCHES = 64
 SIMILARITY = 0.8
+#: Words of a run, and the shortest and longest texts that have sketches of such runs. At
+#: SIMILARITY, a text one word longer than the longest has partners of the next kind only.
+RUNS = ((2, 8, 40), (3, 33, None))
+#: The longest texts that differ in one word at most, at SIMILARITY.
+SHORT = 9
+#: Words of the runs that alignments follow.
+SHINGLE = 5
 #: Words compared at a time along the diagonals of an alignment.
 STRIDE = 16
 #: Hashes ranked at a time.
@@ -111,24 +121,50 @@ def sketch(runs: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch_seeds(count: int) -> np.ndarray:
-    return _mixed(np.arange(1, count + 1, dtype=np.uint64))
+def sketch_seeds(count: int, words: int = 0) -> np.ndarray:
+    """Seeds of the sketches of runs of so many words."""
+    return _mixed(np.arange(1, count + 1, dtype=np.uint64) + np.uint64(words << 32))
+
+
+def less_a_word(words: np.ndarray) -> np.ndarray:
+    """Hashes of a short text's words, and of those left without any one of them.
+
+    Of texts of up to four words, all stay: none has a partner with fewer.
+    """
+    places = np.arange(1, len(words) + 1, dtype=np.uint64)
+    out = [_mixed(_mixed(words + places).sum(keepdims=True))]
+    if len(words) > 4:
+        for at in range(len(words)):
+            left = np.delete(words, at)
+            out.append(_mixed(_mixed(left + places[:-1]).sum(keepdims=True)))
+    return np.unique(np.concatenate(out))
+
+
+def text_buckets(words: np.ndarray, seeds: dict[int, np.ndarray]) -> np.ndarray:
+    """The buckets of a text of at least one word."""
+    out = []
+    if len(words) <= SHORT:
+        out.append(less_a_word(words))
+    for size, least, most in RUNS:
+        if least <= len(words) <= (most or len(words)):
+            out.append(sketch(labelled_runs(words, size), seeds[size]))
+    return np.concatenate(out)
 
 
-def buckets(documents: DataFrame, sketches: int = SKETCHES, shingle: int = SHINGLE) -> DataFrame:
+def buckets(documents: DataFrame, sketches: int = SKETCHES) -> DataFrame:
     """The buckets of every text: (bucket, node). ``documents`` has ``_node`` and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, seeds = WordHashes(), sketch_seeds(sketches)
+        source, seeds = WordHashes(), {size: sketch_seeds(sketches, size) for size, *_ in RUNS}
         for batch in batches:
             found, nodes = [], []
             for node, text in zip(batch.column(0), batch.column(1), strict=True):
                 words = source.of(text.as_py())
                 if len(words):
-                    found.append(sketch(labelled_runs(words, shingle), seeds))
+                    found.append(text_buckets(words, seeds))
                     nodes.append(node.as_py())
             keys = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
-            owner = np.repeat(np.array(nodes, np.int64), sketches)
+            owner = np.repeat(np.array(nodes, np.int64), [len(f) for f in found])
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owner)], ["bucket", "node"])
 
     rows = documents.where(F.col("_node").isNotNull()).select("_node", "text")
