@@ -15,8 +15,8 @@ bucket's least and greatest text, in two rounds: beside the least and the greate
 its buckets, then beside those other ends with which it shares no linked text yet. Members
 of a bucket that are not connected by then are compared with one another, all with all,
 less the pairs whose folded word counts alone prove them too far apart. Crowded buckets are
-cut into blocks, and each two blocks meet in a task of their own. Only the pairs that pass
-become rows.
+cut into blocks that meet in tasks of their own. Only the pairs that pass become rows; a few
+of every two components are aligned first, then those still apart.
 
 *Verification.* Texts are aligned along the runs they share; where that does not settle a
 pair, the edit distance of the words is found diagonal by diagonal within the band that
@@ -333,24 +333,50 @@ def near_enough(
 def pairs_within(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of unconnected members of one bucket that their words allow.
 
-    A bucket of more than BLOCK members is dealt into parts, and every two parts meet.
+    A bucket of more than BLOCK members is dealt into parts. Its largest component and the
+    rest are dealt apart: parts of the rest meet all parts, those of the component only these.
     """
     spark = members.sparkSession
-    parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    part = F.pmod(F.xxhash64("node", F.lit("part")), parts).cast("int")
-    dealt = (
-        members.join(rekeyed(folded_counts(texts), "node"), "node")
-        .withColumns({"_part": part, "_other": F.explode(F.sequence(F.lit(0), parts - 1))})
-        .select(
-            F.xxhash64("bucket", F.least("_part", "_other"), F.greatest("_part", "_other")).alias("_group"),
-            F.when(F.col("_part") == F.col("_other"), 2)
-            .otherwise((F.col("_part") > F.col("_other")).cast("int"))
-            .alias("side"),
-            "node",
-            "label",
-            "words",
-            "counts",
+    largest = (
+        members.groupBy("bucket", "label")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("_n", "label")).alias("_main"))
+        .select("bucket", F.col("_main.label").alias("_main"), F.col("_main._n").alias("_n"))
+    )
+
+    def parts_of(rows: Column) -> Column:
+        return F.ceil(rows / F.lit(BLOCK)).cast("int")
+
+    def meeting(kind: int, one: Column, other: Column, side: Column) -> Column:
+        return F.struct(
+            F.xxhash64("bucket", F.lit(kind), one, other).alias("_group"), side.cast("int").alias("side")
         )
+
+    in_main = F.col("label") == F.col("_main")
+    mains, rests = parts_of(F.col("_n")), parts_of(F.col("size") - F.col("_n"))
+    part = F.pmod(F.xxhash64("node", F.lit("part")), F.when(in_main, mains).otherwise(rests)).cast("int")
+    every_main, every_rest = (F.sequence(F.lit(0), n - 1) for n in (mains, rests))
+    own, zero = F.col("_part"), F.lit(0)
+    same = F.when(F.col("size") <= BLOCK, F.array(meeting(2, zero, zero, F.lit(2))))
+    groups = same.when(in_main, F.transform(every_rest, lambda x: meeting(0, own, x, zero))).otherwise(
+        F.concat(
+            F.transform(every_main, lambda x: meeting(0, x, own, F.lit(1))),
+            F.transform(
+                every_rest,
+                lambda x: meeting(
+                    1, F.least(own, x), F.greatest(own, x), F.when(own == x, 2).otherwise((own > x).cast("int"))
+                ),
+            ),
+        )
+    )
+    dealt = (
+        members.join(rekeyed(largest, "bucket"), "bucket")
+        .withColumn("_part", part)
+        .select("node", "label", F.explode(groups).alias("_at"))
+        .select("node", "label", "_at.*")
+        .join(rekeyed(folded_counts(texts), "node"), "node")
+        .select("_group", "side", "node", "label", "words", "counts")
     )
     ordered = dealt.repartition(shuffle_width(spark), "_group").sortWithinPartitions("_group")
 
@@ -486,6 +512,35 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.where(~same).select("a", "b")
 
 
+def first_tries(pairs: DataFrame, labels: DataFrame, tries: int = 8) -> DataFrame:
+    """At most so many of the pairs for every two components."""
+
+    def label_of(side: str) -> DataFrame:
+        return rekeyed(labels.toDF(side, f"_{side}"), side)
+
+    one, other = F.coalesce("_a", "a"), F.coalesce("_b", "b")
+    return (
+        pairs.join(label_of("a"), "a", "left")
+        .join(label_of("b"), "b", "left")
+        .groupBy(F.least(one, other), F.greatest(one, other), F.pmod(F.xxhash64("a", "b"), F.lit(tries)))
+        .agg(F.min(F.struct("a", "b")).alias("_pair"))
+        .select("_pair.*")
+    )
+
+
+def connected_further(pairs: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The labels once all pairs that they leave apart are compared, a few of each two first."""
+    tried = cut(first_tries(pairs, labels))
+    for rest in (tried, None):
+        if rest is None:
+            rest = apart(pairs, labels).join(tried, ["a", "b"], "left_anti")
+        found = cut(links(rest, texts, similarity))
+        if not found.isEmpty():
+            known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = components(known.union(found))
+    return labels
+
+
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Every document's class: doc_id, class_id, n_copies, _node, _label.
 
@@ -504,10 +559,8 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members = cut(unconnected(beside, label))
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("_node")).distinct()
-        inside = pairs_within(members, texts.join(wanted, "_node"), similarity)
-        found = cut(links(inside, texts, similarity))
-        if not found.isEmpty():
-            label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found))
+        inside = cut(pairs_within(members, texts.join(wanted, "_node"), similarity))
+        label = connected_further(inside, label, texts, similarity)
     nodes = keyed.groupBy("_node").agg(
         F.min("doc_id").alias("_least"), F.count("*").alias("n_copies")
     )
