@@ -9,13 +9,16 @@ from changeflow.llm import (
     byte_bpe,
     fingerprints,
     lengths,
+    middles,
     near,
     packing,
     search,
     sharding,
+    simhash,
     substrings,
     token_files,
     toxicity,
+    vector_codes,
 )
 from changeflow.llm.encoding import WORD_VOCABULARY, vocabulary_path
 from changeflow.llm.tables import shuffle_width, table
@@ -117,6 +120,34 @@ def op10_monoid_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document, and the least id it is connected with."""
+    return simhash.classes(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+def op12_active_entry_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as 16 codes of 64 entries each, with their errors."""
+    return vector_codes.with_errors(*vector_codes.compressed(table(spark, sf_dir, "embeddings")))
+
+
+def op13_exception_index_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged for fill-in-the-middle training, and the way back."""
+    found = middles.arranged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middles.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,9 +161,35 @@ QUERIES = {
         op8_length_histogram,
         op9_directly_addressable_codes,
         op10_monoid_byte_bpe,
+        op11_pigeonring_simhash,
+        op12_active_entry_lloyd,
+        op13_exception_index_middles,
     )
 }
 
+
+def _nearest(rows: str, book: str) -> str:
+    """SQL: every part's distance and entry, packed so that the lowest of equals is least."""
+    return f"""
+        SELECT r, p, x, min(d * 64 + e) AS packed FROM (
+            SELECT r, p, x, e, CAST(list_sum(list_transform(range(1, len(x) + 1),
+                   lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d
+            FROM {rows} JOIN {book} USING (p)
+        ) GROUP BY r, p, x"""
+
+
+def _moved(book: str, codes: str) -> str:
+    """SQL: the entries at the floors of their parts' means, unused ones as they were."""
+    return f"""
+        SELECT p, e, coalesce(means.c, {book}.c) AS c FROM {book} LEFT JOIN (
+            SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c FROM (
+                SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM (
+                    SELECT p, packed % 64 AS e, x, unnest(range(1, len(x) + 1)) AS i FROM {codes}
+                ) GROUP BY p, e, i
+            ) GROUP BY p, e
+        ) means USING (p, e)"""
+
+
 ORACLE = {
     # a window is one whose words start at two places at least
     "op5_repeated_passages": """
@@ -177,4 +234,63 @@ ORACLE = {
             FROM scored
         ) WHERE rank <= 5
     """,
+    # no SQL function has the hash of op11: its test compares all pairs
+    "op12_active_entry_lloyd": f"""
+        WITH vectors AS (
+            SELECT row_number() OVER () AS r, vec_id, label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x
+            FROM vectors, (SELECT unnest(range(16)) AS p)
+        ), firsts AS (
+            SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM vectors ORDER BY e LIMIT 64
+        ), book0 AS (SELECT p, e, x AS c FROM parts JOIN firsts USING (r)
+        ), codes0 AS ({_nearest("parts", "book0")}
+        ), book1 AS ({_moved("book0", "codes0")}
+        ), codes1 AS ({_nearest("parts", "book1")}
+        ), book2 AS ({_moved("book1", "codes1")}
+        ), codes2 AS ({_nearest("parts", "book2")}
+        ), told AS (
+            SELECT r, string_agg(printf('%02x', packed % 64), '' ORDER BY p) AS code,
+                   CAST(sum(packed // 64) AS BIGINT) AS error
+            FROM codes2 GROUP BY r
+        ), digest AS (
+            SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256
+            FROM book2
+        )
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM vectors JOIN told USING (r), digest
+    """,
+    "op13_exception_index_middles": """
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+            FROM documents
+        ), cuts AS (
+            SELECT doc_id, t, u, len(u) AS n,
+                   CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS one,
+                   CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS other,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                        WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), parts AS (
+            SELECT doc_id, t, n, form,
+                   array_to_string(u[1:least(one, other)], '') AS p,
+                   array_to_string(u[least(one, other) + 1:greatest(one, other)], '') AS m,
+                   array_to_string(u[greatest(one, other) + 1:], '') AS s
+            FROM cuts
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }
