@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.values import utc_second
@@ -18,6 +18,12 @@ MISSING_FIELD = "missing_field"
 UNKNOWN_FRAME = "unknown_frame"
 UNKNOWN_SCHEMA = "unknown_schema"
 
+#: Reasons that do not enter the count of skipped events.
+UNCOUNTED = (UNDECODABLE, UNKNOWN_FRAME, UNKNOWN_SCHEMA)
+
+#: Ranges of offsets that records are counted in before they are numbered.
+RANGES = 1024
+
 #: The operations that are applied, and the origin whose inserts are not.
 APPLIED_OPERATIONS = ("I", "D")
 AUTOMATIC_ORIGIN = "A"
@@ -67,7 +73,7 @@ def rejected(events: DataFrame, decode_status: str | None = None) -> DataFrame:
     return (
         events.withColumn("reject_reason", reason)
         .filter(F.col("reject_reason").isNotNull())
-        .withColumn("counted", ~F.col("reject_reason").isin(UNDECODABLE, UNKNOWN_FRAME, UNKNOWN_SCHEMA))
+        .withColumn("counted", ~F.col("reject_reason").isin(*UNCOUNTED))
     )
 
 
@@ -76,7 +82,8 @@ def observed(events: DataFrame, name: str = "events") -> DataFrame:
 
     The counts appear in the query progress (``observedMetrics``) of a stream.
     """
-    skipped = F.count(F.when(reject_reason().isNotNull(), True))
+    status = F.col("decode_status") if "decode_status" in events.columns else None
+    skipped = F.count(F.when(~reject_reason(status).isin(*UNCOUNTED), True))
     return events.observe(name, F.count("*").alias("read"), skipped.alias("skipped"))
 
 
@@ -106,6 +113,33 @@ def numbered_batches(records: DataFrame, batch_size: int) -> DataFrame:
     return records.withColumn("batch_no", F.expr(f"kafka_offset div {int(batch_size)}"))
 
 
+def batches_by_relevance(records: DataFrame, batch_size: int, ranges: int = RANGES) -> DataFrame:
+    """Attach ``batch_no`` by cutting after every ``batch_size`` of these records.
+
+    Records are what :func:`relevant` keeps: the others do not count towards a batch. They
+    are taken by offset, then partition. Their numbers are found in two levels: records are
+    counted by range of offsets, and numbered within a range, so no task sees them all. The
+    ranges, RANGES at most, are summed up in one row and broadcast.
+    """
+    ends = records.agg(F.min("kafka_offset").alias("lo"), F.max("kafka_offset").alias("hi"))
+    low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
+    share = (F.col("kafka_offset") - low).cast("double") / (high.cast("double") - low + 1)
+    ranged = records.withColumn("_range", F.floor(share * ranges).cast("int"))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    listed = counts.agg(F.sort_array(F.collect_list(F.struct("_range", "_n"))).alias("_all"))
+    earlier = F.aggregate(F.slice("_all", 1, F.col("_at")), F.lit(0).cast("long"), lambda n, x: n + x["_n"])
+    starts = listed.select("_all", F.posexplode("_all").alias("_at", "_own")).select(
+        F.col("_own._range").alias("_range"), earlier.alias("_start")
+    )
+    within = Window.partitionBy("_range").orderBy("kafka_offset", "kafka_partition")
+    number = F.col("_start") + F.row_number().over(within) - 1
+    return (
+        ranged.join(F.broadcast(starts), "_range")
+        .withColumn("batch_no", F.floor(number / int(batch_size)))
+        .drop("_range", "_start")
+    )
+
+
 def expanded_updates(changes: DataFrame) -> DataFrame:
     """Turn each before/after change into change events.
 

@@ -87,26 +87,22 @@ def latest_customers(log: DataFrame, ignore_nulls: bool = False) -> DataFrame:
     return latest(log, ["customer_ref"], CUSTOMER_COLUMNS, ignore_nulls=ignore_nulls)
 
 
-def _not_deleted() -> Column:
-    """Aggregate: whether the last operation that is not null leaves the key alive.
+def _operations() -> dict[str, Column]:
+    """Per event, the offsets an order's last operation and last delete are found by.
 
-    Two maxima over offsets instead of a latest value: plain longs, which keep the
-    aggregate in generated code. Null, like the operation, where none was ever named.
+    Two maxima over offsets instead of a latest value: plain longs, which keep aggregates in
+    generated code.
     """
     op, offset = F.col("op_type"), F.col("kafka_offset")
-    last = F.max(F.when(op.isNotNull(), offset))
-    last_delete = F.max(F.when(op == "D", offset))
-    return last > F.coalesce(last_delete, F.lit(-1))
+    return {"_last": F.when(op.isNotNull(), offset), "_last_delete": F.when(op == "D", offset)}
 
 
-def _line(*leading: str) -> Column:
-    return F.struct(*leading, "line_number", *LINE_COLUMNS)
+#: Whether the last operation that is not null leaves the order alive; null where none was named.
+ALIVE = "_last > coalesce(_last_delete, -1)"
 
 
-def _amount() -> Column:
-    # A sum over no amounts is zero, not unknown.
-    total = F.sum(F.col("quantity") * F.col("unit_price"))
-    return F.coalesce(total, F.lit(0)).cast("decimal(33,2)")
+def _line(*leading: str) -> Column:
+    return F.struct(*leading, "line_number", *LINE_COLUMNS)
 
 
 def _equal_ranges(rows: DataFrame, column: str) -> Column:
@@ -117,39 +113,69 @@ def _equal_ranges(rows: DataFrame, column: str) -> Column:
     return F.coalesce(F.floor(share * RANGES), F.lit(-1))
 
 
-def positions(rows: DataFrame, in_range: Column, ordering: Sequence[str]) -> DataFrame:
-    """Number the elements of every order from 0 (``position``), in two levels.
+def _starts(counts: DataFrame, carried: Sequence[str], summed: Sequence[str]) -> DataFrame:
+    """Per order and range, the elements in earlier ranges; and what is told of the whole order.
 
-    Elements are counted by order and range, and numbered within a range. ``in_range``
-    must not fall where ``ordering`` rises.
+    ``counts`` has the elements of a range (``_n``). Of the whole order ``carried`` columns
+    are the greatest, ``summed`` ones the sum.
     """
-    ranged = rows.withColumn("_range", in_range)
-    earlier = Window.partitionBy("order_id").orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = (
-        ranged.groupBy("order_id", "_range")
-        .agg(F.count("*").alias("_n"))
-        .select("order_id", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    whole = Window.partitionBy("order_id")
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        "order_id",
+        "_range",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"),
+        *[F.max(c).over(whole).alias(c) for c in carried],
+        *[F.sum(c).over(whole).alias(c) for c in summed],
     )
+
+
+def positions(
+    rows: DataFrame,
+    in_range: Column,
+    ordering: Sequence[str],
+    greatest: dict[str, Column] | None = None,
+    summed: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Number the elements of every order from 0 (``position``), in two levels.
+
+    Elements are numbered within order and range, and the last number of a range is their
+    count, so rows are shuffled once. ``in_range`` must not fall where ``ordering`` rises.
+    Every row also tells the ``greatest`` and ``summed`` values of its order.
+    """
+    greatest, summed = greatest or {}, summed or {}
     within = Window.partitionBy("order_id", "_range").orderBy(*ordering)
+    numbered = rows.withColumn("_range", in_range).withColumn("_at", F.row_number().over(within) - 1)
+    counts = numbered.groupBy("order_id", "_range").agg(
+        (F.max("_at") + 1).alias("_n"),
+        *[F.max(c).alias(name) for name, c in greatest.items()],
+        *[F.sum(c).alias(name) for name, c in summed.items()],
+    )
     return (
-        ranged.withColumn("_at", F.row_number().over(within) - 1)
-        .join(starts, ["order_id", "_range"])
+        numbered.join(_starts(counts, list(greatest), list(summed)), ["order_id", "_range"])
         .withColumn("position", F.col("_start") + F.col("_at"))
         .drop("_range", "_start", "_at")
     )
 
 
-def order_lines(log: DataFrame, mode: str = "changelog") -> DataFrame:
-    """The long form of ``lines_by_order``: one row for each line, with its ``position``."""
+def numbered_in_order(events: DataFrame, **told: dict[str, Column]) -> DataFrame:
+    """The events of every order numbered from 0 (``position``) as they lie in their topic."""
+    return positions(
+        events, _equal_ranges(events, "kafka_offset"), ["kafka_offset", "kafka_partition"], **told
+    )
+
+
+def order_lines(log: DataFrame, mode: str = "changelog", **told: dict[str, Column]) -> DataFrame:
+    """The long form of ``lines_by_order``: one row for each line, with its ``position``.
+
+    What is ``told`` of an order is as in :func:`positions`.
+    """
     events = log.filter(F.col("order_id").isNotNull())
     if mode == "changelog":
-        ordering = ["kafka_offset", "kafka_partition"]
-        return positions(events, _equal_ranges(events, "kafka_offset"), ordering)
+        return numbered_in_order(events, **told)
     if mode == "current":
         lines = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS)
-        return positions(lines, _equal_ranges(lines, "line_number"), ["line_number"])
+        return positions(lines, _equal_ranges(lines, "line_number"), ["line_number"], **told)
     raise ValueError(f"mode must be 'changelog' or 'current', not {mode!r}")
 
 
@@ -163,22 +189,17 @@ def lines_by_order(log: DataFrame, mode: str = "changelog", chunk: int = CHUNK)
     An array holds ``chunk`` elements at most: the row of ``lines_part`` n those from
     position n * chunk on. Usually there is only part 0; it alone has the total.
     """
-    lines = order_lines(log, mode).withColumn("lines_part", F.expr(f"position div {int(chunk)}"))
-    events = log.filter(F.col("order_id").isNotNull())
+    amount = {"_total": F.col("quantity") * F.col("unit_price")}
     if mode == "changelog":
-        totals = events.groupBy("order_id").agg(
-            _amount().alias("order_total"), _not_deleted().alias("alive")
-        )
+        lines = order_lines(log, mode, greatest=_operations(), summed=amount).filter(ALIVE)
     else:
-        current = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS)
-        totals = current.groupBy("order_id").agg(
-            _amount().alias("order_total"), F.lit(True).alias("alive")
-        )
+        lines = order_lines(log, mode, summed=amount)
     columns = ("line_number", *LINE_COLUMNS)
+    # A sum over no amounts is zero, not unknown.
+    total = F.coalesce(F.first("_total"), F.lit(0)).cast("decimal(33,2)")
     return (
-        lines.groupBy("order_id", "lines_part")
-        .agg(F.sort_array(F.collect_list(_line("position"))).alias("lines"))
-        .join(totals.filter("alive"), "order_id")
+        lines.groupBy("order_id", F.expr(f"position div {int(chunk)}").alias("lines_part"))
+        .agg(F.sort_array(F.collect_list(_line("position"))).alias("lines"), total.alias("order_total"))
         .select(
             "order_id",
             "lines_part",
@@ -195,28 +216,21 @@ def order_customer_refs(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     them at most, and further ones follow under the next ``refs_part``. Part 0 stands for
     the order even if it has no reference.
     """
-    op, offset = F.col("op_type"), F.col("kafka_offset")
-    pairs = (
+    ref = trim_controls(F.col("customer_ref"))
+    in_range = F.coalesce(F.pmod(F.xxhash64(ref), F.lit(RANGES)), F.lit(0))
+    grouped = (
         log.filter(F.col("order_id").isNotNull())
-        .groupBy("order_id", trim_controls(F.col("customer_ref")).alias("ref"))
-        .agg(
-            F.max(F.when(op.isNotNull(), offset)).alias("last"),
-            F.max(F.when(op == "D", offset)).alias("last_delete"),
-        )
-    )
-    alive = pairs.groupBy("order_id").agg(
-        (F.max("last") > F.coalesce(F.max("last_delete"), F.lit(-1))).alias("alive")
-    )
-    # An absent reference comes last, as it takes up a position but no element.
-    in_range = F.when(F.col("ref").isNull(), RANGES).otherwise(
-        F.pmod(F.xxhash64("ref"), F.lit(RANGES))
+        .groupBy("order_id", in_range.alias("_range"))
+        .agg(F.collect_set(ref).alias("_refs"), *[F.max(c).alias(n) for n, c in _operations().items()])
     )
+    counts = grouped.withColumn("_n", F.size("_refs")).drop("_refs")
+    starts = _starts(counts, list(_operations()), []).filter(ALIVE)
     return (
-        positions(pairs.select("order_id", "ref"), in_range.cast("long"), ["ref"])
-        .withColumn("refs_part", F.expr(f"position div {int(chunk)}"))
-        .groupBy("order_id", "refs_part")
+        grouped.select("order_id", "_range", "_refs")
+        .join(starts, ["order_id", "_range"])
+        .select("order_id", "_start", F.posexplode_outer(F.sort_array("_refs")).alias("_at", "ref"))
+        .withColumn("position", F.col("_start") + F.coalesce("_at", F.lit(0)))
+        .groupBy("order_id", F.expr(f"position div {int(chunk)}").alias("refs_part"))
         .agg(F.sort_array(F.collect_list("ref")).alias("customer_refs"))
         .filter((F.col("refs_part") == 0) | (F.size("customer_refs") > 0))
-        .join(alive.filter("alive"), "order_id")
-        .select("order_id", "refs_part", "customer_refs")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.keys import customer_hash, customer_id
 from changeflow.operators import events, resolve
-from changeflow.plans.inputs import Inputs, shown
+from changeflow.plans.inputs import SETTINGS, Inputs, shown
 from changeflow.plans.oracle import instant_text, query
 from changeflow.session import scratch_dir
 from changeflow.sources import generate, kafka, seeds
@@ -94,6 +94,13 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batches_by_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relevant events, cut into batches of so many of them."""
+    inputs = Inputs(spark, sf_dir)
+    kept = events.batches_by_relevance(events.relevant(inputs.order_log), SETTINGS.batch_size)
+    return kept.select("kafka_partition", "kafka_offset", "order_id", "batch_no")
+
+
 def cdc_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = events.normalised(events.relevant(Inputs(spark, sf_dir).order_log))
     return shown(records.drop("op_ts", "kafka_partition"))
@@ -186,12 +193,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         cdc_frame_split, cdc_frame_decode, cdc_json_decode, cdc_relevant, cdc_rejects, cdc_normalized,
-        expand_updates, customer_keys, operational_orders, incremental_extract, seed_orders,
+        batches_by_relevance, expand_updates, customer_keys, operational_orders, incremental_extract, seed_orders,
         gen_events_profile,
     )
 }
 
-_REASON = """CASE WHEN order_id IS NULL THEN 'no_order'
+REASON = """CASE WHEN order_id IS NULL THEN 'no_order'
                   WHEN op_type NOT IN ('I', 'D') THEN 'other_operation'
                   WHEN op_type = 'I' AND link_origin IS NOT DISTINCT FROM 'A' THEN 'automatic_insert'
              END"""
@@ -254,7 +261,7 @@ ORACLE = {
               FROM order_log)"""),
     "cdc_json_decode": query(f"""
         SELECT kafka_offset, decode_status,
-               CASE WHEN decode_status <> 'decoded' THEN decode_status ELSE {_REASON} END AS reject_reason,
+               CASE WHEN decode_status <> 'decoded' THEN decode_status ELSE {REASON} END AS reject_reason,
                CASE WHEN decode_status = 'decoded' THEN customer_ref END AS customer_ref,
                CASE WHEN decode_status = 'decoded' THEN op_ts END AS op_ts
         FROM (SELECT *, CASE k WHEN 41 THEN 'undecodable' WHEN 42 THEN 'empty' WHEN 43 THEN 'empty'
@@ -263,8 +270,12 @@ ORACLE = {
     "cdc_relevant": query("SELECT kafka_offset, order_id, op_type, link_origin FROM relevant"),
     "cdc_rejects": query(f"""
         SELECT kafka_offset, reject_reason, true AS counted
-        FROM (SELECT *, {_REASON} AS reject_reason FROM order_log)
+        FROM (SELECT *, {REASON} AS reject_reason FROM order_log)
         WHERE reject_reason IS NOT NULL"""),
+    "batches_by_relevance": query("""
+        SELECT kafka_partition, kafka_offset, order_id,
+               (row_number() OVER (ORDER BY kafka_offset, kafka_partition) - 1) // 500 AS batch_no
+        FROM relevant"""),
     "cdc_normalized": query(f"""
         SELECT order_id, customer_ref, channel_id, status, event_date, link_origin, op_type,
                {instant_text("op_timestamp")}, kafka_offset

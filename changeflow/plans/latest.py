@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from changeflow.operators import enrich
 from changeflow.operators import latest as state
+from changeflow.operators.compaction import compacted
 from changeflow.plans.inputs import Inputs, shown
-from changeflow.plans.oracle import query
+from changeflow.plans.oracle import by_parts, query
 
 
 def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,28 @@ def latest_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(lines.select("order_line_key.*", *state.LINE_COLUMNS))
 
 
+#: Up to where the topic is compacted, in thirds of its offsets, and how long tombstones stay.
+CLEAN_THIRDS, TOMBSTONE_DAYS = 2, 14
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = Inputs(spark, sf_dir)
+    log = inputs.order_log
+    newest = log.agg(F.max("op_ts")).scalar()
+    expired = F.col("op_ts") < newest - TOMBSTONE_DAYS * 24 * 3600 * 1000
+    return compacted(log, ["order_id"], inputs.part_of(3) < CLEAN_THIRDS, expired)
+
+
+def topic_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the order topic once two thirds of it are compacted."""
+    return _compacted(spark, sf_dir)
+
+
+def latest_orders_of_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest orders, read from the compacted topic."""
+    return state.latest_orders(_compacted(spark, sf_dir))
+
+
 def latest_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.latest_customers(Inputs(spark, sf_dir).customer_log)
 
@@ -79,7 +102,7 @@ def orders_enriched_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        latest_orders, latest_orders_ignore_nulls, latest_order_lines, latest_customers,
+        latest_orders, latest_orders_ignore_nulls, latest_order_lines, latest_customers, topic_compacted, latest_orders_of_compacted,
         lines_by_order_changelog, lines_by_order_current, lines_by_order_chunked, order_lines_long,
         order_customer_refs, orders_enriched, orders_enriched_chunked,
     )
@@ -133,4 +156,12 @@ ORACLE = {
         SELECT 'total', order_id, order_total FROM enriched WHERE order_total IS NOT NULL"""),
     "order_customer_refs": query("SELECT * FROM customer_refs"),
     "orders_enriched": query("SELECT * FROM enriched"),
+    "topic_compacted": query(f"""
+        SELECT * EXCLUDE (k, clean, place, newest) FROM (
+            SELECT *, row_number() OVER (PARTITION BY order_id, clean ORDER BY kafka_offset DESC) AS place
+            FROM (SELECT *, {by_parts(3)} < {CLEAN_THIRDS} AS clean, max(op_ts) OVER () AS newest FROM order_log)
+        ) WHERE NOT clean
+             OR order_id IS NOT NULL AND place = 1
+                AND NOT (op_type = 'D' AND op_ts < newest - {TOMBSTONE_DAYS} * 24 * 3600 * 1000::BIGINT)"""),
+    "latest_orders_of_compacted": query("SELECT * FROM latest_orders"),
 }

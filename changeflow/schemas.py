@@ -20,6 +20,13 @@ def struct(required: str = "", **columns: T.DataType) -> T.StructType:
 #: Position of an event in its topic.
 POSITION = struct(kafka_partition=INT, kafka_offset=LONG)
 
+
+
+def positioned(event: T.StructType) -> T.StructType:
+    """An event behind its position."""
+    return T.StructType(POSITION.fields + event.fields)
+
+
 ORDER_EVENT = struct(
     "order_id link_origin op_type op_ts current_ts",
     order_id=TEXT,
@@ -125,7 +132,14 @@ ENRICHED = struct(
 LINES_BY_ORDER = struct(order_id=TEXT, lines_part=LONG, lines=ORDER_LINES, order_total=TOTAL)
 CUSTOMER_REFS = struct(order_id=TEXT, refs_part=LONG, customer_refs=T.ArrayType(TEXT))
 
-_AVRO_TYPES = {TEXT: "string", LONG: "long", INT: "int"}
+#: How Avro names these types.
+_AVRO_TYPES = {
+    TEXT: "string",
+    LONG: "long",
+    INT: "int",
+    DATE: {"type": "int", "logicalType": "date"},
+    TIME: {"type": "long", "logicalType": "timestamp-micros"},
+}
 
 
 def _avro_type(kind: T.DataType) -> str | dict:

@@ -23,6 +23,7 @@ from changeflow.operators.events import (
     UNKNOWN_SCHEMA,
 )
 from changeflow.settings import ConfigurationError, TopicSettings
+from changeflow.sources.directory import append_keyed, read_directory
 
 #: The first byte of a registry frame, and the login module of a mechanism.
 MARKER = "00"
@@ -79,10 +80,23 @@ def write_options(settings: TopicSettings) -> dict[str, str]:
 
 
 def read_topic(
-    spark: SparkSession, settings: TopicSettings, max_offsets: int | None = None
+    spark: SparkSession,
+    settings: TopicSettings,
+    max_offsets: int | None = None,
+    progress: str | None = None,
 ) -> DataFrame:
-    """The topic as a stream of ``key, value, kafka_partition, kafka_offset``."""
-    stream = spark.readStream.format("kafka").options(**read_options(settings, max_offsets)).load()
+    """The topic as a stream of ``key, value, kafka_partition, kafka_offset``.
+
+    A topic directory notes in ``progress`` how far it was read.
+    """
+    if settings.directory:
+        stream = read_directory(
+            spark, f"{settings.directory}/{settings.topic}", startingOffsets=settings.starting_offsets,
+            maxOffsetsPerTrigger=max_offsets, progress=progress,
+        )
+    else:
+        reader = spark.readStream.format("kafka")
+        stream = reader.options(**read_options(settings, max_offsets)).load()
     return stream.select(
         F.col("key").cast("string").alias("key"),
         "value",
@@ -171,17 +185,18 @@ def decode_avro(
     return decode_framed(topic, {i: decoder(schema) for i, schema in schema_ids.items()}, event)
 
 
-def decode_json(topic: DataFrame) -> DataFrame:
-    """Decode JSON values against the fixed event schema.
+def decode_json(topic: DataFrame, event: T.StructType = schemas.ORDER_EVENT) -> DataFrame:
+    """Decode JSON values against the fixed schema of their events.
 
     ``decode_status`` tells a payload that does not parse from one that is empty or
     lacks the key of a required field; a key holding null is present.
     """
     text = F.col("value").cast("string")
-    event = F.from_json(text, schemas.ORDER_EVENT, {"mode": "PERMISSIVE"})
+    parsed = F.from_json(text, event, {"mode": "PERMISSIVE"})
+    required = [f for f in REQUIRED_FIELDS if f in event.names]
     keys = F.json_object_keys(text)
     complete = F.forall(
-        F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), lambda f: F.array_contains(keys, f)
+        F.array(*[F.lit(f) for f in required]), lambda f: F.array_contains(keys, f)
     )
     status = (
         F.when(text.isNull() | (F.trim(text).isin("null", "{}")), EMPTY)
@@ -189,7 +204,7 @@ def decode_json(topic: DataFrame) -> DataFrame:
         .when(~complete, MISSING_FIELD)
         .otherwise(DECODED)
     )
-    return topic.select(event.alias("event"), status.alias("decode_status"), *_position(topic)).select(
+    return topic.select(parsed.alias("event"), status.alias("decode_status"), *_position(topic)).select(
         "event.*", "decode_status", *_position(topic)
     )
 
@@ -235,5 +250,8 @@ def published(
 
 def publish(applied: DataFrame, settings: TopicSettings, **record) -> None:
     """Write applied rows to the output topic; ``record`` is what ``published`` takes."""
-    options = write_options(settings)
-    published(applied, **record).write.format("kafka").options(**options).save()
+    records, options = published(applied, **record), write_options(settings)
+    if settings.directory:
+        append_keyed(records, f"{settings.directory}/{settings.output_topic}")
+    else:
+        records.write.format("kafka").options(**options).save()

@@ -1,29 +1,34 @@
 """The enriched order view, kept current as any of its three inputs changes.
 
-A micro-batch mixes events of all three topics. It appends them to the logs, finds the
-orders they affect, recomputes just those, and appends the result to the view: new
-rows, or a tombstone for an order that no longer stands. The roll-ups of lines and of
-customer references are state tables beside the view.
+A micro-batch mixes events of all three topics. What is stored of the keys it touches, one
+row a key, is read, merged with the events and written back; the orders that changed are
+shown anew, the others are not looked at. No batch reads an order's history.
+
+Every topic partition has a mark, committed with the tables: the greatest offset applied.
+Events up to it are passed over, so a topic read again from its start, under whatever
+checkpoint, changes nothing.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schemas
+from changeflow.functions.values import trim_controls
 from changeflow.operators.enrich import enriched_orders
 from changeflow.operators.latest import (
-    latest_customers, latest_orders, lines_by_order, order_customer_refs,
+    CHUNK, CUSTOMER_COLUMNS, LINE_COLUMNS, ORDER_COLUMNS, RANGES, numbered_in_order, positions,
 )
-from changeflow.streaming.kept import BROADCAST_BYTES, Kept, measured
-from changeflow.streaming.tables import (
-    FOLD_EVERY, VERSION, Attempt, Head, TableSet, batch_source,
+from changeflow.operators.rollup import (
+    grown_chunks, grown_lists, latest_schema, list_schema, merged_latest, stored_parts,
 )
+from changeflow.streaming.kept import BROADCAST_BYTES, Kept, measured
+from changeflow.streaming.tables import GATHER_EVERY, Head, Table, TableSet, batch_source
 
 TOPICS = {
     "orders": schemas.ORDER_EVENT,
@@ -31,16 +36,42 @@ TOPICS = {
     "customers": schemas.CUSTOMER_EVENT,
 }
 
-
-#: What the events of a topic are looked up by.
-LOG_KEYS = {"orders": "order_id", "lines": "order_id", "customers": "customer_ref"}
-
-#: Buckets of the folded logs: enough that the orders of a batch touch few of them.
+#: Buckets of the gathered tables: enough that the keys of a batch touch few of them.
 BUCKETS = 1024
 
-
-def _log_schema(event: T.StructType) -> T.StructType:
-    return T.StructType(schemas.POSITION.fields + event.fields)
+#: The greatest applied offset of each topic partition.
+MARKS = "marks"
+
+LINE = schemas.ORDER_LINES.elementType
+OPERATION = (T.StructField("op_type", T.StringType()), T.StructField("op_offset", T.LongType()))
+VIEW = T.StructType([*schemas.ENRICHED.fields, *schemas.struct(part=schemas.LONG, deleted=T.BooleanType()).fields])
+
+
+def _tables(buckets: int) -> dict[str, Table]:
+    total = T.StructField("order_total", schemas.TOTAL)
+    pair = schemas.struct(pair=schemas.LONG, order_id=schemas.TEXT, ref=schemas.TEXT)
+    chunk = schemas.struct(order_id=schemas.TEXT, part=schemas.LONG)
+    orders = latest_schema(schemas.ORDER_EVENT, ["order_id"], ORDER_COLUMNS)
+    customers = latest_schema(schemas.CUSTOMER_EVENT, ["customer_ref"], CUSTOMER_COLUMNS)
+    named = schemas.struct(customer_ref=schemas.TEXT, order_id=schemas.TEXT)
+
+    def chunks(element: T.DataType) -> T.StructType:
+        return T.StructType([*chunk.fields, T.StructField("items", T.ArrayType(element))])
+
+    return {
+        "orders": Table(orders, ("order_id",), lookup="order_id", buckets=buckets),
+        "customers": Table(customers, ("customer_ref",), lookup="customer_ref", buckets=buckets),
+        # which orders have ever named a customer, looked up by the customer
+        "named": Table(named, ("customer_ref", "order_id"), lookup="customer_ref", buckets=buckets),
+        "lines": Table(list_schema("order_id", LINE, total, *OPERATION), ("order_id",), lookup="order_id", buckets=buckets),
+        "line_chunks": Table(chunks(LINE), lookup="order_id", buckets=buckets),
+        # which references an order has, looked up by both
+        "pairs": Table(pair, ("pair", "order_id", "ref"), lookup="pair", buckets=buckets),
+        "refs": Table(list_schema("order_id", schemas.TEXT), ("order_id",), lookup="order_id", buckets=buckets),
+        "ref_chunks": Table(chunks(schemas.TEXT), lookup="order_id", buckets=buckets),
+        "view": Table(VIEW, ("order_key", "part"), "deleted", "order_key", buckets),
+        "changes": Table(VIEW, lookup="order_key", buckets=buckets),
+    }
 
 
 def mixed_topics(topics: dict[str, DataFrame]) -> DataFrame:
@@ -49,41 +80,45 @@ def mixed_topics(topics: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def _state(rows: T.StructType) -> T.StructType:
-    return T.StructType([*rows.fields, T.StructField("deleted", T.BooleanType())])
+def _partition() -> Column:
+    return F.concat_ws("/", "topic", F.col("kafka_partition").cast("string"))
 
 
-#: The state tables and the key of each.
-STATES = {
-    "view": (schemas.ENRICHED, "order_key"),
-    "lines_by_order": (schemas.LINES_BY_ORDER, "order_id"),
-    "customer_refs": (schemas.CUSTOMER_REFS, "order_id"),
-}
+def _alive() -> Column:
+    """Whether the last operation that was named leaves the key alive."""
+    return F.coalesce(F.col("op_type") != "D", F.lit(False))
 
-#: Which orders have ever named a customer, looked up by the customer.
-NAMED = schemas.struct(customer_ref=schemas.TEXT, order_id=schemas.TEXT)
+
+class Keys:
+    """Keys to be looked up: measured once, and broadcast where they are few."""
+
+    def __init__(self, frame: DataFrame, *columns: str) -> None:
+        self.frame, self.columns = frame, list(columns)
+        self.wanted = F.broadcast(frame) if measured(frame)[1] <= BROADCAST_BYTES else frame
+        self._touched: list[int] | None = None
+
+    def touched(self, tables: TableSet, name: str, head: Head) -> list[int]:
+        """The buckets they fall into, the same in all tables that are looked up by them."""
+        if all(p.buckets is None for p in head.parts.get(name, [])):
+            return []
+        if self._touched is None:
+            self._touched = tables.touched(name, self.frame, head, self.columns[0])
+        return self._touched
 
 
 class EnrichedView:
-    """The view, its roll-ups, and the change logs they are computed from."""
+    """The view, and the state of its inputs that it is kept current from."""
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        fold_every: int = FOLD_EVERY,
+        gather_every: int = GATHER_EVERY,
         buckets: int = BUCKETS,
+        chunk: int = CHUNK,
     ) -> None:
-        logs = {name: _log_schema(event) for name, event in TOPICS.items()}
-        states = {name: _state(rows) for name, (rows, _) in STATES.items()}
-        keys = {**LOG_KEYS, **{n: key for n, (_, key) in STATES.items()}, "named": "customer_ref"}
-        self.tables = TableSet(
-            spark,
-            root,
-            {**logs, **states, "named": NAMED, "changes": states["view"]},
-            {name: (key, buckets) for name, key in keys.items()},
-            fold_every,
-        )
+        self.chunk = chunk
+        self.tables = TableSet(spark, root, _tables(buckets), gather_every)
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(
@@ -97,104 +132,215 @@ class EnrichedView:
         if attempt.head.holds(source, batch_id):
             return
         with Kept() as keep:
-            batch = keep(batch)
-            self.tables.write_all(
-                {topic: batch.filter(F.col("topic") == topic) for topic in TOPICS}, attempt
-            )
-            self.tables.write_all(self._recomputed(attempt, keep), attempt)
-        for name, (_, key) in STATES.items():
-            self.tables.fold(name, attempt, [key], ~F.col("deleted"))
-        for name in (*TOPICS, "named", "changes"):
-            self.tables.fold(name, attempt)
-        self.tables.commit(attempt, source, batch_id)
-
-    def _recomputed(self, attempt: Attempt, keep: Kept) -> dict[str, DataFrame]:
-        """Fresh rows, or tombstones, of the orders this version affects."""
-        head = attempt.head
-
-        def log(topic: str, touched: list[int] | None) -> DataFrame:
-            recent = self.tables.log(topic, head, attempt)
-            return self.tables.base(topic, head, touched).unionByName(recent).drop(VERSION)
-
-        affected = keep(self._affected(attempt, keep))
-        # The keys of a small batch turn each log into a single pass without a shuffle,
-        # over the buckets of the folded part that hold them.
-        wanted = F.broadcast(affected) if measured(affected)[1] <= BROADCAST_BYTES else affected
-        touched = self.tables.touched("orders", affected)
-        orders, lines = (
-            keep(log(topic, touched).join(wanted, "order_id", "left_semi"))
-            for topic in ("orders", "lines")
-        )
-        named = orders.select("customer_ref").distinct()
-        customers = log("customers", self.tables.touched("customers", named)).join(
-            named, "customer_ref", "left_semi"
-        )
-        by_order, refs = keep(lines_by_order(lines)), keep(order_customer_refs(orders))
-        view = enriched_orders(latest_orders(orders), latest_customers(customers), by_order, refs)
-
-        def state(fresh: DataFrame, key: str) -> DataFrame:
-            fresh = fresh.withColumn("deleted", F.lit(False))
-            return (
-                affected.withColumnRenamed("order_id", "affected_id")
-                .join(fresh, F.col("affected_id") == F.col(key), "left")
-                .withColumn(key, F.col("affected_id"))
-                .withColumn("deleted", F.coalesce("deleted", F.lit(True)))
-                .drop("affected_id")
+            fresh = keep(unseen(batch, attempt.head))
+            found = fresh.groupBy("topic", _partition()).agg(F.max("kafka_offset")).collect()
+            if found:
+                rows = self._after(fresh, {r[0] for r in found}, attempt.head, keep)
+                self.tables.write("view", rows.pop("view"), attempt)
+                self.tables.write_all({"changes": self.tables.attempted("view", attempt), **rows}, attempt)
+                self.tables.gather(attempt)
+            marks = attempt.head.note(MARKS) | {r[1]: r[2] for r in found}
+            self.tables.commit(attempt, source, batch_id, marks=marks)
+
+    # --- a batch --------------------------------------------------------------------
+
+    def _stored(self, name: str, keys: Keys, head: Head) -> DataFrame:
+        """The stored rows of some keys, from the buckets that hold them."""
+        rows = self.tables.current(name, head, keys.touched(self.tables, name, head))
+        return rows.join(keys.wanted, keys.columns, "left_semi")
+
+    def _chunks(self, name: str, keys: DataFrame, head: Head) -> DataFrame:
+        """The full chunks of some orders."""
+        if not head.parts.get(name):
+            return self._none(name)
+        touched = self.tables.touched(name, keys, head, "order_id")
+        return self.tables.versions(name, head, touched=touched).join(keys, "order_id", "left_semi")
+
+    def _none(self, name: str) -> DataFrame:
+        return self.tables.appended(name, Head())
+
+    def _after(self, fresh: DataFrame, topics: set[str], head: Head, keep: Kept) -> dict[str, DataFrame]:
+        """The rows to store, and to show, once the events are applied.
+
+        Of topics without events nothing is computed.
+        """
+        new = {t: fresh.filter(F.col("topic") == t).filter(F.col(k).isNotNull())
+               for t, k in (("orders", "order_id"), ("lines", "order_id"), ("customers", "customer_ref"))}
+        by_event = {t: new[t].select("order_id").distinct() for t in ("orders", "lines")}
+        changed = keep(new["customers"].select("customer_ref").distinct())
+        found = [by_event[t] for t in ("orders", "lines") if t in topics]
+        if "customers" in topics:
+            found.append(self._stored("named", Keys(changed, "customer_ref"), head).select("order_id"))
+        ids = Keys(keep(reduce(DataFrame.union, found).distinct()), "order_id")
+
+        orders = self._stored("orders", ids, head)
+        if "orders" in topics:
+            orders = merged_latest(orders, new["orders"], ["order_id"], ORDER_COLUMNS)
+        orders = keep(orders)
+        refs = orders.filter(F.col("customer_ref").isNotNull()).select("customer_ref").union(changed)
+        customers = self._stored("customers", Keys(keep(refs.distinct()), "customer_ref"), head)
+        if "customers" in topics:
+            customers = merged_latest(customers, new["customers"], ["customer_ref"], CUSTOMER_COLUMNS)
+        customers = keep(customers)
+
+        before = {name: keep(self._stored(name, ids, head)) for name in ("lines", "refs")}
+        lines, line_chunks = before["lines"], self._none("line_chunks")
+        if "lines" in topics:
+            line_chunks = keep.written(self._line_chunks(lines, new["lines"]))
+            lines = keep.written(self._lines(lines, new["lines"], line_chunks))
+        refs, ref_chunks, pairs = before["refs"], self._none("ref_chunks"), None
+        if "orders" in topics:
+            pairs = keep.written(self._pairs(new["orders"], head, keep))
+            ref_chunks = keep.written(self._ref_chunks(refs, pairs))
+            refs = keep(grown_lists(refs, ref_chunks, "order_id", self.chunk))
+
+        shown = keep.written(self._to_show(by_event, orders, changed, before["lines"], lines, refs))
+        whole = shown.filter("whole").select("order_id")
+        full = F.size("items") == self.chunk
+        rows = {
+            "view": self._shown(
+                shown,
+                orders,
+                customers,
+                self._parts("line_chunks", lines, line_chunks, whole, head),
+                self._parts("ref_chunks", refs, ref_chunks, whole, head),
+                lines,
+                before,
             )
-
-        view = keep(state(view, "order_key"))
-        return {
-            "view": view,
-            "changes": view,
-            "lines_by_order": state(by_order, "order_id"),
-            "customer_refs": state(refs, "order_id"),
-            "named": self._new("orders", attempt)
-            .filter(F.col("customer_ref").isNotNull() & F.col("order_id").isNotNull())
-            .select("customer_ref", "order_id")
-            .distinct(),
         }
+        if "customers" in topics:
+            rows["customers"] = customers.join(changed, "customer_ref", "left_semi")
+        if "lines" in topics:
+            rows["lines"] = lines.join(by_event["lines"], "order_id", "left_semi")
+            rows["line_chunks"] = line_chunks.filter(full)
+        if pairs is not None:
+            named = new["orders"].filter(F.col("customer_ref").isNotNull())
+            rows |= {
+                "orders": orders.join(by_event["orders"], "order_id", "left_semi"),
+                "pairs": pairs,
+                "refs": refs.join(pairs, "order_id", "left_semi"),
+                "ref_chunks": ref_chunks.filter(full),
+                "named": named.select("customer_ref", "order_id").distinct(),
+            }
+        return rows
+
+    def _line_chunks(self, before: DataFrame, events: DataFrame) -> DataFrame:
+        element = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LINE.fields])
+        placed = numbered_in_order(events).select("order_id", "position", element.alias("element"))
+        return grown_chunks(before, placed, "order_id", self.chunk)
+
+    def _lines(self, before: DataFrame, events: DataFrame, chunks: DataFrame) -> DataFrame:
+        """The lines of each order: what is listed, their total, their last operation."""
+        amount = F.coalesce(F.sum(F.col("quantity") * F.col("unit_price")), F.lit(0)).cast("decimal(33,2)")
+        offset = F.when(F.col("op_type").isNotNull(), F.col("kafka_offset"))
+        operation = F.max(F.when(offset.isNotNull(), F.struct(offset.alias("op_offset"), "op_type")))
+        sums = events.groupBy("order_id").agg(amount.alias("added"), operation.alias("operation"))
+        stored = before.select("order_id", F.col("order_total").alias("total"), "op_type", "op_offset")
+        later = F.col("operation").isNotNull()
+        totals = stored.join(sums, "order_id", "full").select(
+            "order_id",
+            (F.coalesce("total", F.lit(0)) + F.coalesce("added", F.lit(0))).cast("decimal(33,2)").alias("order_total"),
+            F.when(later, F.col("operation.op_type")).otherwise(F.col("op_type")).alias("op_type"),
+            F.when(later, F.col("operation.op_offset")).otherwise(F.col("op_offset")).alias("op_offset"),
+        )
+        return grown_lists(before, chunks, "order_id", self.chunk).join(totals, "order_id")
+
+    def _pairs(self, events: DataFrame, head: Head, keep: Kept) -> DataFrame:
+        """References that their orders did not have yet, numbered by order."""
+        ref = trim_controls(F.col("customer_ref"))
+        seen = events.select("order_id", ref.alias("ref")).filter(F.col("ref").isNotNull()).distinct()
+        keyed = keep(seen.withColumn("pair", F.xxhash64("order_id", "ref")))
+        known = self._stored("pairs", Keys(keyed, "pair", "order_id", "ref"), head)
+        new = keyed.join(known, ["pair", "order_id", "ref"], "left_anti")
+        return positions(new, F.pmod("pair", F.lit(RANGES)).cast("long"), ["ref"])
+
+    def _ref_chunks(self, before: DataFrame, pairs: DataFrame) -> DataFrame:
+        return grown_chunks(before, pairs.select("order_id", "position", F.col("ref").alias("element")), "order_id", self.chunk)
+
+    def _to_show(
+        self, by_event: dict[str, DataFrame], orders: DataFrame, changed: DataFrame,
+        lines_before: DataFrame, lines: DataFrame, refs: DataFrame,
+    ) -> DataFrame:
+        """The orders to show anew, and whether whole or just where their lists grew.
 
-    def _new(self, topic: str, attempt: Attempt) -> DataFrame:
-        return self.tables.attempted_rows(topic, attempt)
-
-    def _affected(self, attempt: Attempt, keep: Kept) -> DataFrame:
-        """Orders with an event of their own, a line event, or a changed customer.
-
-        An order keeps the customer its last event names. The orders that ever named a
-        changed customer are looked up by it, and those that still do in the view.
+        An order is shown whole after an event of its own or of its customer, if its lines
+        have come to an end or to life again, and if its references fill several parts.
         """
-        head = attempt.head
-        changed = keep(self._new("customers", attempt).select("customer_ref").distinct())
-        orders = self._new("orders", attempt).select("order_id")
-        orders = orders.union(self._new("lines", attempt).select("order_id"))
-        customers, size = measured(changed)
-        if customers:
-            named = F.broadcast(changed) if size <= BROADCAST_BYTES else changed
-            index = self.tables.base("named", head, self.tables.touched("named", changed))
-            index = index.unionByName(self.tables.log("named", head))
-            ever = keep(index.join(named, "customer_ref", "left_semi").select("order_id").distinct())
-            shown = self._rows("view", head, self.tables.touched("view", ever))
-            shown = shown.join(named, "customer_ref", "left_semi")
-            orders = orders.union(shown.select("order_id"))
-        return orders.filter(F.col("order_id").isNotNull()).distinct()
-
-    def _rows(
-        self, name: str, head: Head | None = None, touched: list[int] | None = None
+        own = by_event["orders"].withColumn("own", F.lit(True))
+        bought = by_event["lines"].withColumn("bought", F.lit(True))
+        customer = orders.join(changed, "customer_ref", "left_semi").select("order_id", F.lit(True).alias("customer"))
+        was = lines_before.select("order_id", _alive().alias("was"))
+        now = lines.select("order_id", _alive().alias("now"))
+        many = refs.select("order_id", (F.col("next_position") > self.chunk).alias("many"))
+        touched = own.join(bought, "order_id", "full").join(customer, "order_id", "full")
+        flags = touched.join(was, "order_id", "left").join(now, "order_id", "left").join(many, "order_id", "left")
+        turned = F.coalesce("was", F.lit(False)) != F.coalesce("now", F.lit(False))
+        whole = F.coalesce("own", "customer", F.lit(False)) | turned | F.coalesce("many", F.lit(False))
+        return flags.select("order_id", whole.alias("whole"))
+
+    def _parts(self, name: str, state: DataFrame, grown: DataFrame, whole: DataFrame, head: Head) -> DataFrame:
+        """The parts to show: the first and the open one, those that grew, or all."""
+        own = stored_parts(state, "order_id", self.chunk)
+        between = (F.col("part") > 0) & (F.size("items") == self.chunk)
+        full = grown.select("order_id", "part", "items").filter(between)
+        several = state.filter(F.col("next_position") > self.chunk).join(whole, "order_id", "left_semi")
+        stored = self._chunks(name, several.select("order_id"), head).select("order_id", "part", "items")
+        return own.unionByName(full).unionByName(stored.filter("part > 0"))
+
+    def _shown(
+        self, shown: DataFrame, orders: DataFrame, customers: DataFrame, line_parts: DataFrame,
+        ref_parts: DataFrame, lines: DataFrame, before: dict[str, DataFrame],
     ) -> DataFrame:
-        rows = self.tables.current(name, [STATES[name][1]], head, touched)
-        return rows.filter(~F.col("deleted")).drop("deleted")
+        """Rows of the view: the parts of orders that stand, tombstones for those that went."""
+        standing = shown.join(orders.filter(_alive()), "order_id").drop("whole")
+        fresh = enriched_orders(
+            standing.select("order_id", *ORDER_COLUMNS),
+            customers.filter(_alive()).select("customer_ref", *CUSTOMER_COLUMNS),
+            line_rows(line_parts, lines),
+            ref_rows(ref_parts, standing.select("order_id")),
+        )
+        part = F.coalesce("lines_part", "refs_part", F.lit(0)).alias("part")
+        fresh = fresh.select("*", part, F.lit(False).alias("deleted"))
+        # what was shown before: as many parts as the longer list had, and one at least
+        count = F.greatest(
+            F.ceil(F.coalesce("line_count", F.lit(0)) / self.chunk),
+            F.ceil(F.coalesce("ref_count", F.lit(0)) / self.chunk),
+            F.lit(1),
+        )
+        counts = (
+            shown.filter("whole").select("order_id")
+            .join(before["lines"].select("order_id", F.col("next_position").alias("line_count")), "order_id", "left")
+            .join(before["refs"].select("order_id", F.col("next_position").alias("ref_count")), "order_id", "left")
+        )
+        held = counts.select("order_id", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("part"))
+        absent = shown.filter("NOT whole").join(standing, "order_id", "left_anti")
+        held = held.unionByName(absent.select("order_id", F.lit(0).cast("long").alias("part")))
+        gone = held.withColumnRenamed("order_id", "order_key").join(fresh, ["order_key", "part"], "left_anti")
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.ENRICHED.fields[2:]]
+        ended = gone.select("order_key", F.col("order_key").alias("order_id"), *nothing, "part", F.lit(True).alias("deleted"))
+        return fresh.unionByName(ended)
+
+    # --- reading --------------------------------------------------------------------
+
+    def current(self, head: Head | None = None) -> DataFrame:
+        """The view at a version, by default the newest."""
+        return self.tables.current("view", head).select(*schemas.ENRICHED.names)
 
-    def current(self) -> DataFrame:
-        """The view at the newest version."""
-        return self._rows("view")
+    def _all_parts(self, name: str, state: DataFrame, head: Head) -> DataFrame:
+        stored = self.tables.appended(name, head).filter("part > 0")
+        return stored_parts(state, "order_id", self.chunk).unionByName(stored)
 
     def lines_by_order(self) -> DataFrame:
         """The lines of every order at the newest version."""
-        return self._rows("lines_by_order")
+        head = self.tables.head()
+        lines = self.tables.current("lines", head)
+        return line_rows(self._all_parts("line_chunks", lines, head), lines)
 
     def customer_refs(self) -> DataFrame:
         """The customer references of every order at the newest version."""
-        return self._rows("customer_refs")
+        head = self.tables.head()
+        standing = self.tables.current("orders", head).filter(_alive()).select("order_id")
+        return ref_rows(self._all_parts("ref_chunks", self.tables.current("refs", head), head), standing)
 
     def changes(self) -> DataFrame:
         """All rows the view ever emitted, tombstones included, with their ``commit_version``.
@@ -202,3 +348,36 @@ class EnrichedView:
         They are kept for good. A consumer reads on from the last version it has seen.
         """
         return self.tables.versions("changes")
+
+
+def unseen(batch: DataFrame, head: Head) -> DataFrame:
+    """Events beyond the marks of their topic partitions."""
+    marks = head.note(MARKS)
+    if not marks:
+        return batch
+    known = F.create_map(*[F.lit(x) for entry in marks.items() for x in entry])
+    mark = F.try_element_at(known, _partition())
+    return batch.filter(F.col("kafka_offset") > F.coalesce(mark, F.lit(-1)))
+
+
+def line_rows(parts: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows of ``lines_by_order`` from parts, for orders whose last line event is no delete."""
+    alive = lines.filter(_alive()).select("order_id", "order_total")
+    total = F.when(F.col("part") == 0, F.col("order_total")).alias("order_total")
+    return parts.join(alive, "order_id").select(
+        "order_id", F.col("part").alias("lines_part"), F.col("items").alias("lines"), total
+    )
+
+
+def ref_rows(parts: DataFrame, standing: DataFrame) -> DataFrame:
+    """Rows of ``order_customer_refs`` from parts; part 0 stands even without a reference."""
+    first = standing.withColumn("part", F.lit(0).cast("long"))
+    return (
+        parts.join(standing, "order_id", "left_semi")
+        .join(first, ["order_id", "part"], "full")
+        .select(
+            "order_id",
+            F.col("part").alias("refs_part"),
+            F.array_sort(F.coalesce("items", F.array().cast("array<string>"))).alias("customer_refs"),
+        )
+    )

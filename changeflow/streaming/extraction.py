@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeflow import schemas
 from changeflow.sources.extract import Bookmark, changed_rows, changes_up_to, next_bookmark, topic_name
-from changeflow.streaming.tables import FOLD_EVERY, TableSet
+from changeflow.streaming.tables import GATHER_EVERY, Table, TableSet
 
 BOOKMARKS = schemas.struct(source_table=schemas.TEXT, updated_at=schemas.TIME, row_id=schemas.LONG)
 
@@ -28,16 +28,16 @@ class Extraction:
         root: str,
         deliver: Callable[[str, DataFrame], None],
         environment: str = "dev",
-        fold_every: int = FOLD_EVERY,
+        gather_every: int = GATHER_EVERY,
     ) -> None:
         self.spark = spark
         self.deliver = deliver
         self.environment = environment
-        self.tables = TableSet(spark, root, {"bookmarks": BOOKMARKS}, fold_every=fold_every)
+        self.tables = TableSet(spark, root, {"bookmarks": Table(BOOKMARKS, ("source_table",))}, gather_every)
 
     def bookmark(self, name: str) -> Bookmark | None:
         row = (
-            self.tables.current("bookmarks", ["source_table"])
+            self.tables.current("bookmarks")
             .filter(F.col("source_table") == name)
             .first()
         )
@@ -62,7 +62,7 @@ class Extraction:
         attempt = self.tables.begin()
         moved = [(name, last.updated_at, last.row_id)]
         self.tables.write("bookmarks", self.spark.createDataFrame(moved, BOOKMARKS), attempt)
-        self.tables.fold("bookmarks", attempt, ["source_table"], F.lit(True))
-        run_number = attempt.head.applied.get(name, [-1])[0] + 1
+        self.tables.gather(attempt)
+        run_number = attempt.head.applied.get(name, -1) + 1
         self.tables.commit(attempt, name, run_number)
         return last

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from changeflow.operators.compaction import compacted
 from changeflow.operators.latest import latest
-from changeflow.streaming.tables import FOLD_EVERY, Attempt, TableSet, batch_source
+from changeflow.streaming.outbox import Outbox, seen_by_all
+from changeflow.streaming.tables import GATHER_EVERY, VERSION, Table, TableSet, batch_source
 
 #: Keeps the state of a key on disk rather than in the memory of an executor.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -19,8 +21,8 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 class LatestTable:
     """A table with one row per live key, maintained from a changelog.
 
-    ``publish`` receives the changed keys of a batch once they are committed; after a
-    crash in between it receives them again.
+    ``publish`` receives the changed keys once they are committed, all that the consumer it
+    stands for has not seen; after a crash in between it receives them again.
 
     The streaming aggregate emits every key that changed, deleted ones included: a
     filter before the sink would say nothing when a key is deleted, and the stale
@@ -34,17 +36,19 @@ class LatestTable:
         event: T.StructType,
         keys: Sequence[str],
         columns: Sequence[str],
-        fold_every: int = FOLD_EVERY,
+        gather_every: int = GATHER_EVERY,
         publish: Callable[[DataFrame], None] | None = None,
+        consumer: str = "topic",
     ) -> None:
         self.publish = publish
         self.spark = spark
         self.keys = list(keys)
         self.columns = list(columns)
         state = T.StructType([event[name] for name in (*keys, *columns, "op_type")])
-        self.tables = TableSet(
-            spark, root, {"state": state, "changes": state}, fold_every=fold_every
-        )
+        self.state_schema = state
+        tables = {"state": Table(state, tuple(self.keys), "op_type <=> 'D'"), "changes": Table(state)}
+        self.tables = TableSet(spark, root, tables, gather_every)
+        self.outbox = Outbox(self.tables, "changes", consumer)
 
     def changelog(self, stream: DataFrame, ignore_nulls: bool = False) -> DataFrame:
         """The running latest state of the keys each micro-batch touches."""
@@ -69,30 +73,37 @@ class LatestTable:
         source = batch_source(source, changes)
         attempt = self.tables.begin()
         if not attempt.head.holds(source, batch_id):
-            self._append(changes, batch_id, source, attempt)
+            # a batch with state behind it runs once; the second table is read off the first
+            self.tables.write("changes", changes, attempt)
+            self.tables.write("state", self.tables.attempted("changes", attempt), attempt)
+            self.tables.gather(attempt)
+            self.tables.commit(attempt, source, batch_id)
         if self.publish:
-            head = self.tables.head()
-            last, version = head.applied[source]
-            if last == batch_id:
-                self.publish(self.tables.version_rows("state", version, head))
-
-    def _append(
-        self, changes: DataFrame, batch_id: int, source: str, attempt: Attempt
-    ) -> None:
-        # A batch with state behind it runs once; the second table is read off the first.
-        self.tables.write("changes", changes, attempt)
-        self.tables.write("state", self.tables.attempted_rows("changes", attempt), attempt)
-        self.tables.fold("state", attempt, self.keys, F.col("op_type") != "D")
-        self.tables.fold("changes", attempt)
-        self.tables.commit(attempt, source, batch_id)
+            self.outbox.deliver(self.publish)
 
     def changes(self) -> DataFrame:
         """The whole changelog, tombstones included, with each row's ``commit_version``.
 
-        It is kept for good. A consumer reads on from the last version it has seen.
+        It is kept until it is compacted. A consumer reads on from the last version it has seen.
         """
         return self.tables.versions("changes")
 
+    def compact(self, horizon: int) -> int:
+        """Leave of the changelog what a reader from its start needs; returns the clean point.
+
+        Below the version that all consumers have seen, the last change of each key remains,
+        deletes among them for ``horizon`` more versions. Versions stay as they are. The
+        tables change by a commit of their own; of two writers at work one fails.
+        """
+        attempt = self.tables.begin()
+        clean = seen_by_all(attempt.head, "changes")
+        below = self.tables.versions("changes", attempt.head, upto=clean)
+        expired = F.col(VERSION) <= clean - horizon
+        rows = compacted(below, self.keys, F.lit(True), expired, [VERSION])
+        if self.tables.rewrite("changes", rows, clean, attempt):
+            self.tables.commit(attempt)
+        return clean
+
     def current(self) -> DataFrame:
         """The live keys: last change per key, deletes removed."""
-        return self.tables.current("state", self.keys).filter(F.col("op_type") != "D")
+        return self.tables.current("state").filter(F.col("op_type") != "D")

@@ -12,10 +12,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.operators import apply, resolve
+from changeflow.operators import resolve
 from changeflow.session import remove, scratch_dir
 from changeflow.settings import UpsertSettings
-from changeflow.streaming.upsert import References, Warehouse
+from changeflow.streaming.upsert import References, Warehouse, applied_rows
 
 
 def load_log(
@@ -44,21 +44,13 @@ def load_log(
     )
     args = (references.orders(), references.sources(), catalog, settings, now)
     path = scratch_dir(tables.spark, "stage")
-    resolve.staged(records, *args, positions=True).write.parquet(path)
-    stage = tables.spark.read.parquet(path)
-    missing = resolve.missing_customers(
-        resolve.distinct_records(records), catalog, settings, now
-    )
-    proposals = apply.candidate_rows(stage)
-    tables.write_all(
-        {
-            "customers_backfill": missing,
-            "order_customer_candidates_history": proposals,
-            "order_customer_candidates": apply.last_batch_of(proposals),
-            "order_customer_links_history": apply.link_history_rows(stage),
-            "order_customer_links": apply.last_operations(stage),
-        },
-        attempt,
-    )
-    tables.commit(attempt, source, 0)
-    remove(tables.spark, path)
+    try:
+        resolve.staged(records, *args, positions=True).write.parquet(path)
+        stage = tables.spark.read.parquet(path)
+        missing = resolve.missing_customers(
+            resolve.distinct_records(records), catalog, settings, now
+        )
+        tables.write_all(applied_rows(missing, stage), attempt)
+        tables.commit(attempt, source, 0)
+    finally:
+        remove(tables.spark, path)

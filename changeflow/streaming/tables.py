@@ -1,32 +1,26 @@
-"""Several tables committed together: Parquet files under one manifest.
+"""Several tables committed together: plain Parquet folders under one manifest.
 
-A batch writes its rows of every table below a folder of its own, then creates the
-manifest of the next version, which names every folder that counts. Only what the newest
-manifest names is ever read, by its exact path, so a batch is visible in all tables or in
-none, and no reader lists what earlier versions left:
+A batch writes its rows of every table into folders of its own, then creates the manifest
+of the next version, which names every folder that counts. A batch is therefore visible in
+all tables or in none; a crash before the manifest leaves folders nobody reads, one after
+it finds its batch recorded; of two writers of one version one fails, and neither touches
+the other's rows. The manifest is created by a rename that refuses an existing target.
 
-* a crash before the manifest leaves a folder nobody reads; the batch that runs again
-  writes another;
-* a crash after it finds its batch recorded, and does nothing;
-* of two writers of one version one fails, and neither touches the other's files.
+A batch is known by its source, by the streaming query that brought it (a fresh checkpoint
+is a new query, whose batches count from zero) and by its number. ``notes`` are small facts
+committed with it: counters, positions, how far consumers have read.
 
-The manifest is created by a rename that refuses an existing target. Object stores
-without such a rename need a committer that offers it.
-
-A batch is known by its source, by the streaming query that brought it (a fresh
-checkpoint is a new query, whose batches count from zero) and by its number.
-
-State tables are logs of changed keys merged on read. Logs are folded into bases, and
-bases of one size into a larger one, so a row is rewritten a few times at most and the
-number of folders a reader opens does not grow with the number of batches.
+A table with keys is the state of each key: the rows of the last version that wrote it.
+Now and then the folders of a table are gathered into one, partitioned by bucket: of state
+tables, only the buckets that were written since are.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 from uuid import uuid4
 
@@ -35,18 +29,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeflow.streaming.files import create, delete, names, read
+
 VERSION = "commit_version"
 BUCKET = "id_bucket"
-
-#: Versions after which the log of a table is folded into a base.
-FOLD_EVERY = 100
-
-#: Bases of one level that are merged into one of the next.
-MERGED_BASES = 8
-
+#: Versions after which the folders of a table are gathered.
+GATHER_EVERY = 100
 #: Manifests kept behind the newest one, for readers that pinned an older version.
 KEPT_MANIFESTS = 50
-
 #: Set by a streaming query for the calls it makes; stored in its checkpoint.
 QUERY_ID = "sql.streaming.queryId"
 
@@ -61,22 +51,32 @@ def batch_source(source: str, batch: DataFrame) -> str:
     return f"{source}#{query}" if query else source
 
 
-def _same(columns: Sequence[str]) -> Column:
-    """A column equals its new value; a null equals a null, as part of a key may be one."""
-    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in columns])
-
-
 class CommitConflict(RuntimeError):
     """Another writer created this version first."""
 
 
 @dataclass(frozen=True)
-class Base:
-    """Folded rows: the last version in them, their folder, how often they were merged."""
+class Table:
+    """A table's columns; of a state table its keys, and which rows (SQL) end their key.
+
+    ``lookup`` is the column its gathered folders are partitioned by, in ``buckets``.
+    """
+
+    schema: T.StructType
+    keys: tuple[str, ...] = ()
+    gone: str = "false"
+    lookup: str | None = None
+    buckets: int = 1
+
+
+@dataclass(frozen=True)
+class Part:
+    """A folder and the versions in it; of a gathered one, the buckets that still count."""
 
-    version: int
     folder: str
-    level: int
+    first: int
+    last: int
+    buckets: list[int] | None = None
 
 
 @dataclass(frozen=True)
@@ -84,361 +84,217 @@ class Head:
     """What is visible: a version, the last batch of each source, the folders that count."""
 
     version: int = 0
-    #: Per source, its last batch and the version that batch was written under.
-    applied: dict[str, list[int]] = field(default_factory=dict)
-    #: Per table, the versions written after its bases, with their folders.
-    logs: dict[str, dict[int, str]] = field(default_factory=dict)
-    #: Per table, its bases, the oldest first; levels do not rise.
-    bases: dict[str, list[Base]] = field(default_factory=dict)
-    #: Per table, folders its last fold replaced. The next fold removes them.
-    replaced: dict[str, list[str]] = field(default_factory=dict)
+    applied: dict[str, int] = field(default_factory=dict)
+    parts: dict[str, list[Part]] = field(default_factory=dict)
+    notes: dict[str, dict] = field(default_factory=dict)
 
     def holds(self, source: str, batch_id: int) -> bool:
-        return source in self.applied and self.applied[source][0] >= batch_id
+        return self.applied.get(source, -1) >= batch_id
 
-    def stored(self) -> str:
-        bases = {n: [[b.version, b.folder, b.level] for b in own] for n, own in self.bases.items()}
-        logs = {n: list(map(list, own.items())) for n, own in self.logs.items()}
-        parts = {"applied": self.applied, "logs": logs, "bases": bases, "replaced": self.replaced}
-        return json.dumps(parts)
+    def note(self, kind: str) -> dict:
+        return dict(self.notes.get(kind, {}))
 
     @classmethod
-    def read(cls, version: int, text: str) -> Head:
-        parts = json.loads(text)
-        return cls(
-            version,
-            parts["applied"],
-            {n: dict(map(tuple, own)) for n, own in parts["logs"].items()},
-            {n: [Base(*b) for b in own] for n, own in parts["bases"].items()},
-            parts["replaced"],
-        )
+    def of(cls, text: str) -> Head:
+        told = json.loads(text)
+        told["parts"] = {n: [Part(**p) for p in own] for n, own in told["parts"].items()}
+        return cls(**told)
+
+    def folders(self) -> set[tuple[str, str]]:
+        return {(name, part.folder) for name, own in self.parts.items() for part in own}
 
 
 class Attempt:
-    """One try at the version after a head: what it wrote, below names of its own."""
+    """One try at the version after a head: the folders it wrote, or put in place of others."""
 
     def __init__(self, head: Head) -> None:
-        self.head = head
-        self.version = head.version + 1
+        self.head, self.version = head, head.version + 1
         self.name = f"{self.version:012d}-{uuid4().hex}"
-        self.written: dict[str, str] = {}
-        self.folded: dict[str, list[Base]] = {}
-        #: Of folded tables, the versions whose log remains.
-        self.logs: dict[str, dict[int, str]] = {}
-        self.replaced: dict[str, list[str]] = {}
+        self.parts = {name: list(own) for name, own in head.parts.items()}
 
 
 class TableSet:
-    """Tables below ``root`` that change together.
-
-    ``buckets`` names, for some tables, a key and the number of buckets their bases are
-    partitioned into by it, so that a few keys are found without reading the rest.
-    """
+    """Tables below ``root`` that change together."""
 
     def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        tables: dict[str, T.StructType],
-        buckets: dict[str, tuple[str, int]] | None = None,
-        fold_every: int = FOLD_EVERY,
+        self, spark: SparkSession, root: str, tables: dict[str, Table], gather_every: int = GATHER_EVERY
     ) -> None:
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.buckets = buckets or {}
-        self.fold_every = fold_every
-        # Files do not record that a column is never null.
-        self.tables = {
-            name: T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-            for name, schema in tables.items()
-        }
+        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables
+        self.gather_every = gather_every
 
-    # --- manifests ------------------------------------------------------------------
+    # --- versions -------------------------------------------------------------------
 
     def head(self) -> Head:
         """The newest manifest; the empty head where there is none."""
         versions = self._versions()
-        if not versions:
-            return Head()
-        return Head.read(versions[-1], self._read(self._manifest(versions[-1])))
+        return self._manifest(versions[-1]) if versions else Head()
 
     def begin(self, head: Head | None = None) -> Attempt:
-        """A try at the next version."""
         return Attempt(head or self.head())
 
-    def commit(self, attempt: Attempt, source: str, batch_id: int) -> Head:
-        """Make what an attempt wrote visible."""
-        head = attempt.head
-        logs = {**head.logs, **attempt.logs}
-        for name, folder in attempt.written.items():
-            logs[name] = {**logs.get(name, {}), attempt.version: folder}
-        new = replace(
-            head,
-            version=attempt.version,
-            applied={**head.applied, source: [batch_id, attempt.version]},
-            logs=logs,
-            bases={**head.bases, **attempt.folded},
-            replaced={**head.replaced, **attempt.replaced},
-        )
-        self._create(self._manifest(new.version), new.stored())
-        for old in self._versions()[: -KEPT_MANIFESTS - 1]:
-            self._files().delete(self._path(self._manifest(old)), False)
-        # One fold is kept behind, for readers that pinned a version before the last.
-        for name in attempt.replaced:
-            for folder in head.replaced.get(name, []):
-                self._files().delete(self._path(f"{self.root}/{name}/{folder}"), True)
+    def commit(self, attempt: Attempt, source: str | None = None, batch_id: int = 0, **notes: dict) -> Head:
+        """Make what an attempt wrote visible, with the batch it was and what there is to note."""
+        old = attempt.head
+        applied = old.applied | ({source: batch_id} if source is not None else {})
+        new = Head(attempt.version, applied, attempt.parts, old.notes | notes)
+        path = self._path(new.version)
+        if not create(self.spark, path, json.dumps(asdict(new))):
+            raise CommitConflict(path)
+        stale = self._versions()[: -KEPT_MANIFESTS]
+        for version, following in zip(stale, stale[1:], strict=False):
+            for name, folder in self._manifest(version).folders() - self._manifest(following).folders():
+                delete(self.spark, f"{self.root}/{name}/{folder}")
+            delete(self.spark, self._path(version))
         return new
 
+    def noted(self, kind: str, change: Callable[[dict], dict]) -> Head:
+        """Commit a change of a note alone; another writer's commit in between is no obstacle."""
+        while True:
+            attempt = self.begin()
+            try:
+                return self.commit(attempt, **{kind: change(attempt.head.note(kind))})
+            except CommitConflict:
+                continue
+
     # --- writing --------------------------------------------------------------------
 
     def write(self, name: str, rows: DataFrame, attempt: Attempt) -> None:
         """Write a table's rows of the attempted version."""
-        folder = f"log/{attempt.name}"
-        marked = rows.select(
-            *self.tables[name].names, F.lit(attempt.version).cast("bigint").alias(VERSION)
-        )
-        marked.write.parquet(f"{self.root}/{name}/{folder}")
-        attempt.written[name] = folder
+        version = F.lit(attempt.version).cast("bigint").alias(VERSION)
+        rows.select(*self.tables[name].schema.names, version).write.parquet(f"{self.root}/{name}/{attempt.name}")
+        part = Part(attempt.name, attempt.version, attempt.version)
+        attempt.parts[name] = [*attempt.parts.get(name, []), part]
 
     def write_all(self, rows: dict[str, DataFrame], attempt: Attempt) -> None:
         """Write several tables side by side: their jobs are small and independent."""
-        with ThreadPoolExecutor(len(rows)) as pool:
-            writes = [
-                pool.submit(inheritable_thread_target(self.spark)(self.write), name, frame, attempt)
-                for name, frame in rows.items()
-            ]
-        for write in writes:
-            write.result()
-
-    def fold(
-        self,
-        name: str,
-        attempt: Attempt,
-        keys: Sequence[str] = (),
-        standing: Column | None = None,
-    ) -> None:
-        """Fold a table's log once it is long, else merge bases once they are many.
-
-        Of a state table, named by its ``keys``, the newest rows of every key remain; those
-        that mark it as gone (not ``standing``) leave once nothing older is below them. All
-        rows of other tables remain.
-        """
-        head = attempt.head
-        log, bases = head.logs.get(name, {}), head.bases.get(name, [])
-        if len(log) >= self.fold_every:
-            kept, merged, level = bases, list(log.values()), 0
-            version = max(log)
-            attempt.logs[name] = {}
+        self._side_by_side({name: (self.write, name, frame, attempt) for name, frame in rows.items()})
+
+    def _side_by_side(self, calls: dict[str, tuple]) -> None:
+        with ThreadPoolExecutor(max(1, len(calls))) as pool:
+            own = inheritable_thread_target(self.spark)
+            for done in [pool.submit(own(call), *args) for call, *args in calls.values()]:
+                done.result()
+
+    def gather(self, attempt: Attempt) -> None:
+        """Put one folder in place of a table's many, where a table has many."""
+        many = {
+            name: (self._gather, name, parts, attempt) for name, parts in attempt.parts.items()
+            if sum(p.buckets is None for p in parts) >= self.gather_every
+        }
+        self._side_by_side(many)
+
+    def _gather(self, name: str, parts: list[Part], attempt: Attempt) -> None:
+        table, recent = self.tables[name], [p for p in parts if p.buckets is None]
+        older, log = [p for p in parts if p.buckets is not None], self._rows(name, recent)
+        touched = self._buckets(name, log) if table.lookup else [0]
+        if table.keys:
+            rows = self._state(name, older, recent, touched).filter(f"NOT ({table.gone})")
+            older = [Part(p.folder, p.first, p.last, sorted({*p.buckets} - {*touched})) for p in older]
         else:
-            last = next((b.level for b in reversed(bases)), 0)
-            same = [b for b in bases if b.level == last]
-            if len(same) < MERGED_BASES:
-                return
-            kept, merged, level = bases[: -len(same)], [b.folder for b in same], last + 1
-            version = same[-1].version
-        rows = self._read_folders(name, merged)
-        if keys:
-            rows = self._newest(rows, keys)
-            if standing is not None and not kept:
-                rows = rows.filter(standing)
-        folder = f"base/{attempt.name}"
-        self._write_base(name, rows, folder)
-        attempt.folded[name] = [*kept, Base(version, folder, level)]
-        attempt.replaced[name] = merged
-
-    def _write_base(self, name: str, rows: DataFrame, folder: str) -> None:
-        path = f"{self.root}/{name}/{folder}"
-        rows = rows.select(*self.tables[name].names, VERSION)
-        if name not in self.buckets:
-            rows.write.parquet(path)
-            return
-        key, count = self.buckets[name]
-        # Rebalancing splits the bucket of a hot key over several tasks.
-        parted = rows.withColumn(BUCKET, bucket_of(F.col(key), count)).hint("rebalance", BUCKET)
-        parted.write.partitionBy(BUCKET).parquet(path)
+            # as with a binary counter, a row is copied as often as its folder doubles
+            while older and older[-1].last - older[-1].first <= recent[-1].last - recent[0].first:
+                recent = [older.pop(), *recent]
+            rows = self._rows(name, recent)
+            touched = sorted({*touched}.union(*(p.buckets or () for p in recent)))
+        kept = [p for p in older if p.buckets]
+        attempt.parts[name] = [*kept, self._gathered(name, rows, recent, touched, attempt)]
+
+    def rewrite(self, name: str, rows: DataFrame, upto: int, attempt: Attempt) -> bool:
+        """Put rows, with their versions, in place of the folders that end with a version."""
+        parts = attempt.parts.get(name, [])
+        old = [p for p in parts if p.last <= upto]
+        if len(old) > 1 or any(p.buckets is None for p in old):
+            buckets = list(range(self.tables[name].buckets))
+            attempt.parts[name] = [self._gathered(name, rows, old, buckets, attempt), *parts[len(old) :]]
+        return len(old) > 0 and attempt.parts[name] != parts
+
+    def _gathered(self, name: str, rows: DataFrame, of: list[Part], buckets: list[int], attempt: Attempt) -> Part:
+        folder = f"{attempt.name}-gathered"
+        # rebalancing splits the bucket of a frequent key over several tasks
+        parted = rows.withColumn(BUCKET, self._bucket(name)).hint("rebalance", BUCKET)
+        parted.write.partitionBy(BUCKET).parquet(f"{self.root}/{name}/{folder}")
+        return Part(folder, of[0].first, of[-1].last, buckets)
+
+    def _bucket(self, name: str, key: str | None = None) -> Column:
+        table = self.tables[name]
+        return bucket_of(F.col(key or table.lookup), table.buckets) if table.lookup else F.lit(0)
+
+    def touched(self, name: str, keys: DataFrame, head: Head, key: str | None = None) -> list[int]:
+        """The buckets that keys fall into, as many numbers as a table has at most.
+
+        None where nothing is gathered yet.
+        """
+        if all(p.buckets is None for p in head.parts.get(name, [])):
+            return []
+        return self._buckets(name, keys, key)
+
+    def _buckets(self, name: str, keys: DataFrame, key: str | None = None) -> list[int]:
+        return sorted(r[0] for r in keys.select(self._bucket(name, key)).distinct().collect())
 
     # --- reading --------------------------------------------------------------------
 
-    def log(self, name: str, head: Head, attempt: Attempt | None = None) -> DataFrame:
-        """Rows written after the bases, with their ``commit_version``.
+    def versions(
+        self, name: str, head: Head | None = None, after: int = 0, touched: list[int] | None = None,
+        upto: int | None = None,
+    ) -> DataFrame:
+        """A table's rows after one version, or of folders that end with another at the latest.
 
-        They reach into an attempt, where one is given.
+        Each has its ``commit_version``.
         """
-        folders = list(head.logs.get(name, {}).values())
-        if attempt is not None and name in attempt.written:
-            folders.append(attempt.written[name])
-        return self._read_folders(name, folders)
-
-    def version_rows(self, name: str, version: int, head: Head | None = None) -> DataFrame:
-        """The rows one version wrote, while its log is not folded yet."""
-        folder = (head or self.head()).logs.get(name, {}).get(version)
-        return self._read_folders(name, [folder] if folder else []).drop(VERSION)
+        parts = [p for p in (head or self.head()).parts.get(name, []) if p.last > after]
+        parts = [p for p in parts if upto is None or p.last <= upto]
+        rows = self._rows(name, parts, touched)
+        return rows.filter(F.col(VERSION) > after) if after else rows
 
-    def attempted_rows(self, name: str, attempt: Attempt) -> DataFrame:
+    def attempted(self, name: str, attempt: Attempt) -> DataFrame:
         """The rows an attempt wrote."""
-        return self._read_folders(name, [attempt.written[name]]).drop(VERSION)
-
-    def base(self, name: str, head: Head, touched: list[int] | None = None) -> DataFrame:
-        """The folded rows, of the touched buckets only where those are given."""
-        return self._read_folders(name, [b.folder for b in head.bases.get(name, [])], touched)
-
-    def touched(self, name: str, keys: DataFrame) -> list[int] | None:
-        """The buckets of a table that a single column of keys falls into.
-
-        At most as many numbers as the table has buckets reach the driver.
-        """
-        if name not in self.buckets:
-            return None
-        bucket = bucket_of(F.col(keys.columns[0]), self.buckets[name][1]).alias(BUCKET)
-        return [row[BUCKET] for row in keys.select(bucket).distinct().collect()]
+        return self._rows(name, attempt.parts[name][-1:]).drop(VERSION)
 
     def appended(self, name: str, head: Head | None = None) -> DataFrame:
-        """All rows of an append-only table."""
+        """All rows of a table without keys."""
         return self.versions(name, head).drop(VERSION)
 
-    def versions(self, name: str, head: Head | None = None) -> DataFrame:
-        """All rows of a table with the ``commit_version`` that wrote them."""
-        head = head or self.head()
-        return self.base(name, head).unionByName(self.log(name, head))
-
-    def current(
-        self,
-        name: str,
-        keys: Sequence[str],
-        head: Head | None = None,
-        touched: list[int] | None = None,
-        attempt: Attempt | None = None,
-    ) -> DataFrame:
-        """The state of a table: per key, the rows of the last version that wrote it.
+    def current(self, name: str, head: Head | None = None, touched: list[int] | None = None) -> DataFrame:
+        """The state of a table, of the touched buckets' keys at least."""
+        parts = (head or self.head()).parts.get(name, [])
+        older, recent = [p for p in parts if p.buckets is not None], [p for p in parts if p.buckets is None]
+        return self._state(name, older, recent, touched).filter(f"NOT ({self.tables[name].gone})").drop(VERSION)
+
+    def _state(self, name: str, older: list[Part], recent: list[Part], touched: list[int] | None) -> DataFrame:
+        """Per key the rows of its last version. Of the older rows each key has just those."""
+        base, log, keys = self._rows(name, older, touched), self._rows(name, recent), self.tables[name].keys
+        newest = log.groupBy(*[F.col(k).alias(f"new_{k}") for k in keys]).agg(F.max(VERSION).alias(f"new_{VERSION}"))
+        # a null equals a null, as part of a key may be one
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in keys])
+        fresh = log.join(newest, same & (F.col(VERSION) == F.col(f"new_{VERSION}")), "left_semi")
+        return base.join(newest, same, "left_anti").unionByName(fresh)
+
+    def _rows(self, name: str, parts: list[Part], touched: list[int] | None = None) -> DataFrame:
+        """Rows of folders read by their exact paths, of gathered ones from buckets that count."""
+        # files do not record that a column is never null
+        fields = [T.StructField(f.name, f.dataType) for f in self.tables[name].schema.fields]
+        fields.append(T.StructField(VERSION, T.LongType()))
+        reader = self.spark.read.schema(T.StructType(fields))
+        plain = [f"{self.root}/{name}/{p.folder}" for p in parts if p.buckets is None]
+        frames = [reader.parquet(*plain)] if plain else []
+        for part in parts:
+            if part.buckets is not None:
+                counting = part.buckets if touched is None else sorted({*part.buckets} & {*touched})
+                bucketed = self.spark.read.schema(T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())]))
+                rows = bucketed.parquet(f"{self.root}/{name}/{part.folder}").filter(F.col(BUCKET).isin(counting))
+                frames.append(rows.drop(BUCKET))
+        if not frames:  # an empty range rather than an empty list: the optimizer knows its size
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+        return reduce(DataFrame.unionByName, frames)
 
-        A key may have several rows in a version; those that mark it as gone are
-        among them, and the caller drops them. The oldest base, which holds most keys, is
-        only filtered by the keys that were written later.
-        """
-        head, keys = head or self.head(), list(keys)
-        folders = [b.folder for b in head.bases.get(name, [])]
-        oldest = self._read_folders(name, folders[:1], touched)
-        later = self._read_folders(name, folders[1:], touched).unionByName(
-            self.log(name, head, attempt)
-        )
-        newest = self._newest_versions(later, keys)
-        fresh = later.join(newest, _same([*keys, VERSION]), "left_semi")
-        untouched = oldest.join(newest, _same(keys), "left_anti")
-        return untouched.unionByName(fresh).drop(VERSION)
-
-    def _newest_versions(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return rows.groupBy(*[F.col(k).alias(f"new_{k}") for k in keys]).agg(
-            F.max(VERSION).alias(f"new_{VERSION}")
-        )
-
-    def _newest(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        newest = self._newest_versions(rows, keys)
-        return rows.join(newest, _same([*keys, VERSION]), "left_semi")
-
-    def _read_folders(
-        self, name: str, folders: Sequence[str], touched: list[int] | None = None
-    ) -> DataFrame:
-        """Rows of folders read by their exact paths, of the touched buckets of bases."""
-        fields = [*self.tables[name].fields, T.StructField(VERSION, T.LongType())]
-        names = [f.name for f in fields]
-        parted = name in self.buckets
-        parts = []
-        for kind in ("base", "log"):
-            paths = [f"{self.root}/{name}/{f}" for f in folders if f.startswith(kind)]
-            if not paths:
-                continue
-            if kind == "base" and parted:
-                bucketed = T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
-                for path in paths:  # each is partitioned by bucket for itself
-                    rows = self.spark.read.schema(bucketed).parquet(path)
-                    if touched is not None:
-                        rows = rows.filter(F.col(BUCKET).isin(touched))
-                    parts.append(rows.select(*names))
-            else:
-                parts.append(self.spark.read.schema(T.StructType(fields)).parquet(*paths))
-        if not parts:
-            # An empty range rather than an empty list: the optimizer knows its size.
-            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-            return self.spark.range(0).select(*nothing)
-        return reduce(DataFrame.unionByName, parts)
-
-    def vacuum(self) -> list[str]:
-        """Remove the folders no manifest names: what failed attempts left.
-
-        Only for when no writer is at work; a running one's folder is not named yet.
-        """
-        named = set()
-        for version in self._versions():
-            head = Head.read(version, self._read(self._manifest(version)))
-            for name in self.tables:
-                named |= {(name, f) for f in head.logs.get(name, {}).values()}
-                named |= {(name, b.folder) for b in head.bases.get(name, [])}
-                named |= {(name, f) for f in head.replaced.get(name, [])}
-        removed = []
-        for name in self.tables:
-            for kind in ("log", "base"):
-                for entry in self._names(f"{self.root}/{name}/{kind}"):
-                    if (name, f"{kind}/{entry}") not in named:
-                        removed.append(f"{self.root}/{name}/{kind}/{entry}")
-        for path in removed:
-            self._files().delete(self._path(path), True)
-        return removed
-
-    # --- the file system the tables live on -------------------------------------------
-
-    def _jvm(self):
-        return self.spark.sparkContext._jvm
-
-    def _path(self, text: str):
-        return self._jvm().org.apache.hadoop.fs.Path(text)
-
-    def _files(self):
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        file_context = self._jvm().org.apache.hadoop.fs.FileContext
-        root = self._path(self.root)
-        uri = root.toUri()
-        if uri.getScheme() is None:
-            return file_context.getFileContext(conf)
-        return file_context.getFileContext(uri, conf)
-
-    def _manifest(self, version: int) -> str:
+    # --- manifests ------------------------------------------------------------------
+
+    def _path(self, version: int) -> str:
         return f"{self.root}/_commits/{version:012d}.json"
 
-    def _versions(self) -> list[int]:
-        names = self._names(f"{self.root}/_commits")
-        return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit())
+    def _manifest(self, version: int) -> Head:
+        return Head.of(read(self.spark, self._path(version)))
 
-    def _names(self, folder: str) -> list[str]:
-        files, path = self._files(), self._path(folder)
-        if not files.util().exists(path):
-            return []
-        return [status.getPath().getName() for status in files.util().listStatus(path)]
-
-    def _read(self, path: str) -> str:
-        stream = self._files().open(self._path(path))
-        try:
-            return self._jvm().org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def _create(self, path: str, text: str) -> None:
-        """Create a file whole, and only if it does not exist."""
-        jvm, files = self._jvm(), self._files()
-        fs = jvm.org.apache.hadoop.fs
-        gateway = self.spark.sparkContext._gateway
-        draft = self._path(f"{self.root}/_commits/.draft-{uuid4().hex}")
-        create_parent = gateway.new_array(fs.Options.CreateOpts, 1)
-        create_parent[0] = fs.Options.CreateOpts.createParent()
-        flags = jvm.java.util.EnumSet.of(fs.CreateFlag.CREATE)
-        stream = files.create(draft, flags, create_parent)
-        stream.write(bytearray(text, "utf-8"))
-        stream.close()
-        no_overwrite = gateway.new_array(fs.Options.Rename, 1)
-        no_overwrite[0] = getattr(fs.Options.Rename, "NONE")
-        try:
-            files.rename(draft, self._path(path), no_overwrite)
-        except Exception as error:
-            files.delete(draft, False)
-            if files.util().exists(self._path(path)):
-                raise CommitConflict(path) from error
-            raise
+    def _versions(self) -> list[int]:
+        found = names(self.spark, f"{self.root}/_commits")
+        return sorted(int(n.removesuffix(".json")) for n in found if n[0].isdigit())

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from changeflow import schemas
 from changeflow.operators import enrich, latest
-from changeflow.streaming.enriched import _log_schema
 
-LINES = _log_schema(schemas.LINE_EVENT)
-ORDERS = _log_schema(schemas.ORDER_EVENT)
-CUSTOMERS = _log_schema(schemas.CUSTOMER_EVENT)
+LINES = schemas.positioned(schemas.LINE_EVENT)
+ORDERS = schemas.positioned(schemas.ORDER_EVENT)
+CUSTOMERS = schemas.positioned(schemas.CUSTOMER_EVENT)
 
 
 def order(offset, order_id, op="I", ref=None, status=None):

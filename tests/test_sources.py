@@ -137,13 +137,13 @@ def test_jobs_start_the_next_batch_at_once_and_pause_only_when_idle(spark, monke
     from changeflow.streaming import jobs
 
     started = {}
-    monkeypatch.setattr(jobs, "read_topic", lambda spark, topic, size: started.update(size=size, topic=topic.topic))
+    monkeypatch.setattr(jobs, "read_topic", lambda spark, topic, size, progress: started.update(size=size, topic=topic.topic))
     monkeypatch.setattr(jobs, "decode_avro", lambda *args: spark.range(0).selectExpr("'x' decode_status"))
     monkeypatch.setattr(jobs, "start_upsert", lambda stream, sink, at, **trigger: started.update(trigger=trigger, at=at, sink=sink))
     settings = JobSettings.from_env({**TABLES_AT, "SLEEP_INTERVAL_SECONDS": "2.5", "SINK_OUTPUT_TOPIC": "out"})
     jobs.upsert_job(spark, settings, None)
     assert started["trigger"] == {"processingTime": "0 seconds"}
-    assert started["size"] == UpsertSettings().batch_size == 50_000
+    assert started["size"] == UpsertSettings().admitted == 50_000 and UpsertSettings().batch_size == 500
     assert started["at"] == "hdfs:///cdc/checkpoint" and started["sink"].publish
     assert spark.conf.get("spark.sql.streaming.pollingDelay") == "2500ms"
     spark.conf.unset("spark.sql.streaming.pollingDelay")
@@ -154,7 +154,7 @@ def test_latest_jobs_read_their_topic(spark, monkeypatch, name):
     from changeflow.streaming import jobs
 
     started = {}
-    monkeypatch.setattr(jobs, "read_topic", lambda spark, topic, size: started.update(topic=topic.topic))
+    monkeypatch.setattr(jobs, "read_topic", lambda spark, topic, size, progress: started.update(topic=topic.topic))
     monkeypatch.setattr(
         jobs, "decode_avro",
         lambda topic, writers, event: spark.createDataFrame([], event).selectExpr("*", "'decoded' decode_status"),
@@ -257,7 +257,7 @@ def test_extraction_runs_resume_from_their_bookmark(spark, tmp_path):
     def table(*rows):
         return spark.createDataFrame(list(rows), "id bigint, updated_at timestamp")
 
-    job = Extraction(spark, str(tmp_path), deliver, "test", fold_every=1)
+    job = Extraction(spark, str(tmp_path), deliver, "test", gather_every=1)
     assert job.run("orders", table((1, days[0]), (2, days[0]))) == extract.Bookmark(days[0], 2)
     assert job.run("orders", table((1, days[0]), (2, days[0]))) is None
     assert job.run("customers", table((7, days[2]))) == extract.Bookmark(days[2], 7)

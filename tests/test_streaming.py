@@ -20,7 +20,8 @@ from changeflow.streaming.enriched import EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
 from changeflow.streaming.load import load_log
 from changeflow.streaming import tables as storage
-from changeflow.streaming.tables import FOLD_EVERY, CommitConflict, Head, TableSet
+from changeflow.streaming.outbox import Outbox
+from changeflow.streaming.tables import GATHER_EVERY, CommitConflict, Head, Table, TableSet
 from changeflow.streaming.upsert import (
     References, UpsertSink, Warehouse, bucketed, start_upsert,
 )
@@ -30,7 +31,7 @@ __all__ = ["references"]
 
 def job(spark, references, root, **options):
     orders, sources, customers = references
-    warehouse = Warehouse(spark, f"{root}/warehouse", options.pop("fold_every", FOLD_EVERY))
+    warehouse = Warehouse(spark, f"{root}/warehouse", options.pop("gather_every", GATHER_EVERY))
     loaded = References(lambda: orders, lambda: sources, lambda: customers)
     return warehouse, UpsertSink(warehouse, loaded, "test", **options)
 
@@ -62,12 +63,14 @@ def batches(log, size):
     return [log[i : i + size] for i in range(0, len(log), size)]
 
 
-def test_batches_equal_the_row_by_row_model_across_folds(spark, references, tmp_path):
+def test_batches_equal_the_row_by_row_model_across_gatherings(spark, references, tmp_path):
     log = random_log(11, 80)
-    warehouse, sink = job(spark, references, tmp_path, fold_every=2)
+    warehouse, sink = job(spark, references, tmp_path, gather_every=2)
     for number, batch in enumerate(batches(log, 16)):
         sink(frame_of(spark, batch), number)
-    assert set(warehouse.tables.head().bases) == set(warehouse.tables.tables)
+    parts = warehouse.tables.head().parts
+    assert set(parts) == set(warehouse.tables.tables)
+    assert all(any(p.buckets is not None for p in own) for own in parts.values())
     check(warehouse, modelled(log, 16))
 
 
@@ -152,12 +155,14 @@ def test_what_is_broadcast_is_measured_in_bytes(spark):
     assert measured(spark.createDataFrame([], "a string")) == (0, 0)
 
 
-def test_a_batch_without_relevant_events_commits_nothing(spark, references, tmp_path):
+def test_a_batch_without_relevant_events_only_counts_and_rejects(spark, references, tmp_path):
     warehouse, sink = job(spark, references, tmp_path)
     sink(frame_of(spark, []), 0)
+    assert warehouse.tables.head() == Head()
     automatic = [{**e, "op_type": "I", "link_origin": "A"} for e in random_log(16, 5)]
     sink(frame_of(spark, automatic), 1)
-    assert warehouse.tables.head() == Head()
+    assert set(warehouse.tables.head().parts) == {"rejects"}
+    assert warehouse.counters("test") == {"read": 5, "skipped": 5, "flushes": 0}
 
 
 def sources_frame(spark, *ids):
@@ -165,44 +170,55 @@ def sources_frame(spark, *ids):
 
 
 def test_of_two_writers_one_fails_and_neither_loses_rows(spark, tmp_path):
-    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES})
+    tables = TableSet(spark, str(tmp_path), {"t": Table(schemas.SOURCES)})
     first, second = tables.begin(), tables.begin()
     tables.write("t", sources_frame(spark, 1, 2, 3), first)
     tables.write("t", sources_frame(spark, 7, 8), second)
     tables.commit(first, "a", 0)
     with pytest.raises(CommitConflict):
         tables.commit(second, "b", 0)
-    assert tables.head().applied == {"a": [0, 1]}
+    assert tables.head().applied == {"a": 0}
     assert sorted(r.id for r in tables.appended("t").collect()) == [1, 2, 3]
     again = tables.begin()
     tables.write("t", sources_frame(spark, 7, 8), again)
     tables.commit(again, "b", 0)
     assert sorted(r.id for r in tables.appended("t").collect()) == [1, 2, 3, 7, 8]
-    assert [p.rsplit("/", 1)[1] for p in tables.vacuum()] == [second.name]
-    assert sorted(r.id for r in tables.appended("t").collect()) == [1, 2, 3, 7, 8]
 
 
-def test_what_a_version_opens_does_not_grow_with_their_number(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(storage, "MERGED_BASES", 3)
-    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES, "all": schemas.SOURCES}, fold_every=4)
-    opened, rewritten = [], 0
+def test_what_a_version_opens_does_not_grow_with_their_number(spark, tmp_path):
+    kinds = {"t": Table(schemas.SOURCES, ("id",)), "all": Table(schemas.SOURCES)}
+    tables = TableSet(spark, str(tmp_path), kinds, gather_every=4)
+    opened = []
     for number in range(60):
         attempt = tables.begin()
         rows = sources_frame(spark, number % 7, 100 + number)
         tables.write_all({"t": rows, "all": rows}, attempt)
-        tables.fold("t", attempt, ["id"], F.lit(True))
-        tables.fold("all", attempt)
-        rewritten += len(attempt.replaced.get("all", []))
+        tables.gather(attempt)
         head = tables.commit(attempt, "a", number)
-        opened.append(sum(len(part.get("all", [])) for part in (head.logs, head.bases)))
-    # a log of four, and two or three bases of each of a few levels
-    assert max(opened) <= 4 + 3 * 4 and max(opened[:30]) <= max(opened[30:]) + 3
-    assert rewritten <= 60 * 1.5
+        opened.append({name: len(parts) for name, parts in head.parts.items()})
+    assert max(o["t"] for o in opened) <= 4 and max(o["all"] for o in opened) <= 4 + 4
     written = sorted([n % 7 for n in range(60)] + list(range(100, 160)))
     assert sorted(r.id for r in tables.appended("all").collect()) == written
-    assert sorted(r.id for r in tables.current("t", ["id"]).collect()) == [*range(7), *range(100, 160)]
+    assert sorted(r.id for r in tables.current("t").collect()) == [*range(7), *range(100, 160)]
     versions = {r.commit_version for r in tables.versions("all").collect()}
     assert versions == set(range(1, 61))
+    late = {r.commit_version for r in tables.versions("all", after=57).collect()}
+    assert late == {58, 59, 60}
+
+
+def test_a_note_is_committed_beside_the_batches_of_others(spark, tmp_path, monkeypatch):
+    tables = TableSet(spark, str(tmp_path), {"t": Table(schemas.SOURCES)})
+    original, rival = TableSet.commit, [True]
+
+    def raced(self, attempt, *args, **notes):
+        if rival and notes:
+            rival.pop()
+            original(self, self.begin(), "rival", 0)
+        return original(self, attempt, *args, **notes)
+
+    monkeypatch.setattr(TableSet, "commit", raced)
+    head = tables.noted("cursors", lambda kept: kept | {"x": 1})
+    assert head.version == 2 and head.note("cursors") == {"x": 1} and head.holds("rival", 0)
 
 
 def test_a_fresh_checkpoint_replays_the_topic(spark, references, tmp_path):
@@ -246,14 +262,21 @@ def test_bucketed_orders_are_pruned_to_the_batch(spark, references, tmp_path):
     assert pruned.count() < orders.count()
 
 
-def test_folding_discards_what_the_fold_before_replaced(spark, references, tmp_path):
+def test_folders_go_once_no_kept_version_names_them(spark, references, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "KEPT_MANIFESTS", 2)
     log = random_log(19, 50)
-    warehouse, sink = job(spark, references, tmp_path, fold_every=1)
+    warehouse, sink = job(spark, references, tmp_path, gather_every=1)
+    pinned = []
     for number, batch in enumerate(batches(log, 10)):
         sink(frame_of(spark, batch), number)
+        pinned.append(warehouse.tables.head())
     check(warehouse, modelled(log, 10))
-    kept = {int(p.name.split("-")[0]) for p in (tmp_path / "warehouse/order_customer_links/log").iterdir()}
-    assert kept == {4, 5}
+    assert links_of(warehouse.links(pinned[-2])) == modelled(log[:40], 10).links
+    there = {p.name for p in (tmp_path / "warehouse/order_customer_links").iterdir()}
+    named = {folder for head in pinned[-3:] for name, folder in head.folders() if name == "order_customer_links"}
+    assert named <= there
+    gone = {folder for name, folder in pinned[0].folders() if name == "order_customer_links"}
+    assert not gone & there
 
 
 def test_applied_rows_are_published_after_the_commit_and_again_if_that_failed(
@@ -306,7 +329,7 @@ def test_skipped_events_are_counted_in_the_progress(spark, references, tmp_path)
 def test_latest_stream_emits_tombstones(spark, tmp_path):
     topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
     table = LatestTable(
-        spark, str(tmp_path / "table"), schemas.ORDER_EVENT, ["order_id"], ["status"], fold_every=2
+        spark, str(tmp_path / "table"), schemas.ORDER_EVENT, ["order_id"], ["status"], gather_every=2
     )
     arrivals = [
         [order(1, "a", status="NEW"), order(2, "b", status="NEW")],
@@ -341,13 +364,13 @@ def test_latest_changes_are_published_after_the_commit(spark, tmp_path):
     for number, rows in enumerate(([order(1, "a"), order(2, "b")], [order(3, "a", "D")])):
         table.apply(table.changelog(orders_of(spark, *rows)), number, "test")
     table.apply(table.changelog(orders_of(spark, order(3, "a", "D"))), 1, "test")
-    assert published == [[("a", "I"), ("b", "I")], [("a", "D")], [("a", "D")]]
+    assert published == [[("a", "I"), ("b", "I")], [("a", "D")]]
 
 
 def test_enriched_view_follows_a_change_on_any_side(spark, tmp_path):
     from test_latest import CUSTOMERS
 
-    view = EnrichedView(spark, str(tmp_path / "view"), fold_every=2, buckets=4)
+    view = EnrichedView(spark, str(tmp_path / "view"), gather_every=2, buckets=4)
     customers = lambda *rows: spark.createDataFrame(list(rows), CUSTOMERS)
     empty = {"orders": orders_of(spark), "lines": lines_of(spark), "customers": customers()}
 
@@ -382,25 +405,355 @@ def test_enriched_view_follows_a_change_on_any_side(spark, tmp_path):
     )
 
 
-def test_folded_logs_are_kept_whole_and_read_by_bucket(spark, tmp_path):
-    tables = TableSet(spark, str(tmp_path), {"t": schemas.SOURCES}, {"t": ("id", 8)}, fold_every=2)
+def test_gathered_rows_are_kept_whole_and_read_by_bucket(spark, tmp_path):
+    kinds = {"t": Table(schemas.SOURCES, lookup="id", buckets=8), "s": Table(schemas.SOURCES, ("id",), lookup="id", buckets=8)}
+    tables = TableSet(spark, str(tmp_path), kinds, gather_every=2)
     for number in range(5):
         attempt = tables.begin()
-        rows = [(i, "s", "t", None) for i in range(number * 10, number * 10 + 10)]
-        tables.write("t", spark.createDataFrame(rows, schemas.SOURCES), attempt)
-        tables.fold("t", attempt)
+        rows = [(i, "s", f"t{number}", None) for i in range(number * 10, number * 10 + 15)]
+        tables.write_all(dict.fromkeys(kinds, spark.createDataFrame(rows, schemas.SOURCES)), attempt)
+        tables.gather(attempt)
         tables.commit(attempt, "a", number)
     head = tables.head()
-    assert [b.version for b in head.bases["t"]] == [2, 4]
-    assert sorted(r.id for r in tables.appended("t").collect()) == list(range(50))
+    assert sorted(r.id for r in tables.appended("t").collect()) == sorted(i for n in range(5) for i in range(n * 10, n * 10 + 15))
+    state = {r.id: r.source_type for r in tables.current("s").collect()}
+    assert state == {i: f"t{min(i // 10, 4)}" for i in range(55)}
     keys = spark.createDataFrame([(3,)], "id int")
-    few = tables.base("t", head, tables.touched("t", keys))
+    few = tables.current("s", head, tables.touched("s", keys, head))
     ids = [r.id for r in few.collect()]
     assert 3 in ids and len(ids) < 40
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "id_bucket" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
 
 
+def test_a_crash_and_another_writer_lose_nothing_of_the_outbox(spark, references, tmp_path):
+    """One commits and crashes before publishing; another commits and gathers; one comes back."""
+    log, published, broken = random_log(31, 60), [], [True]
+
+    def publish(rows):
+        if broken:
+            broken.pop()
+            raise RuntimeError("injected")
+        published.extend(r.commit_version for r in rows.collect())
+
+    warehouse, sink = job(spark, references, tmp_path, publish=publish)
+    with pytest.raises(RuntimeError, match="injected"):
+        sink(frame_of(spark, log[:20]), 0)
+    orders, sources, customers = references
+    other_tables = Warehouse(spark, f"{tmp_path}/warehouse", gather_every=1)
+    other = UpsertSink(other_tables, References(lambda: orders, lambda: sources, lambda: customers), "other")
+    other(frame_of(spark, log[20:40]), 0)
+    sink(frame_of(spark, log[:20]), 0)
+    assert len(published) == warehouse.links_history().count() and set(published) == {1, 2}
+    sink(frame_of(spark, log[:20]), 0)
+    sink(frame_of(spark, log[40:]), 1)
+    assert len(published) == warehouse.links_history().count()
+
+
+def test_consumers_read_on_from_cursors_of_their_own(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path), {"t": Table(schemas.SOURCES)}, gather_every=2)
+
+    def add(number):
+        attempt = tables.begin()
+        tables.write("t", sources_frame(spark, number), attempt)
+        tables.gather(attempt)
+        tables.commit(attempt, "a", number)
+
+    early, late, seen = Outbox(tables, "t", "early"), Outbox(tables, "t", "late"), []
+    collect = lambda rows: seen.append(sorted(r.id for r in rows.collect()))
+    assert early.deliver(collect) is None
+    add(0)
+    early.deliver(collect)
+    late.start_here()
+    add(1), add(2)
+    late.deliver(collect), early.deliver(collect), early.deliver(collect), late.deliver(collect)
+    assert seen == [[0], [1, 2], [1, 2]]
+
+
+def test_batches_of_relevant_records_within_a_micro_batch(spark, references, tmp_path):
+    from changeflow.settings import UpsertSettings
+
+    log = random_log(32, 90)
+    warehouse, sink = job(spark, references, tmp_path, settings=UpsertSettings(batch_size=7))
+    kept = [e for e in log if model.is_relevant(e)]
+    sink(frame_of(spark, log), 0)
+    check(warehouse, modelled(kept, 7))
+    assert warehouse.counters("test") == {
+        "read": 90, "skipped": 90 - len(kept), "flushes": -(-len(kept) // 7)
+    }
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 1000])
+def test_relevance_cuts_number_the_records_in_topic_order(spark, ranges):
+    rows = [(p, o) for o in (5, 6, 7, 1000, 1_000_000) for p in (0, 1, 2)] + [(0, 0), (4, 2**40)]
+    frame = spark.createDataFrame(rows, "kafka_partition int, kafka_offset long").repartition(3)
+    cut = events.batches_by_relevance(frame, 4, ranges).collect()
+    expected = {(p, o): n // 4 for n, (o, p) in enumerate(sorted((o, p) for p, o in rows))}
+    assert {(r.kafka_partition, r.kafka_offset): r.batch_no for r in cut} == expected
+    nothing = events.batches_by_relevance(frame.limit(0), 4)
+    assert nothing.columns[-1] == "batch_no" and nothing.count() == 0
+
+
+def test_rejects_are_committed_with_the_batch(spark, references, tmp_path):
+    log = random_log(33, 40)
+    warehouse, sink = job(spark, references, tmp_path)
+    undecoded = {**log[0], "kafka_offset": 99, "order_id": None, "op_type": None, "link_origin": None}
+    decoded = frame_of(spark, log).withColumn("decode_status", F.lit("decoded"))
+    broken = frame_of(spark, log[:1]).select(
+        *[F.lit(undecoded[c]).cast(t).alias(c) for c, t in decoded.dtypes[:-1]], F.lit("undecodable").alias("decode_status")
+    )
+    for _ in range(2):
+        sink(decoded.unionByName(broken), 0)
+    check(warehouse, modelled(log, 40))
+    rejects = {r.kafka_offset: (r.reject_reason, r.counted) for r in warehouse.rejects().collect()}
+    assert set(rejects) == {e["kafka_offset"] for e in log if not model.is_relevant(e)} | {99}
+    assert rejects[99] == ("undecodable", False) and warehouse.rejects().count() == len(rejects)
+    assert warehouse.counters("test")["skipped"] == len(rejects) - 1
+
+
+def test_the_view_reads_no_history_and_ignores_replays(spark, tmp_path, monkeypatch):
+    """What a batch reads of an order is the same after ten lines and after a thousand."""
+    from test_latest import CUSTOMERS
+
+    found = {}
+    stored = EnrichedView._stored
+
+    def counted(self, name, *args):
+        rows = stored(self, name, *args)
+        found[name] = found.get(name, 0) + rows.count()
+        return rows
+
+    chunks = EnrichedView._chunks
+
+    def counted_chunks(self, name, *args):
+        rows = chunks(self, name, *args)
+        found[name] = found.get(name, 0) + rows.count()
+        return rows
+
+    monkeypatch.setattr(EnrichedView, "_stored", counted)
+    monkeypatch.setattr(EnrichedView, "_chunks", counted_chunks)
+    read, batch_of = {}, {}
+    for history in (10, 1000):
+        view = EnrichedView(spark, str(tmp_path / f"view{history}"), gather_every=2, buckets=4, chunk=8)
+        empty = {"orders": orders_of(spark), "lines": lines_of(spark), "customers": spark.createDataFrame([], CUSTOMERS)}
+        first = mixed_topics({**empty, "orders": orders_of(spark, order(1, "a", ref="C"))})
+        view.apply(first, 0, "t")
+        many = [line(i, "a", i, 1, "2.00") for i in range(history)]
+        view.apply(mixed_topics({**empty, "lines": lines_of(spark, *many)}), 1, "t")
+        found.clear()
+        more = mixed_topics({**empty, "lines": lines_of(spark, *[line(history + i, "a", history + i, 1, "2.00") for i in range(3)])})
+        view.apply(more, 2, "t")
+        read[history] = dict(found)
+        shown = {r.lines_part: r for r in view.current().collect()}
+        assert sorted(shown) == list(range(-(-(history + 3) // 8)))
+        assert float(shown[0].order_total) == 2.0 * (history + 3)
+        assert [x.line_number for p in sorted(shown) for x in shown[p].lines] == list(range(history + 3))
+        # the same events under other checkpoints change nothing
+        before = sorted(map(str, view.current().collect())), view.changes().count()
+        for name, again in (("u", first), ("v", more)):
+            view.apply(again, 0, name)
+        assert (sorted(map(str, view.current().collect())), view.changes().count()) == before
+    assert read[10] == read[1000]
+
+
+def test_the_view_in_small_chunks_equals_the_whole_log(spark, tmp_path):
+    """Random batches over few orders: lists of several parts, deletes, revivals, moved customers."""
+    import random
+
+    from test_latest import CUSTOMERS
+
+    from changeflow.operators.enrich import enriched_from_logs
+
+    draw, chunk = random.Random(41), 3
+    view = EnrichedView(spark, str(tmp_path / "view"), gather_every=2, buckets=4, chunk=chunk)
+    logs = {"orders": [], "lines": [], "customers": []}
+    offset = 0
+    for batch_id in range(4):
+        new = {name: [] for name in logs}
+        for _ in range(20):
+            offset += 1
+            op = draw.choice(["I", "I", "I", "I", "D", None])
+            kind = draw.choice(["orders", "lines", "lines", "customers"])
+            who = draw.choice(["a", "b", "c", None])
+            if kind == "orders":
+                new[kind].append(order(offset, who, op, draw.choice(["C", "D", " C ", "E", None]), f"s{offset}"))
+            elif kind == "lines":
+                new[kind].append(line(offset, who, offset % 5, draw.choice([1, 2, None]), "1.50", op))
+            else:
+                new[kind].append((0, offset, draw.choice(["C", "D", None]), f"n{offset}", "ES", "S", op))
+        for name, rows in new.items():
+            logs[name] += rows
+        frames = {"orders": orders_of(spark, *new["orders"]), "lines": lines_of(spark, *new["lines"]),
+                  "customers": spark.createDataFrame(new["customers"], CUSTOMERS)}
+        view.apply(mixed_topics(frames), batch_id, "t")
+        whole = enriched_from_logs(
+            orders_of(spark, *logs["orders"]), spark.createDataFrame(logs["customers"], CUSTOMERS),
+            lines_of(spark, *logs["lines"]), chunk=chunk,
+        ).collect()
+        got = view.current().collect()
+        flat_lines = lambda rows: {o: [x for r in sorted((r for r in rows if r.order_id == o and r.lines is not None), key=lambda r: r.lines_part) for x in r.lines] for o in {r.order_id for r in rows}}
+        flat_refs = lambda rows: {o: sorted(x for r in rows if r.order_id == o and r.customer_refs for x in r.customer_refs) for o in {r.order_id for r in rows}}
+        head = lambda rows: sorted({(r.order_key, r.status, r.customer_ref, r.customer_name, r.customer_segment) for r in rows}, key=str)
+        total = lambda rows: sorted(((r.order_id, r.order_total) for r in rows if r.order_total is not None), key=str)
+        assert head(got) == head(whole) and total(got) == total(whole)
+        assert flat_lines(got) == flat_lines(whole) and flat_refs(got) == flat_refs(whole)
+        assert len({(r.order_id, r.lines_part, r.refs_part) for r in got}) == len(got)
+    # a reader that follows the changes comes to the same view
+    followed = {}
+    for r in sorted(view.changes().collect(), key=lambda r: r.commit_version):
+        followed.pop((r.order_key, r.part), None)
+        if not r.deleted:
+            followed[r.order_key, r.part] = (r.order_key, r.status, r.customer_name, r.lines, r.order_total)
+    assert sorted(followed.values(), key=str) == sorted(
+        ((r.order_key, r.status, r.customer_name, r.lines, r.order_total) for r in got), key=str
+    )
+
+
+def test_compaction_of_a_changelog_keeps_what_readers_need(spark, tmp_path):
+    seen = []
+    table = LatestTable(
+        spark, str(tmp_path / "t"), schemas.ORDER_EVENT, ["order_id"], ["status"], gather_every=3,
+        publish=lambda rows: seen.append(rows.count()),
+    )
+    arrivals = [
+        [order(1, "a", status="1"), order(2, "b", status="1")], [order(3, "a", "D")], [order(4, "b", status="2")],
+        [order(5, "c", status="1"), order(6, "b", "D")], [order(7, "c", status="2")],
+    ]
+    log = []
+    for number, rows in enumerate(arrivals):
+        log += rows
+        keys = {r[2] for r in rows}
+        state = table.changelog(orders_of(spark, *log)).filter(F.col("order_id").isin(*keys))
+        table.apply(state, number, "test")
+
+    def replayed():
+        rows = sorted((r.commit_version, r.order_id, r.status, r.op_type) for r in table.changes().collect())
+        return {key: (status, op) for _, key, status, op in rows if op != "D"}, len(rows)
+
+    state, before = replayed()
+    versions = {r.commit_version for r in table.changes().collect()}
+    clean = table.compact(horizon=3)
+    # all versions but the newest are below the clean point; the delete of a is over, that of b not
+    assert before == 7 and clean >= max(versions)
+    assert replayed() == (state, 2)
+    told = {(r.order_id, r.op_type): r.commit_version for r in table.changes().collect()}
+    assert set(told) == {("b", "D"), ("c", "I")} and set(told.values()) <= versions
+    table.apply(table.changelog(orders_of(spark, order(8, "a", status="9"))), 9, "test")
+    assert seen[-1] == 1 and replayed()[0] == {**state, "a": ("9", "I")}
+
+
+def test_a_revived_order_shows_older_values_only_within_the_horizon(spark, tmp_path):
+    from changeflow.streaming.expiring import ExpiringLatestTable
+
+    topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
+    table = ExpiringLatestTable(
+        spark, str(tmp_path / "t"), schemas.ORDER_EVENT, ["order_id"], ["customer_ref", "status"], 1000
+    )
+
+    def at(offset, order_id, when, op="I", ref=None, status=None):
+        row = list(order(offset, order_id, op, ref, status))
+        row[9] = when
+        return tuple(row)
+
+    arrivals = [
+        [at(1, "soon", 0, ref="r", status="s"), at(2, "late", 0, ref="r", status="s"), at(3, "kept", 0, ref="r")],
+        [at(4, "soon", 10, "D"), at(5, "late", 10, "D"), at(6, None, 0, ref="x")],
+        [at(8, "soon", 1010, status="new"), at(9, "late", 1011, status="new"), at(10, "kept", 9000, status="t")],
+    ]
+    for rows in arrivals:
+        land(orders_of(spark, *rows), topic)
+        table.start(read_landing(spark, topic, schemas.ORDER_EVENT), checkpoint).awaitTermination()
+    shown = {r.order_id: (r.customer_ref, r.status, r.op_type) for r in table.current().collect()}
+    assert shown == {"soon": ("r", "new", "I"), "late": (None, "new", "I"), "kept": ("r", "t", "I")}
+
+
+def test_key_order_is_watched_across_batches(spark, tmp_path):
+    from changeflow.streaming.guard import KeyGuard
+
+    guard = KeyGuard(spark, str(tmp_path / "g"), "k", gather_every=2, buckets=4)
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k string, kafka_partition int, kafka_offset long")
+    arrivals = [
+        batch((None, 0, 1), ("a", 0, 2), ("b", 1, 3), ("b", 2, 9)),
+        batch(("a", 0, 3), ("a", 0, 2), ("b", 1, 4), ("c", 2, 1)),
+        batch(("a", 1, 50), ("c", 2, 1), ("c", 2, 2)),
+        batch(),
+    ]
+    for number, rows in enumerate(arrivals):
+        guard.apply(rows, number, "t")
+        guard.apply(rows, number, "t")
+    found = sorted((r.key, r.kafka_partition, r.kafka_offset, r.violation) for r in guard.violations().collect())
+    assert found == [("a", 0, 2, "backwards"), ("a", 1, 50, "moved"), ("b", 2, 9, "moved"), ("c", 2, 1, "backwards")]
+
+
+def test_a_job_is_started_again_after_failures(spark, tmp_path, references):
+    from pyspark.errors import StreamingQueryException
+
+    from changeflow.streaming.jobs import kept_running
+
+    log, broken = random_log(34, 20), [1, 2]
+    warehouse, sink = job(spark, references, tmp_path)
+    land(frame_of(spark, log), str(tmp_path / "topic"))
+
+    def fragile(batch, batch_id):
+        if broken:
+            broken.pop()
+            raise RuntimeError("injected")
+        sink(batch, batch_id)
+
+    def start():
+        stream = read_landing(spark, str(tmp_path / "topic"), schemas.ORDER_EVENT)
+        return start_upsert(stream, fragile, str(tmp_path / "checkpoint"))
+
+    kept_running(start, restarts=2, pause=0)
+    check(warehouse, modelled(log, 20))
+    broken += [1, 2, 3]
+    land(frame_of(spark, random_log(35, 5)), str(tmp_path / "topic"))
+    with pytest.raises(StreamingQueryException):
+        kept_running(start, restarts=1, pause=0)
+
+
+def scanned_rows(frame):
+    """Rows the file scans of a frame read."""
+    execution = frame._jdf.queryExecution()
+    execution.toRdd().count()
+    leaves = execution.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_batch_reads_as_much_of_a_large_catalog_as_of_a_small_one(spark, references, tmp_path):
+    """Row groups that hold none of a batch's references are skipped, at ten times the rows too."""
+    from changeflow.sources.clustered import PUSHED, push_lookups, write_clustered
+
+    orders, sources, _ = references
+    push_lookups(spark)
+    read = {}
+    for times in (1, 10):
+        number = F.col("id")
+        made = spark.range(20_000 * times, numPartitions=4).select(
+            F.md5(F.concat(F.lit("catalog|"), F.format_string("R%08d", number), F.lit("|"))).alias("id"),
+            F.lit("h").alias("customer_hash"), F.format_string("R%08d", number).alias("external_customer_id"),
+            F.lit(12).alias("source_id"), F.lit("catalog").alias("source_name"), F.lit("").alias("customer_name"),
+            F.lit("").alias("country_code"), F.lit("RESOLVED").alias("resolution_state"),
+            F.lit("2025-01-01").cast("timestamp").alias("created_at"), F.lit("2025-01-01").cast("timestamp").alias("updated_at"),
+        )
+        path = str(tmp_path / f"customers{times}")
+        write_clustered(made, path, "external_customer_id", ("external_customer_id", "id"), group_rows=500)
+        catalog = spark.read.parquet(path)
+        log = [{**e, "order_id": "O1", "customer_ref": f"R{i * 7 % 3500:08d}"} for i, e in enumerate(random_log(61, 500))]
+        log += [{**log[0], "customer_ref": "unheard of", "kafka_offset": 500}]
+        loaded = References(lambda: orders, lambda: sources, lambda catalog=catalog: catalog)
+        warehouse = Warehouse(spark, str(tmp_path / f"w{times}"))
+        sink = UpsertSink(warehouse, loaded, "t")
+        refs = frame_of(spark, log).select("customer_ref").distinct()
+        near = sink._near(catalog, refs)
+        read[times] = scanned_rows(near)
+        assert near.count() == 500
+        sink(frame_of(spark, log), 0)
+        assert warehouse.backfilled_customers().select("external_customer_id").collect() == [("unheard of",)]
+    spark.conf.unset(PUSHED)
+    assert read[1] == read[10] < 10_000
+
+
 def test_landing_keeps_the_fixed_schema(spark, tmp_path):
     land(frame_of(spark, random_log(1, 3)), str(tmp_path / "t"))
     stream = read_landing(spark, str(tmp_path / "t"), schemas.ORDER_EVENT, max_files=1)
