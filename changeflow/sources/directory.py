@@ -108,20 +108,24 @@ class TopicReader(DataSourceStreamReader):
         self.progress = options.get("progress")
         self.groups: dict[int, list[Group]] = {}
         self.folders: set[str] = set()
+        self.initial: dict[str, int] | None = None
         self.planned: dict[str, int] | None = None
 
     # --- offsets --------------------------------------------------------------------
 
     def initialOffset(self) -> dict:
-        self._look()
-        start = self._ends() if self.latest else {str(p): own[0].first for p, own in self.groups.items()}
-        self.planned = start
-        return start
+        """Where a query without a checkpoint starts: found once, before anything is read."""
+        if self.initial is None:
+            self._look()
+            self.initial = self._ends() if self.latest else {str(p): own[0].first for p, own in self.groups.items()}
+        return self.initial
 
     def latestOffset(self) -> dict:
         self._look()
         if self.planned is None:
-            self.planned = self._noted()
+            initial = self.initialOffset()
+            # without a note, a restart cannot be told from a start: nothing is held back
+            self.planned = self._noted() or (initial if self.progress else None)
         if self.limit and self.planned is not None:
             self.planned = self._admitted(self.planned)
         else:

@@ -3,8 +3,8 @@
 A state that keeps the last non-null value of every column has to remember a deleted key,
 for the key may come back; left alone it grows with every key there ever was. Here a
 tombstone is kept for a horizon: a key revived within it still shows its older values where
-the new ones are null, one revived later starts from nothing. Event times decide which; a
-timer removes the tombstones of keys that never come back.
+the new ones are null, one revived later starts from nothing. Event times decide which. A
+timer removes the tombstones of keys that do not come back, a horizon after they arrived.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,6 +22,10 @@ from changeflow.streaming.latest import LatestTable
 from changeflow.streaming.tables import GATHER_EVERY
 
 
+#: When an event arrived: the clock of the timers.
+ARRIVED = "arrived_at"
+
+
 class Expiring(StatefulProcessor):
     """One key: its latest values, its last operation, and when that was if it was a delete.
 
@@ -52,7 +57,7 @@ class Expiring(StatefulProcessor):
                 state[-2:] = [op, int(at) if op == "D" and at is not None else None]
         self.latest.update(tuple(state))
         if state[-1] is not None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.horizon_ms)
+            self.handle.registerTimer(int(events[ARRIVED].max().timestamp() * 1000) + self.horizon_ms)
         elif was_deleted:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
@@ -93,9 +98,11 @@ class ExpiringLatestTable(LatestTable):
         importable(self.spark)
         out = T.StructType([T.StructField(f.name, f.dataType) for f in self.state_schema.fields])
         keyed = stream.dropna("all", subset=self.keys)
+        # every event of a micro-batch arrives at its start, so none is ever late
+        keyed = keyed.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, "0 seconds")
         return keyed.groupBy(*self.keys).transformWithStateInPandas(
             statefulProcessor=Expiring(self.keys, self.columns, out, self.horizon_ms),
             outputStructType=out,
             outputMode="Update",
-            timeMode="ProcessingTime",
+            timeMode="EventTime",
         )

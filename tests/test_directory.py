@@ -69,8 +69,8 @@ def test_a_restart_goes_on_under_the_limit(spark, tmp_path):
     path, out = str(tmp_path / "t"), str(tmp_path)
     directory.append(numbers(spark, *[(0, o) for o in range(100)]), path, group_records=10)
     reader = directory.TopicReader({"path": path, "maxOffsetsPerTrigger": "10", "progress": f"{out}/p.json"})
-    start = reader.initialOffset()
     end = reader.latestOffset()
+    start = reader.initialOffset()
     assert (start, end) == ({"0": 0}, {"0": 10})
     reader.partitions(start, end)
     again = directory.TopicReader({"path": path, "maxOffsetsPerTrigger": "10", "progress": f"{out}/p.json"})
@@ -119,9 +119,9 @@ def test_the_upsert_job_from_topic_to_topic(spark, references, tmp_path, polling
     orders, sources, customers = references
     loaded = References(lambda: orders, lambda: sources, lambda: customers)
     log, topic = random_log(51, 60), str(tmp_path / "topics" / "cdc.dev.orders")
-    for part in (log[:30], log[30:]):
+    for number, part in enumerate((log[:30], log[30:])):
         records = records_of(frame_of(spark, part), "order_id")
-        if part is not log[:30]:
+        if number:
             broken = spark.createDataFrame([("x", bytearray(b"{no json"), 0, 60)], directory.SCHEMA)
             records = records.withColumn("value", F.col("value").cast("binary")).unionByName(broken)
         directory.append(records, topic)
