@@ -13,10 +13,11 @@ left without it, which finds every such pair.
 *Candidates.* Texts that agree on a sketch form a bucket. Each is first compared with the
 bucket's least and greatest text, in two rounds: beside the least and the greatest of all
 its buckets, then beside those other ends with which it shares no linked text yet. Members
-of a bucket that are not connected by then are compared with one another, all with all,
-less the pairs whose folded word counts alone prove them too far apart. Crowded buckets are
-cut into blocks that meet in tasks of their own. Only the pairs that pass become rows; a few
-of every two components are aligned first, then those still apart.
+of a bucket that are not connected by then meet in tasks, with their texts, and are compared
+with one another there: all with all, less the pairs that are connected meanwhile, those
+whose folded word counts alone prove them too far apart, and those that meet in a lesser
+bucket too. Crowded buckets are cut into blocks that meet in tasks of their own. Only links
+that join two components leave a task, so there are fewer of them than members.
 
 *Verification.* Texts are aligned along the runs they share; where that does not settle a
 pair, the edit distance of the words is found diagonal by diagonal within the band that
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.encoding import Values
-from changeflow.llm.tables import cut, rekeyed, shuffle_width
+from changeflow.llm.tables import Written, cut, importable, rekeyed, shuffle_width
 
 SKETCHES = 64
 SIMILARITY = 0.8
@@ -61,6 +62,8 @@ FOLDED = 256
 #: Members of a bucket that meet in one task, and pairs of them compared at a time.
 BLOCK = 1024
 TILE = 1 << 14
+#: Bytes of text of the members that meet, about, from either side.
+BLOCK_BYTES = 8 << 20
 
 
 def text_node(text: str = "text") -> Column:
@@ -297,26 +300,6 @@ def unconnected(beside: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(rekeyed(kept.select("bucket", "size"), "bucket"), "bucket")
 
 
-def folded_counts(texts: DataFrame) -> DataFrame:
-    """The words of each text counted by hash: (node, words, counts), FOLDED bytes of counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = WordHashes()
-        for batch in batches:
-            sizes, counts = [], []
-            for text in batch.column(1):
-                words = source.of(text.as_py())
-                found = np.bincount((words % np.uint64(FOLDED)).astype(np.int64), minlength=FOLDED)
-                sizes.append(len(words))
-                counts.append(np.minimum(found, 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(counts, pa.binary())],
-                ["node", "words", "counts"],
-            )
-
-    return texts.mapInArrow(run, "node long, words int, counts binary")
-
-
 def near_enough(
     words: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float
 ) -> np.ndarray:
@@ -330,23 +313,78 @@ def near_enough(
     return kept[np.maximum(gone, come) <= most[kept]]
 
 
-def pairs_within(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of unconnected members of one bucket that their words allow.
-
-    A bucket of more than BLOCK members is dealt into parts. Its largest component and the
-    rest are dealt apart: parts of the rest meet all parts, those of the component only these.
+class Members:
+    """The members of a group: their words, runs, counts, buckets and components."""
+
+    def __init__(self, rows: pa.Table, source: WordHashes) -> None:
+        self.node = rows["node"].to_numpy()
+        self.side = rows["side"].to_numpy()
+        self.bucket = rows["bucket"][0].as_py()
+        self.words = [source.of(t.as_py()) for t in rows["text"]]
+        self.sizes = np.array([len(w) for w in self.words], np.int32)
+        counts = [np.bincount((w % np.uint64(FOLDED)).astype(np.int64), minlength=FOLDED) for w in self.words]
+        self.counts = np.minimum(np.array(counts), 255).astype(np.uint8)
+        self.buckets = [frozenset(b.as_py()) for b in rows["buckets"]]
+        self.runs: dict[int, np.ndarray] = {}
+        _, first, inverse = np.unique(rows["label"].to_numpy(), return_index=True, return_inverse=True)
+        self.parent = first[inverse].tolist()
+
+    def root(self, member: int) -> int:
+        parent = self.parent
+        while parent[member] != member:
+            parent[member] = parent[parent[member]]
+            member = parent[member]
+        return member
+
+    def runs_of(self, member: int) -> np.ndarray:
+        if member not in self.runs:
+            self.runs[member] = labelled_runs(self.words[member], SHINGLE)
+        return self.runs[member]
+
+    def link(self, i: int, j: int, similarity: float) -> bool:
+        """Connect two members, if they are near and nothing connects them yet."""
+        if self.root(i) == self.root(j) or min(self.buckets[i] & self.buckets[j]) != self.bucket:
+            return False
+        runs = self.runs_of(i), self.runs_of(j)
+        if not aligned(self.words[i], self.words[j], runs, similarity):
+            return False
+        self.parent[self.root(i)] = self.root(j)
+        return True
+
+
+def aligned(one: np.ndarray, other: np.ndarray, runs: tuple, similarity: float) -> bool:
+    """Whether two texts are within the similarity."""
+    most = int((1 - similarity) * max(len(one), len(other)) + 1e-9)
+    if abs(len(one) - len(other)) > most:
+        return False
+    return edits_at_most(one, other, runs, SHINGLE) <= most or edits_within(one, other, most) is not None
+
+
+def links_within(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between unconnected members of one bucket that connect them.
+
+    A bucket of more than BLOCK members, or BLOCK_BYTES of text, is dealt into parts. Its
+    largest component and the rest are dealt apart: parts of the rest meet all parts, those
+    of the component only these. Two members that share several buckets are compared in the
+    least of them.
     """
     spark = members.sparkSession
+    buckets_of = members.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+    told = texts.join(rekeyed(buckets_of, "node"), "node").select("node", "text", "buckets")
+    sized = members.join(
+        rekeyed(texts.select("node", F.octet_length("text").cast("long").alias("_bytes")), "node"), "node"
+    )
     largest = (
-        members.groupBy("bucket", "label")
-        .agg(F.count("*").alias("_n"))
+        sized.groupBy("bucket", "label")
+        .agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_b"))
         .groupBy("bucket")
-        .agg(F.max(F.struct("_n", "label")).alias("_main"))
-        .select("bucket", F.col("_main.label").alias("_main"), F.col("_main._n").alias("_n"))
+        .agg(F.max(F.struct("_n", "label", "_b")).alias("_main"), F.sum("_b").alias("_all"))
+        .select("bucket", F.col("_main.label").alias("_main"), F.col("_main._n").alias("_n"),
+                F.col("_main._b").alias("_b"), "_all")
     )
 
-    def parts_of(rows: Column) -> Column:
-        return F.ceil(rows / F.lit(BLOCK)).cast("int")
+    def parts_of(rows: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(rows / F.lit(BLOCK)), F.ceil(size / F.lit(BLOCK_BYTES))).cast("int")
 
     def meeting(kind: int, one: Column, other: Column, side: Column) -> Column:
         return F.struct(
@@ -354,11 +392,13 @@ def pairs_within(members: DataFrame, texts: DataFrame, similarity: float = SIMIL
         )
 
     in_main = F.col("label") == F.col("_main")
-    mains, rests = parts_of(F.col("_n")), parts_of(F.col("size") - F.col("_n"))
+    mains = parts_of(F.col("_n"), F.col("_b"))
+    rests = parts_of(F.col("size") - F.col("_n"), F.col("_all") - F.col("_b"))
     part = F.pmod(F.xxhash64("node", F.lit("part")), F.when(in_main, mains).otherwise(rests)).cast("int")
     every_main, every_rest = (F.sequence(F.lit(0), n - 1) for n in (mains, rests))
     own, zero = F.col("_part"), F.lit(0)
-    same = F.when(F.col("size") <= BLOCK, F.array(meeting(2, zero, zero, F.lit(2))))
+    whole = (F.col("size") <= BLOCK) & (F.col("_all") <= BLOCK_BYTES)
+    same = F.when(whole, F.array(meeting(2, zero, zero, F.lit(2))))
     groups = same.when(in_main, F.transform(every_rest, lambda x: meeting(0, own, x, zero))).otherwise(
         F.concat(
             F.transform(every_main, lambda x: meeting(0, x, own, F.lit(1))),
@@ -373,48 +413,47 @@ def pairs_within(members: DataFrame, texts: DataFrame, similarity: float = SIMIL
     dealt = (
         members.join(rekeyed(largest, "bucket"), "bucket")
         .withColumn("_part", part)
-        .select("node", "label", F.explode(groups).alias("_at"))
-        .select("node", "label", "_at.*")
-        .join(rekeyed(folded_counts(texts), "node"), "node")
-        .select("_group", "side", "node", "label", "words", "counts")
+        .select("bucket", "node", "label", F.explode(groups).alias("_at"))
+        .select("bucket", "node", "label", "_at.*")
+        .join(rekeyed(told, "node"), "node")
+        .select("_group", "side", "bucket", "node", "label", "text", "buckets")
     )
     ordered = dealt.repartition(shuffle_width(spark), "_group").sortWithinPartitions("_group")
 
-    def met(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        """The pairs of one group: of both sides, or of all members where there is one."""
-        side, node, label, words = (rows[c].to_numpy() for c in ("side", "node", "label", "words"))
-        joined = b"".join(rows["counts"].to_pylist())
-        counts = np.frombuffer(joined, np.uint8).reshape(len(node), FOLDED)
-        whole = side[0] == 2
-        left = np.flatnonzero(side != 1)
-        right = left if whole else np.flatnonzero(side == 1)
+    def met(group: Members) -> Iterator[pa.RecordBatch]:
+        """The links of one group: of both sides, or of all members where there is one."""
+        whole = group.side[0] == 2
+        left = np.flatnonzero(group.side != 1)
+        right = left if whole else np.flatnonzero(group.side == 1)
         height = max(1, TILE // max(1, len(right)))
+        found = []
         for at in range(0, len(left), height):
             own = left[at : at + height]
-            apart = label[own][:, None] != label[right][None, :]
+            root = np.array([group.root(i) for i in range(len(group.node))])
+            apart = root[own][:, None] != root[right][None, :]
             if whole:
                 apart &= own[:, None] < right[None, :]
             i, j = np.nonzero(apart)
             i, j = own[i], right[j]
-            kept = near_enough(words, counts, i, j, similarity)
-            a, b = node[i[kept]], node[j[kept]]
-            if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-                )
+            kept = near_enough(group.sizes, group.counts, i, j, similarity)
+            pairs = zip(i[kept].tolist(), j[kept].tolist(), strict=True)
+            found += [(x, y) for x, y in pairs if group.link(x, y, similarity)]
+        if found:
+            a, b = (group.node[list(side)] for side in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        source, held = WordHashes(), []
         for batch in batches:
             groups = batch.column(0).to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])).tolist()
             for start, end in zip(starts, [*starts[1:], len(groups)], strict=True):
                 if held and held[0].column(0)[0].as_py() != groups[start]:
-                    yield from met(pa.Table.from_batches(held))
+                    yield from met(Members(pa.Table.from_batches(held), source))
                     held = []
                 held.append(batch.slice(start, end - start))
         if held:
-            yield from met(pa.Table.from_batches(held))
+            yield from met(Members(pa.Table.from_batches(held), source))
 
     return ordered.mapInArrow(run, "a long, b long").where(F.col("a") < F.col("b")).distinct()
 
@@ -451,12 +490,7 @@ def links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
                 if last[0] != (b := b.as_py()):
                     last = b, read(other.as_py())
                 y, y_runs = last[1]
-                most = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
-                if abs(len(x) - len(y)) <= most:
-                    found[row] = (
-                        edits_at_most(x, y, (x_runs, y_runs), SHINGLE) <= most
-                        or edits_within(x, y, most) is not None
-                    )
+                found[row] = aligned(x, y, (x_runs, y_runs), similarity)
             kept = batch.filter(pa.array(found))
             yield pa.RecordBatch.from_arrays(kept.columns[:2], ["a", "b"])
 
@@ -512,55 +546,37 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.where(~same).select("a", "b")
 
 
-def first_tries(pairs: DataFrame, labels: DataFrame, tries: int = 8) -> DataFrame:
-    """At most so many of the pairs for every two components."""
-
-    def label_of(side: str) -> DataFrame:
-        return rekeyed(labels.toDF(side, f"_{side}"), side)
-
-    one, other = F.coalesce("_a", "a"), F.coalesce("_b", "b")
-    return (
-        pairs.join(label_of("a"), "a", "left")
-        .join(label_of("b"), "b", "left")
-        .groupBy(F.least(one, other), F.greatest(one, other), F.pmod(F.xxhash64("a", "b"), F.lit(tries)))
-        .agg(F.min(F.struct("a", "b")).alias("_pair"))
-        .select("_pair.*")
-    )
-
-
-def connected_further(pairs: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The labels once all pairs that they leave apart are compared, a few of each two first."""
-    tried = cut(first_tries(pairs, labels))
-    for rest in (tried, None):
-        if rest is None:
-            rest = apart(pairs, labels).join(tried, ["a", "b"], "left_anti")
-        found = cut(links(rest, texts, similarity))
-        if not found.isEmpty():
-            known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = components(known.union(found))
-    return labels
-
-
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Every document's class: doc_id, class_id, n_copies, _node, _label.
 
     ``n_copies`` counts the rows of the same text.
     """
+    importable(documents.sparkSession)
     keyed = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", text_node().alias("_node")
     )
-    beside = cut(in_shared_buckets(cut(buckets(keyed))))
-    pairs = cut(pairs_of(beside))
-    texts = cut(texts_of(pairs, keyed))
-    nearest = pairs_of(beside.groupBy("node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    linked = cut(links(nearest, texts, similarity))
+    written = Written(documents.sparkSession)
+    found = written(buckets(keyed))
+    beside = written(in_shared_buckets(found))
+    written.drop(found)
+    pairs = written(pairs_of(beside))
+    texts = written(texts_of(pairs, keyed).toDF("node", "text"))
+    nearest = written(pairs_of(beside.groupBy("node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))))
+    linked = written(links(nearest, texts, similarity))
     rest = apart(pairs, least_linked(linked)).join(nearest, ["a", "b"], "left_anti")
-    label = components(linked.union(links(rest, texts, similarity)))
-    members = cut(unconnected(beside, label))
+    further = written(links(rest, texts, similarity))
+    written.drop(pairs, nearest)
+    label = components(linked.union(further))
+    members = written(unconnected(beside, label))
+    written.drop(beside, linked, further)
     if not members.isEmpty():
-        wanted = members.select(F.col("node").alias("_node")).distinct()
-        inside = cut(pairs_within(members, texts.join(wanted, "_node"), similarity))
-        label = connected_further(inside, label, texts, similarity)
+        wanted = rekeyed(members.select("node").distinct(), "node")
+        inside = written(links_within(members, texts.join(wanted, "node"), similarity))
+        if not inside.isEmpty():
+            known = label.select(F.col("node").alias("a"), F.col("label").alias("b"))
+            label = components(known.union(inside))
+        written.drop(inside)
+    written.drop(members, texts)
     nodes = keyed.groupBy("_node").agg(
         F.min("doc_id").alias("_least"), F.count("*").alias("n_copies")
     )

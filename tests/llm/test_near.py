@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from changeflow.llm import near, queries
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -155,12 +156,62 @@ def test_near_texts_in_a_template_crowd(spark):
     assert len(set(of.values())) == len(texts) - len(planted)
 
 
-def test_blocks_of_a_bucket_all_meet(spark, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK", 7)
-    texts = spark.createDataFrame([(i, f"a b c d e{i % 3}") for i in range(40)], "node long, text string")
-    members = texts.selectExpr("5L as bucket", "node", "node % 4 as label", "40L as size")
-    got = [tuple(r) for r in near.pairs_within(members, texts).collect()]
-    assert sorted(got) == [(a, b) for a in range(40) for b in range(a + 1, 40) if a % 4 != b % 4]
+@pytest.mark.parametrize("block, size", [(7, 1 << 20), (1000, 60), (1000, 1 << 20)])
+def test_blocks_of_a_bucket_all_meet(spark, monkeypatch, block, size):
+    """Whatever the blocks, links connect what all pairs would; a group has fewer than members."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "BLOCK_BYTES", size)
+    words = [f"a b c d e{i % 5} f{i % 5} g{i % 5}" for i in range(40)]
+    texts = spark.createDataFrame(list(enumerate(words)), "node long, text string")
+    first = texts.selectExpr("5L as bucket", "node", "least(node, 30) as label", "40L as size")
+    second = texts.where("node < 20").selectExpr("9L as bucket", "node", "node as label", "20L as size")
+    got = [tuple(r) for r in near.links_within(first.union(second), texts).collect()]
+    assert all(a % 5 == b % 5 for a, b in got)
+    if block > 60 and size > 10_000:
+        assert len(got) < 60
+    label = list(range(30)) + [30] * 10
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in got:
+        label[root(a)] = root(b)
+    # 30 to 39 are one component from the start, and have texts of every kind
+    assert len({root(i) for i in range(40)}) == 1
+
+
+def test_the_largest_component_meets_the_rest_only(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 4)
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(400)]
+    base = rng.choices(vocabulary, k=50)
+    rows = [(i, " ".join(base[:40] + rng.choices(vocabulary, k=10))) for i in range(30)]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    members = texts.selectExpr("5L as bucket", "node", "if(node < 20, 0L, node) as label", "30L as size")
+    got = {tuple(r) for r in near.links_within(members, texts).collect()}
+    label = {i: 0 if i < 20 else i for i in range(30)}
+
+    def apart():
+        return {i: label[i] for i in label}
+
+    def merge(a, b):
+        old, new = label[a], label[b]
+        for i in label:
+            label[i] = new if label[i] == old else label[i]
+
+    for a, b in got:
+        merge(a, b)
+    found = apart()
+    label = {i: 0 if i < 20 else i for i in range(30)}
+    for a in range(30):
+        for b in range(a):
+            one, other = (np.array([hash(w) & (2**63 - 1) for w in rows[k][1].split()], np.uint64) for k in (a, b))
+            if near.edits_within(one, other, 10) is not None:
+                merge(a, b)
+    groups = lambda labels: {frozenset(i for i in labels if labels[i] == x) for x in labels.values()}
+    assert groups(found) == groups(label)
 
 
 def test_short_texts_with_one_changed_word(spark):
