@@ -186,6 +186,49 @@ def links_from_log(
     return standing_links(_link_rows(stage))
 
 
+def links_by_precision(
+    records: DataFrame,
+    orders: DataFrame,
+    sources: DataFrame,
+    customers: DataFrame,
+    settings: UpsertSettings,
+    applied_at: Column,
+) -> DataFrame:
+    """Links by either precision side by side: the order, by_second and by_ms.
+
+    One pass over the log finds the last event of an order by both, and both are resolved
+    together. A customer is null where there is no link.
+    """
+    positioned = records.filter(F.col("order_id").isNotNull()).select(
+        "*", F.struct(*POSITION_COLUMNS).alias("position")
+    )
+    told = ("op_type", "customer_ref", "op_timestamp")
+    last = [
+        F.max(F.struct("batch_no", *_sort_key(F.col("op_timestamp"), precision), *told))
+        for precision in ("second", "ms")
+    ]
+    # the precision travels through the stage in place of the batch
+    both = F.array(*[
+        F.struct(F.lit(n).alias("batch_no"), *[event[c].alias(c) for c in told])
+        for n, event in enumerate((F.col("by_second"), F.col("by_ms")))
+    ])
+    last_events = (
+        positioned.groupBy("order_id")
+        .agg(last[0].alias("by_second"), last[1].alias("by_ms"))
+        .select("order_id", F.explode(both).alias("event"))
+        .select("order_id", "event.*")
+        .filter(F.col("op_type") == "I")
+    )
+    catalog = with_missing(
+        customers, missing_customers(last_events, customers, settings, applied_at)
+    )
+    stage = resolved(
+        last_events, orders, sources, one_per_reference(catalog), settings, applied_at
+    )
+    customer = [F.max(F.when(F.col("batch_no") == n, F.col("customer_id"))) for n in (0, 1)]
+    return stage.groupBy(*ORDER_KEY).agg(customer[0].alias("by_second"), customer[1].alias("by_ms"))
+
+
 def last_insert_batches(records: DataFrame) -> DataFrame:
     """Per order id, the last batch that holds an insert for it."""
     return (

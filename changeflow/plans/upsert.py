@@ -106,17 +106,8 @@ def links_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_second_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links whose fate depends on whether instants are seconds or milliseconds."""
     inputs = Inputs(spark, sf_dir)
-    keys = ["order_source_id", "order_id"]
-
-    def links(precision: str) -> DataFrame:
-        state = apply.links_from_log(
-            inputs.records(), *inputs.resolution(), precision=precision
-        )
-        return state.select(*keys, F.col("customer_id").alias(f"by_{precision}"))
-
-    return links("second").join(links("ms"), keys, "full").filter(
-        ~F.col("by_second").eqNullSafe(F.col("by_ms"))
-    )
+    links = apply.links_by_precision(inputs.records(), *inputs.resolution())
+    return links.filter(~F.col("by_second").eqNullSafe(F.col("by_ms")))
 
 
 def flush_tables(tables: dict[str, DataFrame]) -> DataFrame:
