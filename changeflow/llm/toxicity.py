@@ -1,12 +1,14 @@
 """Toxic passages: maximum-scoring segments over token log-odds.
 
-*Tokens.* A text's words, in small letters and without punctuation around them, are
-hashed to BUCKETS numbers, so every table here has a fixed size.
+*Tokens.* A text's words, in small letters and without punctuation around them, are told
+apart by whole 64-bit hashes, however many there are. They are counted by a grouped sum, and
+only tokens that score leave the executors: at most those of the fitted toxic texts.
 
 *Log-odds.* The numbers of toxic and of clean labelled texts that hold a token are compared
 under a Dirichlet prior, tokens spread as they are over the texts of the whole corpus.
 (Texts are counted, not occurrences: a word repeated through one text says little.) Tokens
-whose log-odds lie less than SIGNIFICANT standard deviations above zero score nothing.
+whose log-odds lie less than SIGNIFICANT standard deviations above zero, and those that no
+fitted toxic text holds, score nothing.
 Every token also costs DRIFT, so a random stretch of text loses.
 
 *Segments.* One scan over a text finds all maximal segments: those that cannot be
@@ -41,8 +43,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.encoding import Values
+from changeflow.llm.tables import Written, importable, least_hashed
 
-BUCKETS = 1 << 18
 #: The prior's weight: a share of the counts of the fitted texts, and so much at least.
 PRIOR_SHARE = 0.2
 LEAST_PRIOR = 10_000.0
@@ -50,23 +52,31 @@ SIGNIFICANT = 3.0
 DRIFT = 0.1
 FIT_ROWS = 1 << 17
 FOLDS = 4
-#: Characters of words whose buckets a worker keeps.
+#: Characters of words whose tokens a worker keeps.
 KEPT_CHARS = 1 << 21
 #: A segment is significant if fewer than so many such are expected in a random text.
 EXPECTED = 0.05
 
 
 class Tokens:
-    """Buckets of a text's words; 0 stands for what has no letter or digit."""
+    """Tokens of a text's words; 0 stands for what has no letter or digit.
 
-    def __init__(self) -> None:
-        self._buckets = Values(_bucket, np.int32, KEPT_CHARS)
+    With a vocabulary, they are the words' places in it, from 1; 0 stands for all others.
+    """
+
+    def __init__(self, vocabulary: np.ndarray | None = None) -> None:
+        if vocabulary is None:
+            self._tokens = Values(_token, np.int64, KEPT_CHARS)
+        else:
+            places = {token: place for place, token in enumerate(vocabulary.tolist(), 1)}
+            self._tokens = Values(lambda word: places.get(_token(word), 0), np.int32, KEPT_CHARS)
 
     def of(self, text: str | None) -> np.ndarray:
-        return self._buckets.of((text or "").split())
+        return self._tokens.of((text or "").split())
 
 
-def _bucket(word: str) -> int:
+def _token(word: str) -> int:
+    """The signed 64-bit hash of a word, never 0."""
     start, end = 0, len(word)
     while start < end and not word[start].isalnum():
         start += 1
@@ -74,7 +84,8 @@ def _bucket(word: str) -> int:
         end -= 1
     if start == end:
         return 0
-    return 1 + xxhash.xxh3_64_intdigest(word[start:end].lower().encode()) % (BUCKETS - 1)
+    token = xxhash.xxh3_64_intdigest(word[start:end].lower().encode())
+    return (token - (1 << 64) if token >= 1 << 63 else token) or 1
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -105,21 +116,21 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass(frozen=True)
 class Scorer:
-    """Token scores and the constants of their extreme-value law."""
+    """Scores by place in the vocabulary, and the constants of their extreme-value law."""
 
     scores: np.ndarray
     lambda_: float
     log_k: float = 0.0
 
-    def evidence(self, buckets: np.ndarray) -> float:
+    def evidence(self, places: np.ndarray) -> float:
         """How unlikely the best segments are together: minus the log of the p-value.
 
         Of r segments, T is the sum of the normalised scores; a random text reaches it
         with probability ``exp(-T) T**(r-1) / (r! (r-1)!)``. The best r counts, at the
         price of a factor of two for each more.
         """
-        allowance = self.log_k + math.log(len(buckets) + 1)
-        found = sorted((s for *_, s in segments(self.scores[buckets])), reverse=True)
+        allowance = self.log_k + math.log(len(places) + 1)
+        found = sorted((s for *_, s in segments(self.scores[places])), reverse=True)
         total = self.lambda_ * (found[0] if found else 0.0) - allowance
         best, ways = total, 0.0
         for r, score in enumerate(found[1:], 2):
@@ -129,18 +140,19 @@ class Scorer:
             best = max(best, value)
         return best
 
-    def passages(self, buckets: np.ndarray) -> list[tuple[int, int, float]]:
+    def passages(self, places: np.ndarray) -> list[tuple[int, int, float]]:
         """Significant segments: first word, word after the last, expected number."""
-        n = len(buckets) + 1
+        n = len(places) + 1
         found = (
             (a, b, n * math.exp(self.log_k - self.lambda_ * s))
-            for a, b, s in segments(self.scores[buckets])
+            for a, b, s in segments(self.scores[places])
         )
         return [(a, b, e) for a, b, e in found if e <= EXPECTED]
 
 
 @dataclass(frozen=True)
 class Model:
+    vocabulary: np.ndarray
     scorer: Scorer
     slope: float
     intercept: float
@@ -156,13 +168,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit_labels(labels: DataFrame) -> DataFrame:
     """The bounded set of labelled rows that the model is fitted on: doc_id, toxic, fold."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    return (
+    ids = (
         usable.where(~held_out())
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
         .agg((F.max("toxic") != 0).cast("int").alias("_toxic"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(FIT_ROWS)
-        .withColumn("_fold", F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(FOLDS)).cast("int"))
+    )
+    return least_hashed(ids, "_id", FIT_ROWS, ids.count()).withColumn(
+        "_fold", F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(FOLDS)).cast("int")
     )
 
 
@@ -171,58 +183,77 @@ def _labelled(documents: DataFrame, fit: DataFrame, how: str) -> DataFrame:
     return ids.join(F.broadcast(fit), "_id", how).select("text", "_toxic", "_fold")
 
 
-def token_counts(documents: DataFrame, fit: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences and texts of tokens in the corpus, [2, bucket], and fitted texts that
-    hold them, [fold, class, bucket].
+KINDS = [f"f{fold}c{toxic}" for fold in range(FOLDS) for toxic in (0, 1)]
 
-    Each task adds up its documents; the tables of all tasks are summed by bucket and
-    reach the driver as at most BUCKETS rows.
-    """
-    columns = ["occurrences", "texts"] + [f"f{fold}c{toxic}" for fold in range(FOLDS) for toxic in (0, 1)]
+
+def token_counts(documents: DataFrame, fit: DataFrame) -> DataFrame:
+    """Of every token its occurrences and texts in the corpus, and the fitted texts of each
+    fold and class that hold it: (token, occurrences, texts, f0c0, f0c1, ...)."""
+    columns = ["token", "occurrences", "texts", *KINDS]
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, sums = Tokens(), np.zeros((len(columns), BUCKETS), np.int32)
+        tokens = Tokens()
         for batch in batches:
+            held, times, kinds = [], [], []
             for text, toxic, fold in zip(*batch.columns, strict=True):
                 at, found = np.unique(tokens.of(text.as_py()), return_counts=True)
-                sums[0, at] += found
-                sums[1, at] += 1
-                if toxic.is_valid:
-                    sums[2 + 2 * fold.as_py() + toxic.as_py(), at] += 1
-        at = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at), *(pa.array(s[at].astype(np.int64)) for s in sums)], ["bucket", *columns]
-        )
-
-    schema = ", ".join(f"{c} long" for c in ["bucket", *columns])
-    rows = (
-        _labelled(documents, fit, "left")
-        .mapInArrow(added, schema)
-        .groupBy("bucket")
-        .agg(*(F.sum(c).alias(c) for c in columns))
-        .toArrow()
-    )
-    table = np.zeros((len(columns), BUCKETS), np.float64)
-    for i, c in enumerate(columns):
-        table[i, rows["bucket"].to_numpy()] = rows[c].to_numpy()
-    return table[:2], table[2:].reshape(FOLDS, 2, BUCKETS)
+                held.append(at)
+                times.append(found)
+                kinds.append(2 * fold.as_py() + toxic.as_py() if toxic.is_valid else -1)
+            if not held:
+                continue
+            kind = np.repeat(kinds, [len(h) for h in held])
+            at, inverse = np.unique(np.concatenate(held), return_inverse=True)
+            sums = [np.bincount(inverse, np.concatenate(times), len(at)), np.bincount(inverse, minlength=len(at))]
+            sums += [np.bincount(inverse[kind == k], minlength=len(at)) for k in range(len(KINDS))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at), *(pa.array(s.astype(np.int64)) for s in sums)], columns
+            )
 
+    schema = ", ".join(f"{c} long" for c in columns)
+    rows = _labelled(documents, fit, "left").mapInArrow(added, schema)
+    return rows.groupBy("token").agg(*(F.sum(c).alias(c) for c in columns[1:]))
 
-def scorer(corpus: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> Scorer:
-    """Token scores by log-odds under the corpus prior, and lambda."""
-    occurrences, texts = corpus
-    weight = max(LEAST_PRIOR, PRIOR_SHARE * (clean.sum() + toxic.sum()))
-    prior = weight * texts / max(texts.sum(), 1.0) + 1e-9
-    variance = 1.0 / (toxic + prior) + 1.0 / (clean + prior)
-    odds = _log_odds(toxic, prior) - _log_odds(clean, prior)
-    scores = np.where(odds > SIGNIFICANT * np.sqrt(variance), odds, 0.0)
-    scores[0] = 0.0
-    return Scorer(scores - DRIFT, _lambda(scores - DRIFT, occurrences / max(occurrences.sum(), 1.0)))
 
+def scorers(counts: DataFrame) -> tuple[np.ndarray, list[Scorer]]:
+    """The tokens that score, sorted, and the scorers without each fold and of all folds.
 
-def _log_odds(count: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    total = count.sum() + prior.sum()
-    return np.log(count + prior) - np.log(total - count - prior + 1e-9)
+    Scores are log-odds under the corpus prior.
+    """
+    sums = counts.agg(*(F.sum(c).alias(c) for c in counts.columns[1:])).first().asDict()
+    sums = {c: n or 0 for c, n in sums.items()}
+    scores = []
+    for left_out in range(FOLDS + 1):
+        clean, toxic = ([f"f{f}c{c}" for f in range(FOLDS) if f != left_out] for c in (0, 1))
+        scores.append(_score(clean, toxic, sums).alias(f"s{left_out}"))
+    scored = counts.select("token", "occurrences", *scores)
+    some = F.greatest(*(F.col(f"s{i}") for i in range(FOLDS + 1))) > 0
+    rows = scored.where(some).toArrow().sort_by("token")
+    occurrences = rows["occurrences"].to_numpy()
+    share = np.concatenate([[sums["occurrences"] - occurrences.sum()], occurrences])
+    share = share / max(sums["occurrences"], 1)
+    found = []
+    for i in range(FOLDS + 1):
+        own = np.concatenate([[0.0], rows[f"s{i}"].to_numpy()]) - DRIFT
+        found.append(Scorer(own, _lambda(own, share)))
+    return rows["token"].to_numpy(), found
+
+
+def _score(clean: list[str], toxic: list[str], sums: dict[str, int]) -> Column:
+    """The log-odds of a token where they are significant, else 0."""
+    totals = [sum(sums[c] for c in columns) for columns in (clean, toxic)]
+    weight = max(LEAST_PRIOR, PRIOR_SHARE * sum(totals))
+    prior = F.col("texts") * F.lit(weight / max(sums["texts"], 1))
+    held = [sum((F.col(c) for c in columns), F.lit(0)) for columns in (clean, toxic)]
+
+    def log_odds(count: Column, total: int) -> Column:
+        others = F.greatest(F.lit(total + weight) - count - prior, F.lit(1e-9))
+        return F.log(count + prior) - F.log(others)
+
+    odds = log_odds(held[1], totals[1]) - log_odds(held[0], totals[0])
+    error = F.sqrt(1 / (held[1] + prior) + 1 / (held[0] + prior))
+    kept = (F.col("token") != 0) & (held[1] > 0) & (odds > SIGNIFICANT * error)
+    return F.when(kept, odds).otherwise(F.lit(0.0))
 
 
 def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
@@ -241,11 +272,12 @@ def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
     return max(high, 0.05)
 
 
-def _evidence(scored: DataFrame, share: Callable[[], list[Scorer]]) -> DataFrame:
+def _evidence(scored: DataFrame, share: Callable[[], tuple[np.ndarray, list[Scorer]]]) -> DataFrame:
     """Evidence of labelled texts under the scorer of their fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, scorers = Tokens(), share()
+        vocabulary, scorers = share()
+        tokens = Tokens(vocabulary)
         for batch in batches:
             found = [
                 scorers[fold.as_py()].evidence(tokens.of(text.as_py()))
@@ -259,25 +291,27 @@ def _evidence(scored: DataFrame, share: Callable[[], list[Scorer]]) -> DataFrame
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    """The model of a corpus and its labels; only tables of fixed size reach the driver."""
-    context = documents.sparkSession.sparkContext
-    chosen = fit_labels(labels)
-    corpus, counts = token_counts(documents, chosen)
-    both = counts.sum(0)
-    parts = [scorer(corpus, *(both - counts[f])) for f in range(FOLDS)]
-    shared = context.broadcast(parts)
+    """The model of a corpus and its labels; of the tokens only those that score, and of the
+    labelled texts only their evidence, reach the driver."""
+    spark = documents.sparkSession
+    importable(spark)
+    written = Written(spark)
+    chosen = written(fit_labels(labels))
+    counts = written(token_counts(documents, chosen))
+    vocabulary, (*parts, whole) = scorers(counts)
+    shared = spark.sparkContext.broadcast((vocabulary, parts))
     rows = _evidence(_labelled(documents, chosen, "inner"), lambda: shared.value).toArrow()
+    written.drop(counts, chosen)
     toxic, evidence = rows["toxic"].to_numpy(), rows["evidence"].to_numpy()
-    whole = scorer(corpus, *both)
     if not len(toxic) or toxic.min() == toxic.max():
         share = float(toxic.mean()) if len(toxic) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(whole, 0.0, math.log(share / (1 - share)))
+        return Model(vocabulary, whole, 0.0, math.log(share / (1 - share)))
     # the mean of the law's maximum is Euler's constant above ln K
     clean = evidence[(toxic == 0) & (evidence > np.quantile(evidence, 0.05))]
     log_k = float(np.clip(clean.mean() - 0.5772, -10.0, 10.0)) if len(clean) else 0.0
     slope, intercept = _logistic(evidence - log_k, toxic)
-    return Model(Scorer(whole.scores, whole.lambda_, log_k), slope, intercept)
+    return Model(vocabulary, Scorer(whole.scores, whole.lambda_, log_k), slope, intercept)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -299,6 +333,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def with_scores(documents: DataFrame, model: Model) -> DataFrame:
     """Documents with ``toxic_score``, ``toxic_evidence`` and ``toxic_passages`` (of words)."""
+    importable(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     kind = "struct<score: double, evidence: double, passages: array<struct<start: int, end: int, expected: double>>>"
     arrow = pa.struct(
@@ -311,14 +346,15 @@ def with_scores(documents: DataFrame, model: Model) -> DataFrame:
     columns = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, own = Tokens(), shared.value
+        own = shared.value
+        tokens = Tokens(own.vocabulary)
         for batch in batches:
             found = []
             for text in batch.column(columns.index("text")):
-                buckets = tokens.of(text.as_py())
-                evidence = own.scorer.evidence(buckets)
+                places = tokens.of(text.as_py())
+                evidence = own.scorer.evidence(places)
                 passages = [
-                    {"start": a, "end": b, "expected": e} for a, b, e in own.scorer.passages(buckets)
+                    {"start": a, "end": b, "expected": e} for a, b, e in own.scorer.passages(places)
                 ]
                 found.append(
                     {"score": own.probability(evidence), "evidence": evidence, "passages": passages}

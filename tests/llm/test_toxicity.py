@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 from changeflow.llm import queries, toxicity
+from changeflow.llm.tables import least_hashed
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -108,6 +112,58 @@ def test_planted_passages_are_found(spark):
             assert r["toxic_score"] < 0.5 and not r["toxic_passages"]
 
 
+def test_scores_are_the_plain_log_odds(spark):
+    documents, labels = planted(spark)
+    counts = toxicity.token_counts(documents, toxicity.fit_labels(labels))
+    vocabulary, (*_, whole) = toxicity.scorers(counts)
+    label = defaultdict(int)
+    for r in labels.collect():
+        if r["doc_id"] is not None and r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            label[r["doc_id"]] |= r["toxic"]
+    texts, times, held = Counter(), Counter(), (Counter(), Counter())
+    for r in documents.collect():
+        words = [w.strip(".,").lower() for w in (r["text"] or "").split()]
+        times.update(words)
+        texts.update(set(words))
+        if r["doc_id"] in label:
+            held[label[r["doc_id"]]].update(set(words))
+    totals = [sum(h.values()) for h in held]
+    weight = max(toxicity.LEAST_PRIOR, toxicity.PRIOR_SHARE * sum(totals))
+    wanted = {}
+    for word, n in texts.items():
+        prior = weight * n / sum(texts.values())
+        odds = [math.log((h[word] + prior) / (t + weight - h[word] - prior)) for h, t in zip(held, totals)]
+        error = math.sqrt(sum(1 / (h[word] + prior) for h in held))
+        if held[1][word] and odds[1] - odds[0] > toxicity.SIGNIFICANT * error:
+            wanted[word] = odds[1] - odds[0]
+    assert set(wanted) >= {"vile", "awful", "scum"}
+    place = {word: int(toxicity.Tokens(vocabulary).of(word)[0]) for word in times}
+    for word, p in place.items():
+        assert abs(whole.scores[p] + toxicity.DRIFT - wanted.get(word, 0.0)) < 1e-9
+    # lambda is the root of the moment equation over the whole corpus
+    moment = sum(n * math.exp(whole.lambda_ * whole.scores[place[w]]) for w, n in times.items()) / times.total()
+    assert abs(moment - 1) < 1e-6
+
+
+def test_tokens_never_share_a_count(spark):
+    """A million distinct words, each told apart."""
+    documents = spark.range(200).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(0, 4999), i -> concat('w', id * 5000 + i)), ' ') AS text"
+    )
+    labels = spark.range(200).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    counts = toxicity.token_counts(documents, toxicity.fit_labels(labels))
+    got = counts.selectExpr("count(*)", "max(occurrences)", "max(texts)", "max(f0c0 + f0c1)").first()
+    assert tuple(got) == (1_000_000, 1, 1, 1)
+
+
+def test_rows_of_least_hash(spark):
+    ids = spark.range(20000).withColumnRenamed("id", "_id")
+    wanted = [r[0] for r in ids.orderBy(F.xxhash64("_id"), "_id").limit(300).collect()]
+    got = least_hashed(ids, "_id", 300, 20000)
+    assert [r[0] for r in got.collect()] == wanted
+    assert least_hashed(ids.limit(5), "_id", 300, 5).count() == 5
+
+
 def test_few_or_no_labels(spark):
     documents, labels = planted(spark)
     for some in (labels.limit(0), labels.where("toxic = 0"), labels.where("toxic = 1")):
