@@ -122,7 +122,9 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 class WordEncoder:
     """Ids of texts as the tokenizers library gives them, no special tokens added.
 
-    The strings of special tokens are ordinary text. A null text has no ids.
+    Where a text holds the string of a special token, that is its id, as by the library's
+    default. Such strings hold no white space, so they lie within chunks, and chunks that
+    may hold one go to the library whole. A null text has no ids.
     """
 
     def __init__(self, path: str, kept_chars: int | None = None) -> None:
@@ -131,7 +133,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
         self._stops: dict[str, list[int]] = {}

@@ -21,14 +21,13 @@ SF_DIR = "/root/testdata/sf0.001"
 VOCABULARY = vocabulary_path(WORD_VOCABULARY)
 ODD = [
     None, "", " ", "a", "áb ́c", "It's THE\x1cend\x85of it's", "x" * 9000,
-    "12345 \n\n  \t tail ", "<|endoftext|> here", "==== " * 3000, "é\U0001f600 " * 500,
+    "12345 \n\n  \t tail ", "<|endoftext|> here", "a<|endoftext|><|startoftext|>b,<|ENDOFTEXT|>\n<|endoftext|>.", "==== " * 3000, "é\U0001f600 " * 500,
 ]
 
 
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
