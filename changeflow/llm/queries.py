@@ -39,7 +39,8 @@ def op1_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_virtual_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes."""
-    placed = sharding.sharded(table(spark, sf_dir, "documents"), SHARDS)
+    path = scratch_dir(spark, "shards")
+    placed = sharding.sharded(table(spark, sf_dir, "documents"), SHARDS, path)
     return placed.select(
         "doc_id",
         "size",
@@ -85,7 +86,7 @@ def op6_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners of every fiftieth vector among all vectors."""
     vectors = search.whole_vectors(table(spark, sf_dir, "embeddings"), SCALE)
     asked = vectors.where(F.col("vec_id") % QUERY_EVERY == 0)
-    return search.top_k(vectors, asked, NEIGHBOURS)
+    return search.top_k(vectors, asked, NEIGHBOURS, scratch_dir(spark, "search"))
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,17 @@ k-th best score among SAMPLE candidates, so it never exceeds the true k-th best.
 resolution, from one segment up, the candidates whose bound stays below the threshold
 are dropped; the survivors' scores are computed exactly.
 
-Queries go out in blocks of at most QUERY_BLOCK, each against all candidates in one pass;
-a task keeps k rows per query, and a window keeps the best k of all tasks.
+Tasks find the thresholds of the queries against the broadcast sample. Queries then go out in
+blocks of about QUERY_BLOCK, one after another, each against all candidates in one pass; a
+task keeps k rows per query, what a block found is written, and a window keeps the best k of
+all tasks. The driver holds the sample and one block.
 
 Vectors become whole numbers, ``floor(scale * x)``. Null vectors, those that hold null or
 non-finite parts, and rows without an id take no part; shorter vectors count as followed
-by zeros. Rows of one id are one row's copies: none is a candidate of another. Ties go to
-the smaller id. An empty table, or a single row, gives no rows.
+by zeros. Nor do vectors of a whole number of WHOLE or more, as scores of up to 512 such parts
+would not fit 64 bits. Rows of one id are one row's copies: none is a candidate of another, the
+least vector asks, and all are candidates of others. Ties go to the smaller id. An empty table,
+or a single row, gives no rows.
 """
 
 from __future__ import annotations
@@ -23,9 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeflow.llm.tables import importable, least_hashed
+
+#: Whole numbers from which, above or below zero, vectors take no part.
+WHOLE = 1 << 27
 #: Queries sent to the executors at a time, and candidates that set the thresholds.
 QUERY_BLOCK = 8192
 SAMPLE = 16384
@@ -34,13 +43,15 @@ RESOLUTIONS = (1, 4, 16)
 #: Candidates and queries compared at a time, which bounds a task's memory.
 TILE = 1024, 512
 
+ASKED = "vec_id long, vector array<long>, threshold long"
 FOUND = "query_id long, vec_id long, score long"
 
 
 def whole_vectors(embeddings: DataFrame, scale: int) -> DataFrame:
     """Usable rows: vec_id, and the vector as whole numbers."""
     finite = F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+        "embedding",
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < F.lit(float(WHOLE))),
     )
     whole = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")))
     return (
@@ -116,9 +127,7 @@ class Block:
         return query[keep], vec_id[keep], score[keep]
 
 
-def _searched(candidates: DataFrame, block: Block, width: int) -> DataFrame:
-    shared = candidates.sparkSession.sparkContext.broadcast(block)
-
+def _searched(candidates: DataFrame, shared: Broadcast, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         held = tuple(np.zeros(0, np.int64) for _ in range(3))
@@ -136,42 +145,62 @@ def _searched(candidates: DataFrame, block: Block, width: int) -> DataFrame:
     return candidates.mapInArrow(run, FOUND)
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def top_k(candidates: DataFrame, queries: DataFrame, k: int, path: str) -> DataFrame:
     """Each query's k best candidates but itself: query_id, rank, vec_id, score.
 
-    Both frames come from ``whole_vectors``.
+    Both frames come from ``whole_vectors``. Queries and what each block finds are written
+    below ``path``, a new folder that all executors share.
     """
     spark = candidates.sparkSession
-    width = candidates.agg(F.max(F.size("vector"))).first()[0] or 0
-    queries = queries.dropDuplicates(["vec_id"])
-    blocks = -(-queries.count() // QUERY_BLOCK)
-    sample = candidates.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
-    by_block = queries.withColumn(
-        "_block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(max(blocks, 1)))
-    )
-    if width == 0 or blocks == 0:
+    importable(spark)
+    width, rows = candidates.agg(F.max(F.size("vector")), F.count("*")).first()
+    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    count = asked.count()
+    if not width or not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    seeds = sample.toArrow().combine_chunks()
-    seed_ids = seeds["vec_id"].to_numpy()
-    seed_matrix = _matrix(_one_chunk(seeds["vector"]), width)
-    found = None
-    for number in range(blocks):
-        rows = by_block.where(F.col("_block") == number).select("vec_id", "vector").toArrow()
-        if not rows.num_rows:
+    blocks = -(-count // QUERY_BLOCK)
+    sample = least_hashed(candidates, "vec_id", SAMPLE, rows).toArrow().combine_chunks()
+    seeds = sample["vec_id"].to_numpy(), _matrix(_one_chunk(sample["vector"]), width)
+    number = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).alias("block")
+    _with_thresholds(asked, seeds, width, k).select("*", number).write.partitionBy("block").parquet(
+        f"{path}/queries"
+    )
+    ready = spark.read.schema(f"{ASKED}, block long").parquet(f"{path}/queries")
+    for at in range(blocks):
+        own = ready.where(F.col("block") == at).drop("block").toArrow().combine_chunks()
+        if not own.num_rows:
             continue
-        rows = rows.combine_chunks()
-        block = Block(rows["vec_id"].to_numpy(), _matrix(_one_chunk(rows["vector"]), width), k)
-        _raise_thresholds(block, seed_ids, seed_matrix)
-        part = _searched(candidates, block, width)
-        found = part if found is None else found.unionByName(part)
+        block = Block(own["vec_id"].to_numpy(), _matrix(_one_chunk(own["vector"]), width), k)
+        block.threshold = own["threshold"].to_numpy().copy()
+        shared = spark.sparkContext.broadcast(block)
+        _searched(candidates, shared, width).write.parquet(f"{path}/found/block={at}")
+        shared.destroy()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(best))
+        spark.read.schema(f"{FOUND}, block long")
+        .parquet(f"{path}/found")
+        .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 
 
+def _with_thresholds(queries: DataFrame, seeds: tuple[np.ndarray, np.ndarray], width: int, k: int) -> DataFrame:
+    """Queries with the k-th best score that each has among the sample: (vec_id, vector, threshold)."""
+    shared = queries.sparkSession.sparkContext.broadcast(seeds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                block = Block(batch.column(0).to_numpy(), _matrix(batch.column(1), width), k)
+                _raise_thresholds(block, *shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(block.threshold)], ["vec_id", "vector", "threshold"]
+                )
+
+    return queries.select("vec_id", "vector").mapInArrow(run, ASKED)
+
+
 def _one_chunk(column: pa.ChunkedArray) -> pa.ListArray:
     joined = column.combine_chunks()
     return joined.chunk(0) if isinstance(joined, pa.ChunkedArray) else joined

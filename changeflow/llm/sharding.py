@@ -6,9 +6,11 @@ as small as the number of slots, whatever the number of records. Rebalancing edi
 map: it moves the fewest slots that mend the balance, and stores the result as the next
 version. Records never need to be rehashed.
 
-Null ids share one slot with each other unless their texts differ; repeated ids are told
-apart by their text, and rows equal in both are interchangeable. A null text has no
-bytes. An empty table gives an empty result and a map whose slots have no bytes.
+A slot of many equal rows (of null or repeated ids) may outweigh a shard. Slots of more than
+a SPREAD-th of a shard's share are therefore spread: their rows are hashed once more, with the
+place each had when the records were first written, over all slots. Rows equal in id and text
+are interchangeable. A null text has no bytes. An empty table gives an empty result and a map
+whose slots have no bytes.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 VIRTUAL_SLOTS = 8192
+#: Slots above this part of a shard's share are spread.
+SPREAD = 16
 #: Bytes that a record takes besides its text.
 RECORD_BYTES = 8
 
@@ -116,7 +120,7 @@ def slot_weights(records: DataFrame, slots: int = VIRTUAL_SLOTS) -> np.ndarray:
 def placed(records: DataFrame, slot_map: SlotMap) -> DataFrame:
     """Records with their shard and their place in it, gapless from 0.
 
-    ``records`` has ``virtual_slot``, ``doc_id`` and ``text_crc32``. Rows are numbered
+    ``records`` are those of :func:`sharded`. Rows are numbered
     within their virtual slot and start where the shard's earlier slots end.
     """
     spark = records.sparkSession
@@ -131,22 +135,45 @@ def placed(records: DataFrame, slot_map: SlotMap) -> DataFrame:
             "virtual_slot", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_start")
         )
     )
-    within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "_place")
     return (
         records.withColumn("_row", F.row_number().over(within))
         .join(F.broadcast(starts), "virtual_slot")  # as many rows as virtual slots
         .withColumn("slot", F.col("_start") + F.col("_row") - F.lit(1))
-        .drop("_start", "_row")
+        .drop("_start", "_row", "_place")
     )
 
 
-def sharded(documents: DataFrame, shards: int, slots: int = VIRTUAL_SLOTS) -> DataFrame:
-    """Every document with its shard under the balanced map of its own bytes."""
+def spread(records: DataFrame, weights: np.ndarray, shards: int) -> DataFrame:
+    """Records whose slot is too heavy for an even balance, in slots by their place too."""
+    heavy = np.flatnonzero(weights * shards * SPREAD > weights.sum())  # shards * SPREAD at most
+    if not len(heavy):
+        return records
+    own = virtual_slot("virtual_slot", "_place", slots=len(weights))
+    slot = F.col("virtual_slot")
+    return records.withColumn("virtual_slot", F.when(slot.isin(heavy.tolist()), own).otherwise(slot))
+
+
+def sharded(documents: DataFrame, shards: int, path: str, slots: int = VIRTUAL_SLOTS) -> DataFrame:
+    """Every document with its shard under a map of its own bytes, balanced and then edited.
+
+    Records and versions of the map lie below ``path``: version 0 balances the slots that the
+    ids and texts give, version 1 is edited for the slots that had to be spread. Records are
+    written once, so that a place is the same wherever it is read again.
+    """
+    spark = documents.sparkSession
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")))
-    records = documents.select(
+    documents.select(
         "doc_id",
         record_size().alias("size"),
         crc.alias("text_crc32"),
         virtual_slot("doc_id", "text", slots=slots).alias("virtual_slot"),
-    )
-    return placed(records, SlotMap.balanced(slot_weights(records, slots), shards))
+        F.monotonically_increasing_id().alias("_place"),
+    ).write.parquet(f"{path}/records")
+    records = spark.read.parquet(f"{path}/records")
+    weights = slot_weights(records, slots)
+    SlotMap.balanced(weights, shards).store(spark, f"{path}/map")
+    records = spread(records, weights, shards)
+    edited = SlotMap.load(spark, f"{path}/map").rebalanced(slot_weights(records, slots))
+    edited.store(spark, f"{path}/map")
+    return placed(records, SlotMap.load(spark, f"{path}/map"))

@@ -29,17 +29,34 @@ def test_query_places_every_document(spark):
     assert max(load.values()) - min(load[s] for s in range(24)) <= largest
 
 
-def test_nulls_ties_and_clashing_names(spark):
+def test_nulls_ties_and_clashing_names(spark, tmp_path):
     rows = [(1, "a", 5, 9), (1, "a", 6, 9), (1, "b", 7, 9), (None, None, 8, 9), (None, "", 9, 9)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, slot int, size int")
-    got = sharding.sharded(frame, 3, 16).collect()
+    got = sharding.sharded(frame, 3, f"{tmp_path}/some", 16).collect()
     assert sorted((r["size"], r["text_crc32"]) for r in got) == sorted(
         (len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for _, t, _, _ in rows
     )
     for shard in {r["shard"] for r in got}:
         own = sorted(r["slot"] for r in got if r["shard"] == shard)
         assert own == list(range(len(own)))
-    assert sharding.sharded(frame.limit(0), 3, 16).collect() == []
+    assert sharding.sharded(frame.limit(0), 3, f"{tmp_path}/none", 16).collect() == []
+
+
+def test_equal_rows_are_spread(spark, tmp_path):
+    """A third of the rows equal, a sixth with null ids: shards still get equal bytes."""
+    frame = spark.range(9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 6 = 1 THEN NULL ELSE id END AS doc_id",
+        "CASE WHEN id % 3 = 0 OR id % 6 = 1 THEN repeat('x', 100) ELSE concat('text ', id) END AS text",
+    )
+    rows = sharding.sharded(frame, 24, str(tmp_path)).collect()
+    assert len(rows) == 9000
+    load, slots = defaultdict(int), defaultdict(list)
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(load) == 24 and max(load.values()) - min(load.values()) <= 2 * 108
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.SlotMap.load(spark, f"{tmp_path}/map").version == 1
 
 
 def test_rebalancing_edits_and_stores_versions(spark, tmp_path):
