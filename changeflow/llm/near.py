@@ -20,8 +20,9 @@ bucket too. Crowded buckets are cut into blocks that meet in tasks of their own.
 that join two components leave a task, so there are fewer of them than members.
 
 *Verification.* Texts are aligned along the runs they share; where that does not settle a
-pair, the edit distance of the words is found diagonal by diagonal within the band that
-SIMILARITY allows. Pairs within it are links.
+pair, the edit distance of the words is found within the band that SIMILARITY allows: row by
+row for texts of up to BANDED words, many partners of a text at a time, and diagonal by
+diagonal for longer ones. Pairs within it are links.
 
 *Classes.* Links connect texts; the least label of a component spreads along links and by
 pointer jumping, every round written to the checkpoint folder. Rows of equal text share
@@ -55,10 +56,16 @@ SHORT = 9
 SHINGLE = 5
 #: Words compared at a time along the diagonals of an alignment.
 STRIDE = 16
+#: Words of the longest texts that are aligned row by row, rows between two looks at which
+#: pairs are lost, and cells of such rows held at a time.
+BANDED = 1024
+LOOK = 16
+CELLS = 1 << 18
 #: Hashes ranked at a time.
 RANKS = 1 << 18
-#: Counters that the words of a text are folded into.
+#: Counters that the words of a text are folded into, and marks of its labelled words.
 FOLDED = 256
+MARKS = 512
 #: Members of a bucket that meet in one task, and pairs of them compared at a time.
 BLOCK = 1024
 TILE = 1 << 14
@@ -242,6 +249,46 @@ def edits_within(one: np.ndarray, other: np.ndarray, most: int) -> int | None:
     return None
 
 
+def within_band(one: np.ndarray, others: list[np.ndarray], most: np.ndarray) -> np.ndarray:
+    """Which of the other texts are at most so many edits away, each by its own number.
+
+    The table of distances has a row for every word of ``one`` and a column for every shift
+    within the greatest band; all partners go through the rows together. A row takes the
+    least of a word kept or replaced, a word dropped and, by a running minimum along the
+    row, words added. Row minima never fall, so pairs above their number are given up.
+    """
+    n, width = len(one), int(most.max())
+    lengths = np.array([len(o) for o in others])
+    near = np.zeros(len(others), bool)
+    alive = np.flatnonzero(np.abs(lengths - n) <= most)
+    shift = np.arange(-width, width + 1, dtype=np.int32)
+    padded = np.zeros((len(alive), 2 * width + max(n, int(lengths.max(initial=0))) + 1), np.int64)
+    for row, at in enumerate(alive):
+        padded[row, width : width + lengths[at]] = others[at]
+    far = np.int32(1 << 20)
+    reached = np.broadcast_to(np.where(shift < 0, far, shift), (len(alive), len(shift))).copy()
+    dropped = np.empty_like(reached)
+    for row, word in enumerate(one.tolist()):
+        dropped[:, :-1] = reached[:, 1:]
+        dropped[:, -1] = far
+        dropped += 1
+        reached += padded[:, row : row + len(shift)] != word
+        np.minimum(reached, dropped, out=reached)
+        reached -= shift
+        np.minimum.accumulate(reached, axis=1, out=reached)
+        reached += shift
+        if row % LOOK == LOOK - 1:
+            kept = reached.min(1) <= most[alive]
+            if not kept.any():
+                return near
+            if 2 * kept.sum() <= len(kept):
+                alive, padded, reached = alive[kept], padded[kept], reached[kept]
+                dropped = np.empty_like(reached)
+    last = reached[np.arange(len(alive)), lengths[alive] - n + width]
+    near[alive] = last <= most[alive]
+    return near
+
+
 def _shared(one: np.ndarray, other: np.ndarray) -> int:
     """Words that two texts have in common, counted as often as in both."""
     values, inverse = np.unique(np.concatenate([one, other]), return_inverse=True)
@@ -300,6 +347,26 @@ def unconnected(beside: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(rekeyed(kept.select("bucket", "size"), "bucket"), "bucket")
 
 
+def marks_of(words: np.ndarray) -> np.ndarray:
+    """Marks of a text's words, each labelled with its earlier occurrences.
+
+    A mark that only one of two texts has stands for a word that only this one has.
+    """
+    marks = np.zeros(MARKS, np.float32)
+    marks[(labelled_runs(words, 1) % np.uint64(MARKS)).astype(np.int64)] = 1
+    return marks
+
+
+def marked_alike(sizes: np.ndarray, marks: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float):
+    """For all pairs of two sides whether lengths and marks allow them: [left, right]."""
+    one, other = marks[left], marks[right]
+    longer = np.maximum(sizes[left][:, None], sizes[right][None, :])
+    most = ((1 - similarity) * longer + 1e-9).astype(np.int32)
+    both = one @ other.T
+    missing = np.maximum(one.sum(1)[:, None], other.sum(1)[None, :]) - both
+    return (np.abs(sizes[left][:, None] - sizes[right][None, :]) <= most) & (missing <= most)
+
+
 def near_enough(
     words: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float
 ) -> np.ndarray:
@@ -322,6 +389,10 @@ class Members:
         self.bucket = rows["bucket"][0].as_py()
         self.words = [source.of(t.as_py()) for t in rows["text"]]
         self.sizes = np.array([len(w) for w in self.words], np.int32)
+        self.marks = np.array([marks_of(w) for w in self.words])
+        _, numbers = np.unique(np.concatenate(self.words), return_inverse=True)
+        #: Words numbered from 1 within the group.
+        self.numbered = np.split(numbers + 1, np.cumsum(self.sizes)[:-1])
         counts = [np.bincount((w % np.uint64(FOLDED)).astype(np.int64), minlength=FOLDED) for w in self.words]
         self.counts = np.minimum(np.array(counts), 255).astype(np.uint8)
         self.buckets = [frozenset(b.as_py()) for b in rows["buckets"]]
@@ -341,15 +412,40 @@ class Members:
             self.runs[member] = labelled_runs(self.words[member], SHINGLE)
         return self.runs[member]
 
-    def link(self, i: int, j: int, similarity: float) -> bool:
-        """Connect two members, if they are near and nothing connects them yet."""
-        if self.root(i) == self.root(j) or min(self.buckets[i] & self.buckets[j]) != self.bucket:
-            return False
-        runs = self.runs_of(i), self.runs_of(j)
-        if not aligned(self.words[i], self.words[j], runs, similarity):
-            return False
-        self.parent[self.root(i)] = self.root(j)
-        return True
+    def links_of(self, i: int, others: list[int], similarity: float) -> list[int]:
+        """The members that a member is linked with, less those that are connected by then.
+
+        Few are aligned at first and more each time, as one link may connect it with all.
+        """
+        found, count = [], 8
+        while others:
+            root = self.root(i)
+            others = [j for j in others if self.root(j) != root]
+            others, taken = others[count:], others[:count]
+            taken = [j for j in taken if min(self.buckets[i] & self.buckets[j]) == self.bucket]
+            for j in self.near(i, taken, similarity):
+                if self.root(i) != self.root(j):
+                    self.parent[self.root(i)] = self.root(j)
+                    found.append(j)
+            count *= 4
+        return found
+
+    def near(self, i: int, others: list[int], similarity: float) -> Iterator[int]:
+        """Those of the members that a member is within the similarity of."""
+        longest = np.maximum(self.sizes[i], self.sizes[np.array(others, np.int64)])
+        most = ((1 - similarity) * longest + 1e-9).astype(np.int64)
+        banded = np.flatnonzero(longest <= BANDED)
+        step = max(1, CELLS // (2 * int(most[banded].max(initial=0)) + 1))
+        for at in range(0, len(banded), step):
+            own = banded[at : at + step]
+            kept = within_band(self.numbered[i], [self.numbered[others[k]] for k in own], most[own])
+            yield from (others[k] for k in own[kept])
+        for k in np.flatnonzero(longest > BANDED):
+            j = others[k]
+            if self.root(i) != self.root(j):
+                runs = self.runs_of(i), self.runs_of(j)
+                if aligned(self.words[i], self.words[j], runs, similarity):
+                    yield j
 
 
 def aligned(one: np.ndarray, other: np.ndarray, runs: tuple, similarity: float) -> bool:
@@ -357,7 +453,13 @@ def aligned(one: np.ndarray, other: np.ndarray, runs: tuple, similarity: float)
     most = int((1 - similarity) * max(len(one), len(other)) + 1e-9)
     if abs(len(one) - len(other)) > most:
         return False
-    return edits_at_most(one, other, runs, SHINGLE) <= most or edits_within(one, other, most) is not None
+    if edits_at_most(one, other, runs, SHINGLE) <= most:
+        return True
+    if max(len(one), len(other)) > BANDED:
+        return edits_within(one, other, most) is not None
+    if max(len(one), len(other)) - _shared(one, other) > most:
+        return False
+    return bool(within_band(one.view(np.int64), [other.view(np.int64)], np.array([most]))[0])
 
 
 def links_within(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -433,11 +535,13 @@ def links_within(members: DataFrame, texts: DataFrame, similarity: float = SIMIL
             apart = root[own][:, None] != root[right][None, :]
             if whole:
                 apart &= own[:, None] < right[None, :]
+            apart &= marked_alike(group.sizes, group.marks, own, right, similarity)
             i, j = np.nonzero(apart)
             i, j = own[i], right[j]
             kept = near_enough(group.sizes, group.counts, i, j, similarity)
-            pairs = zip(i[kept].tolist(), j[kept].tolist(), strict=True)
-            found += [(x, y) for x, y in pairs if group.link(x, y, similarity)]
+            i, j = i[kept], j[kept]  # row by row, as the pairs were found
+            for x in np.unique(i).tolist():
+                found += [(x, y) for y in group.links_of(x, j[i == x].tolist(), similarity)]
         if found:
             a, b = (group.node[list(side)] for side in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])

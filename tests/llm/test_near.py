@@ -31,6 +31,39 @@ def test_alignment_is_the_edit_distance(one, other, most):
     assert near.edits_within(a, b, most) == (distance if distance <= most else None)
 
 
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.integers(0, 3), max_size=40),
+    st.lists(st.tuples(st.lists(st.integers(0, 3), max_size=40), st.integers(0, 12)), min_size=1, max_size=5),
+)
+def test_partners_within_the_band_are_those_within_the_distance(one, others):
+    a = np.array(one, np.int64) + 1
+    texts = [np.array(other, np.int64) + 1 for other, _ in others]
+    got = near.within_band(a, texts, np.array([most for _, most in others]))
+    assert got.tolist() == [edit_distance(one, other) <= most for other, most in others]
+
+
+def test_marks_and_counts_keep_every_near_pair():
+    rng = random.Random(12)
+    source, texts = near.WordHashes(), []
+    for size in [3, 9, 20, 60, 150, 600, 1500]:
+        base = [f"w{rng.randrange(size)}" for _ in range(size)]
+        for _ in range(4):
+            other = list(base)
+            for _ in range(rng.randrange(1 + size // 4)):
+                other[rng.randrange(size)] = f"v{rng.randrange(50)}"
+            texts.append(source.of(" ".join(other)))
+    sizes = np.array([len(t) for t in texts], np.int32)
+    marks = np.array([near.marks_of(t) for t in texts])
+    every = np.arange(len(texts))
+    allowed = near.marked_alike(sizes, marks, every, every, 0.8)
+    close = np.array(
+        [[near.edits_within(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)) is not None for b in texts] for a in texts]
+    )
+    assert not (close & ~allowed).any()
+    assert close.sum() > len(texts) and not allowed.all()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=40), st.lists(st.tuples(st.integers(0, 40), st.integers(-1, 5)), max_size=6))
 def test_alignment_along_runs_is_possible(one, changes):
@@ -57,9 +90,8 @@ def test_alignment_of_long_texts():
 
 
 def classes_by_all_pairs(rows, similarity=0.8):
-    """Components over all pairs that share a run of five words and align well enough."""
+    """Components over all pairs that align well enough."""
     words = [(t or "").split() for _, t in rows]
-    runs = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -73,10 +105,8 @@ def classes_by_all_pairs(rows, similarity=0.8):
                 continue
             size = max(len(words[i]), len(words[j]))
             most = int((1 - similarity) * size + 1e-9)
-            if abs(len(words[i]) - len(words[j])) > most or not runs[i] & runs[j]:
+            if abs(len(words[i]) - len(words[j])) > most:
                 continue
-            if len(runs[i] & runs[j]) < 0.1 * len(runs[i] | runs[j]):
-                continue  # too far apart for the sketches to be bound to agree
             a, b = (np.array([hash(w) & (2**63 - 1) for w in words[k]], np.uint64) for k in (i, j))
             if near.edits_within(a, b, most) is not None:
                 parent[root(i)] = root(j)
