@@ -24,6 +24,9 @@ CHUNK = 100_000
 #: Ranges an order's elements are numbered in, so that no task sorts all of a large one.
 RANGES = 4096
 
+#: Rows of an order that one task takes at once. Only orders with more are cut into ranges.
+CROWDED = 100_000
+
 
 def latest_operation() -> Column:
     """Aggregate: the last operation that is not null."""
@@ -130,20 +133,58 @@ def _starts(counts: DataFrame, carried: Sequence[str], summed: Sequence[str]) ->
     )
 
 
+def crowded(rows: DataFrame) -> DataFrame:
+    """The orders with more than CROWDED rows: one for each CROWDED rows at most."""
+    return rows.groupBy("order_id").agg(F.count("*").alias("_rows")).filter(F.col("_rows") > CROWDED).select("order_id")
+
+
+def split_crowded(rows: DataFrame, many: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of the other orders, and those of the crowded ones."""
+    return tuple(rows.join(F.broadcast(many), "order_id", how) for how in ("left_anti", "left_semi"))
+
+
+def cut(items: str, chunk: int) -> Column:
+    """An array in parts of ``chunk`` elements: part, items. An empty one is part 0."""
+    parts = F.greatest(F.ceil(F.size(items) / chunk), F.lit(1)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), parts - 1),
+        lambda n: F.struct(n.cast("long").alias("part"), F.slice(items, n * chunk + 1, F.lit(chunk)).alias("items")),
+    )
+
+
 def positions(
     rows: DataFrame,
     in_range: Column,
-    ordering: Sequence[str],
+    ordering: Sequence[str | Column],
     greatest: dict[str, Column] | None = None,
     summed: dict[str, Column] | None = None,
+    many: DataFrame | None = None,
 ) -> DataFrame:
-    """Number the elements of every order from 0 (``position``), in two levels.
+    """Number the elements of every order from 0 (``position``).
 
-    Elements are numbered within order and range, and the last number of a range is their
-    count, so rows are shuffled once. ``in_range`` must not fall where ``ordering`` rises.
-    Every row also tells the ``greatest`` and ``summed`` values of its order.
+    Rows are shuffled once and numbered within their order; those of crowded orders
+    (``many``) in two levels. Every row also tells the ``greatest`` and ``summed`` values of
+    its order. ``in_range`` must not fall where ``ordering`` rises.
     """
     greatest, summed = greatest or {}, summed or {}
+    few, spread = split_crowded(rows, crowded(rows) if many is None else many)
+    whole = Window.partitionBy("order_id")
+    numbered = few.select(
+        "*",
+        *[F.max(c).over(whole).alias(name) for name, c in greatest.items()],
+        *[F.sum(c).over(whole).alias(name) for name, c in summed.items()],
+        (F.row_number().over(whole.orderBy(*ordering)) - 1).cast("long").alias("position"),
+    )
+    return numbered.unionByName(_positions_by_range(spread, in_range, ordering, greatest, summed))
+
+
+def _positions_by_range(
+    rows: DataFrame, in_range: Column, ordering: Sequence[str | Column], greatest: dict[str, Column], summed: dict[str, Column]
+) -> DataFrame:
+    """Number in two levels: within order and range, then ranges by their counts.
+
+    The last number of a range is its count, so rows are shuffled once.
+    """
     within = Window.partitionBy("order_id", "_range").orderBy(*ordering)
     numbered = rows.withColumn("_range", in_range).withColumn("_at", F.row_number().over(within) - 1)
     counts = numbered.groupBy("order_id", "_range").agg(
@@ -158,27 +199,35 @@ def positions(
     )
 
 
+#: How the events of an order lie in their topic.
+IN_TOPIC = ("kafka_offset", "kafka_partition")
+
+
 def numbered_in_order(events: DataFrame, **told: dict[str, Column]) -> DataFrame:
     """The events of every order numbered from 0 (``position``) as they lie in their topic."""
-    return positions(
-        events, _equal_ranges(events, "kafka_offset"), ["kafka_offset", "kafka_partition"], **told
-    )
+    return positions(events, _equal_ranges(events, "kafka_offset"), IN_TOPIC, **told)
 
 
-def order_lines(log: DataFrame, mode: str = "changelog", **told: dict[str, Column]) -> DataFrame:
-    """The long form of ``lines_by_order``: one row for each line, with its ``position``.
-
-    What is ``told`` of an order is as in :func:`positions`.
-    """
+def _listed(log: DataFrame, mode: str) -> tuple[DataFrame, tuple[str, ...], DataFrame]:
+    """The lines to list, what orders them, and which orders are crowded."""
     events = log.filter(F.col("order_id").isNotNull())
     if mode == "changelog":
-        return numbered_in_order(events, **told)
+        return events, IN_TOPIC, crowded(events)
     if mode == "current":
         lines = latest_order_lines(events).select("order_line_key.*", *LINE_COLUMNS)
-        return positions(lines, _equal_ranges(lines, "line_number"), ["line_number"], **told)
+        return lines, ("line_number",), crowded(events)
     raise ValueError(f"mode must be 'changelog' or 'current', not {mode!r}")
 
 
+def order_lines(log: DataFrame, mode: str = "changelog", **told: dict[str, Column]) -> DataFrame:
+    """The long form of ``lines_by_order``: one row for each line, with its ``position``.
+
+    What is ``told`` of an order is as in :func:`positions`.
+    """
+    lines, ordering, many = _listed(log, mode)
+    return positions(lines, _equal_ranges(lines, ordering[0]), ordering, many=many, **told)
+
+
 def lines_by_order(log: DataFrame, mode: str = "changelog", chunk: int = CHUNK) -> DataFrame:
     """The lines of an order as arrays, with the order's total.
 
@@ -187,28 +236,39 @@ def lines_by_order(log: DataFrame, mode: str = "changelog", chunk: int = CHUNK)
     live lines only, whatever their history.
 
     An array holds ``chunk`` elements at most: the row of ``lines_part`` n those from
-    position n * chunk on. Usually there is only part 0; it alone has the total.
+    position n * chunk on. Usually there is only part 0; it alone has the total. Lines are
+    gathered order by order, those of crowded orders part by part.
     """
-    amount = {"_total": F.col("quantity") * F.col("unit_price")}
+    rows, ordering, many = _listed(log, mode)
+    few, spread = split_crowded(rows, many)
+    greatest, summed = _operations() if mode == "changelog" else {}, {"_total": F.col("quantity") * F.col("unit_price")}
+    told = [F.max(c).alias(n) for n, c in greatest.items()] + [F.sum(c).alias(n) for n, c in summed.items()]
+    leading = [c for c in ordering if c != "line_number"]  # which a line starts with
+    listed = few.groupBy("order_id").agg(F.sort_array(F.collect_list(_line(*leading))).alias("_lines"), *told)
+    numbered = _positions_by_range(spread, _equal_ranges(spread, ordering[0]), ordering, greatest, summed)
     if mode == "changelog":
-        lines = order_lines(log, mode, greatest=_operations(), summed=amount).filter(ALIVE)
-    else:
-        lines = order_lines(log, mode, summed=amount)
-    columns = ("line_number", *LINE_COLUMNS)
+        listed, numbered = listed.filter(ALIVE), numbered.filter(ALIVE)
+    parts = listed.select("order_id", "_total", F.explode(cut("_lines", chunk)).alias("_cut")).select(
+        "order_id", F.col("_cut.part").alias("lines_part"), _shown_lines("_cut.items"), "_total"
+    )
+    gathered = (
+        numbered.groupBy("order_id", F.expr(f"position div {int(chunk)}").alias("lines_part"))
+        .agg(F.sort_array(F.collect_list(_line("position"))).alias("_lines"), F.first("_total").alias("_total"))
+        .select("order_id", "lines_part", _shown_lines("_lines"), "_total")
+    )
     # A sum over no amounts is zero, not unknown.
-    total = F.coalesce(F.first("_total"), F.lit(0)).cast("decimal(33,2)")
-    return (
-        lines.groupBy("order_id", F.expr(f"position div {int(chunk)}").alias("lines_part"))
-        .agg(F.sort_array(F.collect_list(_line("position"))).alias("lines"), total.alias("order_total"))
-        .select(
-            "order_id",
-            "lines_part",
-            F.transform("lines", lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias("lines"),
-            F.when(F.col("lines_part") == 0, F.col("order_total")).alias("order_total"),
-        )
+    total = F.coalesce("_total", F.lit(0)).cast("decimal(33,2)")
+    return parts.unionByName(gathered).select(
+        "order_id", "lines_part", "lines", F.when(F.col("lines_part") == 0, total).alias("order_total")
     )
 
 
+def _shown_lines(items: str) -> Column:
+    """Lines without what ordered them."""
+    columns = ("line_number", *LINE_COLUMNS)
+    return F.transform(items, lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias("lines")
+
+
 def order_customer_refs(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The distinct trimmed customer references ever seen on an order.
 
@@ -216,16 +276,21 @@ def order_customer_refs(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     them at most, and further ones follow under the next ``refs_part``. Part 0 stands for
     the order even if it has no reference.
     """
-    ref = trim_controls(F.col("customer_ref"))
-    in_range = F.coalesce(F.pmod(F.xxhash64(ref), F.lit(RANGES)), F.lit(0))
-    grouped = (
-        log.filter(F.col("order_id").isNotNull())
-        .groupBy("order_id", in_range.alias("_range"))
-        .agg(F.collect_set(ref).alias("_refs"), *[F.max(c).alias(n) for n, c in _operations().items()])
+    events = log.filter(F.col("order_id").isNotNull()).withColumn("ref", trim_controls(F.col("customer_ref")))
+    few, spread = split_crowded(events, crowded(events))
+    in_range = F.pmod(F.xxhash64("ref"), F.lit(RANGES))
+    operations = [F.max(c).alias(n) for n, c in _operations().items()]
+    ranged = F.transform("_refs", lambda ref: F.struct(F.pmod(F.xxhash64(ref), F.lit(RANGES)), ref.alias("ref")))
+    listed = (
+        few.groupBy("order_id").agg(F.collect_set("ref").alias("_refs"), *operations).filter(ALIVE)
+        .withColumn("_refs", F.transform(F.sort_array(ranged), lambda x: x["ref"]))
+        .select("order_id", F.explode(cut("_refs", chunk)).alias("_cut"))
+        .select("order_id", F.col("_cut.part").alias("refs_part"), F.sort_array("_cut.items").alias("customer_refs"))
     )
+    grouped = spread.groupBy("order_id", in_range.alias("_range")).agg(F.collect_set("ref").alias("_refs"), *operations)
     counts = grouped.withColumn("_n", F.size("_refs")).drop("_refs")
     starts = _starts(counts, list(_operations()), []).filter(ALIVE)
-    return (
+    gathered = (
         grouped.select("order_id", "_range", "_refs")
         .join(starts, ["order_id", "_range"])
         .select("order_id", "_start", F.posexplode_outer(F.sort_array("_refs")).alias("_at", "ref"))
@@ -234,3 +299,4 @@ def order_customer_refs(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
         .agg(F.sort_array(F.collect_list("ref")).alias("customer_refs"))
         .filter((F.col("refs_part") == 0) | (F.size("customer_refs") > 0))
     )
+    return listed.unionByName(gathered)

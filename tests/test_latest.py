@@ -205,3 +205,28 @@ def test_skewed_customer_is_split_by_the_adaptive_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("crowded", [0, 5, 40])
+def test_crowded_orders_are_listed_as_others_are(spark, monkeypatch, crowded):
+    lines = lines_of(spark, *random_lines(300))
+    rows = [order(i, f"o{i % 3}", ref=f"R{i % 17}" if i % 5 else None) for i in range(90)]
+    orders = orders_of(spark, *rows, order(91, "null"), order(92, "gone", "D", ref="x"))
+
+    def told():
+        made = [latest.lines_by_order(lines, mode, chunk) for mode in ("changelog", "current") for chunk in (7, 1000)]
+        made += [latest.order_lines(lines, mode).drop("_range") for mode in ("changelog", "current")]
+        made += [latest.order_customer_refs(orders, chunk) for chunk in (4, 1000)]
+        return [sorted(map(str, frame.collect())) for frame in made]
+
+    whole = told()
+    monkeypatch.setattr(latest, "CROWDED", crowded)
+    assert told() == whole
+
+
+def test_orders_that_are_not_crowded_are_numbered_in_one_pass(spark):
+    frame = latest.order_lines(lines_of(spark, *random_lines(300)))
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Window") == 1 and "MergeJoin" not in final, plan
