@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators import enrich
@@ -87,16 +87,16 @@ def orders_enriched_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = enrich.enriched_from_logs(
         inputs.order_log, inputs.customer_log, inputs.line_log, chunk=2
     )
-    lines = view.select("order_id", F.explode("lines").alias("x")).select(
-        F.lit("line").alias("what"), "order_id", F.col("x.line_number").cast("string").alias("shown")
-    )
-    refs = view.select(
-        F.lit("ref").alias("what"), "order_id", F.explode("customer_refs").alias("shown")
-    )
-    totals = view.filter(F.col("order_total").isNotNull()).select(
-        F.lit("total").alias("what"), "order_id", F.col("order_total").cast("string").alias("shown")
-    )
-    return lines.unionByName(refs).unionByName(totals)
+    # told in one pass: the view is not computed once for each of the three
+    lines = F.transform("lines", lambda x: _told("line", x["line_number"].cast("string")))
+    refs = F.transform("customer_refs", lambda ref: _told("ref", ref))
+    total = F.when(F.col("order_total").isNotNull(), F.array(_told("total", F.col("order_total").cast("string"))))
+    told = F.flatten(F.array_compact(F.array(lines, refs, total)))
+    return view.select("order_id", F.explode(told).alias("x")).select("x.what", "order_id", "x.shown")
+
+
+def _told(what: str, shown: Column) -> Column:
+    return F.struct(F.lit(what).alias("what"), shown.alias("shown"))
 
 
 QUERIES = {
