@@ -57,6 +57,42 @@ def list_schema(key: str, element: T.DataType, *more: T.StructField) -> T.Struct
     )
 
 
+def grown(state: DataFrame, added: DataFrame, key: str, chunk: int) -> DataFrame:
+    """The stored rows after a batch, whose elements of a key are one array (``new``).
+
+    ``full`` has the chunks that are full now. All other columns of both sides are kept.
+    A batch that is too large for that takes :func:`grown_chunks` and :func:`grown_lists`.
+    """
+    both = state.join(added, key, "full")
+    nothing = F.slice(F.coalesce("tail", "new"), 1, 0)
+    both = both.withColumn("open", F.concat(F.coalesce("tail", nothing), F.coalesce("new", nothing)))
+    both = both.withColumns({
+        "count": F.floor(F.size("open") / chunk).cast("int"),
+        "first": F.expr(f"coalesce(next_position, 0) div {int(chunk)}"),
+    })
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.col("count") - 1),
+        lambda n: F.struct((F.col("first") + n).alias("part"), F.slice("open", n * chunk + 1, F.lit(chunk)).alias("items")),
+    )
+    head = F.when((F.col("first") == 0) & (F.col("count") > 0), F.slice("open", 1, chunk))
+    added_rows = F.when(F.col("new").isNull(), 0).otherwise(F.size("new"))
+    told = [c for c in (*state.columns, *added.columns) if c not in (key, "next_position", "head", "tail", "new")]
+    return both.select(
+        key,
+        *told,
+        (F.coalesce("next_position", F.lit(0)) + added_rows).cast("long").alias("next_position"),
+        F.coalesce("head", head).alias("head"),
+        F.slice("open", F.col("count") * chunk + 1, F.lit(chunk)).alias("tail"),
+        F.when(F.col("count") > 0, chunks).alias("full"),
+        F.col("new").isNotNull().alias("grew"),
+    )
+
+
+def full_chunks(lists: DataFrame, key: str) -> DataFrame:
+    """The chunks that :func:`grown` filled: key, part, items."""
+    return lists.select(key, F.explode("full").alias("held")).select(key, "held.part", "held.items")
+
+
 def grown_chunks(state: DataFrame, elements: DataFrame, key: str, chunk: int) -> DataFrame:
     """The chunks that new elements fall into, whole: key, part, items.
 

@@ -22,10 +22,11 @@ from changeflow import schemas
 from changeflow.functions.values import trim_controls
 from changeflow.operators.enrich import enriched_orders
 from changeflow.operators.latest import (
-    CHUNK, CUSTOMER_COLUMNS, LINE_COLUMNS, ORDER_COLUMNS, RANGES, numbered_in_order, positions,
+    CHUNK, CUSTOMER_COLUMNS, IN_TOPIC, LINE_COLUMNS, ORDER_COLUMNS, RANGES, crowded, numbered_in_order, positions,
+    split_crowded,
 )
 from changeflow.operators.rollup import (
-    grown_chunks, grown_lists, latest_schema, list_schema, merged_latest, stored_parts,
+    full_chunks, grown, grown_chunks, grown_lists, latest_schema, list_schema, merged_latest, stored_parts,
 )
 from changeflow.streaming.kept import BROADCAST_BYTES, Kept, measured
 from changeflow.streaming.tables import GATHER_EVERY, Head, Table, TableSet, batch_source
@@ -186,76 +187,95 @@ class EnrichedView:
         before = {name: keep(self._stored(name, ids, head)) for name in ("lines", "refs")}
         lines, line_chunks = before["lines"], self._none("line_chunks")
         if "lines" in topics:
-            line_chunks = keep.written(self._line_chunks(lines, new["lines"]))
-            lines = keep.written(self._lines(lines, new["lines"], line_chunks))
+            lines, line_chunks = self._lines(lines, new["lines"], keep)
         refs, ref_chunks, pairs = before["refs"], self._none("ref_chunks"), None
         if "orders" in topics:
-            pairs = keep.written(self._pairs(new["orders"], head, keep))
-            ref_chunks = keep.written(self._ref_chunks(refs, pairs))
-            refs = keep(grown_lists(refs, ref_chunks, "order_id", self.chunk))
+            pairs = keep(self._pairs(new["orders"], head, keep))
+            refs, ref_chunks = self._refs(refs, pairs, keep)
 
         shown = keep.written(self._to_show(by_event, orders, changed, before["lines"], lines, refs))
         whole = shown.filter("whole").select("order_id")
-        full = F.size("items") == self.chunk
-        rows = {
-            "view": self._shown(
-                shown,
-                orders,
-                customers,
-                self._parts("line_chunks", lines, line_chunks, whole, head),
-                self._parts("ref_chunks", refs, ref_chunks, whole, head),
-                lines,
-                before,
-            )
-        }
+        standing = keep(shown.join(orders.filter(_alive()), "order_id").drop("whole"))
+        here = standing.select("order_id")
+        line_state = lines.join(here, "order_id", "left_semi").filter(_alive())
+        ref_state = refs.join(here, "order_id", "left_semi")
+        line_parts = self._parts("line_chunks", line_state, line_chunks, whole, head, "order_total")
+        ref_parts = self._parts("ref_chunks", ref_state, ref_chunks, whole, head)
+        fresh = enriched_orders(
+            standing.select("order_id", *ORDER_COLUMNS),
+            customers.filter(_alive()).select("customer_ref", *CUSTOMER_COLUMNS),
+            line_rows(line_parts),
+            ref_rows(ref_parts, here),
+        )
+        rows = {"view": self._shown(shown, standing, fresh, before)}
         if "customers" in topics:
             rows["customers"] = customers.join(changed, "customer_ref", "left_semi")
         if "lines" in topics:
-            rows["lines"] = lines.join(by_event["lines"], "order_id", "left_semi")
-            rows["line_chunks"] = line_chunks.filter(full)
+            rows["lines"] = lines.filter("grew")
+            rows["line_chunks"] = line_chunks
         if pairs is not None:
             named = new["orders"].filter(F.col("customer_ref").isNotNull())
             rows |= {
                 "orders": orders.join(by_event["orders"], "order_id", "left_semi"),
                 "pairs": pairs,
-                "refs": refs.join(pairs, "order_id", "left_semi"),
-                "ref_chunks": ref_chunks.filter(full),
+                "refs": refs.filter("grew"),
+                "ref_chunks": ref_chunks,
                 "named": named.select("customer_ref", "order_id").distinct(),
             }
         return rows
 
-    def _line_chunks(self, before: DataFrame, events: DataFrame) -> DataFrame:
+    def _lines(self, before: DataFrame, events: DataFrame, keep: Kept) -> tuple[DataFrame, DataFrame]:
+        """The lines of each order: what is listed, their total, their last operation; and full chunks.
+
+        What a batch adds to an order is gathered at once. Only of orders that are crowded
+        in the batch lines are numbered and gathered chunk by chunk.
+        """
         element = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LINE.fields])
-        placed = numbered_in_order(events).select("order_id", "position", element.alias("element"))
-        return grown_chunks(before, placed, "order_id", self.chunk)
-
-    def _lines(self, before: DataFrame, events: DataFrame, chunks: DataFrame) -> DataFrame:
-        """The lines of each order: what is listed, their total, their last operation."""
-        amount = F.coalesce(F.sum(F.col("quantity") * F.col("unit_price")), F.lit(0)).cast("decimal(33,2)")
-        offset = F.when(F.col("op_type").isNotNull(), F.col("kafka_offset"))
-        operation = F.max(F.when(offset.isNotNull(), F.struct(offset.alias("op_offset"), "op_type")))
-        sums = events.groupBy("order_id").agg(amount.alias("added"), operation.alias("operation"))
-        stored = before.select("order_id", F.col("order_total").alias("total"), "op_type", "op_offset")
-        later = F.col("operation").isNotNull()
-        totals = stored.join(sums, "order_id", "full").select(
-            "order_id",
-            (F.coalesce("total", F.lit(0)) + F.coalesce("added", F.lit(0))).cast("decimal(33,2)").alias("order_total"),
-            F.when(later, F.col("operation.op_type")).otherwise(F.col("op_type")).alias("op_type"),
-            F.when(later, F.col("operation.op_offset")).otherwise(F.col("op_offset")).alias("op_offset"),
-        )
-        return grown_lists(before, chunks, "order_id", self.chunk).join(totals, "order_id")
+        placed = F.sort_array(F.collect_list(F.struct(*IN_TOPIC, element.alias("element"))))
+        many = keep(crowded(events))
+        spread = not many.isEmpty()
+        few, rest = split_crowded(events, many) if spread else (events, events)
+        own, large = split_crowded(before, many) if spread else (before, before)
+        added = few.groupBy("order_id").agg(F.transform(placed, lambda x: x["element"]).alias("new"), *_sums())
+        lines = keep.written(_totalled(grown(own, added, "order_id", self.chunk)))
+        chunks = full_chunks(lines, "order_id")
+        if spread:
+            numbered = numbered_in_order(rest).select("order_id", "position", element.alias("element"))
+            grown_parts = keep.written(grown_chunks(large, numbered, "order_id", self.chunk))
+            sums = rest.groupBy("order_id").agg(*_sums())
+            stored = large.select("order_id", "order_total", "op_type", "op_offset").join(sums, "order_id", "full")
+            lists = grown_lists(large, grown_parts, "order_id", self.chunk)
+            told = _totalled(lists.join(stored, "order_id").withColumn("grew", F.lit(True)))
+            lines = lines.drop("full").unionByName(keep.written(told))
+            chunks = chunks.unionByName(grown_parts.filter(F.size("items") == self.chunk))
+        return lines, chunks
 
     def _pairs(self, events: DataFrame, head: Head, keep: Kept) -> DataFrame:
-        """References that their orders did not have yet, numbered by order."""
+        """References that their orders did not have yet."""
         ref = trim_controls(F.col("customer_ref"))
         seen = events.select("order_id", ref.alias("ref")).filter(F.col("ref").isNotNull()).distinct()
         keyed = keep(seen.withColumn("pair", F.xxhash64("order_id", "ref")))
         known = self._stored("pairs", Keys(keyed, "pair", "order_id", "ref"), head)
-        new = keyed.join(known, ["pair", "order_id", "ref"], "left_anti")
-        return positions(new, F.pmod("pair", F.lit(RANGES)).cast("long"), ["ref"])
-
-    def _ref_chunks(self, before: DataFrame, pairs: DataFrame) -> DataFrame:
-        return grown_chunks(before, pairs.select("order_id", "position", F.col("ref").alias("element")), "order_id", self.chunk)
+        return keyed.join(known, ["pair", "order_id", "ref"], "left_anti")
+
+    def _refs(self, before: DataFrame, pairs: DataFrame, keep: Kept) -> tuple[DataFrame, DataFrame]:
+        """The references of each order, numbered by a hash; and full chunks."""
+        in_range = F.pmod("pair", F.lit(RANGES)).cast("long")
+        many = keep(crowded(pairs))
+        spread = not many.isEmpty()
+        few, rest = split_crowded(pairs, many) if spread else (pairs, pairs)
+        own, large = split_crowded(before, many) if spread else (before, before)
+        placed = F.sort_array(F.collect_list(F.struct(in_range.alias("at"), "ref")))
+        added = few.groupBy("order_id").agg(F.transform(placed, lambda x: x["ref"]).alias("new"))
+        refs = keep.written(grown(own, added, "order_id", self.chunk))
+        chunks = full_chunks(refs, "order_id")
+        if spread:
+            numbered = positions(rest, in_range, [in_range, "ref"]).select("order_id", "position", F.col("ref").alias("element"))
+            grown_parts = keep.written(grown_chunks(large, numbered, "order_id", self.chunk))
+            lists = grown_lists(large, grown_parts, "order_id", self.chunk).withColumn("grew", F.lit(True))
+            refs = refs.drop("full").unionByName(keep.written(lists))
+            chunks = chunks.unionByName(grown_parts.filter(F.size("items") == self.chunk))
+        return refs, chunks
 
     def _to_show(
         self, by_event: dict[str, DataFrame], orders: DataFrame, changed: DataFrame,
@@ -278,27 +298,21 @@ class EnrichedView:
         whole = F.coalesce("own", "customer", F.lit(False)) | turned | F.coalesce("many", F.lit(False))
         return flags.select("order_id", whole.alias("whole"))
 
-    def _parts(self, name: str, state: DataFrame, grown: DataFrame, whole: DataFrame, head: Head) -> DataFrame:
+    def _parts(
+        self, name: str, state: DataFrame, grown: DataFrame, whole: DataFrame, head: Head, *carried: str
+    ) -> DataFrame:
         """The parts to show: the first and the open one, those that grew, or all."""
-        own = stored_parts(state, "order_id", self.chunk)
-        between = (F.col("part") > 0) & (F.size("items") == self.chunk)
-        full = grown.select("order_id", "part", "items").filter(between)
-        several = state.filter(F.col("next_position") > self.chunk).join(whole, "order_id", "left_semi")
-        stored = self._chunks(name, several.select("order_id"), head).select("order_id", "part", "items")
-        return own.unionByName(full).unionByName(stored.filter("part > 0"))
+        own = stored_parts(state, "order_id", self.chunk, *carried)
+        several = state.filter(F.col("next_position") > self.chunk).select("order_id")
+        full = grown.select("order_id", "part", "items").join(several, "order_id", "left_semi")
+        stored = self._chunks(name, several.join(whole, "order_id", "left_semi"), head).select("order_id", "part", "items")
+        between = full.unionByName(stored).filter("part > 0")
+        return own.unionByName(between, allowMissingColumns=True)
 
     def _shown(
-        self, shown: DataFrame, orders: DataFrame, customers: DataFrame, line_parts: DataFrame,
-        ref_parts: DataFrame, lines: DataFrame, before: dict[str, DataFrame],
+        self, shown: DataFrame, standing: DataFrame, fresh: DataFrame, before: dict[str, DataFrame]
     ) -> DataFrame:
         """Rows of the view: the parts of orders that stand, tombstones for those that went."""
-        standing = shown.join(orders.filter(_alive()), "order_id").drop("whole")
-        fresh = enriched_orders(
-            standing.select("order_id", *ORDER_COLUMNS),
-            customers.filter(_alive()).select("customer_ref", *CUSTOMER_COLUMNS),
-            line_rows(line_parts, lines),
-            ref_rows(ref_parts, standing.select("order_id")),
-        )
         part = F.coalesce("lines_part", "refs_part", F.lit(0)).alias("part")
         fresh = fresh.select("*", part, F.lit(False).alias("deleted"))
         # what was shown before: as many parts as the longer list had, and one at least
@@ -326,15 +340,19 @@ class EnrichedView:
         """The view at a version, by default the newest."""
         return self.tables.current("view", head).select(*schemas.ENRICHED.names)
 
-    def _all_parts(self, name: str, state: DataFrame, head: Head) -> DataFrame:
+    def _all_parts(self, name: str, state: DataFrame, head: Head, *carried: str) -> DataFrame:
+        own = stored_parts(state, "order_id", self.chunk, *carried)
         stored = self.tables.appended(name, head).filter("part > 0")
-        return stored_parts(state, "order_id", self.chunk).unionByName(stored)
+        if stored.isEmpty():
+            return own
+        several = state.filter(F.col("next_position") > self.chunk).select("order_id")
+        return own.unionByName(stored.join(several, "order_id", "left_semi"), allowMissingColumns=True)
 
     def lines_by_order(self) -> DataFrame:
         """The lines of every order at the newest version."""
         head = self.tables.head()
-        lines = self.tables.current("lines", head)
-        return line_rows(self._all_parts("line_chunks", lines, head), lines)
+        alive = self.tables.current("lines", head).filter(_alive())
+        return line_rows(self._all_parts("line_chunks", alive, head, "order_total"))
 
     def customer_refs(self) -> DataFrame:
         """The customer references of every order at the newest version."""
@@ -360,13 +378,28 @@ def unseen(batch: DataFrame, head: Head) -> DataFrame:
     return batch.filter(F.col("kafka_offset") > F.coalesce(mark, F.lit(-1)))
 
 
-def line_rows(parts: DataFrame, lines: DataFrame) -> DataFrame:
-    """Rows of ``lines_by_order`` from parts, for orders whose last line event is no delete."""
-    alive = lines.filter(_alive()).select("order_id", "order_total")
+def _sums() -> list[Column]:
+    """Aggregates: what the line events of a batch add to the total, and the last operation among them."""
+    amount = F.coalesce(F.sum(F.col("quantity") * F.col("unit_price")), F.lit(0)).cast("decimal(33,2)")
+    operation = F.when(F.col("op_type").isNotNull(), F.struct(F.col("kafka_offset").alias("op_offset"), "op_type"))
+    return [amount.alias("added"), F.max(operation).alias("operation")]
+
+
+def _totalled(rows: DataFrame) -> DataFrame:
+    """Stored totals and last operations, with what a batch brought to them."""
+    total = F.coalesce("order_total", F.lit(0)) + F.coalesce("added", F.lit(0))
+    later = F.col("operation").isNotNull()
+    return rows.withColumns({
+        "order_total": total.cast("decimal(33,2)"),
+        "op_type": F.when(later, F.col("operation.op_type")).otherwise(F.col("op_type")),
+        "op_offset": F.when(later, F.col("operation.op_offset")).otherwise(F.col("op_offset")),
+    }).drop("added", "operation")
+
+
+def line_rows(parts: DataFrame) -> DataFrame:
+    """Rows of ``lines_by_order`` from parts, which carry the total of their order; part 0 tells it."""
     total = F.when(F.col("part") == 0, F.col("order_total")).alias("order_total")
-    return parts.join(alive, "order_id").select(
-        "order_id", F.col("part").alias("lines_part"), F.col("items").alias("lines"), total
-    )
+    return parts.select("order_id", F.col("part").alias("lines_part"), F.col("items").alias("lines"), total)
 
 
 def ref_rows(parts: DataFrame, standing: DataFrame) -> DataFrame:

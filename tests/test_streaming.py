@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 import model
 import pytest
@@ -760,3 +761,35 @@ def test_landing_keeps_the_fixed_schema(spark, tmp_path):
     stream = read_landing(spark, str(tmp_path / "t"), schemas.ORDER_EVENT, max_files=1)
     assert stream.isStreaming
     assert stream.columns == events_schema().names
+
+
+def test_the_view_lists_crowded_orders_as_others(spark, tmp_path, monkeypatch):
+    """Orders with more events in a batch than a task takes at once, before, after and beside others."""
+    from changeflow.operators import latest
+    from changeflow.streaming import enriched
+
+    def events(number):
+        at = 100 * number
+        lines = [(0, at + i, f"o{i % 4 // 2 * (i % 3)}", i, "p", i, Decimal("2.00"), "I") for i in range(14)]
+        orders = [(0, at + i, f"o{i % 3}", f"C{(number * i) % 7}", None, None, None, "A", "I", i, i) for i in range(12)]
+        return mixed_topics({
+            "lines": spark.createDataFrame(lines, schemas.positioned(schemas.LINE_EVENT)),
+            "orders": spark.createDataFrame(orders, schemas.positioned(schemas.ORDER_EVENT)),
+            "customers": spark.createDataFrame([], schemas.positioned(schemas.CUSTOMER_EVENT)),
+        })
+
+    def seen(name):
+        view = EnrichedView(spark, str(tmp_path / name), gather_every=2, buckets=4, chunk=5)
+        for number in range(2):
+            view.apply(events(number), number, name)
+        frames = (view.current(), view.lines_by_order(), view.customer_refs())
+        return [sorted(tuple(map(str, r)) for r in f.collect()) for f in frames]
+
+    def refused(*_):
+        raise AssertionError("numbered line by line")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(enriched, "numbered_in_order", refused)
+        whole = seen("whole")
+    monkeypatch.setattr(latest, "CROWDED", 2)
+    assert seen("crowded") == whole
