@@ -229,4 +229,4 @@ def test_orders_that_are_not_crowded_are_numbered_in_one_pass(spark):
     frame.collect()
     plan = frame._jdf.queryExecution().executedPlan().toString()
     final = plan.split("Initial Plan")[0]
-    assert final.count("Window") == 1 and "MergeJoin" not in final, plan
+    assert final.count("ShuffleQueryStage") == 1 and "Join" not in final, plan
