@@ -175,20 +175,23 @@ class TableSet:
             for done in [pool.submit(own(call), *args) for call, *args in calls.values()]:
                 done.result()
 
-    def gather(self, attempt: Attempt) -> None:
-        """Put one folder in place of a table's many, where a table has many."""
+    def gather(self, attempt: Attempt, **gone: str) -> None:
+        """Put one folder in place of a table's many, where a table has many.
+
+        ``gone`` says for a state table which rows end their key by now, besides its own.
+        """
         many = {
-            name: (self._gather, name, parts, attempt) for name, parts in attempt.parts.items()
+            name: (self._gather, name, parts, attempt, gone.get(name, "false")) for name, parts in attempt.parts.items()
             if sum(p.buckets is None for p in parts) >= self.gather_every
         }
         self._side_by_side(many)
 
-    def _gather(self, name: str, parts: list[Part], attempt: Attempt) -> None:
+    def _gather(self, name: str, parts: list[Part], attempt: Attempt, gone: str) -> None:
         table, recent = self.tables[name], [p for p in parts if p.buckets is None]
         older, log = [p for p in parts if p.buckets is not None], self._rows(name, recent)
         touched = self._buckets(name, log) if table.lookup else [0]
         if table.keys:
-            rows = self._state(name, older, recent, touched).filter(f"NOT ({table.gone})")
+            rows = self._state(name, older, recent, touched).filter(f"NOT ({table.gone}) AND NOT ({gone})")
             older = [Part(p.folder, p.first, p.last, sorted({*p.buckets} - {*touched})) for p in older]
         else:
             # as with a binary counter, a row is copied as often as its folder doubles

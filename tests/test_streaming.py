@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -793,3 +794,86 @@ def test_the_view_lists_crowded_orders_as_others(spark, tmp_path, monkeypatch):
         whole = seen("whole")
     monkeypatch.setattr(latest, "CROWDED", 2)
     assert seen("crowded") == whole
+
+
+def one_by_one(state, events, horizon):
+    """The state of an order after its events, applied in turn: two columns, operation, delete."""
+    for _, _, at, op, *values in sorted(events, key=lambda e: (e[0], e[1])):
+        if state[3] is not None and at is not None and at > state[3] + horizon:
+            state = [None] * 4
+        state = [old if new is None else new for old, new in zip(state[:2], values, strict=True)] + state[2:]
+        if op is not None:
+            state[2:] = [op, at if op == "D" else None]
+    return state
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_expiring_states_of_all_keys_are_told_by_plans_as_event_by_event(spark):
+    from changeflow.streaming.expiring import folded
+
+    rng, offset = random.Random(5), 0
+    schema = "order_id string, customer_ref string, status string, op_type string, deleted_at long"
+    events_of = (
+        "kafka_offset long, kafka_partition int, op_ts long, op_type string, "
+        "customer_ref string, status string, order_id string"
+    )
+    states = {}
+    for _ in range(3):
+        arrived = []
+        for _ in range(600):
+            offset += rng.randint(0, 1)
+            key = rng.choice([None, *"abcdefghijklmnopqrstuvwxyz"])
+            pick = lambda *of: rng.choice(of)
+            arrived.append((
+                offset, len(arrived), pick(None, *[offset + rng.randint(0, 60)] * 8), pick(None, "I", "D", "D"),
+                pick(None, None, f"r{offset}"), pick(None, None, None, f"s{offset}"), key,
+            ))
+        before = [(key, *state) for key, state in states.items()]
+        now = folded(
+            spark.createDataFrame(before, schema), spark.createDataFrame(arrived, events_of),
+            ["order_id"], ["customer_ref", "status"], 25,
+        )
+        assert "Python" not in plan_of(now) and "Pandas" not in plan_of(now)
+        for key in {e[-1] for e in arrived}:
+            own = [e[:-1] for e in arrived if e[-1] == key]
+            states[key] = one_by_one(states.get(key, [None] * 4), own, 25)
+        assert {r[0]: list(r[1:]) for r in now.collect()} == {k: states[k] for k in {e[-1] for e in arrived}}
+    assert any(s[3] is not None for s in states.values())
+
+
+def test_deleted_keys_leave_the_state_a_horizon_after_they_arrived(spark, tmp_path):
+    from changeflow.streaming.expiring import ExpiringLatestTable
+
+    clock = [0.0]
+    table = ExpiringLatestTable(
+        spark, str(tmp_path / "t"), schemas.ORDER_EVENT, ["order_id"], ["customer_ref", "status"], 1000,
+        gather_every=1, buckets=2, clock=lambda: clock[0],
+    )
+
+    def at(offset, order_id, when, op="I", ref=None, status=None):
+        row = list(order(offset, order_id, op, ref, status))
+        row[9] = when
+        return tuple(row)
+
+    def kept():
+        return {r.order_id for r in table.tables.current("state").collect()}
+
+    arrivals = [
+        (0, [at(1, "gone", 0, ref="r"), at(2, "gone", 1, "D"), at(3, "soon", 0, ref="q"), at(4, "soon", 1, "D")]),
+        (0.9, [at(5, "soon", 2, status="s"), at(6, "other", 0, ref="o")]),
+        (1.5, [at(7, "other", 3, "D")]),
+        (1.6, [at(n, f"k{n}", 3) for n in range(8, 16)]),
+    ]
+    for number, (second, rows) in enumerate(arrivals):
+        clock[0] = second
+        for _ in range(2):  # a batch delivered again changes nothing
+            table.apply(orders_of(spark, *rows), number, "test")
+        assert ("gone" in kept()) == (number < 3)
+    assert {"soon", "other"} <= kept()
+    clock[0] = 1.7
+    table.apply(orders_of(spark, at(16, "gone", 4, status="n"), at(17, "other", 4, status="n")), 4, "test")
+    shown = {r.order_id: (r.customer_ref, r.status) for r in table.current().collect() if r.order_id[0] != "k"}
+    assert shown == {"gone": (None, "n"), "soon": ("q", "s"), "other": ("o", "n")}
