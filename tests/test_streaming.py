@@ -17,6 +17,7 @@ from test_upsert import (
 
 from changeflow import schemas
 from changeflow.operators import events
+from changeflow.sources import kafka
 from changeflow.sources.landing import land, read_landing
 from changeflow.streaming.enriched import EnrichedView, mixed_topics
 from changeflow.streaming.latest import LatestTable
@@ -877,3 +878,17 @@ def test_deleted_keys_leave_the_state_a_horizon_after_they_arrived(spark, tmp_pa
     table.apply(orders_of(spark, at(16, "gone", 4, status="n"), at(17, "other", 4, status="n")), 4, "test")
     shown = {r.order_id: (r.customer_ref, r.status) for r in table.current().collect() if r.order_id[0] != "k"}
     assert shown == {"gone": (None, "n"), "soon": ("q", "s"), "other": ("o", "n")}
+
+
+def test_a_published_record_is_parsed_once(spark, tmp_path):
+    from changeflow.plans.streams import _told
+
+    told = ("order_source_id", "order_id", "customer_id", "audit_action", "link_score", "created_at")
+    rows = [("2", 'a"\\b', None, "CDC_INSERT", 0.75, "x\ny"), ("1", "ö", "c", "CDC_DELETE", 1e-9, "")]
+    applied = spark.createDataFrame(rows, ", ".join(f"{c} {'double' if c == 'link_score' else 'string'}" for c in told))
+    records = kafka.published(applied)
+    records.write.parquet(str(tmp_path / "published"))
+    frame = _told(spark, str(tmp_path))
+    alone = records.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in told])
+    assert frame.columns == alone.columns and sorted(map(str, frame.collect())) == sorted(map(str, alone.collect()))
+    assert plan_of(frame).count("json") == 1
