@@ -17,6 +17,9 @@ _SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Gathering a table writes partitions of about this size, one task each: at 64 MB,
+    # the default, a table of millions of rows is written by one task while others wait.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 _local_roots: dict[str, str] = {}
