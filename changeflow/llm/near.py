@@ -35,6 +35,7 @@ copies. An empty table gives an empty result. Texts are told apart by 64-bit has
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +63,7 @@ BANDED = 1024
 LOOK = 16
 CELLS = 1 << 18
 #: Hashes ranked at a time.
-RANKS = 1 << 18
+RANKS = 1 << 17
 #: Counters that the words of a text are folded into, and marks of its labelled words.
 FOLDED = 256
 MARKS = 512
@@ -118,10 +119,12 @@ def sketch(runs: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     if len(runs) == 1:
         return _mixed(runs[0] ^ seeds)
     out, block = [], max(1, RANKS // len(runs))
+    room = np.empty((min(block, len(seeds)), len(runs)), np.uint64)
     for at in range(0, len(seeds), block):
         own = seeds[at : at + block]
         # a multiplication by an odd number permutes the hashes; high bits decide
-        ranks = (runs ^ own[:, None]) * np.uint64(0x9E3779B97F4A7C15)
+        ranks = np.bitwise_xor(runs, own[:, None], out=room[: len(own)])
+        ranks *= np.uint64(0x9E3779B97F4A7C15)
         row = np.arange(len(own))
         one = ranks.argmin(1)
         ranks[row, one] = np.iinfo(np.uint64).max
@@ -357,6 +360,12 @@ def marks_of(words: np.ndarray) -> np.ndarray:
     return marks
 
 
+def sized_alike(sizes: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """For all pairs of two sides whether lengths allow them: [left, right]."""
+    one, other = sizes[left][:, None], sizes[right][None, :]
+    return np.abs(one - other) <= ((1 - similarity) * np.maximum(one, other) + 1e-9).astype(np.int32)
+
+
 def marked_alike(sizes: np.ndarray, marks: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float):
     """For all pairs of two sides whether lengths and marks allow them: [left, right]."""
     one, other = marks[left], marks[right]
@@ -389,17 +398,28 @@ class Members:
         self.bucket = rows["bucket"][0].as_py()
         self.words = [source.of(t.as_py()) for t in rows["text"]]
         self.sizes = np.array([len(w) for w in self.words], np.int32)
-        self.marks = np.array([marks_of(w) for w in self.words])
-        _, numbers = np.unique(np.concatenate(self.words), return_inverse=True)
-        #: Words numbered from 1 within the group.
-        self.numbered = np.split(numbers + 1, np.cumsum(self.sizes)[:-1])
-        counts = [np.bincount((w % np.uint64(FOLDED)).astype(np.int64), minlength=FOLDED) for w in self.words]
-        self.counts = np.minimum(np.array(counts), 255).astype(np.uint8)
         self.buckets = [frozenset(b.as_py()) for b in rows["buckets"]]
         self.runs: dict[int, np.ndarray] = {}
         _, first, inverse = np.unique(rows["label"].to_numpy(), return_index=True, return_inverse=True)
         self.parent = first[inverse].tolist()
 
+    # in most groups no pair comes so far that these are needed
+
+    @cached_property
+    def marks(self) -> np.ndarray:
+        return np.array([marks_of(w) for w in self.words])
+
+    @cached_property
+    def counts(self) -> np.ndarray:
+        counts = [np.bincount((w % np.uint64(FOLDED)).astype(np.int64), minlength=FOLDED) for w in self.words]
+        return np.minimum(np.array(counts), 255).astype(np.uint8)
+
+    @cached_property
+    def numbered(self) -> list[np.ndarray]:
+        """Words numbered from 1 within the group."""
+        _, numbers = np.unique(np.concatenate(self.words), return_inverse=True)
+        return np.split(numbers + 1, np.cumsum(self.sizes)[:-1])
+
     def root(self, member: int) -> int:
         parent = self.parent
         while parent[member] != member:
@@ -535,7 +555,11 @@ def links_within(members: DataFrame, texts: DataFrame, similarity: float = SIMIL
             apart = root[own][:, None] != root[right][None, :]
             if whole:
                 apart &= own[:, None] < right[None, :]
-            apart &= marked_alike(group.sizes, group.marks, own, right, similarity)
+            apart &= sized_alike(group.sizes, own, right, similarity)
+            if apart.any():
+                apart &= marked_alike(group.sizes, group.marks, own, right, similarity)
+            if not apart.any():
+                continue
             i, j = np.nonzero(apart)
             i, j = own[i], right[j]
             kept = near_enough(group.sizes, group.counts, i, j, similarity)
@@ -581,20 +605,19 @@ def links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source = WordHashes()
-
-        def read(text: str) -> tuple[np.ndarray, np.ndarray]:
-            words = source.of(text)
-            return words, labelled_runs(words, SHINGLE)
-
-        last: tuple = (None, None)  # rows of one text follow each other
+        last: tuple = (None, None, None)  # rows of one text follow each other
         for batch in batches:
             found = np.zeros(batch.num_rows, bool)
             for row, (b, one, other) in enumerate(zip(*batch.columns[1:], strict=True)):
-                x, x_runs = read(one.as_py())
+                x = source.of(one.as_py())
                 if last[0] != (b := b.as_py()):
-                    last = b, read(other.as_py())
-                y, y_runs = last[1]
-                found[row] = aligned(x, y, (x_runs, y_runs), similarity)
+                    last = b, source.of(other.as_py()), None
+                y = last[1]
+                if abs(len(x) - len(y)) > int((1 - similarity) * max(len(x), len(y)) + 1e-9):
+                    continue
+                if last[2] is None:
+                    last = b, y, labelled_runs(y, SHINGLE)
+                found[row] = aligned(x, y, (labelled_runs(x, SHINGLE), last[2]), similarity)
             kept = batch.filter(pa.array(found))
             yield pa.RecordBatch.from_arrays(kept.columns[:2], ["a", "b"])
 

@@ -264,3 +264,16 @@ def test_pairs_at_the_similarity_share_a_bucket():
             a, b = (near.text_buckets(np.array(x, np.uint64), seeds) for x in (one, other))
             missed += not len(np.intersect1d(a, b))
     assert missed <= 0.01 * 10 * len(lengths)  # 0.1 to 0.4% is measured, see the README
+
+
+def test_members_too_unlike_in_length_are_not_counted():
+    import pyarrow as pa
+
+    texts = ["a b c d e f g h i j", "a b c d e"]
+    rows = pa.table({
+        "node": [1, 2], "side": [2, 2], "bucket": [7, 7], "text": texts, "buckets": [[7], [7]], "label": [1, 2],
+    })
+    group = near.Members(rows, near.WordHashes())
+    alike = near.sized_alike(group.sizes, [0, 1], [0, 1], 0.8)
+    assert alike.tolist() == [[True, False], [False, True]]
+    assert not {"marks", "counts", "numbered"} & set(vars(group))
