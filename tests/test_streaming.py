@@ -892,3 +892,15 @@ def test_a_published_record_is_parsed_once(spark, tmp_path):
     alone = records.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in told])
     assert frame.columns == alone.columns and sorted(map(str, frame.collect())) == sorted(map(str, alone.collect()))
     assert plan_of(frame).count("json") == 1
+
+
+def test_a_gathered_table_is_written_by_several_tasks(spark, tmp_path):
+    schema = schemas.struct(a=schemas.LONG, b=schemas.LONG)
+    tables = TableSet(spark, str(tmp_path / "t"), {"log": Table(schema)}, 1)
+    attempt = tables.begin()
+    rows = spark.range(3_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+    tables.write("log", rows, attempt)
+    tables.gather(attempt)
+    tables.commit(attempt)
+    files = list((tmp_path / "t" / "log").glob("*-gathered/*/*.parquet"))
+    assert len(files) > 1 and tables.appended("log").count() == 3_000_000
