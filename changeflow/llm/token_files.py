@@ -9,7 +9,8 @@ decoding what precedes it.
 A segment holds the ids of consecutive documents and is one binary value of a Parquet
 row; a folder of segments in ascending id order is the token file. Every segment knows
 its part (the task that wrote it) and the ids before it in that part, so the place of a
-document in the whole stream needs the totals of the parts only.
+document in the whole stream needs the totals of the parts only. Row groups are small, so
+a task that reads a large file decodes a few megabytes of it at a time.
 
 Null and empty texts have the end token alone. Null ids come first; equal ids are ordered
 by their texts. An empty table gives an empty folder that reads back as no rows.
@@ -31,7 +32,16 @@ from changeflow.llm.encoding import word_encoder
 
 END_ID = 2
 #: Ids after which a segment is closed; a document is never split over two.
-SEGMENT_IDS = 1 << 18
+SEGMENT_IDS = 1 << 16
+#: Parquet's row groups and pages are closed by bytes, looked at every few segments (its own
+#: defaults let a page grow to 100 segments and a row group to 128 MB). Codes do not repeat.
+FILE_OPTIONS = {
+    "parquet.block.size": 8 << 20,
+    "parquet.block.size.row.check.min": 4,
+    "parquet.page.size": 1 << 20,
+    "parquet.page.size.row.check.min": 4,
+    "parquet.enable.dictionary": "false",
+}
 RANK_BITS = 512
 #: Characters of chunks a worker keeps: this job does nothing else, so it may keep more.
 KEPT_CHARS = 1 << 23
@@ -153,7 +163,7 @@ def write(documents: DataFrame, path: str, vocabulary: str, end_id: int = END_ID
     )
     ordered.sortWithinPartitions("doc_id", F.xxhash64("text"), "text").mapInArrow(
         segments, SEGMENTS
-    ).write.parquet(path)
+    ).write.options(**FILE_OPTIONS).parquet(path)
 
 
 _SEGMENT_SCHEMA = pa.schema(

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from changeflow.llm import byte_bpe, lengths, packing, queries, token_files
@@ -190,6 +191,25 @@ def test_token_files_read_back(spark, odd, library, tmp_path, monkeypatch):
     assert token_files.read(spark, f"{tmp_path}/none").collect() == []
 
 
+def test_row_groups_of_token_files_stay_small(spark, tmp_path, library):
+    rng = random.Random(5)
+    words = sorted({w for d in documents(spark) for w in d["text"].split() if w.isalpha()})
+    texts = [(i, " ".join(rng.choices(words, k=20_000))) for i in range(300)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        token_files.write(frame, f"{tmp_path}/large", VOCABULARY)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    found = [pq.ParquetFile(f).metadata for f in tmp_path.glob("large/*.parquet")]
+    sizes = [m.row_group(i).total_byte_size for m in found for i in range(m.num_row_groups)]
+    assert sum(sizes) > 12 << 20 and max(sizes) < 12 << 20
+    got = token_files.read(spark, f"{tmp_path}/large").where("doc_id % 50 < 2 and doc_id < 120")
+    expected = {r[0]: r[2:] for r in expected_files(texts[:2] + texts[50:52] + texts[100:102], library)}
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in got.collect()} == expected
+
+
 def expected_digests(texts, reference):
     rows = []
     for doc_id, text in texts:
