@@ -70,6 +70,10 @@ MARKS = 512
 #: Members of a bucket that meet in one task, and pairs of them compared at a time.
 BLOCK = 1024
 TILE = 1 << 14
+#: Parts of the buckets that are looked through one after another, which bounds the disk.
+SLICES = 2
+#: Wanted keys that share a word of marks.
+KEYS_A_WORD = 8
 #: Bytes of text of the members that meet, about, from either side.
 BLOCK_BYTES = 8 << 20
 
@@ -184,11 +188,16 @@ def buckets(documents: DataFrame, sketches: int = SKETCHES) -> DataFrame:
     return rows.mapInArrow(run, "bucket long, node long")
 
 
-def in_shared_buckets(found: DataFrame) -> DataFrame:
+def in_shared_buckets(found: DataFrame, slices: int = 1) -> list[DataFrame]:
     """The buckets of more than one text: each text beside the bucket's ends, lo and hi.
 
-    (bucket, node, lo, hi)
+    (bucket, node, lo, hi), the buckets dealt into slices
     """
+    part = F.pmod(F.col("bucket"), F.lit(slices))
+    return [_in_shared_buckets(found.where(part == i)) for i in range(slices)]
+
+
+def _in_shared_buckets(found: DataFrame) -> DataFrame:
     ends = (
         found.groupBy("bucket")
         .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
@@ -586,15 +595,32 @@ def links_within(members: DataFrame, texts: DataFrame, similarity: float = SIMIL
     return ordered.mapInArrow(run, "a long, b long").where(F.col("a") < F.col("b")).distinct()
 
 
+def likely_among(frame: DataFrame, wanted: DataFrame, key: str, number: int) -> DataFrame:
+    """The rows whose (whole-number) key is wanted, and few others.
+
+    Every eight of about so many keys mark bits in one word of 64, and the words are
+    broadcast, two bytes a key: a row goes on if its word has the bits of its key.
+    """
+    block = F.pmod(F.col(key), F.lit(max(1, number // KEYS_A_WORD)).cast("long")).alias("_block")
+    places = (F.shiftrightunsigned(F.xxhash64(key), at).bitwiseAND(63).cast("int") for at in (0, 6, 12))
+    one, two, three = (F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places)
+    bits = one.bitwiseOR(two).bitwiseOR(three).alias("_bits")
+    words = wanted.select(block, bits).groupBy("_block").agg(F.bit_or("_bits").alias("_word"))
+    marked = frame.select("*", block, bits).join(F.broadcast(words), "_block")
+    return marked.where(F.col("_word").bitwiseAND(F.col("_bits")) == F.col("_bits")).select(*frame.columns)
+
+
 def texts_of(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The texts of the pairs, each once: (_node, text)."""
     wanted = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
-    # one row of each text: that of least id
-    keyed = documents.where(F.col("_node").isNotNull()).select(
+    number = pairs.select(F.approx_count_distinct("a") + F.approx_count_distinct("b")).first()[0]
+    # one row of each text: that of least id; of texts that are in no pair few are shuffled
+    keyed = likely_among(documents.where(F.col("_node").isNotNull()), wanted, "_node", number).select(
         "_node", F.coalesce("doc_id", F.lit(0)).alias("_id"), "text"
     )
     first = keyed.groupBy("_node").agg(F.min("_id").alias("_id")).join(wanted, "_node")
-    return keyed.join(first, ["_node", "_id"]).dropDuplicates(["_node"]).select("_node", "text")
+    # by both keys, as the join has dealt them out
+    return keyed.join(first, ["_node", "_id"]).dropDuplicates(["_node", "_id"]).select("_node", "text")
 
 
 def links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -684,7 +710,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     written = Written(documents.sparkSession)
     found = written(buckets(keyed))
-    beside = written(in_shared_buckets(found))
+    beside = written(*in_shared_buckets(found, SLICES))
     written.drop(found)
     pairs = written(pairs_of(beside))
     texts = written(texts_of(pairs, keyed).toDF("node", "text"))

@@ -63,16 +63,20 @@ def cut(frame: DataFrame) -> DataFrame:
 class Written:
     """Frames written as Parquet to the shared folder, removed as soon as they have served.
 
-    Like :func:`cut` this ends a lineage, with less on disk and nothing left behind.
+    Like :func:`cut` this ends a lineage, with less on disk and nothing left behind: what was
+    shuffled for a frame goes once it is written. Several frames are one after another written
+    as one, so that only one of them at a time has shuffle files.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.paths = spark, {}
 
-    def __call__(self, frame: DataFrame) -> DataFrame:
-        path = scratch_dir(self.spark, "written")
-        frame.write.parquet(path)
-        kept = self.spark.read.schema(frame.schema).parquet(path)
+    def __call__(self, *frames: DataFrame) -> DataFrame:
+        path, schema, frames = scratch_dir(self.spark, "written"), frames[0].schema, list(frames)
+        while frames:
+            frames.pop(0).write.mode("append").parquet(path)
+            self._forget()
+        kept = self.spark.read.schema(schema).parquet(path)
         self.paths[id(kept)] = (kept, path)
         return kept
 
@@ -81,7 +85,10 @@ class Written:
         for frame in frames:
             _, path = self.paths.pop(id(frame))
             remove(self.spark, path)
-        # shuffle files go when the driver has collected the plans they belong to
+        self._forget()
+
+    def _forget(self) -> None:
+        """Shuffle files go when the driver has collected the plans they belong to."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 

@@ -277,3 +277,47 @@ def test_members_too_unlike_in_length_are_not_counted():
     alike = near.sized_alike(group.sizes, [0, 1], [0, 1], 0.8)
     assert alike.tolist() == [[True, False], [False, True]]
     assert not {"marks", "counts", "numbered"} & set(vars(group))
+
+
+def test_marks_keep_every_wanted_key_and_few_others(spark):
+    keys = spark.range(20_000).selectExpr("xxhash64(id) AS node", "id")
+    for wanted in (keys.where("id < 3000"), keys.limit(0)):
+        count = wanted.count()
+        got = near.likely_among(keys, wanted.select("node"), "node", count)
+        assert got.columns == keys.columns
+        found = {r["id"] for r in got.collect()}
+        assert found >= {r["id"] for r in wanted.collect()}
+        assert len(found) <= count + 0.15 * 20_000 * bool(count)
+
+
+def test_shuffle_files_of_a_written_frame_go_at_once(spark, tmp_path):
+    import time
+
+    from changeflow.llm.tables import Written
+
+    def shuffled():
+        tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+        return tracker.shuffleStatuses().size()
+
+    written = Written(spark)
+    written(spark.range(10))
+    before = shuffled()
+    halves = [spark.range(1000).where(f"id % 2 = {i}").repartition(3, "id") for i in range(2)]
+    kept = written(*halves)
+    del halves
+    written(spark.range(10))
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert sorted(r["id"] for r in kept.collect()) == list(range(1000))
+
+
+def test_slices_hold_every_shared_bucket_once(spark):
+    rows = [(b, n) for b in range(-40, 40) for n in range(1 + b % 4)]
+    found = spark.createDataFrame(rows, "bucket long, node long")
+    whole = [tuple(r) for r in near.in_shared_buckets(found)[0].collect()]
+    parts = [[tuple(r) for r in f.collect()] for f in near.in_shared_buckets(found, 3)]
+    assert sorted(r for p in parts for r in p) == sorted(whole)
+    assert all(len(p) < len(whole) / 2 for p in parts)
