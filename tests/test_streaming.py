@@ -904,3 +904,23 @@ def test_a_gathered_table_is_written_by_several_tasks(spark, tmp_path):
     tables.commit(attempt)
     files = list((tmp_path / "t" / "log").glob("*-gathered/*/*.parquet"))
     assert len(files) > 1 and tables.appended("log").count() == 3_000_000
+
+
+@pytest.mark.parametrize("failing", [1, 2, 4])
+def test_only_the_planned_failure_is_passed_over(spark, monkeypatch, failing):
+    from changeflow.plans import streams
+
+    runs = []
+
+    def start(stream, sink, checkpoint):
+        runs.append(sink)
+
+        def broken(batch, batch_id):
+            raise RuntimeError("not planned")
+
+        return start_upsert(stream, broken if len(runs) == failing else sink, checkpoint)
+
+    monkeypatch.setattr(streams, "start_upsert", start)
+    with pytest.raises(Exception, match="not planned"):
+        streams.rejects_stream(spark, "/root/testdata/sf0.001")
+    assert len(runs) == failing
