@@ -20,6 +20,9 @@ _SESSION_CONF = {
     # Gathering a table writes partitions of about this size, one task each: at 64 MB,
     # the default, a table of millions of rows is written by one task while others wait.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # What is broadcast unasked is told by the size of its files. Sorted keys take three bytes
+    # a row there, and more than a hundred in the table that every executor holds.
+    "spark.sql.sources.fileCompressionFactor": "8",
 }
 
 _local_roots: dict[str, str] = {}

@@ -133,7 +133,7 @@ class EnrichedView:
         if attempt.head.holds(source, batch_id):
             return
         with Kept() as keep:
-            fresh = keep(unseen(batch, attempt.head))
+            fresh = keep.written(unseen(batch, attempt.head))
             found = fresh.groupBy("topic", _partition()).agg(F.max("kafka_offset")).collect()
             if found:
                 rows = self._after(fresh, {r[0] for r in found}, attempt.head, keep)
@@ -168,34 +168,34 @@ class EnrichedView:
         new = {t: fresh.filter(F.col("topic") == t).filter(F.col(k).isNotNull())
                for t, k in (("orders", "order_id"), ("lines", "order_id"), ("customers", "customer_ref"))}
         by_event = {t: new[t].select("order_id").distinct() for t in ("orders", "lines")}
-        changed = keep(new["customers"].select("customer_ref").distinct())
+        changed = keep.written(new["customers"].select("customer_ref").distinct())
         found = [by_event[t] for t in ("orders", "lines") if t in topics]
         if "customers" in topics:
             found.append(self._stored("named", Keys(changed, "customer_ref"), head).select("order_id"))
-        ids = Keys(keep(reduce(DataFrame.union, found).distinct()), "order_id")
+        ids = Keys(keep.written(reduce(DataFrame.union, found).distinct()), "order_id")
 
         orders = self._stored("orders", ids, head)
         if "orders" in topics:
             orders = merged_latest(orders, new["orders"], ["order_id"], ORDER_COLUMNS)
-        orders = keep(orders)
+        orders = keep.written(orders)
         refs = orders.filter(F.col("customer_ref").isNotNull()).select("customer_ref").union(changed)
-        customers = self._stored("customers", Keys(keep(refs.distinct()), "customer_ref"), head)
+        customers = self._stored("customers", Keys(keep.written(refs.distinct()), "customer_ref"), head)
         if "customers" in topics:
             customers = merged_latest(customers, new["customers"], ["customer_ref"], CUSTOMER_COLUMNS)
-        customers = keep(customers)
+        customers = keep.written(customers)
 
-        before = {name: keep(self._stored(name, ids, head)) for name in ("lines", "refs")}
+        before = {name: keep.written(self._stored(name, ids, head)) for name in ("lines", "refs")}
         lines, line_chunks = before["lines"], self._none("line_chunks")
         if "lines" in topics:
             lines, line_chunks = self._lines(lines, new["lines"], keep)
         refs, ref_chunks, pairs = before["refs"], self._none("ref_chunks"), None
         if "orders" in topics:
-            pairs = keep(self._pairs(new["orders"], head, keep))
+            pairs = keep.written(self._pairs(new["orders"], head, keep))
             refs, ref_chunks = self._refs(refs, pairs, keep)
 
         shown = keep.written(self._to_show(by_event, orders, changed, before["lines"], lines, refs))
         whole = shown.filter("whole").select("order_id")
-        standing = keep(shown.join(orders.filter(_alive()), "order_id").drop("whole"))
+        standing = keep.written(shown.join(orders.filter(_alive()), "order_id").drop("whole"))
         here = standing.select("order_id")
         line_state = lines.join(here, "order_id", "left_semi").filter(_alive())
         ref_state = refs.join(here, "order_id", "left_semi")
@@ -254,7 +254,7 @@ class EnrichedView:
         """References that their orders did not have yet."""
         ref = trim_controls(F.col("customer_ref"))
         seen = events.select("order_id", ref.alias("ref")).filter(F.col("ref").isNotNull()).distinct()
-        keyed = keep(seen.withColumn("pair", F.xxhash64("order_id", "ref")))
+        keyed = keep.written(seen.withColumn("pair", F.xxhash64("order_id", "ref")))
         known = self._stored("pairs", Keys(keyed, "pair", "order_id", "ref"), head)
         return keyed.join(known, ["pair", "order_id", "ref"], "left_anti")
 

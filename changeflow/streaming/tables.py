@@ -266,10 +266,13 @@ class TableSet:
     def _state(self, name: str, older: list[Part], recent: list[Part], touched: list[int] | None) -> DataFrame:
         """Per key the rows of its last version. Of the older rows each key has just those."""
         base, log, keys = self._rows(name, older, touched), self._rows(name, recent), self.tables[name].keys
+        single = len({version for p in recent for version in (p.first, p.last)}) == 1
+        if single and not older:
+            return log
         newest = log.groupBy(*[F.col(k).alias(f"new_{k}") for k in keys]).agg(F.max(VERSION).alias(f"new_{VERSION}"))
         # a null equals a null, as part of a key may be one
         same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in keys])
-        fresh = log.join(newest, same & (F.col(VERSION) == F.col(f"new_{VERSION}")), "left_semi")
+        fresh = log if single else log.join(newest, same & (F.col(VERSION) == F.col(f"new_{VERSION}")), "left_semi")
         return base.join(newest, same, "left_anti").unionByName(fresh)
 
     def _rows(self, name: str, parts: list[Part], touched: list[int] | None = None) -> DataFrame:

@@ -924,3 +924,61 @@ def test_only_the_planned_failure_is_passed_over(spark, monkeypatch, failing):
     with pytest.raises(Exception, match="not planned"):
         streams.rejects_stream(spark, "/root/testdata/sf0.001")
     assert len(runs) == failing
+
+
+def held_bytes(spark):
+    """What persisted frames take in memory and on the executors' disks."""
+    return sum(i.memSize() + i.diskSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+
+
+def test_the_view_persists_nothing_that_grows_with_a_batch(spark, tmp_path, monkeypatch):
+    from test_latest import CUSTOMERS
+
+    held, gather = [], TableSet.gather
+
+    def watched(self, attempt):
+        held.append(held_bytes(spark))
+        gather(self, attempt)
+
+    monkeypatch.setattr(TableSet, "gather", watched)
+    view = EnrichedView(spark, str(tmp_path / "view"), buckets=4)
+    empty = {"orders": orders_of(spark), "lines": lines_of(spark), "customers": spark.createDataFrame([], CUSTOMERS)}
+    arrivals = [
+        {"orders": orders_of(spark, *[order(n, f"o{n}", ref=f"c{n % 300}") for n in range(2000)])},
+        {"lines": lines_of(spark, *[line(n, f"o{n % 2000}", n) for n in range(6000)])},
+        {"orders": orders_of(spark, *[order(2000 + n, f"o{n}", ref=f"c{n % 7}") for n in range(2000)])},
+    ]
+    before = held_bytes(spark)
+    for number, arrival in enumerate(arrivals):
+        view.apply(mixed_topics({**empty, **arrival}), number, "t")
+    assert len(held) == 3 and max(held) - before < 4096
+    assert view.lines_by_order().count() == 2000
+
+
+def test_one_version_of_a_table_is_its_state(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path), {"t": Table(schemas.SOURCES, ("id",))}, gather_every=2)
+
+    def write(number, *ids):
+        attempt = tables.begin()
+        tables.write("t", sources_frame(spark, *ids), attempt)
+        tables.gather(attempt)
+        tables.commit(attempt, "a", number)
+        return sorted(r.id for r in tables.current("t").collect())
+
+    assert write(0, 1, 2, 2) == [1, 2, 2]
+    assert "Join" not in plan_of(tables.current("t")) and "Aggregate" not in plan_of(tables.current("t"))
+    assert write(1, 2, 3) == [1, 2, 3]
+    assert all(p.buckets is not None for p in tables.head().parts["t"])
+    assert write(2, 3, 3, 4) == [1, 2, 3, 3, 4]
+
+
+def test_sorted_keys_are_not_broadcast_for_their_small_files(spark, tmp_path):
+    def keys(name):
+        rows = spark.range(0, 1_500_000, 1, 1).select(F.format_string("ORD-%012d", "id").alias("order_id"))
+        rows.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    a, b = keys("a"), keys("b")
+    size = sum(f.stat().st_size for f in (tmp_path / "a").glob("*.parquet"))
+    plan = a.join(b, "order_id")._jdf.queryExecution().executedPlan().toString()
+    assert size < 10 << 20 and "SortMergeJoin" in plan
