@@ -982,3 +982,18 @@ def test_sorted_keys_are_not_broadcast_for_their_small_files(spark, tmp_path):
     size = sum(f.stat().st_size for f in (tmp_path / "a").glob("*.parquet"))
     plan = a.join(b, "order_id")._jdf.queryExecution().executedPlan().toString()
     assert size < 10 << 20 and "SortMergeJoin" in plan
+
+
+def test_reading_a_large_row_group_takes_no_direct_memory_of_its_size(spark, tmp_path):
+    management = spark.sparkContext._jvm.java.lang.management
+    pools = management.ManagementFactory.getPlatformMXBeans(spark.sparkContext._jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+
+    def direct():
+        return sum(p.getMemoryUsed() for p in pools if p.getName() == "direct")
+
+    # one file of one row group, and one task that reads it
+    spark.range(0, 5_000_000, 1, 1).select(F.xxhash64("id").alias("a")).write.parquet(str(tmp_path / "t"))
+    assert sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet")) > 32 << 20
+    before = direct()
+    spark.read.parquet(str(tmp_path / "t")).agg(F.sum(F.col("a") % 7)).collect()
+    assert direct() - before < 16 << 20
